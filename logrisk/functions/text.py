@@ -11,9 +11,6 @@ from pyspark.sql import functions as F
 # A text line never contains a line feed, so it can separate fields inside one.
 FIELD_BREAK = "\n"
 
-# Every character up to and including the blank counts as white space when trimming.
-_TRIMMED_CHARS = "".join(chr(code) for code in range(0x21))
-
 # One separating comma and the token before it. A comma separates when an even number of
 # double quotes follows it. Quoted parts are consumed as units; on a line with an odd
 # number of quotes the text up to the first quote belongs to the first token, so that the
@@ -31,7 +28,7 @@ def is_blank(text: Column) -> Column:
 
 def trim_text(text: Column) -> Column:
     """Remove blanks and control characters from both ends (not only spaces)."""
-    return F.btrim(text, F.lit(_TRIMMED_CHARS))
+    return F.regexp_extract(text, r"(?s)\A[\x00-\x20]*+(.*[^\x00-\x20])?", 1)
 
 
 def csv_tokens(line: Column) -> Column:
@@ -40,8 +37,9 @@ def csv_tokens(line: Column) -> Column:
     Empty tokens at the end are dropped. One scan over the line; lines are not limited in
     length.
     """
-    marked = F.regexp_replace(F.rtrim(line, F.lit(",")), _TOKEN_AND_COMMA, "$1" + FIELD_BREAK)
-    return F.split(marked, FIELD_BREAK)
+    kept = F.rtrim(line, F.lit(","))
+    marked = F.regexp_replace(kept, _TOKEN_AND_COMMA, "$1" + FIELD_BREAK)
+    return F.when(F.contains(line, F.lit('"')), F.split(marked, FIELD_BREAK)).otherwise(F.split(kept, ","))
 
 
 def evaluate_once(value: Column) -> Column:
@@ -53,6 +51,11 @@ def evaluate_once(value: Column) -> Column:
     return F.explode(F.array(value))
 
 
+def evaluate_struct_once(**values: Column) -> Column:
+    """Several columns generated together, each evaluated once per row."""
+    return F.inline(F.array(F.struct(*[value.alias(name) for name, value in values.items()])))
+
+
 def as_wire_number(number: Column) -> Column:
     """Render a frequency with one decimal and without an exponent."""
     return number.cast("decimal(20,1)").cast("string")

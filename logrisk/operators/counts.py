@@ -13,7 +13,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logrisk.functions.buckets import BucketStyle, compact_day, compact_hour, dashed_hour
-from logrisk.functions.text import csv_tokens, evaluate_once, is_blank, trim_text
+from logrisk.functions.text import (
+    csv_tokens,
+    evaluate_once,
+    evaluate_struct_once,
+    is_blank,
+    trim_text,
+)
 
 COUNT_KEY = ("date_hour", "error_type", "source")
 
@@ -67,12 +73,6 @@ def source_of(path: Column) -> Column:
     return source
 
 
-def _hdfs_bucket(day: Column, time: Column, layout: CsvLayout, style: BucketStyle) -> Column:
-    if layout.pad_hdfs_day:
-        day = F.when(F.length(day) < 6, F.lpad(day, 6, "0")).otherwise(day)
-    return compact_hour(day, time, style.separator) if style.hourly_hdfs else compact_day(day)
-
-
 def classify_rows(
     lines: DataFrame, layout: CsvLayout = POSITIONAL, style: BucketStyle = BucketStyle()
 ) -> DataFrame:
@@ -86,30 +86,40 @@ def classify_rows(
         source_of(F.col("file_path")).alias("source"),
         evaluate_once(csv_tokens(F.col("value"))).alias("_tokens"),
     )
-    token = lambda index: trim_text(F.get("_tokens", F.lit(index)))
-    by_source = lambda hdfs, bgl, other: (
-        F.when(F.col("source") == "HDFS", hdfs).when(F.col("source") == "BGL", bgl).otherwise(other)
-    )
+    is_hdfs, is_bgl = F.col("source") == "HDFS", F.col("source") == "BGL"
+    by_source = lambda hdfs, bgl: F.when(is_hdfs, hdfs).when(is_bgl, bgl)
+    token = lambda index: F.get("_tokens", F.lit(index))
+
     hdfs_needs = [layout.hdfs_day, layout.hdfs_type] + [layout.hdfs_time] * style.hourly_hdfs
-    needed = by_source(
-        F.lit(max(hdfs_needs)), F.lit(max(layout.bgl_time, layout.bgl_type)), F.lit(-1)
-    )
+    last_needed = by_source(F.lit(max(hdfs_needs)), F.lit(max(layout.bgl_time, layout.bgl_type)))
     status = (
         F.when(F.col("value").startswith("LineId"), HEADER)
         # A blank line has no comma, so only one-token lines need the test.
         .when((F.size("_tokens") == 1) & is_blank(F.col("value")), BLANK)
-        .when(F.size("_tokens") <= needed, SHORT)
+        .when(F.size("_tokens") <= last_needed, SHORT)
         .otherwise(COUNTED)
     )
-    hdfs_bucket = _hdfs_bucket(token(layout.hdfs_day), token(layout.hdfs_time), layout, style)
-    bgl_bucket = dashed_hour(token(layout.bgl_time), style.separator)
-    date_hour = by_source(hdfs_bucket, bgl_bucket, F.lit(UNKNOWN))
-    error_type = by_source(token(layout.hdfs_type), token(layout.bgl_type), F.lit(UNKNOWN))
-    return tokens.select(
+    picked = evaluate_struct_once(
+        status=status,
+        _time=trim_text(by_source(token(layout.hdfs_day), token(layout.bgl_time))),
+        _clock=trim_text(F.when(is_hdfs, token(layout.hdfs_time)))
+        if style.hourly_hdfs
+        else F.lit(None).cast("string"),
+        _type=trim_text(by_source(token(layout.hdfs_type), token(layout.bgl_type))),
+    )
+    time = F.col("_time")
+    day = F.when(F.length(time) < 6, F.lpad(time, 6, "0")).otherwise(time) if layout.pad_hdfs_day else time
+    hdfs_bucket = (
+        compact_hour(day, F.col("_clock"), style.separator) if style.hourly_hdfs else compact_day(day)
+    )
+    date_hour = by_source(hdfs_bucket, dashed_hour(time, style.separator)).otherwise(UNKNOWN)
+    error_type = by_source(F.col("_type"), F.col("_type")).otherwise(UNKNOWN)
+    counted = F.col("status") == COUNTED
+    return tokens.select("value", "source", picked).select(
         "value",
-        status.alias("status"),
-        F.when(status == COUNTED, date_hour).alias("date_hour"),
-        F.when(status == COUNTED, error_type).alias("error_type"),
+        "status",
+        F.when(counted, date_hour).alias("date_hour"),
+        F.when(counted, error_type).alias("error_type"),
         "source",
     )
 

@@ -25,11 +25,14 @@ class Grammar:
     fields: tuple[str, ...]
 
 
-# Field names and line shapes. Quantifiers that can never give characters
-# back are possessive, so that lines that do not match fail fast.
+# Field names and line shapes. HDFS: four tokens, a component up to the next
+# colon (one blank of the gap when the colon follows it at once), the rest. BGL: two tokens,
+# five tokens as one field, two tokens, the rest. No quantifier gives characters back, so
+# lines that do not match fail in linear time.
 HDFS = Grammar(
     "HDFS",
-    r"\A(\S++)\s++(\S++)\s++(\S++)\s++(\S++)\s+([^:]++):\s*+(.*+)\z",
+    r"\A(\S++)\s++(\S++)\s++(\S++)\s++(\S++)"
+    r"(?:\s++(?=[^\s:])|(?:\s(?=\s))++(?=\s:))([^:]++):\s*+(.*+)\z",
     ("log_date", "log_time", "pid", "log_level", "component", "message"),
 )
 BGL = Grammar(

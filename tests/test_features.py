@@ -1,0 +1,165 @@
+import random
+
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F
+
+from logrisk.operators.features import FEATURE_COLUMNS, FeatureParams, engineer_features
+
+SCHEMA = "date_hour string, error_type string, source string, total_count long"
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def rows_of(df):
+    return sorted(tuple(r[c] for c in FEATURE_COLUMNS) for r in df.collect())
+
+
+def random_counts(seed, size=400):
+    """Distinct keys over years, with one key holding a third of them and free-form buckets."""
+    draw = random.Random(seed)
+    keys = set()
+    while len(keys) < size:
+        year, month = draw.randint(2003, 2006), draw.randint(1, 12)
+        bucket = f"{year}-{month:02}-{draw.randint(1, 28):02} {draw.randint(0, 23):02}"
+        bucket = draw.choice([bucket, bucket, bucket, bucket[:10], f"R{draw.randint(0, 99)}"])
+        hot = draw.random() < 0.33
+        keys.add((bucket, "INFO" if hot else draw.choice("ABC"), "HDFS" if hot else draw.choice(["HDFS", "BGL"])))
+    return [(*key, draw.choice([0, 1, 7, 40, 1000])) for key in sorted(keys)]
+
+
+def brute_force(rows, bucket=("source", "date_hour")):
+    """Row by row over each key's history, without windows or joins."""
+    data = pd.DataFrame(rows, columns=["date_hour", "error_type", "source", "f"]).astype({"f": float})
+    out = []
+    for _, history in data.groupby(["source", "error_type"]):
+        history = history.sort_values("date_hour")
+        level = history.f.mean() + (history.f.std() if len(history) > 1 else 0.0)
+        previous = 0.0
+        for row in history.itertuples():
+            same = data
+            for name in bucket:
+                same = same[same[name] == getattr(row, name)]
+            total = same.f.sum()
+            share = None if total == 0 else float(f"{row.f / total + 1e-12:.4f}")
+            change = 0.0 if previous == 0 else round((row.f - previous) / previous + 1e-12, 4)
+            flag = int(row.f > level)
+            label = int(flag == 1 and share is not None and share > 0.4)
+            out.append((row.date_hour, row.error_type, row.source, row.f, share, change, flag, label))
+            previous = row.f
+    return sorted(out)
+
+
+def assert_close(found, expected):
+    assert [r[:4] for r in found] == [r[:4] for r in expected]
+    for mine, other in zip(found, expected):
+        assert mine[6:] == other[6:], (mine, other)
+        for a, b in zip(mine[4:6], other[4:6]):
+            assert (a is None) == (b is None) and (a is None or abs(a - b) < 1.5e-4), (mine, other)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_features_equal_brute_force(spark, seed):
+    rows = random_counts(seed)
+    assert_close(rows_of(engineer_features(frame(spark, rows))), brute_force(rows))
+
+
+def test_features_equal_brute_force_when_no_side_is_small(spark, joins_without_broadcast):
+    rows = random_counts(3)
+    df = engineer_features(frame(spark, rows))
+    assert "BroadcastHashJoin" not in df._jdf.queryExecution().executedPlan().toString()
+    assert_close(rows_of(df), brute_force(rows))
+
+
+def test_share_of_the_cluster(spark):
+    rows = random_counts(4)
+    df = engineer_features(frame(spark, rows), FeatureParams(share_of="cluster"))
+    assert_close(rows_of(df), brute_force(rows, bucket=("date_hour",)))
+
+
+@pytest.mark.parametrize("chars", [1, 4, 13])
+def test_slices_do_not_change_results(spark, chars):
+    counts = frame(spark, random_counts(5))
+    sliced = engineer_features(counts, FeatureParams(slice_chars=chars))
+    assert rows_of(sliced) == rows_of(engineer_features(counts))
+
+
+def test_layout_does_not_change_results(spark):
+    counts = frame(spark, random_counts(6))
+    expected = rows_of(engineer_features(counts))
+    for layout in (counts.repartition(1), counts.repartition(7, "date_hour"), counts.orderBy(F.rand(3))):
+        assert rows_of(engineer_features(layout)) == expected
+
+
+def by_bucket(spark, rows, column, params=FeatureParams()):
+    df = engineer_features(frame(spark, rows), params)
+    return [r[column] for r in df.orderBy("date_hour", "error_type").collect()]
+
+
+def test_rate_of_change_uses_the_previous_record(spark):
+    rows = [("2024-01-01 00", "E", "S", 0), ("2024-01-01 01", "E", "S", 4), ("2024-03-09 23", "E", "S", 5)]
+    assert by_bucket(spark, rows, "rate_of_change") == [0.0, 0.0, 0.25]
+
+
+def test_flag_needs_three_rows(spark):
+    assert by_bucket(spark, [("a", "E", "S", 9)], "high_error_flag") == [0]
+    assert by_bucket(spark, [("a", "E", "S", 0), ("b", "E", "S", 9)], "high_error_flag") == [0, 0]
+    rows = [("a", "E", "S", 0), ("b", "E", "S", 0), ("c", "E", "S", 5)]
+    assert by_bucket(spark, rows, "high_error_flag") == [0, 0, 1]
+
+
+@pytest.mark.parametrize("other, label", [(6000, 0), (5997, 1)])
+def test_label_needs_more_than_the_threshold(spark, other, label):
+    """4000 of 10000 is a share of 0.4000, 4000 of 9997 one of 0.4001."""
+    rows = [(bucket, "E", "S", 0) for bucket in "abcdef"] + [("g", "E", "S", 4000), ("g", "F", "S", other)]
+    found = engineer_features(frame(spark, rows)).filter("error_type = 'E' and date_hour = 'g'").head()
+    assert (found.high_error_flag, found.label) == (1, label)
+
+
+def test_zero_totals_and_null_keys_are_kept(spark):
+    rows = [("a", "E", "S", 0), (None, "E", "S", 3), ("a", None, "S", 0)]
+    found = rows_of(engineer_features(frame(spark, rows)))
+    assert [(r[0], r[1], r[4]) for r in found] == [("UNKNOWN", "E", 1.0), ("a", "E", None), ("a", "UNKNOWN", None)]
+
+
+def test_label_ahead(spark):
+    quiet = [(f"2024-01-01 {h:02}", "E", "S", 1) for h in range(10)]
+    rows = quiet + [("2024-01-01 12", "E", "S", 90), ("2024-01-01 11", "E", "S", 1), ("free", "E", "S", 1)]
+    df = engineer_features(frame(spark, rows), FeatureParams(label_by="horizon"))
+    assert df.columns == list(FEATURE_COLUMNS)
+    labelled = [r.date_hour for r in df.filter("label = 1").collect()]
+    assert labelled == ["2024-01-01 11"]
+    wider = engineer_features(frame(spark, rows), FeatureParams(label_by="horizon", horizon_hours=4))
+    hours = sorted(r.date_hour[-2:] for r in wider.filter("label = 1").collect())
+    assert hours == ["08", "09", "11"]
+    assert df.count() == len(rows)
+
+
+def test_invariants_on_the_events(spark, sf_dir):
+    from logrisk.plans.registry import event_features
+
+    df = event_features(spark, sf_dir).cache()
+    sums = df.groupBy("source", "date_hour").agg(F.sum("error_distribution").alias("s"), F.count("*").alias("n"))
+    assert sums.filter("abs(s - 1) > n * 0.00005 + 1e-9").count() == 0
+    assert df.filter("label > high_error_flag").count() == 0
+    assert df.agg(F.sum("error_frequency")).head()[0] == spark.read.parquet(f"{sf_dir}/events.parquet").count()
+    df.unpersist()
+
+
+def test_the_input_is_counted_once(spark, sf_dir):
+    """All branches reuse the one shuffle that counts the events."""
+    from logrisk.plans.registry import event_features
+
+    df = event_features(spark, sf_dir)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert final.count("FileScan") == 1
+    assert final.count("ReusedExchange") == 3
+
+
+@pytest.mark.parametrize("wrong", [{"share_of": "x"}, {"label_by": "x"}, {"slice_chars": 0}, {"horizon_hours": 0}])
+def test_wrong_settings_raise(wrong):
+    with pytest.raises(ValueError):
+        FeatureParams(**wrong)
