@@ -26,7 +26,7 @@ from logrisk.operators.risk_model import (
     split_features,
     train_risk_model,
 )
-from logrisk.sources.readers import read_count_text, read_lines, read_table
+from logrisk.sources.readers import read_count_text, read_lines, read_rows, read_table
 
 __all__ = [
     "BGL",
@@ -50,6 +50,7 @@ __all__ = [
     "parse_wire",
     "read_count_text",
     "read_lines",
+    "read_rows",
     "read_table",
     "record_keys",
     "score_risk",

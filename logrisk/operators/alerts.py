@@ -59,12 +59,13 @@ def top_alerts(
 
 def display_alerts(alerts: DataFrame) -> DataFrame:
     """Alerts in words: source, pattern, frequency and share."""
+    share = F.col("error_distribution")
     return alerts.select(
         "date_hour",
         "source",
         F.col("error_type").alias("error_pattern"),
         F.concat(as_wire_number(F.col("error_frequency")), F.lit(" hits/hr")).alias("frequency"),
-        F.format_string("%.2f%%", F.col("error_distribution") * 100).alias("distribution"),
+        F.when(share.isNotNull(), F.format_string("%.2f%%", share * 100)).alias("distribution"),
     )
 
 
@@ -73,11 +74,12 @@ def build_prompts(alerts: DataFrame, template: str = PROMPT) -> DataFrame:
 
     Placeholders: ``{source}``, ``{error_type}``, ``{frequency}``, ``{velocity}``.
     """
+    velocity = F.col("rate_of_change")
     bound = {
         "source": F.col("source"),
         "error_type": F.col("error_type"),
         "frequency": as_wire_number(F.col("error_frequency")),
-        "velocity": F.format_string("%.4f", F.col("rate_of_change")),
+        "velocity": F.when(velocity.isNotNull(), F.format_string("%.4f", velocity)),
     }
     parts = []
     for text, name, _, _ in Formatter().parse(template):

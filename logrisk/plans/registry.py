@@ -105,7 +105,7 @@ def records_from_files(spark, sf_dir):
     """Raw lines through text files: read, classify in one pass, store, read back."""
     raw, stored = scratch_path(spark, "raw-hdfs"), scratch_path(spark, "classified-hdfs")
     logs.hdfs_lines(logs.read_events(spark, sf_dir)).write.text(raw)
-    lines = readers.read_lines(spark, raw).select("value")
+    lines = readers.read_lines(spark, raw)
     writers.write_classified(raw_logs.classify_lines(lines, raw_logs.HDFS), stored)
     return (
         readers.read_table(spark, stored)
@@ -119,7 +119,7 @@ def records_text(spark, sf_dir):
     """Parsed records stored as delimited text and read back."""
     path = scratch_path(spark, "records-text")
     writers.write_delimited(bgl_parse(spark, sf_dir), path)
-    return readers.read_lines(spark, path).select("value")
+    return readers.read_lines(spark, path)
 
 
 # Structured rows to counts
@@ -171,7 +171,7 @@ def counts_from_files(spark, sf_dir):
     """Structured rows in three folders, told apart by the path they are read from."""
     path = scratch_path(spark, "structured")
     logs.mixed_rows(logs.read_events(spark, sf_dir)).write.partitionBy("folder").text(path)
-    return counts.count_errors(readers.read_lines(spark, path))
+    return counts.count_errors(readers.read_rows(spark, path))
 
 
 @_query

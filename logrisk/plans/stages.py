@@ -42,7 +42,7 @@ def count_stage(
     style: BucketStyle = BucketStyle(),
 ) -> None:
     """Structured files, told apart by their path, to ordered count lines."""
-    lines = readers.read_lines(spark, structured)
+    lines = readers.read_rows(spark, structured)
     writers.write_counts(counts.count_errors(lines, layout, style), output)
 
 

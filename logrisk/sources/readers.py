@@ -15,17 +15,18 @@ def _path_list(paths: str | Sequence[str]) -> list[str]:
 
 
 def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Text lines as ``value`` with the ``file_path`` they came from.
+    """Text lines as ``value``. Paths may be files, folders or globs."""
+    return spark.read.text(_path_list(paths)).select("value")
 
-    Paths may be files, folders or globs. A reader of ``value`` alone does not pay for the
-    path: the column is pruned from the scan.
-    """
+
+def read_rows(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """Text lines as ``value`` with the ``file_path`` they came from."""
     return spark.read.text(_path_list(paths)).select("value", "_metadata.file_path")
 
 
 def read_count_text(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Lines of aggregate part files as ``value``; a folder means its ``part-*`` files."""
-    return spark.read.text(_path_list(paths))
+    """Lines of aggregate part files as ``value``, usually given as a glob of ``part-*`` files."""
+    return read_lines(spark, paths)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -38,7 +39,7 @@ def first_header(spark: SparkSession, paths: str | Sequence[str]) -> str:
 
     Files start with their header, so this reads one split in the usual case.
     """
-    lines = spark.read.text(_path_list(paths))
+    lines = read_lines(spark, paths)
     row = lines.filter(lines.value.startswith("LineId")).head()
     if row is None:
         raise ValueError(f"no header line in {paths!r}")
