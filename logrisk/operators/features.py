@@ -72,35 +72,47 @@ def _time_slices(counts: DataFrame, slice_chars: int) -> DataFrame:
     )
 
 
-def _with_previous(rows: DataFrame) -> DataFrame:
-    """Add ``previous``: the key's frequency in its preceding bucket, 0.0 for the first."""
-    point = F.struct("date_hour", "error_frequency")
-    in_slice = Window.partitionBy("source", "error_type", "time_slice").orderBy("date_hour")
+_POINT = ("date_hour", "error_frequency")
+
+
+def _slice_histories(rows: DataFrame) -> DataFrame:
+    """Per (source, error_type, slice): the last point before the slice and the usual level.
+
+    The usual level is mean plus sample deviation over all slices of the key; the deviation
+    of one row is 0.
+    """
     across = Window.partitionBy("source", "error_type").orderBy("time_slice")
-    handed_on = (
+    carried = (
         rows.groupBy("source", "error_type", "time_slice")
-        .agg(F.max(point).alias("last_point"))
-        .select("source", "error_type", "time_slice", F.lag("last_point").over(across).alias("_carried"))
+        .agg(F.max(F.struct(*_POINT)).alias("last_point"))
+        .select("source", "error_type", "time_slice", F.lag("last_point").over(across).alias("carried"))
+    )
+    deviation = F.coalesce(F.stddev_samp("error_frequency"), F.lit(0.0))
+    levels = rows.groupBy("source", "error_type").agg(
+        (F.avg("error_frequency") + deviation).alias("usual_level")
     )
-    before = F.coalesce("_before", "_carried")
+    return carried.join(levels, ["source", "error_type"])
+
+
+def _with_history(rows: DataFrame) -> DataFrame:
+    """Add ``previous`` and ``usual_level``.
+
+    ``previous`` is the key's frequency in its preceding bucket, 0.0 for the first one. The
+    join is on the slices the window has laid out, so it moves no row again.
+    """
+    in_slice = Window.partitionBy("source", "error_type", "time_slice").orderBy("date_hour")
+    before = F.coalesce("before", "carried")
     return (
-        rows.withColumn("_before", F.lag(point).over(in_slice))
-        .join(handed_on, ["source", "error_type", "time_slice"], "left")
+        rows.withColumn("before", F.lag(F.struct(*_POINT)).over(in_slice))
+        .join(_slice_histories(rows), ["source", "error_type", "time_slice"], "left")
         .withColumn(
             "previous",
             F.when(before.isNull(), 0.0).otherwise(before.getField("error_frequency")),
         )
-        .drop("_before", "_carried", "time_slice")
+        .drop("before", "carried", "time_slice")
     )
 
 
-def _usual_level(rows: DataFrame) -> DataFrame:
-    """Mean plus sample deviation per (source, error_type); one row has deviation 0."""
-    deviation = F.coalesce(F.stddev_samp("error_frequency"), F.lit(0.0))
-    level = F.avg("error_frequency") + deviation
-    return rows.groupBy("source", "error_type").agg(level.alias("usual_level"))
-
-
 def _bucket_totals(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows.groupBy(*keys).agg(F.sum("error_frequency").alias("bucket_total"))
 
@@ -125,8 +137,7 @@ def engineer_features(counts: DataFrame, params: FeatureParams = FeatureParams()
     bucket = ["date_hour"] if params.share_of == "cluster" else ["source", "date_hour"]
     frequency = F.col("error_frequency")
     measured = (
-        _with_previous(rows)
-        .join(_usual_level(rows), ["source", "error_type"], "left")
+        _with_history(rows)
         .join(_bucket_totals(rows, bucket), bucket, "left")
         .select(
             "date_hour",
