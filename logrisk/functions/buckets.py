@@ -58,5 +58,5 @@ def bucket_timestamp(date_hour: Column) -> Column:
 
 def bucket_hour_number(date_hour: Column) -> Column:
     """Whole hours from 1970-01-01 00:00 to the bucket start; null for free-form buckets."""
-    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    return F.timestamp_diff("HOUR", epoch, bucket_timestamp(date_hour))
+    start = bucket_timestamp(date_hour)
+    return F.unix_date(start.cast("date")).cast("bigint") * 24 + F.hour(start)

@@ -158,27 +158,25 @@ def engineer_features(counts: DataFrame, params: FeatureParams = FeatureParams()
 def label_ahead(features: DataFrame, horizon_hours: int) -> DataFrame:
     """Label 1 where the key is flagged within the next ``horizon_hours`` hours.
 
-    Flagged rows announce themselves to the hours before them, which makes this an
-    equality join on key and hour. Buckets that are not times get label 0.
+    Flagged rows are copied to the hours before them as marks; rows and marks of the same key
+    and hour then meet in one shuffle, and the marks are dropped. Buckets that are not times
+    get label 0.
     """
     hour = bucket_hour_number(F.col("date_hour"))
-    ahead = F.explode(F.sequence(F.lit(1), F.lit(horizon_hours)))
-    announced = (
-        features.filter("high_error_flag = 1")
-        .select("source", "error_type", hour.alias("_hour"), ahead.alias("_ahead"))
-        .select("source", "error_type", (F.col("_hour") - F.col("_ahead")).alias("_hour"))
-        .filter(F.col("_hour").isNotNull())
-        .distinct()
-        .withColumn("_announced", F.lit(1))
+    point = lambda at, mark: F.struct(at.alias("hour"), F.lit(mark).alias("mark"))
+    marks = F.transform(
+        F.sequence(F.lit(1), F.lit(horizon_hours)), lambda ahead: point(hour - ahead, 1)
     )
+    flagged = (F.col("high_error_flag") == 1) & hour.isNotNull()
+    own = F.array(point(hour, 0))
+    free_form = F.when(F.col("hour").isNull(), F.col("date_hour"))
+    meeting = Window.partitionBy("source", "error_type", "hour", free_form)
     return (
         features.drop("label")
-        .withColumn("_hour", hour)
-        .join(announced, ["source", "error_type", "_hour"], "left")
-        .select(
-            *[name for name in FEATURE_COLUMNS if name != "label"],
-            F.coalesce("_announced", F.lit(0)).alias("label"),
-        )
+        .select("*", F.inline(F.when(flagged, F.concat(own, marks)).otherwise(own)))
+        .withColumn("label", F.max("mark").over(meeting))
+        .filter("mark = 0")
+        .select(*FEATURE_COLUMNS)
     )
 
 

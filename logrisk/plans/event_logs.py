@@ -75,7 +75,8 @@ def bgl_lines(events: DataFrame) -> DataFrame:
 
     The additional line is blank, has eight tokens, or has nine and thus an empty message.
     """
-    epoch = F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col("ts"))
+    clock = F.hour("ts") * 3600 + F.minute("ts") * 60 + F.second("ts")
+    epoch = F.unix_date(F.col("ts").cast("date")).cast("bigint") * 86400 + clock
     node = F.concat(F.lit("R"), "user_id")
     start = F.concat_ws(
         " ",

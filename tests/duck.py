@@ -38,6 +38,6 @@ def difference(df, con, sql: str) -> str | None:
     if len(ours) != len(theirs):
         return f"{len(ours)} and {len(theirs)} rows"
     for mine, other in zip(ours, theirs):
-        if mine != other:
+        if mine != other or list(map(type, mine)) != list(map(type, other)):
             return f"{mine} and {other}"
     return None
