@@ -33,11 +33,14 @@ MODEL_INPUTS = (
 class ModelParams:
     """Settings of the forest and of the reproducible split.
 
-    ``train_tenths`` of the keys go to training. Training rows are spread over at least
-    ``min_partitions``, and over more once they exceed ``rows_per_partition`` each.
+    ``train_tenths`` of the keys go to training; with ``split="random"`` rows are sampled
+    with the seed instead, which changes with the partitioning. Training rows are spread
+    over at least ``min_partitions``, and over more once they exceed ``rows_per_partition``
+    each.
     """
 
     train_tenths: int = 8
+    split: str = "key"
     trees: int = 20
     depth: int = 5
     seed: int = 42
@@ -58,7 +61,12 @@ def in_training(train_tenths: int = 8) -> Column:
 def split_features(
     features: DataFrame, params: ModelParams = ModelParams()
 ) -> tuple[DataFrame, DataFrame]:
-    """Training and test rows; the same key is always on the same side."""
+    """Training and test rows; split by key, the same key is always on the same side."""
+    if params.split == "random":
+        train, test = features.randomSplit(
+            [params.train_tenths / 10, 1 - params.train_tenths / 10], seed=params.seed
+        )
+        return train, test
     chosen = in_training(params.train_tenths)
     return features.filter(chosen), features.filter(~chosen)
 

@@ -36,6 +36,12 @@ def test_split_covers_all_rows_and_ignores_layout(features):
     assert train.exceptAll(again).count() == 0
 
 
+def test_random_split_covers_all_rows(features):
+    train, test = risk_model.split_features(features, risk_model.ModelParams(split="random"))
+    assert train.count() + test.count() == features.count()
+    assert train.intersectAll(test).count() == 0
+
+
 def test_training_does_not_depend_on_the_layout(features):
     train, test = risk_model.split_features(features)
     expected = scores(risk_model.train_risk_model(train, PARAMS), test)
