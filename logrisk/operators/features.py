@@ -42,74 +42,87 @@ class FeatureParams:
     ``cluster`` to the total of all sources.
     ``label_by``: ``rule`` labels the row itself, ``horizon`` labels rows whose key is
     flagged within the following ``horizon_hours``.
-    ``slice_chars``: leading characters of ``date_hour`` that make a time slice; seven are
-    a month. Results do not depend on it.
+    ``slice_chars``: falling lengths of the prefixes of ``date_hour`` that make time slices;
+    seven characters are a month. Results do not depend on them; (7, 4) adds years, for keys
+    with many thousands of different prefixes.
     """
 
     label_share: float = 0.40
     share_of: str = "source"
     label_by: str = "rule"
     horizon_hours: int = 2
-    slice_chars: int = 7
+    slice_chars: tuple[int, ...] = (7,)
 
     def __post_init__(self) -> None:
         if self.share_of not in ("source", "cluster"):
             raise ValueError(f"share_of: {self.share_of!r}")
         if self.label_by not in ("rule", "horizon"):
             raise ValueError(f"label_by: {self.label_by!r}")
-        if self.slice_chars < 1 or self.horizon_hours < 1:
-            raise ValueError("slice_chars and horizon_hours must be positive")
-
-
-def _time_slices(counts: DataFrame, slice_chars: int) -> DataFrame:
-    """Frequencies with the time slice their bucket lies in."""
-    key = {name: F.coalesce(F.col(name), F.lit(UNKNOWN)) for name in COUNT_KEY}
-    return counts.select(
-        *[part.alias(name) for name, part in key.items()],
-        F.col("total_count").cast("double").alias("error_frequency"),
-        # A prefix keeps the order of the text it is taken from.
-        F.substring(key["date_hour"], 1, slice_chars).alias("time_slice"),
-    )
-
+        lengths = (*self.slice_chars, 0)
+        if any(longer <= shorter for longer, shorter in zip(lengths, lengths[1:])):
+            raise ValueError("slice_chars must be positive and falling")
+        if self.horizon_hours < 1:
+            raise ValueError("horizon_hours must be positive")
 
-_POINT = ("date_hour", "error_frequency")
 
+def _frequencies(counts: DataFrame) -> DataFrame:
+    key = [F.coalesce(F.col(name), F.lit(UNKNOWN)).alias(name) for name in COUNT_KEY]
+    return counts.select(*key, F.col("total_count").cast("double").alias("error_frequency"))
 
-def _slice_histories(rows: DataFrame) -> DataFrame:
-    """Per (source, error_type, slice): the last point before the slice and the usual level.
 
-    The usual level is mean plus sample deviation over all slices of the key; the deviation
-    of one row is 0.
-    """
-    across = Window.partitionBy("source", "error_type").orderBy("time_slice")
-    carried = (
-        rows.groupBy("source", "error_type", "time_slice")
-        .agg(F.max(F.struct(*_POINT)).alias("last_point"))
-        .select("source", "error_type", "time_slice", F.lag("last_point").over(across).alias("carried"))
-    )
+def _usual_levels(rows: DataFrame) -> DataFrame:
+    """Mean plus sample deviation per (source, error_type); the deviation of one row is 0."""
     deviation = F.coalesce(F.stddev_samp("error_frequency"), F.lit(0.0))
-    levels = rows.groupBy("source", "error_type").agg(
-        (F.avg("error_frequency") + deviation).alias("usual_level")
-    )
-    return carried.join(levels, ["source", "error_type"])
+    level = F.avg("error_frequency") + deviation
+    return rows.groupBy("source", "error_type").agg(level.alias("usual_level"))
 
 
-def _with_history(rows: DataFrame) -> DataFrame:
-    """Add ``previous`` and ``usual_level``.
+def _look_back(rows: DataFrame, slice_chars: tuple[int, ...], levels: DataFrame) -> DataFrame:
+    """Add ``before``, the ``point`` of the key's preceding row, and ``usual_level``.
 
-    ``previous`` is the key's frequency in its preceding bucket, 0.0 for the first one. The
-    join is on the slices the window has laid out, so it moves no row again.
+    ``slice_chars`` are lengths of prefixes of ``date_hour``, which keep its order. Each row
+    looks back within the slice of its first prefix; the first row of a slice takes what
+    earlier slices hand on, and those are looked up in the same way by the next, shorter
+    prefix. The levels join where a key has fewest rows and travel with what is handed on, so
+    that the rows themselves are laid out once, by slice.
     """
-    in_slice = Window.partitionBy("source", "error_type", "time_slice").orderBy("date_hour")
-    before = F.coalesce("before", "carried")
+    if not slice_chars:
+        key = Window.partitionBy("source", "error_type").orderBy("date_hour")
+        looked_back = rows.withColumn("before", F.lag("point").over(key))
+        return looked_back.join(levels, ["source", "error_type"], "left")
+    sliced = rows.withColumn("slice", F.substring("date_hour", 1, slice_chars[0]))
+    ends = (
+        sliced.groupBy("source", "error_type", "slice")
+        .agg(F.max_by("point", "date_hour").alias("point"))
+        .withColumnRenamed("slice", "date_hour")
+    )
+    handed_on = _look_back(ends, slice_chars[1:], levels).select(
+        "source",
+        "error_type",
+        F.col("date_hour").alias("slice"),
+        F.col("before").alias("handed_on"),
+        "usual_level",
+    )
+    in_slice = Window.partitionBy("source", "error_type", "slice").orderBy("date_hour")
     return (
-        rows.withColumn("before", F.lag(F.struct(*_POINT)).over(in_slice))
-        .join(_slice_histories(rows), ["source", "error_type", "time_slice"], "left")
-        .withColumn(
-            "previous",
-            F.when(before.isNull(), 0.0).otherwise(before.getField("error_frequency")),
-        )
-        .drop("before", "carried", "time_slice")
+        sliced.withColumn("inside", F.lag("point").over(in_slice))
+        .join(handed_on, ["source", "error_type", "slice"], "left")
+        .withColumn("before", F.coalesce("inside", "handed_on"))
+        .drop("slice", "inside", "handed_on")
+    )
+
+
+def _with_history(rows: DataFrame, slice_chars: tuple[int, ...]) -> DataFrame:
+    """Add ``usual_level`` and ``previous``: the frequency in the key's preceding bucket, or 0.0."""
+    # A struct tells a preceding row without a frequency from no preceding row.
+    points = rows.select(*COUNT_KEY, F.struct("error_frequency").alias("point"))
+    looked_back = _look_back(points, slice_chars, _usual_levels(rows))
+    before = F.col("before")
+    return looked_back.select(
+        *COUNT_KEY,
+        "point.error_frequency",
+        "usual_level",
+        F.when(before.isNull(), 0.0).otherwise(before.getField("error_frequency")).alias("previous"),
     )
 
 
@@ -133,11 +146,11 @@ def engineer_features(counts: DataFrame, params: FeatureParams = FeatureParams()
     rule label is a function of two features: near-perfect scores on it do not show an
     ability to forecast. ``label_by="horizon"`` gives a target in the future.
     """
-    rows = _time_slices(counts, params.slice_chars)
+    rows = _frequencies(counts)
     bucket = ["date_hour"] if params.share_of == "cluster" else ["source", "date_hour"]
     frequency = F.col("error_frequency")
     measured = (
-        _with_history(rows)
+        _with_history(rows, params.slice_chars)
         .join(_bucket_totals(rows, bucket), bucket, "left")
         .select(
             "date_hour",

@@ -319,6 +319,9 @@ SELECT date_hour, source, error_type AS error_pattern,
     "alert_prompts": f"WITH {_FEATURES} SELECT date_hour, error_type, source, {_prompt()} AS prompt {_RAISED}",
     "alert_prompts_velocity": f"""WITH {_FEATURES}
 SELECT date_hour, error_type, source, {_prompt(_VELOCITY)} AS prompt {_RAISED}""",
+    "alerts_stored": f"""WITH {_FEATURES}
+SELECT *, {_prompt()} AS prompt {_RAISED}
+QUALIFY row_number() OVER (PARTITION BY source ORDER BY {_ORDER}) <= 3""",
     "alerts_enriched": f"""WITH {_FEATURES}
 SELECT date_hour, error_type, source,
   CASE WHEN error_type <> 'WARN' THEN 'Log source: ' || source || ' / 400' END AS answer,

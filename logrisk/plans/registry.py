@@ -12,6 +12,7 @@ from logrisk.functions.text import csv_tokens, evaluate_once
 from logrisk.operators import alerts, counts, features, raw_logs, risk_model
 from logrisk.operators.features import FeatureParams
 from logrisk.plans import event_logs as logs
+from logrisk.plans import stages
 from logrisk.sources import readers, writers
 from logrisk.sources.scratch import materialize, scratch_path
 
@@ -403,3 +404,12 @@ def alerts_enriched(spark, sf_dir):
     prompts = alerts.build_prompts(raised).select(*counts.COUNT_KEY, "prompt")
     answered = alerts.answer_prompts(prompts, connect)
     return answered.select(*counts.COUNT_KEY, "answer", "error")
+
+
+@_query
+def alerts_stored(spark, sf_dir):
+    """Strongest alerts of each source with prompts, stored as a table and read back."""
+    table, output = scratch_path(spark, "features"), scratch_path(spark, "alerts")
+    writers.write_table(event_features(spark, sf_dir), table)
+    stages.alert_stage(spark, table, output, per_source=True)
+    return readers.read_table(spark, output)

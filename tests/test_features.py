@@ -79,7 +79,7 @@ def test_share_of_the_cluster(spark):
     assert_close(rows_of(df), brute_force(rows, bucket=("date_hour",)))
 
 
-@pytest.mark.parametrize("chars", [1, 4, 13])
+@pytest.mark.parametrize("chars", [(), (1,), (13,), (9, 6, 3, 1)])
 def test_slices_do_not_change_results(spark, chars):
     counts = frame(spark, random_counts(5))
     sliced = engineer_features(counts, FeatureParams(slice_chars=chars))
@@ -159,7 +159,7 @@ def test_the_input_is_counted_once(spark, sf_dir):
     assert final.count("ReusedExchange") == 3
 
 
-@pytest.mark.parametrize("wrong", [{"share_of": "x"}, {"label_by": "x"}, {"slice_chars": 0}, {"horizon_hours": 0}])
+@pytest.mark.parametrize("wrong", [{"share_of": "x"}, {"label_by": "x"}, {"slice_chars": (0,)}, {"slice_chars": (4, 7)}, {"horizon_hours": 0}])
 def test_wrong_settings_raise(wrong):
     with pytest.raises(ValueError):
         FeatureParams(**wrong)
