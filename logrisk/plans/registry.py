@@ -87,7 +87,7 @@ def parse_rejects(spark, sf_dir):
 def document_lines(spark, sf_dir):
     """Every line of the free-text documents through the HDFS grammar."""
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    lines = documents.select(
+    lines = logs.spread(documents).select(
         "doc_id", F.explode(F.split("text", r"\r\n|\r|\n")).alias("value")
     )
     classified = raw_logs.classify_lines(lines, raw_logs.HDFS)
