@@ -1,10 +1,11 @@
 """Counts to features and label.
 
 Every statistic is a partial aggregate joined back to the rows, so no source, bucket or
-error type has to fit in one task. Whether a joined side is broadcast is left to the
-planner, which checks its size; beyond the threshold the join shuffles and skewed
-partitions are split. The only ordered window, for the previous frequency, works on time
-slices of a key; the last row of each slice is handed to the next one.
+error type has to fit in one task: buckets are totalled and joined in parts, keys in time
+slices. Whether a joined side is broadcast is left to the planner, which checks its size;
+beyond the threshold the join shuffles by these parts and slices. The only ordered window
+over rows, for the previous frequency, works on time slices of a key; the last row of each
+slice is handed to the next one.
 
 A null in a key counts as ``UNKNOWN``, the text the count stage uses as well. Keys are
 thereby known not to be null, so that all branches have the same plan up to the first
@@ -45,6 +46,8 @@ class FeatureParams:
     ``slice_chars``: falling lengths of the prefixes of ``date_hour`` that make time slices;
     seven characters are a month. Results do not depend on them; (7, 4) adds years, for keys
     with many thousands of different prefixes.
+    ``bucket_parts``: parts in which a bucket is totalled, by error type. Results do not depend
+    on it.
     """
 
     label_share: float = 0.40
@@ -52,6 +55,7 @@ class FeatureParams:
     label_by: str = "rule"
     horizon_hours: int = 2
     slice_chars: tuple[int, ...] = (7,)
+    bucket_parts: int = 64
 
     def __post_init__(self) -> None:
         if self.share_of not in ("source", "cluster"):
@@ -61,8 +65,8 @@ class FeatureParams:
         lengths = (*self.slice_chars, 0)
         if any(longer <= shorter for longer, shorter in zip(lengths, lengths[1:])):
             raise ValueError("slice_chars must be positive and falling")
-        if self.horizon_hours < 1:
-            raise ValueError("horizon_hours must be positive")
+        if self.horizon_hours < 1 or self.bucket_parts < 1:
+            raise ValueError("horizon_hours and bucket_parts must be positive")
 
 
 def _frequencies(counts: DataFrame) -> DataFrame:
@@ -126,8 +130,15 @@ def _with_history(rows: DataFrame, slice_chars: tuple[int, ...]) -> DataFrame:
     )
 
 
-def _bucket_totals(rows: DataFrame, keys: list[str]) -> DataFrame:
-    return rows.groupBy(*keys).agg(F.sum("error_frequency").alias("bucket_total"))
+def _bucket_totals(rows: DataFrame, parts: list[str], bucket: list[str]) -> DataFrame:
+    """``bucket_total`` for each part of a bucket.
+
+    A bucket may hold most of the rows, so it is summed and joined in parts; only the sums of
+    its parts, a bounded number, meet in one group.
+    """
+    sums = rows.groupBy(*parts).agg(F.sum("error_frequency").alias("part_total"))
+    whole = F.sum("part_total").over(Window.partitionBy(*bucket))
+    return sums.select(*parts, whole.alias("bucket_total"))
 
 
 def _share(part: Column, whole: Column) -> Column:
@@ -149,9 +160,12 @@ def engineer_features(counts: DataFrame, params: FeatureParams = FeatureParams()
     rows = _frequencies(counts)
     bucket = ["date_hour"] if params.share_of == "cluster" else ["source", "date_hour"]
     frequency = F.col("error_frequency")
+    part = F.pmod(F.xxhash64("error_type"), F.lit(params.bucket_parts)).alias("part")
+    totals = _bucket_totals(rows.select("*", part), [*bucket, "part"], bucket)
     measured = (
         _with_history(rows, params.slice_chars)
-        .join(_bucket_totals(rows, bucket), bucket, "left")
+        .select("*", part)
+        .join(totals, [*bucket, "part"], "left")
         .select(
             "date_hour",
             "error_type",

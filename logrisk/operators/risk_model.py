@@ -102,14 +102,10 @@ def train_risk_model(train: DataFrame, params: ModelParams = ModelParams()) -> P
         .drop("_key")
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
+    assembler = VectorAssembler(inputCols=list(MODEL_INPUTS), outputCol="features")
     forest = RandomForestClassifier(
-        labelCol="label",
-        featuresCol="features",
-        numTrees=params.trees,
-        maxDepth=params.depth,
-        seed=params.seed,
+        numTrees=params.trees, maxDepth=params.depth, seed=params.seed
     )
-    assembler = VectorAssembler(inputCols=list(MODEL_INPUTS), outputCol="features")
     try:
         return Pipeline(stages=[source_indexer(), assembler, forest]).fit(laid_out)
     finally:

@@ -151,6 +151,10 @@ def _feature(name: str) -> str:
     return f"WITH {_FEATURES} SELECT date_hour, error_type, source, error_frequency, {name} FROM features"
 
 
+_IN_TRAINING = (
+    "('0x' || substr(md5(date_hour || ',' || error_type || ',' || source), 1, 8))::BIGINT % 10 < 8"
+)
+
 _PART_OF_DAY = "strftime(ts, '%y%m%d')"
 _PART_OF_TIME = "strftime(ts, '%H%M%S')"
 
@@ -283,10 +287,11 @@ SELECT * EXCLUDE (label) FROM features ORDER BY date_hour, source, error_type LI
 SELECT source, (row_number() OVER (ORDER BY count(*) DESC, source) - 1)::DOUBLE AS source_index,
   count(*) AS total_rows FROM counts GROUP BY source""",
     "split_assignment": f"""WITH {_COUNTS}
-SELECT date_hour, error_type, source,
-  CASE WHEN ('0x' || substr(md5(date_hour || ',' || error_type || ',' || source), 1, 8))::BIGINT % 10 < 8
-    THEN 1 ELSE 0 END AS in_training
+SELECT date_hour, error_type, source, CASE WHEN {_IN_TRAINING} THEN 1 ELSE 0 END AS in_training
 FROM counts""",
+    "scored_rows": f"""WITH {_FEATURES}
+SELECT date_hour, error_type, source, error_frequency, label, 1 AS sound
+FROM features WHERE NOT {_IN_TRAINING}""",
     "feature_rows": f"""WITH {_FEATURES},
 ranks AS (
   SELECT source, (row_number() OVER (ORDER BY count(*) DESC, source) - 1)::DOUBLE AS source_index

@@ -325,6 +325,16 @@ def risk_scores(spark, sf_dir):
     )
 
 
+@_query
+def scored_rows(spark, sf_dir):
+    """Which rows are scored, and whether risk and prediction agree; not the model's opinion."""
+    agree = (F.col("risk") > 0.5) == (F.col("prediction") == 1)
+    sound = F.col("risk").between(0, 1) & agree
+    return _test_predictions(spark, sf_dir).select(
+        *counts.COUNT_KEY, "error_frequency", "label", sound.cast("int").alias("sound")
+    )
+
+
 @_query
 def risk_metrics(spark, sf_dir):
     return risk_model.evaluate_risk(_test_predictions(spark, sf_dir))

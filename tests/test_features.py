@@ -73,6 +73,48 @@ def test_features_equal_brute_force_when_no_side_is_small(spark, joins_without_b
     assert_close(rows_of(df), brute_force(rows))
 
 
+def test_hot_buckets_and_keys_are_spread_over_tasks(spark, joins_without_broadcast):
+    """A third of the rows in one bucket and a third in one key, in fixed shuffle partitions."""
+    third = F.col("id") % 3
+    counts = spark.range(60_000).select(
+        F.when(third == 0, "2024-01-01 00")
+        .when(third == 1, F.concat((F.lit(2000) + F.col("id") / 300).cast("int"), F.lit("-0"), F.col("id")))
+        .otherwise(F.concat(F.lit("2024-01-02 "), F.col("id") % 24))
+        .alias("date_hour"),
+        F.when(third == 1, "hot").otherwise(F.concat(F.lit("type "), "id")).alias("error_type"),
+        F.when(F.col("id") < 0, "none").otherwise("HDFS").alias("source"),
+        (F.col("id") % 9).alias("total_count"),
+    )
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "32"}
+    before = {name: spark.conf.get(name) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        placed = engineer_features(counts).withColumn("task", F.spark_partition_id())
+        hot = F.when(F.col("date_hour") == "2024-01-01 00", "bucket").when(F.col("error_type") == "hot", "key")
+        # Features that are not used would be pruned together with their joins.
+        used = [F.sum("error_distribution"), F.sum("rate_of_change"), F.sum("high_error_flag")]
+        per_task = placed.groupBy(hot.alias("hot"), "task").agg(F.count("*").alias("n"), *used).collect()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    for name in ("bucket", "key"):
+        sizes = [r.n for r in per_task if r.hot == name]
+        assert sum(sizes) == 20_000
+        assert max(sizes) < 20_000 / 8
+        assert len(sizes) > 8
+    assert sum(r.n for r in per_task) == 60_000
+
+
+@pytest.mark.parametrize("parts", [1, 3])
+def test_parts_do_not_change_results(spark, parts):
+    counts = frame(spark, random_counts(8))
+    for scope in ("source", "cluster"):
+        whole = engineer_features(counts, FeatureParams(share_of=scope))
+        split = engineer_features(counts, FeatureParams(share_of=scope, bucket_parts=parts))
+        assert rows_of(split) == rows_of(whole)
+
+
 def test_share_of_the_cluster(spark):
     rows = random_counts(4)
     df = engineer_features(frame(spark, rows), FeatureParams(share_of="cluster"))
@@ -159,7 +201,7 @@ def test_the_input_is_counted_once(spark, sf_dir):
     assert final.count("ReusedExchange") == 3
 
 
-@pytest.mark.parametrize("wrong", [{"share_of": "x"}, {"label_by": "x"}, {"slice_chars": (0,)}, {"slice_chars": (4, 7)}, {"horizon_hours": 0}])
+@pytest.mark.parametrize("wrong", [{"share_of": "x"}, {"label_by": "x"}, {"slice_chars": (0,)}, {"slice_chars": (4, 7)}, {"horizon_hours": 0}, {"bucket_parts": 0}])
 def test_wrong_settings_raise(wrong):
     with pytest.raises(ValueError):
         FeatureParams(**wrong)

@@ -100,6 +100,13 @@ def test_tables_are_snappy_and_failures_raise(spark, events, tmp_path):
         writers.write_table(events, str(tmp_path / "file" / "t"))
 
 
+def test_only_small_inputs_are_spread(spark, events):
+    cores = spark.sparkContext.defaultParallelism
+    assert logs.spread(events).rdd.getNumPartitions() == cores
+    wide = events.repartition(cores + 3)
+    assert logs.spread(wide) is wide
+
+
 def test_first_header(spark, tmp_path):
     (tmp_path / "a.csv").write_text("LineId,Date,Time\n1,2,3\n")
     assert readers.first_header(spark, str(tmp_path)) == "LineId,Date,Time"
