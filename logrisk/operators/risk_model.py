@@ -76,19 +76,22 @@ def source_indexer() -> StringIndexer:
     return StringIndexer(inputCol="source", outputCol="source_index", handleInvalid="keep")
 
 
-def complete_rows(features: DataFrame) -> DataFrame:
-    """Rows whose model inputs are all known; a vector cannot hold a null."""
-    return features.dropna(subset=[name for name in MODEL_INPUTS if name != "source_index"])
+_GIVEN_INPUTS = [name for name in MODEL_INPUTS if name != "source_index"]
+
+
+def is_complete() -> Column:
+    """True for rows whose model inputs are all known. ``source_index`` always is."""
+    return F.forall(F.array(*[F.col(name).cast("double") for name in _GIVEN_INPUTS]), F.isnotnull)
 
 
 def train_risk_model(train: DataFrame, params: ModelParams = ModelParams()) -> PipelineModel:
     """Fit indexer, assembler and forest.
 
-    Raises unless the training rows hold both labels: a forest of one class would give
-    probabilities without a risk entry. Give a stored table: fitting reads it repeatedly.
+    Rows with an unknown input are not learnt from. Raises unless the others hold both labels:
+    a forest of one class would give probabilities without a risk entry. Give a stored table:
+    fitting reads it repeatedly.
     """
-    needed = [*COUNT_KEY, *(name for name in MODEL_INPUTS if name != "source_index"), "label"]
-    rows = complete_rows(train).select(*needed)
+    rows = train.filter(is_complete()).select(*COUNT_KEY, *_GIVEN_INPUTS, "label")
     size = rows.agg(
         F.count("*").alias("rows"), F.min("label").alias("low"), F.max("label").alias("high")
     ).head()
@@ -102,7 +105,9 @@ def train_risk_model(train: DataFrame, params: ModelParams = ModelParams()) -> P
         .drop("_key")
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
-    assembler = VectorAssembler(inputCols=list(MODEL_INPUTS), outputCol="features")
+    assembler = VectorAssembler(
+        inputCols=list(MODEL_INPUTS), outputCol="features", handleInvalid="keep"
+    )
     forest = RandomForestClassifier(
         numTrees=params.trees, maxDepth=params.depth, seed=params.seed
     )
@@ -113,17 +118,22 @@ def train_risk_model(train: DataFrame, params: ModelParams = ModelParams()) -> P
 
 
 def score_risk(model: PipelineModel, features: DataFrame) -> DataFrame:
-    """Add ``prediction``, ``probability`` and ``risk``, the probability of label 1."""
-    scored = model.transform(complete_rows(features))
-    return scored.withColumn("risk", vector_to_array("probability")[1])
+    """Add ``prediction``, ``probability`` and ``risk``, the probability of label 1.
+
+    All rows are kept; those with an unknown input have no score.
+    """
+    scored = model.transform(features).withColumn("risk", vector_to_array("probability")[1])
+    scores = ("rawPrediction", "probability", "prediction", "risk")
+    return scored.withColumns({name: F.when(is_complete(), F.col(name)) for name in scores})
 
 
 def evaluate_risk(predictions: DataFrame) -> DataFrame:
     """Accuracy, weighted precision, weighted recall and F1 as one row.
 
-    One aggregation to a confusion table; the rest works on a row per pair of classes.
+    One aggregation to a confusion table; the rest works on a row per pair of classes. Rows
+    without a prediction do not count.
     """
-    pairs = predictions.groupBy(
+    pairs = predictions.filter("prediction IS NOT NULL").groupBy(
         F.col("label").cast("double").alias("actual"),
         F.col("prediction").cast("double").alias("predicted"),
     ).agg(F.count("*").alias("n"))

@@ -307,7 +307,7 @@ def feature_rows(spark, sf_dir):
     """Model input in vector order, as plain columns."""
     rows = _stored_features(spark, sf_dir)
     indexed = risk_model.source_indexer().fit(rows).transform(rows)
-    return risk_model.complete_rows(indexed).select(
+    return indexed.filter(risk_model.is_complete()).select(
         *counts.COUNT_KEY, *risk_model.MODEL_INPUTS, "label"
     )
 

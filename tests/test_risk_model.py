@@ -56,11 +56,17 @@ def test_one_class_raises(features):
         risk_model.train_risk_model(features.filter("label = 7"), PARAMS)
 
 
-def test_rows_with_unknown_inputs_are_left_out(spark, features):
+def test_rows_with_unknown_inputs_are_kept_without_a_score(features):
     train, test = risk_model.split_features(features)
-    gap = test.limit(1).withColumn("error_distribution", F.lit(None).cast("double"))
-    model = risk_model.train_risk_model(train.unionByName(gap), PARAMS)
-    assert risk_model.score_risk(model, test.unionByName(gap)).count() == test.count()
+    gap = F.lit(None).cast("double")
+    incomplete = test.orderBy("date_hour", "error_type", "source").limit(1).withColumn("error_distribution", gap)
+    model = risk_model.train_risk_model(train.unionByName(incomplete), PARAMS)
+    assert scores(model, test) == scores(risk_model.train_risk_model(train, PARAMS), test)
+    scored = risk_model.score_risk(model, test.unionByName(incomplete))
+    assert scored.count() == test.count() + 1
+    unscored = scored.filter("prediction IS NULL").collect()
+    assert [(r.risk, r.probability, r.error_distribution) for r in unscored] == [(None, None, None)]
+    assert risk_model.evaluate_risk(scored).head() == risk_model.evaluate_risk(risk_model.score_risk(model, test)).head()
 
 
 def test_saved_model_scores_alike(features, tmp_path):

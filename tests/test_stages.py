@@ -172,3 +172,19 @@ def test_command_line(spark, files, sf_dir, tmp_path, capsys):
     command.main(["alerts", out("features"), out("alerts"), "--limit", "2"])
     assert "accuracy" in capsys.readouterr().out
     assert readers.read_table(spark, out("alerts")).count() == 2
+
+
+def test_command_line_with_headers(spark, events, sf_dir, tmp_path):
+    """Columns found by the headers of the files themselves."""
+    rows = logs.header_rows(events)
+    folders = {"hdfs_logs": logs.HDFS_HEADER, "bgl_logs": logs.BGL_HEADER}
+    for folder, header in folders.items():
+        heading = spark.createDataFrame([(header,)], "value string")
+        body = rows.filter(F.col("file_path").contains(folder)).select("value")
+        heading.unionByName(body).coalesce(1).write.text(str(tmp_path / folder))
+    paths = [str(tmp_path / folder) for folder in folders]
+    headers = ["--hdfs-header-of", paths[0], "--bgl-header-of", paths[1]]
+    command.main(["count", ",".join(paths), str(tmp_path / "counts"), "--hourly-hdfs", *headers])
+    found = counts.parse_wire(readers.read_count_text(spark, f"{tmp_path}/counts/part-*"))
+    expected = registry.event_counts(spark, sf_dir)
+    assert same_rows(found, expected.withColumn("total_count", F.col("total_count").cast("double")))
