@@ -94,11 +94,9 @@ def _look_back(rows: DataFrame, slice_chars: tuple[int, ...], levels: DataFrame)
         key = Window.partitionBy("source", "error_type").orderBy("date_hour")
         looked_back = rows.withColumn("before", F.lag("point").over(key))
         return looked_back.join(levels, ["source", "error_type"], "left")
-    sliced = rows.withColumn("slice", F.substring("date_hour", 1, slice_chars[0]))
-    ends = (
-        sliced.groupBy("source", "error_type", "slice")
-        .agg(F.max_by("point", "date_hour").alias("point"))
-        .withColumnRenamed("slice", "date_hour")
+    prefix = F.substring("date_hour", 1, slice_chars[0])
+    ends = rows.groupBy("source", "error_type", prefix.alias("date_hour")).agg(
+        F.max_by("point", "date_hour").alias("point")
     )
     handed_on = _look_back(ends, slice_chars[1:], levels).select(
         "source",
@@ -109,10 +107,10 @@ def _look_back(rows: DataFrame, slice_chars: tuple[int, ...], levels: DataFrame)
     )
     in_slice = Window.partitionBy("source", "error_type", "slice").orderBy("date_hour")
     return (
-        sliced.withColumn("inside", F.lag("point").over(in_slice))
+        rows.withColumn("slice", prefix)
+        .withColumn("inside", F.lag("point").over(in_slice))
         .join(handed_on, ["source", "error_type", "slice"], "left")
-        .withColumn("before", F.coalesce("inside", "handed_on"))
-        .drop("slice", "inside", "handed_on")
+        .select(*rows.columns, "usual_level", F.coalesce("inside", "handed_on").alias("before"))
     )
 
 

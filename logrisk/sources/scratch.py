@@ -23,7 +23,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     global _local_folder
     folder = spark.conf.get(_SETTING, None)
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
             raise RuntimeError(f"set {_SETTING} to a folder shared by the cluster")
         _local_folder = _local_folder or tempfile.mkdtemp(prefix="logrisk-")
         folder = _local_folder

@@ -1,5 +1,7 @@
 """Files, scratch tables and the stored stages from end to end."""
 
+from types import SimpleNamespace
+
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
@@ -122,6 +124,18 @@ def test_scratch_follows_the_session(spark):
     assert path.startswith(folder) and path != scratch.scratch_path(spark, "x")
 
 
+def test_a_cluster_needs_a_shared_scratch_folder():
+    def session(master):
+        unset = SimpleNamespace(get=lambda name, default: default)
+        return SimpleNamespace(conf=unset, sparkContext=SimpleNamespace(master=master))
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch.scratch_path(session("yarn"), "x")
+    with pytest.raises(RuntimeError):
+        scratch.scratch_path(session("spark://host:7077"), "x")
+    assert scratch.scratch_path(session("local[2]"), "x")
+
+
 def test_all_stages(spark, files, sf_dir, tmp_path):
     out = lambda name: str(tmp_path / name)
     stages.count_stage(spark, f"{files}/structured", out("counts"))
