@@ -8,6 +8,8 @@ partitions that follows from their count.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
@@ -81,7 +83,7 @@ _GIVEN_INPUTS = [name for name in MODEL_INPUTS if name != "source_index"]
 
 def is_complete() -> Column:
     """True for rows whose model inputs are all known. ``source_index`` always is."""
-    return F.forall(F.array(*[F.col(name).cast("double") for name in _GIVEN_INPUTS]), F.isnotnull)
+    return reduce(and_, [F.col(name).isNotNull() for name in _GIVEN_INPUTS])
 
 
 def train_risk_model(train: DataFrame, params: ModelParams = ModelParams()) -> PipelineModel:
