@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,24 +10,21 @@ from logrisk.sources.readers import read_table
 from logrisk.sources.writers import write_table
 
 _SETTING = "spark.checkpoint.dir"
-_local_folder: str | None = None
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path below the session's ``spark.checkpoint.dir``.
+    """A new path below ``spark.checkpoint.dir``, or below the warehouse where that is unset.
 
-    Where that is unset, a temporary folder serves sessions in local mode only: the tasks
-    of a cluster would not see it.
+    Both are folders that all executors share; Hadoop resolves the path, in every mode alike.
+    The path is removed when the session's JVM ends.
     """
-    global _local_folder
-    folder = spark.conf.get(_SETTING, None)
-    if not folder:
-        master = spark.sparkContext.master
-        if not master.startswith("local") or master.startswith("local-cluster"):
-            raise RuntimeError(f"set {_SETTING} to a folder shared by the cluster")
-        _local_folder = _local_folder or tempfile.mkdtemp(prefix="logrisk-")
-        folder = _local_folder
-    return f"{folder.rstrip('/')}/logrisk/{name}-{uuid.uuid4().hex}"
+    folder = spark.conf.get(_SETTING, None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/scratch"
+    owned = f"{folder.rstrip('/')}/logrisk/{name}-{uuid.uuid4().hex}"
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(owned)
+    files = jvm_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    files.mkdirs(jvm_path)
+    files.deleteOnExit(jvm_path)
+    return f"{owned}/table"
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

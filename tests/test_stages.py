@@ -124,16 +124,16 @@ def test_scratch_follows_the_session(spark):
     assert path.startswith(folder) and path != scratch.scratch_path(spark, "x")
 
 
-def test_a_cluster_needs_a_shared_scratch_folder():
-    def session(master):
-        unset = SimpleNamespace(get=lambda name, default: default)
-        return SimpleNamespace(conf=unset, sparkContext=SimpleNamespace(master=master))
-
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        scratch.scratch_path(session("yarn"), "x")
-    with pytest.raises(RuntimeError):
-        scratch.scratch_path(session("spark://host:7077"), "x")
-    assert scratch.scratch_path(session("local[2]"), "x")
+def test_scratch_without_the_setting_is_below_the_warehouse(spark):
+    class Conf:
+        def get(self, key, *default):
+            return default[0] if key == "spark.checkpoint.dir" else spark.conf.get(key)
+
+    class Session:
+        conf, _jvm, _jsparkSession = Conf(), spark._jvm, spark._jsparkSession
+
+    path = scratch.scratch_path(Session(), "x")
+    assert path.startswith(spark.conf.get("spark.sql.warehouse.dir"))
 
 
 def test_all_stages(spark, files, sf_dir, tmp_path):
