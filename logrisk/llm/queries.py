@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from logrisk.llm import mixing
+from logrisk.llm import bpe, mixing
 from logrisk.llm.oracles import LLM_ORACLES
 
 __all__ = ["LLM_ORACLES", "LLM_QUERIES"]
@@ -14,10 +15,21 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op9_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = bpe.encode_documents(_table(spark, sf_dir, "documents"))
+    return encoded.select(
+        "doc_id",
+        (F.length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"),
+    )
+
+
 def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents"))
 
 
 LLM_QUERIES = {
+    "op9_bpe_round_trip": op9_bpe_round_trip,
     "op10_source_mix": op10_source_mix,
 }
