@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logrisk.llm import bpe, mixing, topk_search
+from logrisk.llm import bpe, mixing, token_counts, topk_search
 from logrisk.llm.oracles import LLM_ORACLES
 
 __all__ = ["LLM_ORACLES", "LLM_QUERIES"]
@@ -19,6 +19,10 @@ def op4_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk_search.top_k(_table(spark, sf_dir, "embeddings"))
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(_table(spark, sf_dir, "documents"))
+
+
 def op9_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = bpe.encode_documents(_table(spark, sf_dir, "documents"))
     return encoded.select(
@@ -35,6 +39,7 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES = {
     "op4_top_k": op4_top_k,
+    "op5_token_counts": op5_token_counts,
     "op9_bpe_round_trip": op9_bpe_round_trip,
     "op10_source_mix": op10_source_mix,
 }
