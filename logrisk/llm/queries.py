@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logrisk.llm import bpe, mixing, token_counts, topk_search
+from logrisk.llm import bpe, mixing, token_counts, topk_search, toxicity
 from logrisk.llm.oracles import LLM_ORACLES
 
 __all__ = ["LLM_ORACLES", "LLM_QUERIES"]
@@ -23,6 +23,16 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(_table(spark, sf_dir, "documents"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity.score_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return scored.select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op9_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = bpe.encode_documents(_table(spark, sf_dir, "documents"))
     return encoded.select(
@@ -40,6 +50,7 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 LLM_QUERIES = {
     "op4_top_k": op4_top_k,
     "op5_token_counts": op5_token_counts,
+    "op8_toxicity": op8_toxicity,
     "op9_bpe_round_trip": op9_bpe_round_trip,
     "op10_source_mix": op10_source_mix,
 }
