@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logrisk.llm import bpe, mixing, token_counts, topk_search, toxicity
+from logrisk.llm import bpe, html_text, mixing, token_counts, topk_search, toxicity
 from logrisk.llm.oracles import LLM_ORACLES
 
 __all__ = ["LLM_ORACLES", "LLM_QUERIES"]
@@ -15,6 +15,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    extracted = html_text.extract(_table(spark, sf_dir, "pages"))
+    return extracted.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op4_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk_search.top_k(_table(spark, sf_dir, "embeddings"))
 
@@ -48,6 +53,7 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES = {
+    "op3_main_text": op3_main_text,
     "op4_top_k": op4_top_k,
     "op5_token_counts": op5_token_counts,
     "op8_toxicity": op8_toxicity,
