@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logrisk.llm import bpe, html_text, mixing, token_counts, topk_search, toxicity
+from logrisk.llm import bpe, html_text, mixing, pii, token_counts, topk_search, toxicity
 from logrisk.llm.oracles import LLM_ORACLES
 
 __all__ = ["LLM_ORACLES", "LLM_QUERIES"]
@@ -28,6 +28,20 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(_table(spark, sf_dir, "documents"))
 
 
+def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(_table(spark, sf_dir, "documents"))
+    counts = [
+        F.size(F.filter("base", lambda s, kind=kind: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+        for kind in pii.KINDS
+    ]
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(F.encode(pii.span_text(F.col("base")), "UTF-8"), 256).alias("base_sha256"),
+        pii.span_text(F.concat("base", "added")).alias("spans"),
+    )
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = toxicity.score_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
     return scored.select(
@@ -56,6 +70,7 @@ LLM_QUERIES = {
     "op3_main_text": op3_main_text,
     "op4_top_k": op4_top_k,
     "op5_token_counts": op5_token_counts,
+    "op7_personal_data": op7_personal_data,
     "op8_toxicity": op8_toxicity,
     "op9_bpe_round_trip": op9_bpe_round_trip,
     "op10_source_mix": op10_source_mix,

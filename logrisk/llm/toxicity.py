@@ -25,17 +25,14 @@ are scored each. Without training rows of both classes all scores are the share
 from __future__ import annotations
 
 import math
-import re
-from collections import Counter
-from collections.abc import Iterator
 from dataclasses import dataclass, field
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from logrisk.llm.rows import map_rows, pieces
+from logrisk.llm.rows import map_rows
+from logrisk.llm.terms import WORD, texts_per_word
 from logrisk.sources.scratch import materialize
 
 FOLDS = 5
@@ -49,8 +46,6 @@ LEAST_LOG_ODDS = 3.5
 PREFIXES = (6, 5, 4)
 MODEL_TOKENS = 20_000
 DRIFT = 0.25
-_WORD = re.compile(r"\w+")
-_FLUSH = 200_000
 
 
 def held_out(doc_id: Column) -> Column:
@@ -63,37 +58,6 @@ def training_labels(labels: DataFrame) -> DataFrame:
     return usable.groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
 
 
-def word_counts(labelled: DataFrame) -> DataFrame:
-    """``word, toxic_texts, clean_texts`` over rows of ``text, toxic``."""
-    schema = "word string, toxic_texts long, clean_texts long"
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = Counter(), Counter()
-
-        def flush():
-            words = list(counts[0].keys() | counts[1].keys())
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "word": pa.array(words, pa.string()),
-                    "toxic_texts": pa.array([counts[1][w] for w in words], pa.int64()),
-                    "clean_texts": pa.array([counts[0][w] for w in words], pa.int64()),
-                }
-            )
-            for count in counts:
-                count.clear()
-
-        for batch in batches:
-            for piece in pieces(batch):
-                for text, toxic in zip(*[column.to_pylist() for column in piece.columns]):
-                    counts[toxic].update(set(_WORD.findall((text or "").lower())))
-                if len(counts[0]) + len(counts[1]) >= _FLUSH:
-                    yield from flush()
-        yield from flush()
-
-    partial = labelled.select("text", "toxic").mapInArrow(run, schema)
-    return partial.groupBy("word").agg(F.sum("toxic_texts").alias("toxic_texts"), F.sum("clean_texts").alias("clean_texts"))
-
-
 @dataclass
 class ToxicityModel:
     """Token scores (a prefix ends in ``*``) and the calibration."""
@@ -116,7 +80,9 @@ class ToxicityModel:
 
 def learn_tokens(labelled: DataFrame) -> ToxicityModel:
     """Token scores and the background's rate from rows of ``text, toxic``."""
-    words = materialize(word_counts(labelled), "toxic-words")
+    counts = texts_per_word(labelled.withColumnRenamed("toxic", "mark"))
+    counts = counts.select("word", F.col("marked").alias("toxic_texts"), (F.col("texts") - F.col("marked")).alias("clean_texts"))
+    words = materialize(counts, "toxic-words")
     sums = [F.sum("toxic_texts").alias("toxic_texts"), F.sum("clean_texts").alias("clean_texts")]
     levels = words
     for size in PREFIXES:
@@ -218,12 +184,12 @@ def scan(documents: DataFrame, model: ToxicityModel) -> DataFrame:
 
         def one(text: str | None) -> tuple[int, list[dict]]:
             plain = (text or "").lower()
-            words = _WORD.findall(plain)
+            words = WORD.findall(plain)
             hits = [(i, s) for i, s in enumerate(map(score_of, words)) if s > 0]
             if not hits:
                 return len(words), []
             # Places in the lower-cased text; they are the text's own where lower case keeps lengths.
-            places = [m.span() for m in _WORD.finditer(plain)]
+            places = [m.span() for m in WORD.finditer(plain)]
             return len(words), [
                 {"start": places[a][0], "end": places[b][1], "score": s} for a, b, s in segments(hits)
             ]

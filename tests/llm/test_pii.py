@@ -1,0 +1,102 @@
+"""Patterns against the plain expressions, disclosure against brute force."""
+
+import math
+import random
+import re
+import time
+from collections import defaultdict
+
+import pytest
+
+from logrisk.llm import pii
+
+PLAIN = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def plain_spans(text):
+    out = []
+    for kind, pattern in PLAIN.items():
+        for m in re.finditer(pattern, text):
+            digits = re.sub("[^0-9]", "", m[0])
+            if kind == "ip" and any(int(p) > 255 for p in m[0].split(".")):
+                continue
+            if kind == "card" and not (16 <= len(digits) <= 19 and pii.luhn(digits)):
+                continue
+            if kind == "phone" and not 8 <= len(digits) <= 15:
+                continue
+            out.append((kind, *m.span()))
+    return out
+
+
+def test_patterns_on_random_text():
+    rng = random.Random(2)
+    alphabet = ["a", "b.", "@", "@x.y", ".", "1", "25", "256.", "1.2.3.4", "4111 1111 1111 1111", "-", " ", "+1", "(", ")", "é", "%", "٣"]
+    for _ in range(20_000):
+        text = "".join(rng.choice(alphabet) for _ in range(rng.randint(0, 25)))
+        assert pii.base_spans(text) == plain_spans(text), text
+
+
+def test_luhn():
+    assert pii.luhn("4111111111111111") and not pii.luhn("4111111111111112")
+
+
+@pytest.mark.parametrize("text", ["a" * 300_000, "1" * 300_000, "1." * 150_000, "+1(" * 100_000, "a@" * 150_000, "9 " * 200_000])
+def test_long_runs_take_linear_time(text):
+    start = time.time()
+    pii.base_spans(text)
+    assert time.time() - start < 5
+
+
+def brute(texts):
+    n, near, df, de = len(texts), defaultdict(list), defaultdict(int), defaultdict(int)
+    for text in texts:
+        for word in set(re.findall(r"\w+", (text or "").lower())):
+            df[word] += 1
+        found = pii.base_spans(text or "")
+        seen = pii.contexts(text or "", found)
+        for entity in {e for e, _, _ in seen}:
+            de[entity] += 1
+        for entity, term, _ in seen:
+            near[entity, term].append(text)
+    out = set()
+    for (entity, term), where in near.items():
+        information = math.log2(n / de[entity])
+        if len(set(where)) > 1 and information:
+            share = math.log2(n * len(where) / (df[term] * de[entity])) / information
+            if share >= pii.DISCLOSURE:
+                out.add((entity, term))
+    return out
+
+
+def test_disclosure_against_brute_force(spark):
+    rng = random.Random(6)
+    words = [f"word{i}" for i in range(40)]
+    mails = [f"m{i}@x.org" for i in range(6)]
+    texts = [" ".join(rng.choice(words) for _ in range(15)) for _ in range(60)]
+    for i in range(60):
+        k = i % 6
+        texts.append(f"{rng.choice(words)} Alias{k} wrote to {mails[k]} from {rng.choice(words)}")
+    texts += [texts[70]] * 4 + [None, "", "10.0.0.1 once only"]
+    docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, spans string")
+    expected = brute(texts)
+    assert any(term.startswith("alias") for _, term in expected)
+    for row in pii.find(docs).collect():
+        text = texts[row.doc_id] or ""
+        places = {p for e, t, ps in pii.contexts(text, pii.base_spans(text)) if (e, t) in expected for p in ps}
+        assert {(s.start, s.end) for s in row.added} == places
+        assert [tuple(s) for s in row.base] == plain_spans(text)
+    clean = {row.doc_id: row for row in pii.sanitize(docs).collect()}
+    assert "[EMAIL]" in clean[61].text and "Alias" not in clean[61].text and "[NAME]" in clean[61].text
+    assert clean[0].text == texts[0] and clean[0].spans == "x" and len(clean) == len(texts)
+
+
+def test_odd_rows(spark):
+    docs = spark.createDataFrame([(None, None), (1, "a@b.c"), (1, "a@b.c"), (None, "1.1.1.1")], "doc_id long, text string")
+    found = sorted(str(row.base) for row in pii.find(docs).collect())
+    assert len(found) == 4 and len(pii.sanitize(docs).collect()) == 4
+    assert pii.find(docs.limit(0)).collect() == [] and pii.sanitize(docs.limit(0)).collect() == []
