@@ -269,7 +269,8 @@ def score_documents(documents: DataFrame, labels: DataFrame) -> DataFrame:
     The texts are shuffled once, to meet their labels, and scanned twice. What was scanned is stored.
     """
     learnable = training_labels(labels)
-    model = learn_tokens(documents.select("doc_id", "text").join(learnable, "doc_id"))
+    # The labels grow with the texts, so they are never broadcast, however few they are.
+    model = learn_tokens(documents.select("doc_id", "text").join(learnable.hint("merge"), "doc_id"))
     scanned = materialize(scan(documents, model), "toxic-scan")
     if not model.tokens:
         share = learnable.join(documents.select("doc_id"), "doc_id").agg(F.avg("toxic")).first()[0] or 0.0
