@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logrisk.llm import bpe, html_text, mixing, pii, token_counts, topk_search, toxicity
+from logrisk.llm import bpe, html_text, mixing, near_dedup, pii, token_counts, topk_search, toxicity
 from logrisk.llm.oracles import LLM_ORACLES
 
 __all__ = ["LLM_ORACLES", "LLM_QUERIES"]
@@ -28,6 +28,10 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(_table(spark, sf_dir, "documents"))
 
 
+def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.classes(_table(spark, sf_dir, "documents"))
+
+
 def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find(_table(spark, sf_dir, "documents"))
     counts = [
@@ -70,6 +74,7 @@ LLM_QUERIES = {
     "op3_main_text": op3_main_text,
     "op4_top_k": op4_top_k,
     "op5_token_counts": op5_token_counts,
+    "op6_near_duplicates": op6_near_duplicates,
     "op7_personal_data": op7_personal_data,
     "op8_toxicity": op8_toxicity,
     "op9_bpe_round_trip": op9_bpe_round_trip,
