@@ -53,7 +53,59 @@ WITH cells AS (
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
 
+_FAMILIES, _STEPS = range(12), (1, 3, 5, 7, 9)
+_LEVELS = ", ".join(
+    f"CAST('0x' || substr(sha256(term), {4 * f + 1}, 4) AS BIGINT)" for f in _FAMILIES
+)
+_COMPONENT = """CASE WHEN count(*) FILTER (draws[{f}] < {bound}) = 0 THEN ''
+    ELSE substr(md5(string_agg(rank, ',' ORDER BY rank::BIGINT) FILTER (draws[{f}] < {bound})), 1, 8) END"""
+_SIZES = " || '/' || ".join(
+    "concat_ws('.', " + ", ".join(_COMPONENT.format(f=f + 1, bound=65536 >> step) for f in _FAMILIES) + ")"
+    for step in _STEPS
+)
+_LIKENESS = """CASE WHEN {a} = {b} THEN 1.0 WHEN {a}[1] = '=' OR {b}[1] = '=' THEN 0.0 ELSE list_max(list_transform(
+    list_zip(string_split({a}, '/'), string_split({b}, '/')),
+    lambda z: len(list_filter(list_zip(string_split(z[1], '.'), string_split(z[2], '.')), lambda p: p[1] <> '' AND p[1] = p[2]))
+        / (len(list_filter(list_zip(string_split(z[1], '.'), string_split(z[2], '.')), lambda p: p[1] <> '' OR p[2] <> '')) + 1.0)
+    )) END"""
+
+FINGERPRINTS = f"""
+WITH texts AS (
+    SELECT row_number() OVER (ORDER BY doc_id DESC NULLS LAST, md5(coalesce(text, ''))) AS place,
+        doc_id, coalesce(text, '') AS text FROM documents
+), followed AS (
+    SELECT *, coalesce(lead(text) OVER (ORDER BY place), first(text) OVER (ORDER BY place)) AS next_text FROM texts
+), edits AS (
+    SELECT *, length(text) AS n,
+        substr(text, 1, length(text) - length(text) // 2) || substr(next_text, 1, length(text) // 2) AS edited
+    FROM followed
+), variants AS (
+    SELECT place, 0 AS which, text FROM edits UNION ALL SELECT place, 1, edited FROM edits
+), held AS (
+    SELECT place, which, unnest(list_distinct(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+'))) AS term FROM variants
+), lexicon AS (
+    SELECT term, CAST(row_number() OVER (ORDER BY encode(term)) AS VARCHAR) AS rank, [{_LEVELS}] AS draws
+    FROM (SELECT term FROM held WHERE which = 0 GROUP BY term
+        HAVING ln((SELECT count(*) FROM documents) / count(*)) BETWEEN ln(5) AND ln(1000))
+), printed AS (
+    SELECT place, which, {_SIZES} AS fingerprint FROM held JOIN lexicon USING (term) GROUP BY place, which
+), whole AS (
+    SELECT v.place, v.which, coalesce(p.fingerprint, '=' || md5(v.text)) AS fingerprint
+    FROM variants v LEFT JOIN printed p ON v.place = p.place AND v.which = p.which
+), joined AS (
+    SELECT e.place, e.doc_id, CAST(e.n AS BIGINT) AS n_chars, sha256(e.edited) AS edited_sha256,
+        a.fingerprint AS fingerprint, b.fingerprint AS edited_fingerprint,
+        coalesce(lead(a.fingerprint) OVER (ORDER BY e.place), first(a.fingerprint) OVER (ORDER BY e.place)) AS next_print
+    FROM edits e JOIN whole a ON e.place = a.place AND a.which = 0 JOIN whole b ON e.place = b.place AND b.which = 1
+)
+SELECT doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
+    CAST({_LIKENESS.format(a="fingerprint", b="edited_fingerprint")} AS DOUBLE) AS near_edited,
+    CAST({_LIKENESS.format(a="fingerprint", b="next_print")} AS DOUBLE) AS near_next
+FROM joined
+"""
+
 LLM_ORACLES = {
+    "op2_fingerprints": FINGERPRINTS,
     "op4_top_k": TOP_K,
     "op10_source_mix": SOURCE_MIX,
 }

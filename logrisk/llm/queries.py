@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logrisk.llm import bpe, html_text, mixing, near_dedup, pii, token_counts, topk_search, toxicity
+from logrisk.llm import bpe, fingerprints, html_text, mixing, near_dedup, pii, token_counts, topk_search, toxicity
 from logrisk.llm.oracles import LLM_ORACLES
 
 __all__ = ["LLM_ORACLES", "LLM_QUERIES"]
@@ -15,6 +15,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_edits(_table(spark, sf_dir, "documents"))
+
+
 def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     extracted = html_text.extract(_table(spark, sf_dir, "pages"))
     return extracted.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
@@ -71,6 +75,7 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES = {
+    "op2_fingerprints": op2_fingerprints,
     "op3_main_text": op3_main_text,
     "op4_top_k": op4_top_k,
     "op5_token_counts": op5_token_counts,
