@@ -22,7 +22,6 @@ An empty table gives an empty result; other columns are ignored by ``classes`` a
 from __future__ import annotations
 
 import hashlib
-from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -105,57 +104,79 @@ def word_ids(text: str | None, hashes: WordHashes) -> tuple[bytes, np.ndarray]:
     return digest, np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
 
 
-def distance_within(a: np.ndarray, b: np.ndarray, most: int) -> bool:
-    """Whether the edit distance is at most ``most``: furthest places by diagonal, within the band."""
-    if abs(len(a) - len(b)) > most:
+def bits_of(words: np.ndarray) -> dict[int, int]:
+    """For every word the places where it stands, as the bits of a number."""
+    out: dict[int, int] = {}
+    for place, word in enumerate(words.tolist()):
+        out[word] = out.get(word, 0) | 1 << place
+    return out
+
+
+def distance_within(longer: dict[int, int], n: int, shorter: list[int], most: int) -> bool:
+    """Whether the edit distance of a text of ``n`` words, given by ``bits_of``, and one of at most
+    as many words is at most ``most``.
+
+    A banded alignment, one word of the shorter text at a time: bits of a number hold the vertical
+    differences of the ``2 * most + 1`` diagonals around the main one (Hyyro's bit vectors). It ends
+    as soon as the value at the band's edge can no longer come down to ``most``.
+    """
+    m = len(shorter)
+    if n <= most:
+        return True
+    if n - m > most:
         return False
-    n, m = len(a), len(b)
-    shared = min(n, m)
-    differ = np.flatnonzero(a[:shared] != b[:shared])
-    head = int(differ[0]) if len(differ) else shared
-    differ = np.flatnonzero(a[n - shared + head :][::-1] != b[m - shared + head :][::-1])
-    tail = int(differ[0]) if len(differ) else shared - head
-    a, b = a[head : n - tail], b[head : m - tail]
-    n, m = len(a), len(b)
-    if not n or not m:
-        return max(n, m) <= most
-    breaks: dict[int, list[int]] = {}
-
-    def slide(diagonal: int, i: int) -> int:
-        found = breaks.get(diagonal)
-        if found is None:
-            low, high = max(0, -diagonal), min(n, m - diagonal)
-            found = (np.flatnonzero(a[low:high] != b[low + diagonal : high + diagonal]) + low).tolist()
-            found.append(high)
-            breaks[diagonal] = found
-        at = bisect_left(found, i)
-        return found[at] if at < len(found) else i
-
-    goal = m - n
-    reached = {0: slide(0, 0)}
-    for edits in range(most + 1):
-        if reached.get(goal, -1) >= n:
-            return True
-        further = {}
-        left = most - edits
-        for diagonal in range(max(-edits - 1, goal - left, -n), min(edits + 1, goal + left, m) + 1):
-            i = max(
-                reached.get(diagonal, -2) + 1, reached.get(diagonal - 1, -2), reached.get(diagonal + 1, -2) + 1
-            )
-            i = min(i, n, m - diagonal)
-            if i >= 0 and i + diagonal >= 0:
-                further[diagonal] = slide(diagonal, i)
-        reached = further
-    return False
+    width = 2 * most + 1
+    mask, top = (1 << width) - 1, 1 << (width - 1)
+    rising, falling = mask ^ ((1 << most) - 1), 0
+    value, shift = most, -most
+    level = m - (n - most)  # columns that are left once the band's edge has met the last row
+    row_bit = top >> 1
+    for column, word in enumerate(shorter):
+        places = longer.get(word, 0)
+        match = (places >> shift if shift >= 0 else places << -shift) & mask
+        shift += 1
+        zero = ((((match & rising) + rising) ^ rising) | match | falling) & mask
+        right_up = falling | (mask ^ (zero | rising))
+        right_down = zero & rising
+        if column < n - most:
+            value += not zero & top
+        else:
+            value += bool(right_up & row_bit) - bool(right_down & row_bit)
+            row_bit >>= 1
+        if value > most + level:
+            return False
+        down = zero >> 1
+        rising = right_down | (mask ^ (down | right_up))
+        falling = down & right_up
+    return value <= most
 
 
 class Member:
+    """A text of a bucket: its words, each with its number among equal words, in sorted order."""
+
     def __init__(self, digest: bytes, words: np.ndarray):
         self.digest, self.words = digest, words
-        self.counted = np.sort(_mixed(words.astype(np.uint64) + occurrences(words) * _MIX)) if len(words) else words
+        numbered = _mixed(words.astype(np.uint64) + occurrences(words) * _MIX) if len(words) else words
+        self.numbered = np.sort(numbered)
+        self.bits: dict[int, int] | None = None
         self.bins = np.bincount(words % _BINS, minlength=_BINS).astype(np.int32)
 
 
+def near(x: Member, y: Member, most: int) -> bool:
+    """Whether the edit distance of two texts is at most ``most``; the words that they have in
+    common bound it from below, and the alignment decides."""
+    if len(x.words) < len(y.words):
+        x, y = y, x
+    at = np.searchsorted(x.numbered, y.numbered)
+    at[at == len(x.numbered)] = 0
+    shared = int((x.numbered[at] == y.numbered).sum()) if len(x.numbered) else 0
+    if len(x.words) - shared > most:
+        return False
+    if x.bits is None:
+        x.bits = bits_of(x.words)
+    return distance_within(x.bits, len(x.words), y.words.tolist(), most)
+
+
 def most_edits(n: int, m: int, similarity: float) -> int:
     return int((1 - similarity) * max(n, m) + 1e-9)
 
@@ -185,9 +206,7 @@ def links(members: list[Member], left: list[int], right: list[int], similarity:
             j = right[place]
             if (same and place <= at) or i == j or root(i) == root(j):
                 continue
-            x, y = members[i], members[j]
-            shared = np.intersect1d(x.counted, y.counted, assume_unique=True).size
-            if longer[place] - shared <= most[place] and distance_within(x.words, y.words, int(most[place])):
+            if near(members[i], members[j], int(most[place])):
                 parent[root(j)] = root(i)
                 yield i, j
 
@@ -200,13 +219,7 @@ _SKETCHED = T.StructType(
         T.StructField("keys", T.ArrayType(T.LongType())),
     ]
 )
-_WORDED = T.StructType(
-    [
-        T.StructField("doc_id", T.LongType()),
-        T.StructField("digest", T.BinaryType()),
-        T.StructField("words", T.BinaryType()),
-    ]
-)
+_WORDED = T.StructType([T.StructField("digest", T.BinaryType()), T.StructField("words", T.BinaryType())])
 
 
 def sketched(documents: DataFrame) -> DataFrame:
@@ -224,19 +237,21 @@ def sketched(documents: DataFrame) -> DataFrame:
     return map_rows(documents.select("doc_id", F.md5("text").alias("text_hash"), "text"), make, _SKETCHED)
 
 
-def worded(documents: DataFrame) -> DataFrame:
-    """``doc_id, digest, words``: the words as 32-bit hashes."""
+def worded(texts: DataFrame) -> DataFrame:
+    """``digest, words`` of rows of ``digest, text``: the words as 32-bit hashes. Texts that do
+    not have the digest are left out."""
 
     def make():
         hashes = WordHashes()
 
-        def work(doc_ids, texts):
+        def work(digests, texts):
             rows = [word_ids(text, hashes) for text in texts]
-            return doc_ids, [digest for digest, _ in rows], [words.astype(np.uint32).tobytes() for _, words in rows]
+            rows = [(digest, words) for expected, (digest, words) in zip(digests, rows) if digest == expected]
+            return [digest for digest, _ in rows], [words.astype(np.uint32).tobytes() for _, words in rows]
 
         return work
 
-    return map_rows(documents.select("doc_id", "text"), make, _WORDED)
+    return map_rows(texts.select("digest", "text"), make, _WORDED)
 
 
 def buckets(texts: DataFrame) -> DataFrame:
@@ -297,15 +312,14 @@ def verified(placed: DataFrame, words: DataFrame, similarity: float) -> DataFram
 def digest_classes(documents: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """``doc_id, text_hash, root`` of every document: equal roots are one class.
 
-    The texts are read twice; their words are shuffled once, to be joined to the buckets.
+    The texts are read twice and shuffled once, to be joined to the buckets that hold them.
     """
     rows = materialize(sketched(documents), "near-sketches")
     texts = rows.groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.any_value("keys").alias("keys"))
     placed = materialize(buckets(texts), "near-buckets")
     needed = placed.select("digest").distinct().join(texts.select("digest", "first_id"), "digest")
-    words = worded(documents).withColumnsRenamed({"digest": "word_digest"})
-    first = (F.col("digest") == F.col("word_digest")) & F.col("doc_id").eqNullSafe(F.col("first_id"))
-    words = words.join(needed.hint("merge"), first).select("digest", "words")
+    first = documents.select("doc_id", "text").join(needed.hint("merge"), F.col("doc_id").eqNullSafe(F.col("first_id")))
+    words = worded(first)
     edges = verified(placed, words, similarity)
     roots = components(edges.select("a", "b"))
     joined = rows.select("doc_id", "text_hash", "digest").join(roots, F.col("digest") == F.col("node"), "left")
