@@ -104,7 +104,34 @@ SELECT doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
 FROM joined
 """
 
+SUFFIX_DEDUP = """
+WITH texts AS (
+    SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, length(hex(encode(coalesce(text, '')))) // 2 AS n FROM documents
+), windows AS (
+    SELECT doc_id, s, md5(substr(h, 2 * s + 1, 200)) AS k FROM texts, unnest(range(0, n - 99)) AS u(s) WHERE n >= 100
+), repeated AS (
+    SELECT doc_id, s FROM windows QUALIFY row_number() OVER (PARTITION BY k ORDER BY doc_id, s) > 1
+), marked AS (
+    SELECT doc_id, s, s > lag(s, 1, -1000) OVER (PARTITION BY doc_id ORDER BY s) + 100 AS opens FROM repeated
+), numbered AS (
+    SELECT doc_id, s, count(*) FILTER (opens) OVER (PARTITION BY doc_id ORDER BY s) AS run FROM marked
+), spans AS (
+    SELECT doc_id, run, min(s) AS a, max(s) + 100 AS b FROM numbered GROUP BY doc_id, run
+), pieces AS (
+    SELECT doc_id, run, a, b, lag(b, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS before FROM spans
+), cut AS (
+    SELECT t.doc_id, any_value(t.n) AS n, sum(p.b - p.a) AS n_removed, count(p.a) AS n_spans,
+        coalesce(string_agg(substr(t.h, 2 * p.before + 1, 2 * (p.a - p.before)), '' ORDER BY p.a), '')
+            || substr(any_value(t.h), 2 * coalesce(max(p.b), 0) + 1) AS kept
+    FROM texts t LEFT JOIN pieces p ON t.doc_id = p.doc_id GROUP BY t.doc_id
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+    CAST(n_spans AS BIGINT) AS n_spans, sha256(unhex(kept)) AS kept_sha256
+FROM cut
+"""
+
 LLM_ORACLES = {
+    "op1_suffix_dedup": SUFFIX_DEDUP,
     "op2_fingerprints": FINGERPRINTS,
     "op4_top_k": TOP_K,
     "op10_source_mix": SOURCE_MIX,

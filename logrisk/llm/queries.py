@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logrisk.llm import bpe, fingerprints, html_text, mixing, near_dedup, pii, token_counts, topk_search, toxicity
+from logrisk.llm import (
+    bpe,
+    fingerprints,
+    html_text,
+    mixing,
+    near_dedup,
+    pii,
+    suffix_dedup,
+    token_counts,
+    topk_search,
+    toxicity,
+)
 from logrisk.llm.oracles import LLM_ORACLES
 
 __all__ = ["LLM_ORACLES", "LLM_QUERIES"]
@@ -15,6 +26,18 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
+    return cleaned.select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_edits(_table(spark, sf_dir, "documents"))
 
@@ -75,6 +98,7 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_fingerprints": op2_fingerprints,
     "op3_main_text": op3_main_text,
     "op4_top_k": op4_top_k,

@@ -1,0 +1,120 @@
+"""Suffix sort and removal of repeats against brute force."""
+
+import random
+
+import numpy as np
+import pytest
+
+from logrisk.llm import suffix_dedup, suffix_sort
+
+
+def padded(rows):
+    out = np.zeros((len(rows), max(1, max(map(len, rows)))), np.uint8)
+    for target, row in zip(out, rows):
+        target[: len(row)] = list(row)
+    return out, np.array([len(row) for row in rows])
+
+
+def shared_prefix(a, b):
+    n = 0
+    while n < min(len(a), len(b)) and a[n] == b[n]:
+        n += 1
+    return n
+
+
+@pytest.mark.parametrize("collide", [False, True])
+def test_sort_rows(monkeypatch, collide):
+    if collide:
+        monkeypatch.setattr(suffix_sort, "_BASE", np.uint64(0))  # then a hash is the last byte
+    rng = random.Random(2)
+    for n in [1, 2, 3, 17, 200]:
+        for _ in range(20):
+            rows = [bytes(rng.choice(b"\x00ab") for _ in range(rng.randint(0, 9))) for _ in range(n)]
+            order, shared = suffix_sort.sort_rows(*padded(rows))
+            expected = sorted(range(n), key=lambda i: (rows[i], i))
+            assert [rows[i] for i in order] == [rows[i] for i in expected]
+            assert order.tolist() == expected
+            assert shared.tolist() == [0] + [shared_prefix(rows[a], rows[b]) for a, b in zip(order, order[1:])]
+
+
+def brute(rows, size=suffix_dedup.SIZE):
+    """``(doc_id, bytes, removed flags)`` in order; of repeated rows the first comes first."""
+    order = sorted(range(len(rows)), key=lambda i: (rows[i][0] is None, rows[i][0] or 0))
+    seen, out = set(), {}
+    for i in order:
+        data = (rows[i][1] or "").encode()
+        gone = [False] * len(data)
+        for start in range(len(data) - size + 1):
+            window = data[start : start + size]
+            if window in seen:
+                gone[start : start + size] = [True] * size
+            seen.add(window)
+        out[i] = (data, gone)
+    return out
+
+
+def check(spark, rows, **options):
+    expected = []
+    for i, (data, gone) in brute(rows, options.get("size", suffix_dedup.SIZE)).items():
+        spans, start = [], None
+        for at, flag in enumerate([*gone, False]):
+            if flag and start is None:
+                start = at
+            elif not flag and start is not None:
+                spans.append((start, at))
+                start = None
+        kept = bytes(b for b, flag in zip(data, gone) if not flag)
+        expected.append((rows[i][0], len(data), spans, kept))
+    docs = spark.createDataFrame([(i, t, "x", 1) for i, t in rows], "doc_id long, text string, anchor string, id int")
+    found = [
+        (r.doc_id, r.n_bytes, [tuple(s) for s in r.spans], bytes(r.kept))
+        for r in suffix_dedup.remove_repeats(docs, **options).collect()
+    ]
+    assert sorted(found, key=str) == sorted(expected, key=str)
+
+
+def corpus(rng, n, size):
+    words = ["the", "of", "and", "é", "tion", "漢字"]
+    passages = [" ".join(rng.choice(words) for _ in range(size // rng.choice([2, 3, 4]))) for _ in range(4)]
+    rows = []
+    for i in range(n):
+        parts = []
+        for _ in range(rng.randint(0, 5)):
+            kind = rng.random()
+            if kind < 0.4:
+                parts.append(rng.choice(passages))
+            elif kind < 0.5:
+                passage = rng.choice(passages)
+                parts.append(passage[rng.randint(0, len(passage)) :])
+            else:
+                parts.append(" ".join(rng.choice(words) + str(rng.randint(0, 99)) for _ in range(rng.randint(1, size // 4))))
+        rows.append((i, " ".join(parts)))
+        if rng.random() < 0.1:
+            rows.append((n + i, rows[-1][1]))
+    return rows
+
+
+@pytest.mark.parametrize("options", [{}, {"size": 12, "seed": 4}, {"size": 12, "seed": 4, "unit_size": 2}, {"unit_size": 3}])
+def test_against_brute_force(spark, options):
+    rng = random.Random(str(options))
+    size = options.get("size", suffix_dedup.SIZE)
+    rows = corpus(rng, 60, size)
+    rows += [(9000, "a" * 5 * size), (9001, "ab" * 3 * size), (9002, "x" + "a" * 2 * size), (9003, None), (9004, "")]
+    rng.shuffle(rows)
+    check(spark, rows, **options)
+
+
+def test_long_texts_cross_chunks(spark):
+    rng = random.Random(8)
+    passage = "".join(rng.choice("abcdefgh ") for _ in range(700))
+    long = "".join(rng.choice("abcdefgh ") for _ in range(suffix_dedup.CHUNK + 500))
+    at = suffix_dedup.CHUNK - 300
+    rows = [(1, long), (2, long[:at] + passage + long[at + 350 :]), (3, passage[100:600]), (4, long[at - 500 : at + 900])]
+    check(spark, rows)
+
+
+def test_odd_rows(spark):
+    same = "A text of more than a hundred bytes, which is there twice under one id and once under none at all, it seems." * 2
+    check(spark, [(1, same), (1, same), (None, same), (2, "short"), (2, "short"), (None, None)])
+    docs = spark.createDataFrame([], "doc_id long, text string")
+    assert suffix_dedup.remove_repeats(docs).collect() == []
