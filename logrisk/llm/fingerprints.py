@@ -41,7 +41,8 @@ ZONES = 64
 _BLOCKS_PER_PARTITION = 4
 _LEVEL_BITS = 3
 _CODE_BITS = FAMILIES * _LEVEL_BITS
-_DIGITS = 8  # hexadecimal digits of a component
+#: A component is the polynomial of the sorted ranks in ``_FACTOR``; ``_FIRST`` lies outside its range.
+_FIRST, _FACTOR, _MODULUS = 1 << 31, 1_000_003, (1 << 31) - 1
 
 
 def terms(text: Column) -> Column:
@@ -81,12 +82,11 @@ def fingerprinted(texts: DataFrame, words: DataFrame, keys: list[str], carried:
     """
     if words.count() <= MOST_BROADCAST:
         words = F.broadcast(words)
-    spread = texts.select(
-        *keys,
-        *carried,
-        F.md5("text").alias("text_hash"),
-        F.explode(F.array_append(terms(F.col("text")), "")).alias("term"),
+    # Two steps: what stands beside an explode in one select is computed for each of its rows.
+    held = texts.select(
+        *keys, *carried, F.md5("text").alias("text_hash"), F.array_append(terms(F.col("text")), "").alias("terms")
     )
+    spread = held.select(*keys, *carried, "text_hash", F.explode("terms").alias("term"))
     found = spread.join(words, "term").groupBy(*keys)
     found = found.agg(
         *[F.any_value(name).alias(name) for name in [*carried, "text_hash"]],
@@ -98,9 +98,9 @@ def fingerprinted(texts: DataFrame, words: DataFrame, keys: list[str], carried:
         return F.filter(packed, lambda x: F.shiftright(x, shift).bitwiseAND(7) > step)
 
     def hashed(packed: str) -> Column:
-        ranks = F.transform(packed, lambda x: F.shiftright(x, _CODE_BITS).cast("string"))
-        digest = F.substring(F.md5(F.array_join(ranks, ",").cast("binary")), 1, _DIGITS)
-        return F.when(F.size(packed) > 0, digest).otherwise("")
+        rank = lambda x: F.shiftright(x, _CODE_BITS)
+        total = F.aggregate(packed, F.lit(_FIRST), lambda sum_, x: (sum_ * _FACTOR + rank(x)) % _MODULUS)
+        return F.when(total == _FIRST, "").otherwise(total.cast("string"))
 
     # Subsets are nested, so each is cut from the one before.
     for step in range(len(STEPS)):
@@ -204,16 +204,18 @@ def fingerprint_edits(documents: DataFrame) -> DataFrame:
     edited = F.concat(F.substring("text", 1, n - half), F.substring("next_text", 1, half))
     pairs = pairs.withColumn("edited", F.when(~F.col("extra"), edited))
     both = F.array(_variant(0, "text"), _variant(1, "edited"))
-    variants = pairs.select(
+    carried = ["doc_id", "extra", "n_chars", "edited_sha256"]
+    pairs = pairs.select(
         "block",
         "place",
         "doc_id",
         "extra",
         n.cast("long").alias("n_chars"),
         F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"),
-        F.explode(F.when(F.col("extra"), F.slice(both, 1, 1)).otherwise(both)).alias("variant"),
-    ).select("*", "variant.*")
-    carried = ["doc_id", "extra", "n_chars", "edited_sha256"]
+        F.when(F.col("extra"), F.slice(both, 1, 1)).otherwise(both).alias("both"),
+    )
+    variants = pairs.select("block", "place", *carried, F.explode("both").alias("variant"))
+    variants = variants.select("block", "place", *carried, "variant.*")
     found = fingerprinted(variants, words, ["block", "place", "which"], carried)
     rows = found.groupBy("block", "place").agg(
         *[F.any_value(name).alias(name) for name in carried],

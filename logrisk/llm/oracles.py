@@ -58,7 +58,8 @@ _LEVELS = ", ".join(
     f"CAST('0x' || substr(sha256(term), {4 * f + 1}, 4) AS BIGINT)" for f in _FAMILIES
 )
 _COMPONENT = """CASE WHEN count(*) FILTER (draws[{f}] < {bound}) = 0 THEN ''
-    ELSE substr(md5(string_agg(rank, ',' ORDER BY rank::BIGINT) FILTER (draws[{f}] < {bound})), 1, 8) END"""
+    ELSE list_reduce(list(rank ORDER BY rank) FILTER (draws[{f}] < {bound}),
+        lambda s, r: (s * 1000003 + r) % 2147483647, 2147483648)::VARCHAR END"""
 _SIZES = " || '/' || ".join(
     "concat_ws('.', " + ", ".join(_COMPONENT.format(f=f + 1, bound=65536 >> step) for f in _FAMILIES) + ")"
     for step in _STEPS
@@ -84,7 +85,7 @@ WITH texts AS (
 ), held AS (
     SELECT place, which, unnest(list_distinct(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+'))) AS term FROM variants
 ), lexicon AS (
-    SELECT term, CAST(row_number() OVER (ORDER BY encode(term)) AS VARCHAR) AS rank, [{_LEVELS}] AS draws
+    SELECT term, row_number() OVER (ORDER BY encode(term)) AS rank, [{_LEVELS}] AS draws
     FROM (SELECT term FROM held WHERE which = 0 GROUP BY term
         HAVING ln((SELECT count(*) FROM documents) / count(*)) BETWEEN ln(5) AND ln(1000))
 ), printed AS (
