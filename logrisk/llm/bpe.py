@@ -183,25 +183,19 @@ class WordBpe:
         return " ".join([self.token[i] for (i,) in struct.iter_unpack("<I", ids)])
 
 
-SCHEMA = T.StructType(
-    [
-        T.StructField("doc_id", T.LongType()),
-        T.StructField("ids", T.BinaryType()),
-        T.StructField("decoded", T.StringType()),
-    ]
-)
-
-
-def encode_documents(documents: DataFrame, path: str = TOKENIZER) -> DataFrame:
-    """``doc_id, ids, decoded`` of every document."""
+def encode_documents(documents: DataFrame, path: str = TOKENIZER, carried: list[str] | None = None) -> DataFrame:
+    """``doc_id``, the ``carried`` columns, ``ids`` and ``decoded`` of every document."""
+    rows = documents.select("doc_id", *(carried or []), "text")
+    fields = [rows.schema[name] for name in rows.columns[:-1]]
+    schema = T.StructType([*fields, T.StructField("ids", T.BinaryType()), T.StructField("decoded", T.StringType())])
 
     def make():
         encoder = WordBpe(path)
 
-        def work(doc_ids, texts):
-            pairs = [encoder.encode(text) for text in texts]
-            return doc_ids, [ids for ids, _ in pairs], [decoded for _, decoded in pairs]
+        def work(*columns):
+            pairs = [encoder.encode(text) for text in columns[-1]]
+            return *columns[:-1], [ids for ids, _ in pairs], [decoded for _, decoded in pairs]
 
         return work
 
-    return map_rows(documents.select("doc_id", "text"), make, SCHEMA)
+    return map_rows(rows, make, schema)

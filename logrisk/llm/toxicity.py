@@ -156,12 +156,17 @@ def evidence(scores: list[float], words: int, rate: float, density: float) -> fl
     return best
 
 
+def _text_hash() -> Column:
+    return F.xxhash64(F.coalesce("text", F.lit("")))
+
+
 _PASSAGE = T.StructType(
     [T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()), T.StructField("score", T.DoubleType())]
 )
 _SCANNED = T.StructType(
     [
         T.StructField("doc_id", T.LongType()),
+        T.StructField("text_hash", T.LongType()),
         T.StructField("n_words", T.LongType()),
         T.StructField("passages", T.ArrayType(_PASSAGE)),
     ]
@@ -169,7 +174,8 @@ _SCANNED = T.StructType(
 
 
 def scan(documents: DataFrame, model: ToxicityModel) -> DataFrame:
-    """``doc_id, n_words, passages`` of every document; passages by code point, end exclusive."""
+    """``doc_id, text_hash, n_words, passages`` of every document; passages by code point, end
+    exclusive."""
 
     class Scores(dict):
         def __missing__(self, word: str) -> float:
@@ -194,13 +200,13 @@ def scan(documents: DataFrame, model: ToxicityModel) -> DataFrame:
                 {"start": places[a][0], "end": places[b][1], "score": s} for a, b, s in segments(hits)
             ]
 
-        def work(doc_ids, texts):
+        def work(doc_ids, text_hashes, texts):
             scanned = [one(text) for text in texts]
-            return doc_ids, [n for n, _ in scanned], [found for _, found in scanned]
+            return doc_ids, text_hashes, [n for n, _ in scanned], [found for _, found in scanned]
 
         return work
 
-    return map_rows(documents.select("doc_id", "text"), make, _SCANNED)
+    return map_rows(documents.select("doc_id", _text_hash().alias("text_hash"), "text"), make, _SCANNED)
 
 
 def _logistic(histogram: list[tuple[float, int, int]]) -> tuple[float, float]:
@@ -264,7 +270,8 @@ def calibrate(scanned: DataFrame, labels: DataFrame, model: ToxicityModel) -> No
 
 
 def score_documents(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """``doc_id, n_words, passages, evidence, score`` of every document, learned from ``labels``.
+    """``doc_id, text_hash, n_words, passages, evidence, score`` of every document, learned from
+    ``labels``.
 
     The texts are shuffled once, to meet their labels, and scanned twice. What was scanned is stored.
     """
@@ -279,3 +286,17 @@ def score_documents(documents: DataFrame, labels: DataFrame) -> DataFrame:
     found = scanned.withColumn("evidence", _evidence_column(model))
     curve = 1 / (1 + F.exp(-(F.lit(model.intercept) + F.lit(model.slope) * F.least(F.greatest("evidence", F.lit(-40.0)), F.lit(60.0)))))
     return found.withColumn("score", curve)
+
+
+def accepted(documents: DataFrame, labels: DataFrame, least: float = 0.5) -> DataFrame:
+    """The documents, with their own columns, whose score stays below ``least``."""
+    keys = ["no_id", "id_key", "text_key"]
+
+    def named(text_hash: Column) -> list[Column]:
+        values = F.col("doc_id").isNull(), F.coalesce("doc_id", F.lit(0)), text_hash
+        return [value.alias(key) for value, key in zip(values, keys)]
+
+    scored = score_documents(documents, labels)
+    rejected = scored.filter(F.col("score") >= least).select(*named(F.col("text_hash"))).distinct()
+    rows = documents.select(F.struct("*").alias("row"), *named(_text_hash()))
+    return rows.join(rejected.hint("merge"), keys, "left_anti").select("row.*")
