@@ -11,8 +11,11 @@ from logrisk.operators.alerts import (
 from logrisk.operators.counts import (
     POSITIONAL,
     CsvLayout,
+    classify_wire,
+    count_and_reject,
     count_errors,
     count_keys,
+    file_layouts,
     header_layout,
     parse_wire,
     record_keys,
@@ -26,7 +29,7 @@ from logrisk.operators.risk_model import (
     split_features,
     train_risk_model,
 )
-from logrisk.sources.readers import read_count_text, read_lines, read_rows, read_table
+from logrisk.sources.readers import read_lines, read_rows, read_table
 
 __all__ = [
     "BGL",
@@ -40,15 +43,17 @@ __all__ = [
     "answer_prompts",
     "build_prompts",
     "classify_lines",
+    "classify_wire",
+    "count_and_reject",
     "count_errors",
     "count_keys",
     "display_alerts",
     "engineer_features",
     "evaluate_risk",
+    "file_layouts",
     "header_layout",
     "parse_logs",
     "parse_wire",
-    "read_count_text",
     "read_lines",
     "read_rows",
     "read_table",

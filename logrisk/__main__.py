@@ -8,13 +8,23 @@ from importlib import import_module
 from pyspark.sql import SparkSession
 
 from logrisk.functions.buckets import BucketStyle
-from logrisk.operators import counts
+from logrisk.operators import alerts, counts
 from logrisk.operators.alerts import CompletionSettings
 from logrisk.operators.features import FeatureParams
+from logrisk.operators.risk_model import ModelParams
 from logrisk.plans import stages
 from logrisk.sources import readers
 
 
+def _bucket_options(stage: argparse.ArgumentParser) -> None:
+    stage.add_argument("--hourly-hdfs", action="store_true")
+    stage.add_argument("--separator", default=" ")
+
+
+def _lengths(text: str) -> tuple[int, ...]:
+    return tuple(int(part) for part in text.split(",") if part)
+
+
 def _arguments(argv: list[str] | None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="logrisk")
     stage = parser.add_subparsers(dest="stage", required=True)
@@ -24,55 +34,97 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     parse.add_argument("raw")
     parse.add_argument("output")
 
-    count = stage.add_parser("count", help="structured files to count lines")
+    count = stage.add_parser("count", help="structured files to count lines and rejects")
     count.add_argument("structured", help="comma-separated paths")
     count.add_argument("output")
-    count.add_argument("--hourly-hdfs", action="store_true")
-    count.add_argument("--separator", default=" ")
-    count.add_argument("--hdfs-header-of", help="find columns by the header of these files")
-    count.add_argument("--bgl-header-of")
+    _bucket_options(count)
+    count.add_argument("--hdfs-header-of", help="find HDFS columns by the header of these files")
+    count.add_argument("--bgl-header-of", help="find BGL columns by the header of these files")
+    count.add_argument("--own-headers", action="store_true", help="find columns by each file's own header")
+    count.add_argument("--rejects")
+
+    records = stage.add_parser("count-records", help="parsed records to count lines")
+    records.add_argument("output")
+    records.add_argument("--hdfs", help="records of the parse stage")
+    records.add_argument("--bgl", help="records of the parse stage")
+    _bucket_options(records)
 
-    feature = stage.add_parser("features", help="count lines to the feature table")
-    feature.add_argument("counts")
+    usual = FeatureParams()
+    feature = stage.add_parser("features", help="count lines to the feature table and rejects")
+    feature.add_argument("counts", help="comma-separated paths or globs")
     feature.add_argument("output")
-    feature.add_argument("--share-of", default="source", choices=("source", "cluster"))
-    feature.add_argument("--label-by", default="rule", choices=("rule", "horizon"))
+    feature.add_argument("--share-of", default=usual.share_of, choices=("source", "cluster"))
+    feature.add_argument("--label-by", default=usual.label_by, choices=("rule", "horizon"))
+    feature.add_argument("--label-share", type=float, default=usual.label_share)
+    feature.add_argument("--horizon-hours", type=int, default=usual.horizon_hours)
+    feature.add_argument("--slice-chars", type=_lengths, default=usual.slice_chars, help="like 7,4")
+    feature.add_argument("--bucket-parts", type=int, default=usual.bucket_parts)
+    feature.add_argument("--rejects")
 
-    model = stage.add_parser("model", help="feature table to model and predictions")
+    forest = ModelParams()
+    model = stage.add_parser("model", help="feature table to model, predictions and metrics")
     model.add_argument("features")
     model.add_argument("model")
     model.add_argument("predictions")
+    model.add_argument("--train-tenths", type=int, default=forest.train_tenths)
+    model.add_argument("--split", default=forest.split, choices=("key", "random"))
+    model.add_argument("--trees", type=int, default=forest.trees)
+    model.add_argument("--depth", type=int, default=forest.depth)
+    model.add_argument("--seed", type=int, default=forest.seed)
+    model.add_argument("--partitions", type=int, default=forest.partitions)
 
+    told = CompletionSettings()
     alert = stage.add_parser("alerts", help="strongest alerts with prompts and answers")
     alert.add_argument("table")
     alert.add_argument("output")
     alert.add_argument("--by", default="flag", choices=("flag", "model"))
     alert.add_argument("--limit", type=int, default=3)
     alert.add_argument("--per-source", action="store_true")
+    alert.add_argument("--velocity", action="store_true", help="tell the change in the prompt")
     alert.add_argument("--connect", help="module:function that returns the completion function")
-    alert.add_argument("--model-name", default="")
+    alert.add_argument("--model-name", default=told.model)
+    alert.add_argument("--temperature", type=float, default=told.temperature)
+    alert.add_argument("--max-tokens", type=int, default=told.max_tokens)
+    alert.add_argument("--tasks", type=int, default=8, help="completions at once")
     return parser.parse_args(argv)
 
 
+def _layout(spark: SparkSession, args: argparse.Namespace):
+    if args.own_headers:
+        return counts.file_layouts(readers.read_rows(spark, args.structured))
+    header = lambda paths: readers.first_header(spark, paths) if paths else None
+    return counts.header_layout(header(args.hdfs_header_of), header(args.bgl_header_of))
+
+
 def main(argv: list[str] | None = None) -> None:
     args = _arguments(argv)
     spark = SparkSession.builder.appName(f"logrisk-{args.stage}").getOrCreate()
     if args.stage == "parse":
         stages.parse_stage(spark, args.raw, args.source, args.output)
     elif args.stage == "count":
-        layout = counts.POSITIONAL
-        if args.hdfs_header_of and args.bgl_header_of:
-            layout = counts.header_layout(
-                readers.first_header(spark, args.hdfs_header_of),
-                readers.first_header(spark, args.bgl_header_of),
-            )
         style = BucketStyle(args.hourly_hdfs, args.separator)
-        stages.count_stage(spark, args.structured, args.output, layout, style)
+        stages.count_stage(spark, args.structured, args.output, _layout(spark, args), style, args.rejects)
+    elif args.stage == "count-records":
+        records = {source: path for source, path in (("HDFS", args.hdfs), ("BGL", args.bgl)) if path}
+        if not records:
+            raise SystemExit("count-records needs --hdfs or --bgl")
+        style = BucketStyle(args.hourly_hdfs, args.separator)
+        stages.count_records_stage(spark, records, args.output, style)
     elif args.stage == "features":
-        params = FeatureParams(share_of=args.share_of, label_by=args.label_by)
-        stages.feature_stage(spark, args.counts, args.output, params)
+        params = FeatureParams(
+            label_share=args.label_share,
+            share_of=args.share_of,
+            label_by=args.label_by,
+            horizon_hours=args.horizon_hours,
+            slice_chars=args.slice_chars,
+            bucket_parts=args.bucket_parts,
+        )
+        stages.feature_stage(spark, args.counts, args.output, params, args.rejects)
     elif args.stage == "model":
-        metrics = stages.model_stage(spark, args.features, args.model, args.predictions)
+        params = ModelParams(
+            args.train_tenths, args.split, args.trees, args.depth, args.seed, args.partitions
+        )
+        metrics = stages.model_stage(spark, args.features, args.model, args.predictions, params)
         metrics.show(truncate=False)
     else:
         connect = None
@@ -86,8 +138,10 @@ def main(argv: list[str] | None = None) -> None:
             by=args.by,
             limit=args.limit,
             per_source=args.per_source,
+            template=alerts.PROMPT_WITH_VELOCITY if args.velocity else alerts.PROMPT,
             connect=connect,
-            settings=CompletionSettings(model=args.model_name),
+            settings=CompletionSettings(args.model_name, args.temperature, args.max_tokens),
+            tasks=args.tasks,
         )
 
 

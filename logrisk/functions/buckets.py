@@ -33,12 +33,17 @@ def compact_day(token: Column) -> Column:
     return F.when(F.length(token) >= 6, day).otherwise(token)
 
 
+def restore_zeros(token: Column) -> Column:
+    """Six digits from one to five, as a numeric column loses leading zeros; others unchanged."""
+    return F.when(token.rlike(r"\A[0-9]{1,5}\z"), F.lpad(token, 6, "0")).otherwise(token)
+
+
 def compact_hour(day_token: Column, time_token: Column, separator: str) -> Column:
-    """``yyMMdd`` and ``HHmmss`` to ``20yy-MM-dd<separator>HH``; keeps short day tokens."""
-    hour = F.substring(F.lpad(time_token, 6, "0"), 1, 2)
-    return F.when(
-        F.length(day_token) >= 6, F.concat_ws(separator, compact_day(day_token), hour)
-    ).otherwise(day_token)
+    """``yyMMdd`` and ``HHmmss`` to ``20yy-MM-dd<separator>HH``; where either is shorter, the day
+    token is kept as it is."""
+    hour = F.concat_ws(separator, compact_day(day_token), F.substring(time_token, 1, 2))
+    whole = (F.length(day_token) >= 6) & (F.length(time_token) >= 6)
+    return F.when(whole, hour).otherwise(day_token)
 
 
 def dashed_hour(token: Column, separator: str) -> Column:
@@ -60,3 +65,8 @@ def bucket_hour_number(date_hour: Column) -> Column:
     """Whole hours from 1970-01-01 00:00 to the bucket start; null for free-form buckets."""
     start = bucket_timestamp(date_hour)
     return F.unix_date(start.cast("date")).cast("bigint") * 24 + F.hour(start)
+
+
+def bucket_hours(date_hour: Column) -> Column:
+    """Length of a bucket in hours: 24 for a day, 1 otherwise."""
+    return F.when(F.length(date_hour) == 10, 24).otherwise(1)

@@ -57,15 +57,21 @@ def top_alerts(
     return raised.withColumn("_place", place).filter(F.col("_place") <= limit).drop("_place")
 
 
+def with_summary(alerts: DataFrame) -> DataFrame:
+    """Add ``frequency`` and ``distribution``, the frequency and the share in words."""
+    share = F.col("error_distribution")
+    return alerts.withColumns(
+        {
+            "frequency": F.concat(as_wire_number(F.col("error_frequency")), F.lit(" hits/hr")),
+            "distribution": F.when(share.isNotNull(), F.format_string("%.2f%%", share * 100)),
+        }
+    )
+
+
 def display_alerts(alerts: DataFrame) -> DataFrame:
     """Alerts in words: source, pattern, frequency and share."""
-    share = F.col("error_distribution")
-    return alerts.select(
-        "date_hour",
-        "source",
-        F.col("error_type").alias("error_pattern"),
-        F.concat(as_wire_number(F.col("error_frequency")), F.lit(" hits/hr")).alias("frequency"),
-        F.when(share.isNotNull(), F.format_string("%.2f%%", share * 100)).alias("distribution"),
+    return with_summary(alerts).select(
+        "date_hour", "source", F.col("error_type").alias("error_pattern"), "frequency", "distribution"
     )
 
 

@@ -7,12 +7,18 @@ one partial count per task.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logrisk.functions.buckets import BucketStyle, compact_day, compact_hour, dashed_hour
+from logrisk.functions.buckets import (
+    BucketStyle,
+    compact_day,
+    compact_hour,
+    dashed_hour,
+    restore_zeros,
+)
 from logrisk.functions.text import (
     csv_tokens,
     evaluate_once,
@@ -30,8 +36,8 @@ COUNTED, HEADER, BLANK, SHORT = "counted", "header", "blank", "short"
 class CsvLayout:
     """Token positions in the structured rows of both sources.
 
-    ``hdfs_time`` is read for hourly HDFS buckets only. ``pad_hdfs_day`` restores a leading
-    zero that a numeric column has lost.
+    ``hdfs_time`` is read for hourly HDFS buckets only. ``pad_hdfs`` restores leading zeros
+    that numeric day and time columns have lost.
     """
 
     hdfs_day: int
@@ -39,7 +45,7 @@ class CsvLayout:
     hdfs_type: int
     bgl_time: int
     bgl_type: int
-    pad_hdfs_day: bool = False
+    pad_hdfs: bool = False
 
 
 # The positions used unless a header says otherwise.
@@ -50,18 +56,39 @@ SOURCE_MARKERS = (("hdfs_logs", "HDFS"), ("bgl_logs", "BGL"))
 UNKNOWN = "UNKNOWN"
 
 
-def header_layout(hdfs_header: str, bgl_header: str) -> CsvLayout:
-    """Positions by column name: Date, Time, Level for HDFS and Time, Level for BGL."""
-    hdfs = [name.strip() for name in hdfs_header.split(",")]
-    bgl = [name.strip() for name in bgl_header.split(",")]
-    return CsvLayout(
-        hdfs_day=hdfs.index("Date"),
-        hdfs_time=hdfs.index("Time"),
-        hdfs_type=hdfs.index("Level"),
-        bgl_time=bgl.index("Time"),
-        bgl_type=bgl.index("Level"),
-        pad_hdfs_day=True,
+# The columns that are looked for by name, with the layout's field for each.
+HDFS_COLUMNS = {"hdfs_day": "Date", "hdfs_time": "Time", "hdfs_type": "Level"}
+BGL_COLUMNS = {"bgl_time": "Time", "bgl_type": "Level"}
+
+
+def header_layout(hdfs_header: str | None = None, bgl_header: str | None = None) -> CsvLayout:
+    """Positions by column name: Date, Time, Level for HDFS and Time, Level for BGL.
+
+    A source without a header keeps its ``POSITIONAL`` columns.
+    """
+    found = {}
+    for header, columns in ((hdfs_header, HDFS_COLUMNS), (bgl_header, BGL_COLUMNS)):
+        if header is not None:
+            names = [name.strip() for name in header.split(",")]
+            found.update({field: names.index(name) for field, name in columns.items()})
+    return replace(POSITIONAL, **found, pad_hdfs=hdfs_header is not None)
+
+
+def file_layouts(lines: DataFrame) -> DataFrame:
+    """``file_path`` and the positions that each file's own header (``LineId...``) gives.
+
+    Files without a header, and columns that it does not name, keep their ``POSITIONAL`` place.
+    One row per file; only header lines are shuffled.
+    """
+    headers = lines.filter(F.col("value").startswith("LineId"))
+    first = headers.groupBy("file_path").agg(F.min("value").alias("header"))
+    names = F.transform(F.split("header", ","), lambda name: F.trim(name))
+    place = lambda field, name: F.coalesce(
+        F.nullif(F.array_position(names, name), F.lit(0)) - 1, F.lit(getattr(POSITIONAL, field))
     )
+    wanted = {**HDFS_COLUMNS, **BGL_COLUMNS}
+    places = [place(field, name).cast("int").alias(field) for field, name in wanted.items()]
+    return first.select("file_path", *places, F.lit(True).alias("pad_hdfs"))
 
 
 def source_of(path: Column) -> Column:
@@ -73,25 +100,41 @@ def source_of(path: Column) -> Column:
     return source
 
 
+def _with_layout(lines: DataFrame, layout: CsvLayout | DataFrame) -> DataFrame:
+    """Lines with one ``layout`` for all, or with that of their file."""
+    if isinstance(layout, CsvLayout):
+        fields = [F.lit(value).alias(name) for name, value in asdict(layout).items()]
+        return lines.withColumn("layout", F.struct(*fields))
+    known = layout.select(F.col("file_path"), F.struct(*asdict(POSITIONAL)).alias("own"))
+    usual = F.struct(*[F.lit(value).alias(name) for name, value in asdict(POSITIONAL).items()])
+    joined = lines.join(known, "file_path", "left")
+    return joined.withColumn("layout", F.coalesce("own", usual)).drop("own")
+
+
 def classify_rows(
-    lines: DataFrame, layout: CsvLayout = POSITIONAL, style: BucketStyle = BucketStyle()
+    lines: DataFrame, layout: CsvLayout | DataFrame = POSITIONAL, style: BucketStyle = BucketStyle()
 ) -> DataFrame:
     """Structured CSV lines (``value``, ``file_path``) to count keys and a ``status``.
 
-    Headers are skipped wherever they occur. Rows of an unknown source are counted under
-    ``UNKNOWN``; rows with too few tokens are ``short``. Keys are null unless ``counted``.
+    ``layout`` holds for all lines, or is a table of ``file_layouts``. Headers are skipped
+    wherever they occur. Rows of an unknown source are counted under ``UNKNOWN``; rows with too
+    few tokens are ``short``. Keys are null unless ``counted``.
     """
-    tokens = lines.select(
+    tokens = _with_layout(lines, layout).select(
         "value",
+        "layout",
         source_of(F.col("file_path")).alias("source"),
         evaluate_once(csv_tokens(F.col("value"))).alias("_tokens"),
     )
     is_hdfs, is_bgl = F.col("source") == "HDFS", F.col("source") == "BGL"
     by_source = lambda hdfs, bgl: F.when(is_hdfs, hdfs).when(is_bgl, bgl)
-    token = lambda index: F.get("_tokens", F.lit(index))
+    at = lambda field: F.col("layout").getField(field)
+    token = lambda field: F.get("_tokens", at(field))
 
-    hdfs_needs = [layout.hdfs_day, layout.hdfs_type] + [layout.hdfs_time] * style.hourly_hdfs
-    last_needed = by_source(F.lit(max(hdfs_needs)), F.lit(max(layout.bgl_time, layout.bgl_type)))
+    hdfs_needs = ["hdfs_day", "hdfs_type"] + ["hdfs_time"] * style.hourly_hdfs
+    last_needed = by_source(
+        F.greatest(*map(at, hdfs_needs)), F.greatest(at("bgl_time"), at("bgl_type"))
+    )
     status = (
         F.when(F.col("value").startswith("LineId"), HEADER)
         # A blank line has no comma, so only one-token lines need the test.
@@ -101,16 +144,20 @@ def classify_rows(
     )
     picked = evaluate_struct_once(
         status=status,
-        _time=trim_text(by_source(token(layout.hdfs_day), token(layout.bgl_time))),
-        _clock=trim_text(F.when(is_hdfs, token(layout.hdfs_time)))
+        _pad=at("pad_hdfs"),
+        _time=trim_text(by_source(token("hdfs_day"), token("bgl_time"))),
+        _clock=trim_text(F.when(is_hdfs, token("hdfs_time")))
         if style.hourly_hdfs
         else F.lit(None).cast("string"),
-        _type=trim_text(by_source(token(layout.hdfs_type), token(layout.bgl_type))),
+        _type=trim_text(by_source(token("hdfs_type"), token("bgl_type"))),
     )
     time = F.col("_time")
-    day = F.when(F.length(time) < 6, F.lpad(time, 6, "0")).otherwise(time) if layout.pad_hdfs_day else time
+    padded = lambda column: F.when(F.col("_pad"), restore_zeros(column)).otherwise(column)
+    day = padded(time)
     hdfs_bucket = (
-        compact_hour(day, F.col("_clock"), style.separator) if style.hourly_hdfs else compact_day(day)
+        compact_hour(day, padded(F.col("_clock")), style.separator)
+        if style.hourly_hdfs
+        else compact_day(day)
     )
     date_hour = by_source(hdfs_bucket, dashed_hour(time, style.separator)).otherwise(UNKNOWN)
     error_type = by_source(F.col("_type"), F.col("_type")).otherwise(UNKNOWN)
@@ -130,15 +177,28 @@ def count_keys(keyed: DataFrame) -> DataFrame:
 
 
 def count_errors(
-    lines: DataFrame, layout: CsvLayout = POSITIONAL, style: BucketStyle = BucketStyle()
+    lines: DataFrame, layout: CsvLayout | DataFrame = POSITIONAL, style: BucketStyle = BucketStyle()
 ) -> DataFrame:
     """Structured CSV lines (``value``, ``file_path``) to counts."""
     rows = classify_rows(lines, layout, style)
     return count_keys(rows.filter(F.col("status") == COUNTED))
 
 
+def count_and_reject(
+    lines: DataFrame, layout: CsvLayout | DataFrame = POSITIONAL, style: BucketStyle = BucketStyle()
+) -> DataFrame:
+    """Counts and rejects in one pass: ``status``, the key, ``value`` and ``total_count``.
+
+    Counted rows are grouped by their key, without a ``value``; others by their status, source
+    and text.
+    """
+    rows = classify_rows(lines, layout, style)
+    text = F.when(F.col("status") != COUNTED, F.col("value")).alias("value")
+    return rows.groupBy("status", *COUNT_KEY, text).agg(F.count("*").alias("total_count"))
+
+
 def rejected_rows(
-    lines: DataFrame, layout: CsvLayout = POSITIONAL, style: BucketStyle = BucketStyle()
+    lines: DataFrame, layout: CsvLayout | DataFrame = POSITIONAL, style: BucketStyle = BucketStyle()
 ) -> DataFrame:
     """Lines that are not counted, with ``reason`` header, blank or short."""
     rows = classify_rows(lines, layout, style)
@@ -163,13 +223,14 @@ def record_keys(records: DataFrame, source: str, style: BucketStyle = BucketStyl
 
 
 def wire_key() -> Column:
-    """The composite key as one text; its byte order is the order of the count files."""
-    return F.concat_ws(",", *COUNT_KEY)
+    """The composite key as one text; its byte order is the order of the count files. A null in
+    it is ``UNKNOWN``."""
+    return F.concat_ws(",", *[F.coalesce(F.col(name), F.lit(UNKNOWN)) for name in COUNT_KEY])
 
 
 def wire_text() -> Column:
     """A count as ``date_hour,error_type,source,count``."""
-    return F.concat_ws(",", *COUNT_KEY, F.col("total_count").cast("string")).alias("value")
+    return F.concat_ws(",", wire_key(), F.col("total_count").cast("string")).alias("value")
 
 
 def first_counts(counts: DataFrame, limit: int = 20) -> DataFrame:
@@ -180,23 +241,36 @@ def first_counts(counts: DataFrame, limit: int = 20) -> DataFrame:
 def classify_wire(lines: DataFrame) -> DataFrame:
     """Count lines (``value``) to typed columns and a ``status``.
 
-    Lines with fewer than four fields are ``short``, those whose count is no number
-    ``bad_count``. Fields past the fourth are ignored.
+    The bucket ends at the first comma and the count begins after the last; before that stands
+    the source, and what is left, commas included, is the error type. Lines with fewer than four
+    fields are ``short``; those whose count is no whole number from 0 on are ``bad_count``.
     """
     fields = lines.select("value", evaluate_once(F.split("value", ",")).alias("_fields"))
-    field = lambda index: F.get("_fields", F.lit(index))
+    size = F.size("_fields")
+    count = F.get("_fields", size - 1).try_cast("double")
     typed = fields.select(
         "value",
-        *[field(i).alias(name) for i, name in enumerate(COUNT_KEY)],
-        field(3).try_cast("double").alias("total_count"),
-        F.size("_fields").alias("_size"),
+        F.get("_fields", F.lit(0)).alias("date_hour"),
+        F.array_join(F.slice("_fields", 3, F.greatest(size - 4, F.lit(0))), ",").alias("_tail"),
+        F.get("_fields", F.lit(1)).alias("_head"),
+        F.get("_fields", size - 2).alias("source"),
+        F.when((count >= 0) & (count < float("inf")) & (count == F.floor(count)), count).alias("total_count"),
+        size.alias("_size"),
     )
     status = (
         F.when(F.col("_size") < 4, SHORT)
         .when(F.col("total_count").isNull(), "bad_count")
         .otherwise(COUNTED)
     )
-    return typed.select("value", status.alias("status"), *COUNT_KEY, "total_count")
+    error_type = F.when(F.col("_size") > 4, F.concat_ws(",", "_head", "_tail")).otherwise(F.col("_head"))
+    whole = F.col("_size") >= 4
+    key = {"date_hour": F.col("date_hour"), "error_type": error_type, "source": F.col("source")}
+    return typed.select(
+        "value",
+        status.alias("status"),
+        *[F.when(whole, column).alias(name) for name, column in key.items()],
+        F.when(whole, F.col("total_count")).alias("total_count"),
+    )
 
 
 def parse_wire(lines: DataFrame) -> DataFrame:

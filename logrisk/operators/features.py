@@ -1,15 +1,14 @@
 """Counts to features and label.
 
-Every statistic is a partial aggregate joined back to the rows, so no source, bucket or
-error type has to fit in one task: buckets are totalled and joined in parts, keys in time
-slices. Whether a joined side is broadcast is left to the planner, which checks its size;
-beyond the threshold the join shuffles by these parts and slices. The only ordered window
-over rows, for the previous frequency, works on time slices of a key; the last row of each
-slice is handed to the next one.
-
-A null in a key counts as ``UNKNOWN``, the text the count stage uses as well. Keys are
-thereby known not to be null, so that all branches have the same plan up to the first
-shuffle, the one of the counts, and share it.
+Rows are shuffled twice: by (source, error type, time slice) for what a key's history says, and
+by (bucket, part of its error types) for the bucket's total, so no source, bucket or error type
+has to fit in one task. What a slice or part holds is first summed up where its rows are; only
+these sums meet per key and per bucket, in small shuffles, and are joined back to the rows. Each
+shuffle of rows carries its columns as one value, so that all that follows from it reads the same
+shuffle, whichever columns the caller needs: the input is read once.
+
+A null in a key counts as ``UNKNOWN``, the text the count stage uses as well; counts of equal
+keys are added.
 """
 
 from __future__ import annotations
@@ -19,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from logrisk.functions.buckets import bucket_hour_number
+from logrisk.functions.buckets import bucket_hour_number, bucket_hours
 from logrisk.operators.counts import COUNT_KEY, UNKNOWN
 
 FEATURE_COLUMNS = (
@@ -42,7 +41,7 @@ class FeatureParams:
     ``share_of``: ``source`` relates a frequency to its source's total in the bucket,
     ``cluster`` to the total of all sources.
     ``label_by``: ``rule`` labels the row itself, ``horizon`` labels rows whose key is
-    flagged within the following ``horizon_hours``.
+    flagged in a bucket that begins within ``horizon_hours`` of their end.
     ``slice_chars``: falling lengths of the prefixes of ``date_hour`` that make time slices;
     seven characters are a month. Results do not depend on them; (7, 4) adds years, for keys
     with many thousands of different prefixes.
@@ -74,69 +73,101 @@ def _frequencies(counts: DataFrame) -> DataFrame:
     return counts.select(*key, F.col("total_count").cast("double").alias("error_frequency"))
 
 
-def _usual_levels(rows: DataFrame) -> DataFrame:
-    """Mean plus sample deviation per (source, error_type); the deviation of one row is 0."""
-    deviation = F.coalesce(F.stddev_samp("error_frequency"), F.lit(0.0))
-    level = F.avg("error_frequency") + deviation
-    return rows.groupBy("source", "error_type").agg(level.alias("usual_level"))
+def _dealt(rows: DataFrame, *keys: str) -> DataFrame:
+    """Rows shuffled by their keys, the other columns as one value that no caller prunes."""
+    others = [name for name in rows.columns if name not in keys]
+    packed = rows.select(*keys, F.array(F.struct(*others)).alias("row")).repartition(*keys)
+    return packed.select(*keys, F.inline("row"))
 
 
-def _look_back(rows: DataFrame, slice_chars: tuple[int, ...], levels: DataFrame) -> DataFrame:
-    """Add ``before``, the ``point`` of the key's preceding row, and ``usual_level``.
+def _prefix(column: str, lengths: tuple[int, ...]) -> Column:
+    return F.substring(column, 1, lengths[0]) if lengths else F.lit("")
 
-    ``slice_chars`` are lengths of prefixes of ``date_hour``, which keep its order. Each row
-    looks back within the slice of its first prefix; the first row of a slice takes what
-    earlier slices hand on, and those are looked up in the same way by the next, shorter
-    prefix. The levels join where a key has fewest rows and travel with what is handed on, so
-    that the rows themselves are laid out once, by slice.
+
+def _merged(by: list[str]) -> list[Column]:
+    """``all_n`` and ``all_mean`` of a group of stretches, and each one's part of the deviation.
+
+    A stretch of time has ``n`` rows with a frequency, their ``mean`` and squared ``deviation``,
+    and the ``point`` of its last row.
     """
-    if not slice_chars:
-        key = Window.partitionBy("source", "error_type").orderBy("date_hour")
-        looked_back = rows.withColumn("before", F.lag("point").over(key))
-        return looked_back.join(levels, ["source", "error_type"], "left")
-    prefix = F.substring("date_hour", 1, slice_chars[0])
-    ends = rows.groupBy("source", "error_type", prefix.alias("date_hour")).agg(
-        F.max_by("point", "date_hour").alias("point")
-    )
-    handed_on = _look_back(ends, slice_chars[1:], levels).select(
-        "source",
-        "error_type",
-        F.col("date_hour").alias("slice"),
-        F.col("before").alias("handed_on"),
-        "usual_level",
-    )
-    in_slice = Window.partitionBy("source", "error_type", "slice").orderBy("date_hour")
-    return (
-        rows.withColumn("slice", prefix)
-        .withColumn("inside", F.lag("point").over(in_slice))
-        .join(handed_on, ["source", "error_type", "slice"], "left")
-        .select(*rows.columns, "usual_level", F.coalesce("inside", "handed_on").alias("before"))
-    )
+    group = Window.partitionBy(*by)
+    n = F.sum("n").over(group)
+    mean = F.try_divide(F.sum(F.col("n") * F.coalesce("mean", F.lit(0.0))).over(group), n)
+    shift = F.coalesce(F.col("mean") - mean, F.lit(0.0))
+    part = F.coalesce("deviation", F.lit(0.0)) + F.col("n") * shift * shift
+    return [n.alias("all_n"), mean.alias("all_mean"), part.alias("part")]
 
 
-def _with_history(rows: DataFrame, slice_chars: tuple[int, ...]) -> DataFrame:
-    """Add ``usual_level`` and ``previous``: the frequency in the key's preceding bucket, or 0.0."""
-    # A struct tells a preceding row without a frequency from no preceding row.
-    points = rows.select(*COUNT_KEY, F.struct("error_frequency").alias("point"))
-    looked_back = _look_back(points, slice_chars, _usual_levels(rows))
-    before = F.col("before")
-    return looked_back.select(
-        *COUNT_KEY,
-        "point.error_frequency",
-        "usual_level",
-        F.when(before.isNull(), 0.0).otherwise(before.getField("error_frequency")).alias("previous"),
+def _key_history(stretches: DataFrame, lengths: tuple[int, ...]) -> DataFrame:
+    """Stretches (``source, error_type, slice`` and their history) with ``handed_on``, the point
+    of the last row before each, and the key's ``usual_level``.
+
+    With more ``lengths`` the stretches of a key are themselves taken in slices.
+    """
+    by = ["source", "error_type"]
+    if lengths:
+        stretches = stretches.withColumn("outer", _prefix("slice", lengths))
+        by = [*by, "outer"]
+    parts = stretches.select("*", *_merged(by))
+    inside = F.lag("point").over(Window.partitionBy(*by).orderBy("slice"))
+    if not lengths:
+        spread = F.sum("part").over(Window.partitionBy(*by))
+        deviation = F.when(F.col("all_n") > 1, F.sqrt(spread / (F.col("all_n") - 1))).otherwise(0.0)
+        level = F.col("all_mean") + deviation
+        return parts.select("source", "error_type", "slice", inside.alias("handed_on"), level.alias("usual_level"))
+    outer = parts.groupBy("source", "error_type", F.col("outer").alias("slice")).agg(
+        F.max("all_n").alias("n"),
+        F.max("all_mean").alias("mean"),
+        F.sum("part").alias("deviation"),
+        F.max_by("point", "slice").alias("point"),
     )
+    before = _key_history(outer, lengths[1:]).withColumnsRenamed({"slice": "outer", "handed_on": "before_outer"})
+    looked_back = parts.withColumn("inside", inside).join(before, by, "left")
+    handed_on = F.coalesce("inside", "before_outer").alias("handed_on")
+    return looked_back.select("source", "error_type", "slice", handed_on, "usual_level")
 
 
-def _bucket_totals(rows: DataFrame, parts: list[str], bucket: list[str]) -> DataFrame:
-    """``bucket_total`` for each part of a bucket.
+def _with_history(rows: DataFrame, lengths: tuple[int, ...]) -> DataFrame:
+    """Add ``usual_level``, mean plus sample deviation of the key, and ``previous``, the frequency
+    in the key's preceding bucket, or 0.0.
 
-    A bucket may hold most of the rows, so it is summed and joined in parts; only the sums of
-    its parts, a bounded number, meet in one group.
+    ``lengths`` are those of prefixes of ``date_hour``, which keep its order. Each row looks back
+    within its slice; the first row of a slice takes what earlier slices hand on.
     """
-    sums = rows.groupBy(*parts).agg(F.sum("error_frequency").alias("part_total"))
+    keys = ["source", "error_type", "slice"]
+    dealt = _dealt(rows.withColumn("slice", _prefix("date_hour", lengths)), *keys)
+    dealt = dealt.groupBy(*keys, "date_hour").agg(F.sum("error_frequency").alias("error_frequency"))
+    # A struct tells a preceding row without a frequency from no preceding row.
+    dealt = dealt.withColumn("point", F.struct("error_frequency"))
+    stretches = dealt.groupBy(*keys).agg(
+        F.count("error_frequency").alias("n"),
+        F.avg("error_frequency").alias("mean"),
+        (F.var_pop("error_frequency") * F.count("error_frequency")).alias("deviation"),
+        F.max_by("point", "date_hour").alias("point"),
+    )
+    inside = F.lag("point").over(Window.partitionBy(*keys).orderBy("date_hour"))
+    before = F.coalesce("inside", "handed_on")
+    return (
+        dealt.withColumn("inside", inside)
+        .join(_key_history(stretches, lengths[1:]), keys, "left")
+        .select(
+            *COUNT_KEY,
+            "error_frequency",
+            "usual_level",
+            F.when(before.isNull(), 0.0).otherwise(before.getField("error_frequency")).alias("previous"),
+        )
+    )
+
+
+def _with_totals(rows: DataFrame, bucket: list[str], parts: int) -> DataFrame:
+    """Add ``bucket_total``. A bucket may hold most of the rows, so it is summed and joined in
+    parts, by error type; only the sums of its parts, a bounded number, meet in one group."""
+    keys = [*bucket, "part"]
+    part = F.pmod(F.xxhash64("error_type"), F.lit(parts))
+    dealt = _dealt(rows.withColumn("part", part), *keys)
+    sums = dealt.groupBy(*keys).agg(F.sum("error_frequency").alias("part_total"))
     whole = F.sum("part_total").over(Window.partitionBy(*bucket))
-    return sums.select(*parts, whole.alias("bucket_total"))
+    return dealt.join(sums.select(*keys, whole.alias("bucket_total")), keys, "left")
 
 
 def _share(part: Column, whole: Column) -> Column:
@@ -155,24 +186,17 @@ def engineer_features(counts: DataFrame, params: FeatureParams = FeatureParams()
     rule label is a function of two features: near-perfect scores on it do not show an
     ability to forecast. ``label_by="horizon"`` gives a target in the future.
     """
-    rows = _frequencies(counts)
     bucket = ["date_hour"] if params.share_of == "cluster" else ["source", "date_hour"]
+    rows = _with_history(_frequencies(counts), params.slice_chars)
     frequency = F.col("error_frequency")
-    part = F.pmod(F.xxhash64("error_type"), F.lit(params.bucket_parts)).alias("part")
-    totals = _bucket_totals(rows.select("*", part), [*bucket, "part"], bucket)
-    measured = (
-        _with_history(rows, params.slice_chars)
-        .select("*", part)
-        .join(totals, [*bucket, "part"], "left")
-        .select(
-            "date_hour",
-            "error_type",
-            "source",
-            "error_frequency",
-            _share(frequency, F.col("bucket_total")).alias("error_distribution"),
-            _growth(frequency, F.col("previous")).alias("rate_of_change"),
-            F.when(frequency > F.col("usual_level"), 1).otherwise(0).alias("high_error_flag"),
-        )
+    measured = _with_totals(rows, bucket, params.bucket_parts).select(
+        "date_hour",
+        "error_type",
+        "source",
+        "error_frequency",
+        _share(frequency, F.col("bucket_total")).alias("error_distribution"),
+        _growth(frequency, F.col("previous")).alias("rate_of_change"),
+        F.when(frequency > F.col("usual_level"), 1).otherwise(0).alias("high_error_flag"),
     )
     if params.label_by == "horizon":
         return label_ahead(measured, params.horizon_hours)
@@ -181,19 +205,21 @@ def engineer_features(counts: DataFrame, params: FeatureParams = FeatureParams()
 
 
 def label_ahead(features: DataFrame, horizon_hours: int) -> DataFrame:
-    """Label 1 where the key is flagged within the next ``horizon_hours`` hours.
+    """Label 1 where the key is flagged in a bucket that begins within ``horizon_hours`` hours of
+    the row's end; a day's bucket ends after 24 hours, an hour's after one.
 
-    Flagged rows are copied to the hours before them as marks; rows and marks of the same key
+    Flagged rows are copied as marks to the ends that they follow; rows and marks of the same key
     and hour then meet in one shuffle, and the marks are dropped. Buckets that are not times
     get label 0.
     """
-    hour = bucket_hour_number(F.col("date_hour"))
+    start = bucket_hour_number(F.col("date_hour"))
+    end = start + bucket_hours(F.col("date_hour"))
     point = lambda at, mark: F.struct(at.alias("hour"), F.lit(mark).alias("mark"))
     marks = F.transform(
-        F.sequence(F.lit(1), F.lit(horizon_hours)), lambda ahead: point(hour - ahead, 1)
+        F.sequence(F.lit(0), F.lit(horizon_hours - 1)), lambda ahead: point(start - ahead, 1)
     )
-    flagged = (F.col("high_error_flag") == 1) & hour.isNotNull()
-    own = F.array(point(hour, 0))
+    flagged = (F.col("high_error_flag") == 1) & start.isNotNull()
+    own = F.array(point(end, 0))
     free_form = F.when(F.col("hour").isNull(), F.col("date_hour"))
     meeting = Window.partitionBy("source", "error_type", "hour", free_form)
     return (
@@ -208,15 +234,7 @@ def label_ahead(features: DataFrame, horizon_hours: int) -> DataFrame:
 def preview_features(features: DataFrame, limit: int = 20) -> DataFrame:
     """The first feature rows in key order, without the label."""
     return (
-        features.select(
-            "date_hour",
-            "source",
-            "error_type",
-            "error_frequency",
-            "error_distribution",
-            "rate_of_change",
-            "high_error_flag",
-        )
+        features.select(*[name for name in FEATURE_COLUMNS if name != "label"])
         .orderBy("date_hour", "source", "error_type")
         .limit(limit)
     )

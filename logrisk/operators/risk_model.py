@@ -1,8 +1,8 @@
 """Features to a risk model, scores and metrics.
 
 Split and training do not depend on how the input happens to be partitioned: the split is a
-hash of the row key, and the training rows are laid out by that key over a number of
-partitions that follows from their count.
+hash of the row key, and the training rows are laid out by that key over a fixed number of
+partitions. Another number gives another, equally good forest.
 """
 
 from __future__ import annotations
@@ -37,8 +37,8 @@ class ModelParams:
 
     ``train_tenths`` of the keys go to training; with ``split="random"`` rows are sampled
     with the seed instead, which changes with the partitioning. Training rows are spread
-    over at least ``min_partitions``, and over more once they exceed ``rows_per_partition``
-    each.
+    over ``partitions``, whatever their number: set it once, to a few times the cores that
+    training may use, as the forest depends on it.
     """
 
     train_tenths: int = 8
@@ -46,8 +46,13 @@ class ModelParams:
     trees: int = 20
     depth: int = 5
     seed: int = 42
-    min_partitions: int = 8
-    rows_per_partition: int = 1_000_000
+    partitions: int = 8
+
+    def __post_init__(self) -> None:
+        if self.split not in ("key", "random"):
+            raise ValueError(f"split: {self.split!r}")
+        if not 0 < self.train_tenths < 10 or self.partitions < 1:
+            raise ValueError("train_tenths must lie between 0 and 10, partitions above 0")
 
 
 def row_key() -> Column:
@@ -82,27 +87,22 @@ _GIVEN_INPUTS = [name for name in MODEL_INPUTS if name != "source_index"]
 
 
 def is_complete() -> Column:
-    """True for rows whose model inputs are all known. ``source_index`` always is."""
-    return reduce(and_, [F.col(name).isNotNull() for name in _GIVEN_INPUTS])
+    """True for rows whose model inputs are all numbers. ``source_index`` always is."""
+    known = [F.col(name).isNotNull() & ~F.isnan(F.col(name).cast("double")) for name in _GIVEN_INPUTS]
+    return reduce(and_, known)
 
 
 def train_risk_model(train: DataFrame, params: ModelParams = ModelParams()) -> PipelineModel:
     """Fit indexer, assembler and forest.
 
     Rows with an unknown input are not learnt from. Raises unless the others hold both labels:
-    a forest of one class would give probabilities without a risk entry. Give a stored table:
-    fitting reads it repeatedly.
+    a forest of one class would give probabilities without a risk entry. The rows are read once
+    and kept while fitting.
     """
     rows = train.filter(is_complete()).select(*COUNT_KEY, *_GIVEN_INPUTS, "label")
-    size = rows.agg(
-        F.count("*").alias("rows"), F.min("label").alias("low"), F.max("label").alias("high")
-    ).head()
-    if size.rows == 0 or size.low == size.high:
-        raise ValueError("training needs rows of both labels")
-    spread = max(params.min_partitions, -(-size.rows // params.rows_per_partition))
     laid_out = (
         rows.withColumn("_key", row_key())
-        .repartition(spread, "_key")
+        .repartition(params.partitions, "_key")
         .sortWithinPartitions("_key")
         .drop("_key")
         .persist(StorageLevel.MEMORY_AND_DISK)
@@ -114,6 +114,9 @@ def train_risk_model(train: DataFrame, params: ModelParams = ModelParams()) -> P
         numTrees=params.trees, maxDepth=params.depth, seed=params.seed
     )
     try:
+        labels = laid_out.agg(F.min("label").alias("low"), F.max("label").alias("high")).head()
+        if labels.low == labels.high:
+            raise ValueError("training needs rows of both labels")
         return Pipeline(stages=[source_indexer(), assembler, forest]).fit(laid_out)
     finally:
         laid_out.unpersist()

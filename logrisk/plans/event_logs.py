@@ -18,15 +18,6 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores for costly expressions over a small file that one task would scan.
-
-    Inputs that come in at least as many splits as there are cores are left as they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
-
-
 def _at(pattern: str) -> Column:
     return F.date_format("ts", pattern)
 
@@ -60,7 +51,7 @@ def _by_type(**lines: Column) -> Column:
 
 
 def _lines(events: DataFrame, *lines: Column) -> DataFrame:
-    return spread(events).select(F.explode(F.array(*lines)).alias("value"))
+    return events.select(F.explode(F.array(*lines)).alias("value"))
 
 
 def hdfs_lines(events: DataFrame) -> DataFrame:
@@ -184,7 +175,7 @@ def mixed_rows(events: DataFrame) -> DataFrame:
     )
     other = F.struct(F.concat("event_id", F.lit(",?")).alias("value"), F.lit("other").alias("folder"))
     both = F.when(F.col("event_type") == "signup", F.array(known, other)).otherwise(F.array(known))
-    return spread(events).select(F.inline(both))
+    return events.select(F.inline(both))
 
 
 def header_rows(events: DataFrame) -> DataFrame:
@@ -211,7 +202,69 @@ def header_rows(events: DataFrame) -> DataFrame:
         _quoted_content(),
     )
     is_hdfs = source() == "HDFS"
-    return spread(events).select(
+    return events.select(
         F.when(is_hdfs, hdfs).otherwise(bgl).alias("value"),
         F.when(is_hdfs, "/logs/hdfs_logs/a.csv").otherwise("/logs/bgl_logs/a.csv").alias("file_path"),
     )
+
+
+# The same columns in another order, as a second file of the source has them.
+MOVED_HDFS_HEADER = "LineId,Level,Date,Pid,Time,Content,Component"
+
+
+def moved_columns(rows: DataFrame) -> DataFrame:
+    """Rows of ``header_rows``, of which those of HDFS with an odd line number stand in a second
+    file, whose columns are in the order of ``MOVED_HDFS_HEADER``."""
+    field = lambda i: F.get(F.split("value", ","), F.lit(i))
+    moved = F.concat_ws(",", field(0), field(4), field(1), field(3), field(2), F.lit("m"))
+    second = F.col("file_path").contains("hdfs") & (field(0).cast("bigint") % 2 == 1)
+    return rows.select(
+        F.when(second, moved).otherwise(F.col("value")).alias("value"),
+        F.when(second, "/logs/hdfs_logs/b.csv").otherwise(F.col("file_path")).alias("file_path"),
+    )
+
+
+def header_lines(spark: SparkSession) -> DataFrame:
+    """The header of each file of ``moved_columns``."""
+    heads = [
+        (HDFS_HEADER, "/logs/hdfs_logs/a.csv"),
+        (MOVED_HDFS_HEADER, "/logs/hdfs_logs/b.csv"),
+        (BGL_HEADER, "/logs/bgl_logs/a.csv"),
+    ]
+    return spark.createDataFrame(heads, "value string, file_path string")
+
+
+def odd_time_rows(events: DataFrame) -> DataFrame:
+    """HDFS rows in the order of ``HDFS_HEADER`` with odd days and clocks, by event type."""
+    day, clock = _at("yyMMdd"), _at("HHmmss")
+    odd = _by_type(
+        click=F.concat(F.lit(","), clock),
+        error=F.concat(F.lit("n/a,"), clock),
+        purchase=F.concat(day, F.lit(",")),
+        signup=F.concat(day, F.lit(",7")),
+        view=F.concat(day.cast("int").cast("string"), F.lit(",x")),
+    )
+    value = F.concat_ws(",", F.col("event_id"), odd, F.lit("1"), severity(), F.lit("c,m"))
+    return events.select(value.alias("value"), F.lit("/logs/hdfs_logs/a.csv").alias("file_path"))
+
+
+def awkward_keys(events: DataFrame) -> DataFrame:
+    """Count keys whose types hold commas and quotes."""
+    error_type = _by_type(
+        click=F.lit('"a,b"'), error=F.lit("x,,y,"), purchase=F.lit(",z"), signup=F.lit("7,HDFS,9"), view=F.lit("plain")
+    )
+    return events.select(_at("yyyy-MM-dd HH").alias("date_hour"), error_type.alias("error_type"), source().alias("source"))
+
+
+def wire_lines(events: DataFrame) -> DataFrame:
+    """A count line per event; by its type the count is whole, or none that is accepted."""
+    count = _by_type(
+        click=F.col("event_id").cast("string"),
+        error=F.lit("NaN"),
+        purchase=F.lit("Infinity"),
+        signup=F.lit("-1"),
+        view=F.lit("2.5"),
+    )
+    value = F.concat_ws(",", _at("yyyy-MM-dd HH"), severity(), F.concat(F.lit("S"), "event_id"), count)
+    short = F.when(F.col("event_type") == "view", F.lit("a,b,3"))
+    return events.select(F.explode(F.array_compact(F.array(value, short))).alias("value"))

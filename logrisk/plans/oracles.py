@@ -325,7 +325,8 @@ SELECT date_hour, source, error_type AS error_pattern,
     "alert_prompts_velocity": f"""WITH {_FEATURES}
 SELECT date_hour, error_type, source, {_prompt(_VELOCITY)} AS prompt {_RAISED}""",
     "alerts_stored": f"""WITH {_FEATURES}
-SELECT *, {_prompt()} AS prompt {_RAISED}
+SELECT *, error_frequency::DECIMAL(20,1)::VARCHAR || ' hits/hr' AS frequency,
+  printf('%.2f%%', error_distribution * 100) AS distribution, {_prompt()} AS prompt {_RAISED}
 QUALIFY row_number() OVER (PARTITION BY source ORDER BY {_ORDER}) <= 3""",
     "alerts_enriched": f"""WITH {_FEATURES}
 SELECT date_hour, error_type, source,
@@ -334,3 +335,62 @@ SELECT date_hour, error_type, source,
 {_RAISED}""",
 }
 ORACLES["counts_from_files"] = ORACLES["counts_by_path"]
+ORACLES["counts_from_path_list"] = f"""WITH {_EVENT}
+SELECT CASE source WHEN 'HDFS' THEN day ELSE date_hour END AS date_hour, error_type, source,
+  count(*) AS total_count FROM event GROUP BY ALL"""
+ORACLES["bgl_records_from_files"] = ORACLES["bgl_parse"]
+ORACLES["counts_and_rejects_from_files"] = """
+SELECT 'HDFS' AS source, 'counted' AS status, count(*) AS total_lines FROM events
+UNION ALL SELECT 'BGL', 'counted', count(*) + count(*) FILTER (event_type = 'view') FROM events
+UNION ALL SELECT * FROM (""" + ORACLES["csv_rejects"] + ")"
+ORACLES["counts_by_file_header"] = ORACLES["counts_by_header"]
+ORACLES["counts_of_odd_times"] = f"""WITH {_EVENT}
+SELECT CASE event_type
+    WHEN 'click' THEN ''
+    WHEN 'error' THEN 'n/a'
+    WHEN 'purchase' THEN {_PART_OF_DAY}
+    WHEN 'signup' THEN day || ' 00'
+    ELSE printf('%06d', {_PART_OF_DAY}::INT) END AS date_hour,
+  error_type, 'HDFS' AS source, count(*) AS total_count
+FROM event GROUP BY ALL"""
+ORACLES["wire_round_trip"] = f"""WITH {_EVENT}
+SELECT date_hour, CASE event_type WHEN 'click' THEN '"a,b"' WHEN 'error' THEN 'x,,y,' WHEN 'purchase' THEN ',z'
+    WHEN 'signup' THEN '7,HDFS,9' ELSE 'plain' END AS error_type,
+  source, count(*)::DOUBLE AS total_count FROM event GROUP BY ALL"""
+ORACLES["wire_counts_checked"] = """
+SELECT 'bad_count' AS reason, count(*) AS total_lines FROM events WHERE event_type <> 'click'
+UNION ALL SELECT 'short', count(*) FROM events WHERE event_type = 'view'
+UNION ALL SELECT 'sum of counts', sum(event_id)::BIGINT FROM events WHERE event_type = 'click'"""
+
+
+def _horizon(counts: str) -> str:
+    """Labels by comparing each row with all flagged ones of its key."""
+    return f"""WITH {counts},{_features()},
+timed AS (
+  SELECT *, epoch(strptime(date_hour || CASE length(date_hour) WHEN 10 THEN ' 00' ELSE '' END, '%Y-%m-%d %H'))::BIGINT
+      // 3600 AS starts, CASE length(date_hour) WHEN 10 THEN 24 ELSE 1 END AS hours
+  FROM features
+)
+SELECT * EXCLUDE (starts, hours, label), CASE WHEN EXISTS (
+    SELECT 1 FROM timed b WHERE b.source = a.source AND b.error_type = a.error_type AND b.high_error_flag = 1
+      AND b.starts >= a.starts + a.hours AND b.starts < a.starts + a.hours + 2) THEN 1 ELSE 0 END AS label
+FROM timed a"""
+
+
+ORACLES["label_horizon_daily"] = _horizon(_HDFS_CSV_COUNTS)
+ORACLES["label_horizon_mixed"] = _horizon(_EVENT + """,
+counts AS (
+  SELECT day AS date_hour, error_type, 'HDFS' AS source, count(*) AS total_count FROM event GROUP BY ALL
+  UNION ALL
+  SELECT date_hour, error_type, 'HDFS', count(*) FROM event GROUP BY ALL
+)""")
+ORACLES["risk_metrics_checked"] = f"""WITH {_FEATURES}
+SELECT count(*) AS scored_rows, sum(label)::BIGINT AS positives, true AS accurate,
+  true AS no_worse_than_the_majority, true AS recall_is_accuracy
+FROM features WHERE NOT {_IN_TRAINING}"""
+ORACLES["predictions_preview_keys"] = f"""WITH {_FEATURES}
+SELECT date_hour, error_type, source, error_frequency, label FROM features WHERE NOT {_IN_TRAINING}
+ORDER BY date_hour, error_type, source LIMIT 10"""
+ORACLES["alerts_by_stated_model"] = f"""WITH {_FEATURES}
+SELECT date_hour, error_type, source, error_frequency, label::DOUBLE AS prediction, error_distribution AS risk
+FROM features WHERE label = 1 ORDER BY error_distribution DESC, {_ORDER} LIMIT 10"""

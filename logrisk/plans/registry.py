@@ -87,7 +87,7 @@ def parse_rejects(spark, sf_dir):
 def document_lines(spark, sf_dir):
     """Every line of the free-text documents through the HDFS grammar."""
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    lines = logs.spread(documents).select(
+    lines = documents.select(
         "doc_id", F.explode(F.split("text", r"\r\n|\r|\n")).alias("value")
     )
     classified = raw_logs.classify_lines(lines, raw_logs.HDFS)
@@ -175,6 +175,56 @@ def counts_from_files(spark, sf_dir):
     return counts.count_errors(readers.read_rows(spark, path))
 
 
+@_query
+def counts_from_path_list(spark, sf_dir):
+    """Folders given as one comma-separated list; the folder left out is not read."""
+    path = scratch_path(spark, "structured")
+    logs.mixed_rows(logs.read_events(spark, sf_dir)).write.partitionBy("folder").text(path)
+    listed = ",".join(f"{path}/folder={folder}" for folder in ("hdfs_logs", "bgl_logs"))
+    return counts.count_errors(readers.read_rows(spark, listed))
+
+
+@_query
+def bgl_records_from_files(spark, sf_dir):
+    """Raw BGL lines through text files to stored records."""
+    raw, stored = scratch_path(spark, "raw-bgl"), scratch_path(spark, "classified-bgl")
+    logs.bgl_lines(logs.read_events(spark, sf_dir)).write.text(raw)
+    stages.parse_stage(spark, raw, "BGL", stored)
+    return stages.stored_records(spark, stored, "BGL")
+
+
+@_query
+def counts_and_rejects_from_files(spark, sf_dir):
+    """What the count stage makes of structured files: lines counted and rejected, by reason."""
+    path, output = scratch_path(spark, "structured"), scratch_path(spark, "counts")
+    events = logs.read_events(spark, sf_dir)
+    for rows, folder in ((logs.hdfs_rows(events), "hdfs_logs"), (logs.bgl_rows(events), "bgl_logs")):
+        rows.select("value").write.text(f"{path}/{folder}")
+    stages.count_stage(spark, f"{path}/hdfs_logs,{path}/bgl_logs", output)
+    rejected = readers.read_table(spark, f"{output}-rejects")
+    counted = counts.parse_wire(readers.read_lines(spark, output))
+    lines = counted.select("source", F.lit("counted").alias("status"), F.col("total_count").alias("n"))
+    lines = lines.unionByName(rejected.select("source", F.col("reason").alias("status"), F.col("total_lines").alias("n")))
+    return lines.groupBy("source", "status").agg(F.sum("n").cast("bigint").alias("total_lines"))
+
+
+@_query
+def counts_by_file_header(spark, sf_dir):
+    """Columns found by the header of each file; the files of a source need not agree."""
+    rows = logs.header_rows(logs.read_events(spark, sf_dir))
+    moved = logs.moved_columns(rows)
+    heads = logs.header_lines(spark)
+    lines = moved.unionByName(heads)
+    return counts.count_errors(lines, counts.file_layouts(lines), BucketStyle(hourly_hdfs=True))
+
+
+@_query
+def counts_of_odd_times(spark, sf_dir):
+    """HDFS rows whose days and clocks are empty, no numbers or short, in hourly buckets."""
+    rows = logs.odd_time_rows(logs.read_events(spark, sf_dir))
+    return counts.count_errors(rows, counts.header_layout(logs.HDFS_HEADER), BucketStyle(hourly_hdfs=True))
+
+
 @_query
 def counts_by_header(spark, sf_dir):
     """Structured rows whose columns are found by header name, in hourly buckets."""
@@ -221,7 +271,26 @@ def counts_from_wire(spark, sf_dir):
     """Counts stored as text lines in key order, read back and parsed."""
     path = scratch_path(spark, "counts")
     writers.write_counts(event_counts(spark, sf_dir), path)
-    return counts.parse_wire(readers.read_count_text(spark, f"{path}/part-*"))
+    return counts.parse_wire(readers.read_lines(spark, f"{path}/part-*"))
+
+
+@_query
+def wire_round_trip(spark, sf_dir):
+    """Counts of types that hold commas and quotes, through text files and back."""
+    path = scratch_path(spark, "counts")
+    writers.write_counts(counts.count_keys(logs.awkward_keys(logs.read_events(spark, sf_dir))), path)
+    return counts.parse_wire(readers.read_lines(spark, path))
+
+
+@_query
+def wire_counts_checked(spark, sf_dir):
+    """Count lines of all kinds, through files and the feature stage: counted and rejected."""
+    path, output = scratch_path(spark, "wire"), scratch_path(spark, "features")
+    logs.wire_lines(logs.read_events(spark, sf_dir)).write.text(path)
+    stages.feature_stage(spark, path, output)
+    rejected = readers.read_table(spark, f"{output}-rejects").groupBy("reason").agg(F.count("*").alias("total_lines"))
+    kept = readers.read_table(spark, output).agg(F.sum("error_frequency").cast("bigint").alias("total_lines"))
+    return rejected.unionByName(kept.withColumn("reason", F.lit("sum of counts")))
 
 
 @_query
@@ -280,6 +349,21 @@ def label_horizon(spark, sf_dir):
     return event_features(spark, sf_dir, FeatureParams(label_by="horizon"))
 
 
+@_query
+def label_horizon_daily(spark, sf_dir):
+    """Horizon labels where buckets are days."""
+    return features.engineer_features(counts_hdfs_csv(spark, sf_dir), FeatureParams(label_by="horizon"))
+
+
+@_query
+def label_horizon_mixed(spark, sf_dir):
+    """Horizon labels of keys with day and hour buckets."""
+    hours = event_counts(spark, sf_dir).withColumn("source", F.lit("HDFS"))
+    hours = hours.groupBy(*counts.COUNT_KEY).agg(F.sum("total_count").alias("total_count"))
+    both = counts_hdfs_csv(spark, sf_dir).unionByName(hours)
+    return features.engineer_features(both, FeatureParams(label_by="horizon"))
+
+
 @_query
 def features_preview(spark, sf_dir):
     return features.preview_features(event_features(spark, sf_dir))
@@ -348,11 +432,34 @@ def metrics_flag_as_predictor(spark, sf_dir):
     return measured.select(*[F.round(name, 10).alias(name) for name in measured.columns])
 
 
+@_query
+def risk_metrics_checked(spark, sf_dir):
+    """What must hold for the metrics whatever the forest: rows, positives, and an accuracy on
+    the rule label above 0.95 and no lower than that of the larger class."""
+    scored = _test_predictions(spark, sf_dir).filter("prediction IS NOT NULL")
+    size = scored.agg(F.count("*").alias("scored_rows"), F.sum("label").cast("bigint").alias("positives"))
+    share = F.greatest(F.col("positives"), F.col("scored_rows") - F.col("positives")) / F.col("scored_rows")
+    # Both tables have one row.
+    return size.withColumn("k", F.lit(1)).join(risk_model.evaluate_risk(scored).withColumn("k", F.lit(1)), "k").select(
+        "scored_rows",
+        "positives",
+        (F.col("accuracy") > 0.95).alias("accurate"),
+        (F.col("accuracy") >= share).alias("no_worse_than_the_majority"),
+        (F.abs(F.col("accuracy") - F.col("weighted_recall")) < 1e-12).alias("recall_is_accuracy"),
+    )
+
+
 @_query
 def predictions_preview(spark, sf_dir):
     return risk_model.preview_predictions(_test_predictions(spark, sf_dir))
 
 
+@_query
+def predictions_preview_keys(spark, sf_dir):
+    """The preview without the model's opinion."""
+    return predictions_preview(spark, sf_dir).drop("prediction", "risk")
+
+
 # Alerts
 
 
@@ -394,6 +501,17 @@ def alerts_by_model(spark, sf_dir):
     )
 
 
+@_query
+def alerts_by_stated_model(spark, sf_dir):
+    """Alerts by a prediction and a risk that SQL can state: the label and the share."""
+    stated = event_features(spark, sf_dir).withColumns(
+        {"prediction": F.col("label").cast("double"), "risk": F.col("error_distribution")}
+    )
+    return alerts.top_alerts(stated, limit=10, by="model").select(
+        *counts.COUNT_KEY, "error_frequency", "prediction", "risk"
+    )
+
+
 @_query
 def alerts_enriched(spark, sf_dir):
     """Answers to the prompts of all alerts, one failure not affecting the others.

@@ -18,6 +18,7 @@ from logrisk.operators import alerts, counts, features, raw_logs, risk_model
 from logrisk.operators.features import FeatureParams
 from logrisk.operators.risk_model import ModelParams
 from logrisk.sources import readers, writers
+from logrisk.sources.scratch import materialize
 
 
 def parse_stage(
@@ -38,12 +39,27 @@ def count_stage(
     spark: SparkSession,
     structured: str | Sequence[str],
     output: str,
-    layout: counts.CsvLayout = counts.POSITIONAL,
+    layout: counts.CsvLayout | DataFrame = counts.POSITIONAL,
     style: BucketStyle = BucketStyle(),
+    rejects: str | None = None,
 ) -> None:
-    """Structured files, told apart by their path, to ordered count lines."""
+    """Structured files, told apart by their path, to ordered count lines.
+
+    Lines that are not counted are stored with their ``reason`` and number in ``rejects``, by
+    default ``<output>-rejects``. The files are read once for both.
+    """
     lines = readers.read_rows(spark, structured)
-    writers.write_counts(counts.count_errors(lines, layout, style), output)
+    done = materialize(counts.count_and_reject(lines, layout, style), "counted")
+    counted = F.col("status") == counts.COUNTED
+    writers.write_counts(done.filter(counted), output)
+    rejected = done.filter(~counted).select(
+        "value", "source", F.col("status").alias("reason"), F.col("total_count").alias("total_lines")
+    )
+    writers.write_table(rejected, rejects or _beside(output, "rejects"))
+
+
+def _beside(output: str, name: str) -> str:
+    return f"{output.rstrip('/')}-{name}"
 
 
 def count_records_stage(
@@ -63,11 +79,22 @@ def count_records_stage(
 
 
 def feature_stage(
-    spark: SparkSession, count_files: str, output: str, params: FeatureParams = FeatureParams()
+    spark: SparkSession,
+    count_files: str | Sequence[str],
+    output: str,
+    params: FeatureParams = FeatureParams(),
+    rejects: str | None = None,
 ) -> None:
-    """Count lines to the feature table."""
-    parsed = counts.parse_wire(readers.read_count_text(spark, count_files))
-    writers.write_table(features.engineer_features(parsed, params), output)
+    """Count lines to the feature table.
+
+    Lines that hold no count are stored with their ``reason`` in ``rejects``, by default
+    ``<output>-rejects``. The text is read and parsed once for both.
+    """
+    classified = materialize(counts.classify_wire(readers.read_lines(spark, count_files)), "wire")
+    counted = F.col("status") == counts.COUNTED
+    rejected = classified.filter(~counted).select("value", F.col("status").alias("reason"))
+    writers.write_table(rejected, rejects or _beside(output, "rejects"))
+    writers.write_table(features.engineer_features(classified.filter(counted), params), output)
 
 
 def model_stage(
@@ -77,12 +104,15 @@ def model_stage(
     predictions_output: str,
     params: ModelParams = ModelParams(),
 ) -> DataFrame:
-    """Train on the training keys, score the others, store both; returns the metrics."""
+    """Train on the training keys, score the others, store both and the metrics, which are
+    returned, in ``<predictions>-metrics``."""
     train, test = risk_model.split_features(readers.read_table(spark, feature_table), params)
     risk_model.train_risk_model(train, params).write().overwrite().save(model_output)
     model = PipelineModel.load(model_output)
     writers.write_table(risk_model.score_risk(model, test), predictions_output)
-    return risk_model.evaluate_risk(readers.read_table(spark, predictions_output))
+    metrics = risk_model.evaluate_risk(readers.read_table(spark, predictions_output))
+    writers.write_table(metrics, _beside(predictions_output, "metrics"))
+    return readers.read_table(spark, _beside(predictions_output, "metrics"))
 
 
 def alert_stage(
@@ -95,12 +125,16 @@ def alert_stage(
     template: str = alerts.PROMPT,
     connect: Callable[[], Callable[..., str]] | None = None,
     settings: alerts.CompletionSettings = alerts.CompletionSettings(),
+    tasks: int = 8,
 ) -> None:
-    """The strongest alerts of a feature or prediction table with prompts, answered if asked."""
+    """The strongest alerts of a feature or prediction table, in words and with prompts.
+
+    With ``connect`` they are answered as well, by ``tasks`` tasks at once.
+    """
     raised = alerts.top_alerts(readers.read_table(spark, table), limit, by, per_source)
-    prompts = alerts.build_prompts(raised, template)
+    prompts = alerts.with_summary(alerts.build_prompts(raised, template))
     shown = [name for name in features.FEATURE_COLUMNS if name in prompts.columns]
-    result = prompts.select(*shown, "prompt")
+    result = prompts.select(*shown, "frequency", "distribution", "prompt")
     if connect is not None:
-        result = alerts.answer_prompts(result, connect, settings)
+        result = alerts.answer_prompts(result, connect, settings, tasks)
     writers.write_table(result, output)

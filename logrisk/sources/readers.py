@@ -24,11 +24,6 @@ def read_rows(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     return spark.read.text(_path_list(paths)).select("value", "_metadata.file_path")
 
 
-def read_count_text(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Lines of aggregate part files as ``value``, usually given as a glob of ``part-*`` files."""
-    return read_lines(spark, paths)
-
-
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """A Parquet table written by this package."""
     return spark.read.parquet(path)

@@ -95,10 +95,65 @@ def test_header_layout_finds_columns_and_restores_zeros(rows):
     assert keys(daily)[0][1] == "2008-11-09"
 
 
+@pytest.mark.parametrize(
+    "layout, day, clock, bucket",
+    [
+        ("header", "", "203518", ""),
+        ("header", "n/a", "203518", "n/a"),
+        ("header", "81109", "", "081109"),
+        ("header", "81109", "7", "2008-11-09 00"),
+        ("header", "81109", "x", "081109"),
+        ("positional", "81109", "203518", "81109"),
+        ("positional", "081109", "3518", "081109"),
+        ("positional", "081109", "203518", "2008-11-09 20"),
+    ],
+)
+def test_only_digits_of_numeric_columns_are_padded(rows, layout, day, clock, bucket):
+    header = counts.header_layout("LineId,Date,Time,Pid,x,Level")
+    df = rows((f"1,{day},{clock},p,x,WARN", HDFS_PATH))
+    found = counts.classify_rows(df, header if layout == "header" else counts.POSITIONAL, BucketStyle(hourly_hdfs=True))
+    assert keys(found)[0][1] == bucket
+
+
+def test_columns_follow_the_header_of_each_file(rows):
+    df = rows(
+        ("LineId,Level,Date", "/hdfs_logs/a"),
+        ("1,WARN,81109", "/hdfs_logs/a"),
+        ("LineId,Date,Level", "/hdfs_logs/b"),
+        ("1,081110,INFO", "/hdfs_logs/b"),
+        ("1,081111,1,p,x,ERROR", "/hdfs_logs/c"),
+    )
+    found = counts.count_errors(df, counts.file_layouts(df)).collect()
+    assert {(r.date_hour, r.error_type) for r in found} == {
+        ("2008-11-09", "WARN"), ("2008-11-10", "INFO"), ("2008-11-11", "ERROR"),
+    }
+
+
 def test_wire_lines(lines):
-    df = counts.classify_wire(lines("d,ERROR,HDFS,12", "d,ERROR,HDFS", "d,E,H,x", "d,E,H,3,4", ""))
-    found = [(r.status, r.total_count) for r in df.collect()]
-    assert found == [("counted", 12.0), ("short", None), ("bad_count", None), ("counted", 3.0), ("short", None)]
+    df = counts.classify_wire(lines("d,ERROR,HDFS,12", "d,ERROR,HDFS", "d,E,H,x", "d,E,H,3,4", "", "d,,S,1"))
+    found = [(r.status, r.error_type, r.source, r.total_count) for r in df.collect()]
+    assert found == [
+        ("counted", "ERROR", "HDFS", 12.0),
+        ("short", None, None, None),
+        ("bad_count", "E", "H", None),
+        ("counted", "E,H", "3", 4.0),
+        ("short", None, None, None),
+        ("counted", "", "S", 1.0),
+    ]
+
+
+@pytest.mark.parametrize("count", ["NaN", "Infinity", "-Infinity", "-1", "2.5", "", " ", "1e400", "x1"])
+def test_counts_must_be_whole_numbers(lines, count):
+    assert [r.status for r in counts.classify_wire(lines(f"d,E,H,{count}")).collect()] == ["bad_count"]
+
+
+def test_types_with_commas_survive_the_wire(spark):
+    keys = [("d", '"a,b"', "H"), ("d", ",", "H"), ("d", "a,,b,", "H"), ("d", "", "H"), ("", "x", "")]
+    df = spark.createDataFrame([(*key, 3) for key in keys], "date_hour string, error_type string, source string, total_count long")
+    back = counts.parse_wire(df.select(counts.wire_text())).collect()
+    assert sorted((r.date_hour, r.error_type, r.source) for r in back) == sorted(keys)
+    null = spark.createDataFrame([("d", None, "H", 3)], df.schema).select(counts.wire_text()).head().value
+    assert null == "d,UNKNOWN,H,3"
 
 
 def test_wire_order_is_the_order_of_the_joined_text(spark):

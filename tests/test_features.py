@@ -1,4 +1,5 @@
 import random
+import re
 
 import pandas as pd
 import pytest
@@ -166,6 +167,28 @@ def test_zero_totals_and_null_keys_are_kept(spark):
     assert [(r[0], r[1], r[4]) for r in found] == [("UNKNOWN", "E", 1.0), ("a", "E", None), ("a", "UNKNOWN", None)]
 
 
+def test_counts_of_equal_keys_are_added(spark):
+    rows = [("a", None, "S", 4), ("a", "UNKNOWN", "S", 8), ("b", "UNKNOWN", "S", 24)]
+    found = rows_of(engineer_features(frame(spark, rows)))
+    assert [(r[0], r[3], r[5]) for r in found] == [("a", 12.0, 0.0), ("b", 24.0, 1.0)]
+
+
+def test_label_ahead_of_days(spark):
+    rows = [(f"2024-01-{d:02}", "E", "S", 90 if d == 10 else 1) for d in range(1, 15)]
+    rows += [("2024-01-05 00", "F", "S", 90), ("2024-01-04", "F", "S", 1), ("2024-01-03", "F", "S", 1), ("2024-01-04 23", "F", "S", 1)]
+    df = engineer_features(frame(spark, rows), FeatureParams(label_by="horizon"))
+    found = {(r.date_hour, r.error_type) for r in df.filter("label = 1").collect()}
+    assert found == {("2024-01-09", "E"), ("2024-01-04", "F"), ("2024-01-04 23", "F")}
+
+
+@pytest.mark.parametrize("name", ["label_horizon", "label_horizon_daily", "label_horizon_mixed"])
+def test_horizon_entries_hold_both_labels(spark, name):
+    from logrisk.plans.registry import QUERIES
+
+    found = QUERIES[name](spark, "/root/testdata/sf0.01").groupBy("label").count().collect()
+    assert {r.label for r in found} == {0, 1}
+
+
 def test_label_ahead(spark):
     quiet = [(f"2024-01-01 {h:02}", "E", "S", 1) for h in range(10)]
     rows = quiet + [("2024-01-01 12", "E", "S", 90), ("2024-01-01 11", "E", "S", 1), ("free", "E", "S", 1)]
@@ -190,15 +213,44 @@ def test_invariants_on_the_events(spark, sf_dir):
     df.unpersist()
 
 
-def test_the_input_is_counted_once(spark, sf_dir):
-    """All branches reuse the one shuffle that counts the events."""
+def executed(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+
+
+ONE_SCAN = [
+    "features_full",
+    "features_daily",
+    "distribution_cluster",
+    "label_horizon",
+    "feat_rate_of_change",
+    "alert_display",
+    "alert_prompts",
+    "alert_prompts_velocity",
+    "alerts_enriched",
+    "alerts_topk",
+    "metrics_flag_as_predictor",
+    "split_assignment",
+]
+
+
+@pytest.mark.parametrize("name", ONE_SCAN)
+def test_the_input_is_read_once(spark, sf_dir, name):
+    from logrisk.plans.registry import QUERIES
+
+    assert executed(QUERIES[name](spark, sf_dir)).count("FileScan") == 1
+
+
+def test_rows_are_shuffled_twice_and_sums_four_times(spark, sf_dir, joins_without_broadcast):
     from logrisk.plans.registry import event_features
 
-    df = event_features(spark, sf_dir)
-    df.collect()
-    final = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
-    assert final.count("FileScan") == 1
-    assert final.count("ReusedExchange") == 3
+    plan = executed(event_features(spark, sf_dir))
+    exchanges = re.findall(r"(?<!Reused)Exchange hashpartitioning\(([^)]*)\), (\w+)", plan)
+    shown = plan.count("ReusedExchange")
+    # One for the counts of the events besides; what is reused is printed again where it is.
+    assert len({e for e in exchanges}) <= 7, exchanges
+    assert sum(kind == "REPARTITION_BY_COL" for _, kind in set(exchanges)) == 2
+    assert shown == 2
 
 
 @pytest.mark.parametrize("wrong", [{"share_of": "x"}, {"label_by": "x"}, {"slice_chars": (0,)}, {"slice_chars": (4, 7)}, {"horizon_hours": 0}, {"bucket_parts": 0}])

@@ -25,6 +25,18 @@ def test_query_equals_sql_at_larger_scale(spark, name, scale):
     assert duck.difference(QUERIES[name](spark, folder), duck.connect(folder), ORACLES[name]) is None
 
 
+PARSING = [
+    "hdfs_parse", "hdfs_rejects", "bgl_parse", "bgl_details", "parse_rejects", "document_lines", "csv_split",
+    "counts_hdfs_csv", "counts_bgl_csv", "csv_rejects", "counts_by_path", "counts_by_header", "counts_from_records",
+]
+
+
+@pytest.mark.parametrize("name", PARSING)
+def test_lines_are_parsed_where_they_are_read(spark, sf_dir, name):
+    plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "RoundRobin" not in plan and "REPARTITION" not in plan
+
+
 def test_sql_belongs_to_queries():
     assert set(ORACLES) <= set(QUERIES)
 

@@ -7,7 +7,7 @@ from logrisk.operators import risk_model
 from logrisk.plans.registry import event_features
 from logrisk.sources.scratch import materialize
 
-PARAMS = risk_model.ModelParams(trees=5, depth=3, min_partitions=4)
+PARAMS = risk_model.ModelParams(trees=5, depth=3, partitions=4)
 
 
 @pytest.fixture(scope="module")
@@ -49,6 +49,27 @@ def test_training_does_not_depend_on_the_layout(features):
         assert scores(risk_model.train_risk_model(layout, PARAMS), test) == expected
 
 
+def test_the_number_of_rows_does_not_change_the_layout(spark, features, monkeypatch):
+    seen = []
+    fit = risk_model.Pipeline.fit
+    monkeypatch.setattr(risk_model.Pipeline, "fit", lambda self, df: seen.append(df.rdd.getNumPartitions()) or fit(self, df))
+    train, _ = risk_model.split_features(features)
+    for df in (train, train.union(train), train.limit(300)):
+        risk_model.train_risk_model(df, PARAMS)
+    assert seen == [PARAMS.partitions] * 3
+
+
+@pytest.mark.parametrize("wrong", [{"split": "x"}, {"train_tenths": 10}, {"partitions": 0}])
+def test_wrong_settings_raise(wrong):
+    with pytest.raises(ValueError):
+        risk_model.ModelParams(**wrong)
+
+
+def test_rows_that_are_no_numbers_are_incomplete(features):
+    odd = features.limit(1).withColumn("rate_of_change", F.lit(float("nan")))
+    assert odd.filter(risk_model.is_complete()).count() == 0
+
+
 def test_one_class_raises(features):
     with pytest.raises(ValueError, match="both labels"):
         risk_model.train_risk_model(features.filter("label = 0"), PARAMS)

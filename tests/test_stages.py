@@ -1,8 +1,8 @@
 """Files, scratch tables and the stored stages from end to end."""
 
-from types import SimpleNamespace
-
+import answers_for_tests
 import pytest
+from pyspark import cloudpickle
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
@@ -73,7 +73,7 @@ def test_counts_are_not_overwritten(spark, events, tmp_path):
     writers.write_counts(table, path)
     with pytest.raises(AnalysisException):
         writers.write_counts(table, path)
-    back = counts.parse_wire(readers.read_count_text(spark, f"{path}/part-*"))
+    back = counts.parse_wire(readers.read_lines(spark, f"{path}/part-*"))
     assert same_rows(back, table.withColumn("total_count", F.col("total_count").cast("double")))
 
 
@@ -102,13 +102,6 @@ def test_tables_are_snappy_and_failures_raise(spark, events, tmp_path):
         writers.write_table(events, str(tmp_path / "file" / "t"))
 
 
-def test_only_small_inputs_are_spread(spark, events):
-    cores = spark.sparkContext.defaultParallelism
-    assert logs.spread(events).rdd.getNumPartitions() == cores
-    wide = events.repartition(cores + 3)
-    assert logs.spread(wide) is wide
-
-
 def test_first_header(spark, tmp_path):
     (tmp_path / "a.csv").write_text("LineId,Date,Time\n1,2,3\n")
     assert readers.first_header(spark, str(tmp_path)) == "LineId,Date,Time"
@@ -156,7 +149,8 @@ def test_all_stages(spark, files, sf_dir, tmp_path):
 
     stages.alert_stage(spark, out("hourly_features"), out("alerts"), connect=connect)
     rows = readers.read_table(spark, out("alerts")).collect()
-    assert len(rows) == 3
+    assert len(rows) == 3 and all(r.frequency.endswith(" hits/hr") and r.distribution.endswith("%") for r in rows)
+    assert readers.read_table(spark, out("predictions-metrics")).head() == metrics
     assert all(r.answer == f"Log source: {r.source}" and r.error is None for r in rows)
     stages.alert_stage(spark, out("predictions"), out("model_alerts"), by="model", per_source=True)
     assert readers.read_table(spark, out("model_alerts")).count() == 6
@@ -172,20 +166,90 @@ def test_records_to_counts(spark, files, sf_dir, tmp_path):
     stages.parse_stage(spark, f"{files}/raw_hdfs", "HDFS", out("hdfs"))
     stages.parse_stage(spark, f"{files}/raw_bgl", "BGL", out("bgl"))
     stages.count_records_stage(spark, {"HDFS": out("hdfs"), "BGL": out("bgl")}, out("counts"))
-    found = counts.parse_wire(readers.read_count_text(spark, f"{out('counts')}/part-*"))
+    found = counts.parse_wire(readers.read_lines(spark, f"{out('counts')}/part-*"))
     expected = registry.QUERIES["counts_from_records"](spark, sf_dir)
     assert same_rows(found, expected.withColumn("total_count", F.col("total_count").cast("double")))
 
 
+def test_answers_are_spread_over_tasks(spark, sf_dir, tmp_path):
+    writers.write_table(registry.event_features(spark, sf_dir), str(tmp_path / "features"))
+
+    def connect():
+        from pyspark import TaskContext
+
+        return lambda prompt, **told: str(TaskContext.get().partitionId())
+
+    stages.alert_stage(spark, str(tmp_path / "features"), str(tmp_path / "alerts"), limit=60, connect=connect, tasks=6)
+    answers = [r.answer for r in readers.read_table(spark, str(tmp_path / "alerts")).collect()]
+    assert len(answers) == 60 and len(set(answers)) == 6
+
+
+def test_rejects_are_stored_and_nothing_is_lost(spark, tmp_path):
+    out = lambda name: str(tmp_path / name)
+    (tmp_path / "hdfs_logs").mkdir()
+    rows = ['1,081109,1,p,x,"a,b"'] * 5 + ["1,081109,1,p,x,INFO"] * 3 + ["1,2", "1,2", "", "LineId,x"]
+    (tmp_path / "hdfs_logs" / "a.csv").write_text("\n".join(rows) + "\n")
+    stages.count_stage(spark, out("hdfs_logs"), out("counts"))
+    rejects = {(r.value, r.reason, r.total_lines) for r in readers.read_table(spark, out("counts-rejects")).collect()}
+    assert rejects == {("1,2", "short", 2), ("", "blank", 1), ("LineId,x", "header", 1)}
+    lines = readers.read_lines(spark, out("counts")).union(spark.createDataFrame([("d,E,H,NaN",), ("x",)], "value string"))
+    lines.write.text(out("more"))
+    stages.feature_stage(spark, out("more"), out("features"), rejects=out("bad"))
+    assert {(r.value, r.reason) for r in readers.read_table(spark, out("bad")).collect()} == {("d,E,H,NaN", "bad_count"), ("x", "short")}
+    kept = {r.error_type: r.error_frequency for r in readers.read_table(spark, out("features")).collect()}
+    assert kept == {'"a,b"': 5.0, "INFO": 3.0}
+
+
+def executed(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+
+
+def test_features_of_text_scan_the_text_once(spark, sf_dir, tmp_path):
+    """Without a table between: every branch starts from one shuffle of the rows."""
+    lines = readers.read_lines(spark, _hourly_counts(spark, sf_dir, str(tmp_path / "counts")))
+    from logrisk.operators.features import engineer_features
+
+    assert executed(engineer_features(counts.parse_wire(lines))).count("FileScan") == 1
+
+
 def test_command_line(spark, files, sf_dir, tmp_path, capsys):
     out = lambda name: str(tmp_path / name)
     command.main(["parse", "HDFS", f"{files}/raw_hdfs", out("parsed")])
-    command.main(["count", f"{files}/structured", out("counts"), "--hourly-hdfs"])
-    command.main(["features", f"{out('counts')}/part-*", out("features")])
-    command.main(["model", out("features"), out("model"), out("predictions")])
-    command.main(["alerts", out("features"), out("alerts"), "--limit", "2"])
+    command.main(["count-records", out("record_counts"), "--hdfs", out("parsed")])
+    assert readers.read_lines(spark, out("record_counts")).count() > 0
+    with pytest.raises(SystemExit):
+        command.main(["count-records", out("none")])
+    command.main(["count", f"{files}/structured", out("counts"), "--hourly-hdfs", "--rejects", out("bad")])
+    assert readers.read_table(spark, out("bad")).columns == ["value", "source", "reason", "total_lines"]
+    options = ["--label-share", "0.3", "--horizon-hours", "3", "--slice-chars", "7,4", "--bucket-parts", "4"]
+    command.main(["features", f"{out('counts')}/part-*", out("features"), *options])
+    small = ["--trees", "3", "--depth", "3", "--seed", "1", "--partitions", "2", "--train-tenths", "7", "--split", "key"]
+    command.main(["model", out("features"), out("model"), out("predictions"), *small])
+    command.main(["alerts", out("features"), out("alerts"), "--limit", "2", "--velocity"])
     assert "accuracy" in capsys.readouterr().out
-    assert readers.read_table(spark, out("alerts")).count() == 2
+    rows = readers.read_table(spark, out("alerts")).collect()
+    assert len(rows) == 2 and all("previous window" in r.prompt for r in rows)
+    cloudpickle.register_pickle_by_value(answers_for_tests)  # the workers do not see this folder
+    told = ["--connect", "answers_for_tests:connect", "--temperature", "0.5", "--max-tokens", "7", "--model-name", "m", "--tasks", "2"]
+    command.main(["alerts", out("features"), out("answers"), *told])
+    assert {r.answer for r in readers.read_table(spark, out("answers")).collect()} == {"m 0.5 7"}
+
+
+@pytest.mark.parametrize("which", ["hdfs", "bgl"])
+def test_each_header_option_works_alone(spark, tmp_path, which):
+    for name, header, row in (
+        ("hdfs", "LineId,Level,Date,Time", "1,WARN,81109,3518"),
+        ("bgl", "LineId,Time,Level", "1,2005-06-03-15.42,FATAL"),
+    ):
+        (tmp_path / f"{name}_logs").mkdir()
+        (tmp_path / f"{name}_logs" / "a.csv").write_text(f"{header}\n{row}\n")
+    paths = f"{tmp_path}/hdfs_logs,{tmp_path}/bgl_logs"
+    command.main(["count", paths, str(tmp_path / "out"), f"--{which}-header-of", str(tmp_path / f"{which}_logs")])
+    expected = {"hdfs": "2008-11-09,WARN,HDFS,1", "bgl": "2005-06-03 15,FATAL,BGL,1"}
+    assert [r.value for r in readers.read_lines(spark, str(tmp_path / "out")).collect()] == [expected[which]]
+    command.main(["count", paths, str(tmp_path / "own"), "--own-headers"])
+    assert {r.value for r in readers.read_lines(spark, str(tmp_path / "own")).collect()} == set(expected.values())
 
 
 def test_command_line_with_headers(spark, events, sf_dir, tmp_path):
@@ -199,6 +263,6 @@ def test_command_line_with_headers(spark, events, sf_dir, tmp_path):
     paths = [str(tmp_path / folder) for folder in folders]
     headers = ["--hdfs-header-of", paths[0], "--bgl-header-of", paths[1]]
     command.main(["count", ",".join(paths), str(tmp_path / "counts"), "--hourly-hdfs", *headers])
-    found = counts.parse_wire(readers.read_count_text(spark, f"{tmp_path}/counts/part-*"))
+    found = counts.parse_wire(readers.read_lines(spark, f"{tmp_path}/counts/part-*"))
     expected = registry.event_counts(spark, sf_dir)
     assert same_rows(found, expected.withColumn("total_count", F.col("total_count").cast("double")))
