@@ -33,8 +33,11 @@ from logrisk.llm.rows import map_rows
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 #: Symbols that are merged directly; longer words are halved.
 LEAF = 96
+#: Symbols up to which all neighbours are looked at anew for each merge.
+FEW = 24
 #: Words kept with their tokens in each Python worker.
-CACHE_WORDS = 200_000
+CACHE_WORDS = 400_000
+_NONE = (1 << 62, 0)  # no merge; ranks are below
 
 _ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
 _WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^ \p{L}\p{N}]+")
@@ -52,6 +55,23 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in plain else chr(next(other)) for b in range(256)]
 
 
+class _Cache(dict):
+    """Ids and tokens by word, emptied when full."""
+
+    def __init__(self, encoder: WordBpe):
+        super().__init__()
+        self.encoder = encoder
+
+    def __missing__(self, word: str) -> tuple[bytes, str]:
+        ids, token = self.encoder.encode_word(word), self.encoder.token
+        found = struct.pack(f"<{len(ids)}I", *ids), " ".join([token[i] for i in ids])
+        if len(self) >= CACHE_WORDS:
+            self.clear()
+        if len(word) <= 64:
+            self[word] = found
+        return found
+
+
 class WordBpe:
     """Encoder for a tokenizer file of byte-level BPE with word ends."""
 
@@ -74,11 +94,32 @@ class WordBpe:
             number: len(text.removesuffix(self.end)) for text, number in vocab.items()
         }
         self.splitter = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True))))
-        self.cache: dict[str, tuple[bytes, str]] = {}
+        self.cache = _Cache(self)
         self._library = None
 
     def merge(self, symbols: list[int]) -> list[int]:
         """Merge neighbours, lowest rank first, leftmost among equal ranks."""
+        return self._merge_few(symbols) if len(symbols) <= FEW else self._merge_many(symbols)
+
+    def _merge_few(self, symbols: list[int]) -> list[int]:
+        """By looking at all neighbours anew for each merge."""
+        tokens, find = list(symbols), self.merges.get
+        found = [find(pair, _NONE) for pair in zip(tokens, tokens[1:])]
+        while found:
+            best = min(found)
+            if best is _NONE:
+                break
+            i = found.index(best)
+            tokens[i : i + 2] = [best[1]]
+            del found[i]
+            if i:
+                found[i - 1] = find((tokens[i - 1], best[1]), _NONE)
+            if i < len(found):
+                found[i] = find((best[1], tokens[i + 1]), _NONE)
+        return tokens
+
+    def _merge_many(self, symbols: list[int]) -> list[int]:
+        """By a heap of the merges that are possible."""
         merges = self.merges
         n = len(symbols)
         tokens, after, before = list(symbols), list(range(1, n + 1)), list(range(-1, n - 1))
@@ -154,30 +195,17 @@ class WordBpe:
         plain = self._library.normalizer.normalize_str(text)
         return [plain[a:b] for _, (a, b) in self._library.pre_tokenizer.pre_tokenize_str(plain)]
 
-    def _known(self, word: str) -> tuple[bytes, str]:
-        ids = self.encode_word(word)
-        found = struct.pack(f"<{len(ids)}I", *ids), " ".join([self.token[i] for i in ids])
-        if len(self.cache) >= CACHE_WORDS:
-            self.cache.clear()
-        if len(word) <= 64:
-            self.cache[word] = found
-        return found
-
     def encode(self, text: str | None) -> tuple[bytes, str]:
         """Ids as little-endian 32-bit integers, and the decoded text."""
-        ids, decoded, start = [], [], 0
+        pairs, start = [], 0
         text = text or ""
         for match in [*self.splitter.finditer(text), None]:
-            cache, known = self.cache, self._known
-            for word in self.words(text[start : match.start() if match else len(text)]):
-                pair = cache.get(word) or known(word)
-                ids.append(pair[0])
-                decoded.append(pair[1])
+            words = self.words(text[start : match.start() if match else len(text)])
+            pairs.extend(map(self.cache.__getitem__, words))
             if match:
-                ids.append(struct.pack("<I", self.special[match[0]]))
-                decoded.append(match[0])
+                pairs.append((struct.pack("<I", self.special[match[0]]), match[0]))
                 start = match.end()
-        return b"".join(ids), " ".join(decoded)
+        return b"".join([ids for ids, _ in pairs]), " ".join([decoded for _, decoded in pairs])
 
     def decode(self, ids: bytes) -> str:
         return " ".join([self.token[i] for (i,) in struct.iter_unpack("<I", ids)])
