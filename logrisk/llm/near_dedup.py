@@ -22,6 +22,7 @@ An empty table gives an empty result; other columns are ignored by ``classes`` a
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,6 +42,7 @@ PICKED = 2
 SIMILARITY = 0.8
 BLOCK = 1024
 _BINS = 512
+_WIDE = 8192
 _CACHE_WORDS = 500_000
 _RNG = np.random.default_rng(20240229)
 _FACTORS = _RNG.integers(1, 2**63, SKETCHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -104,23 +106,43 @@ def word_ids(text: str | None, hashes: WordHashes) -> tuple[bytes, np.ndarray]:
     return digest, np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
 
 
-def bits_of(words: np.ndarray) -> dict[int, int]:
-    """For every word the places where it stands, as the bits of a number."""
-    out: dict[int, int] = {}
-    for place, word in enumerate(words.tolist()):
-        out[word] = out.get(word, 0) | 1 << place
-    return out
+class Places:
+    """For every word of a text the places where it stands, as bits of a number.
 
+    Numbers as wide as the text take space in the square of its length, so those of a text of
+    more than ``_WIDE`` words are made from lists of places, for the band that is asked for.
+    """
 
-def distance_within(longer: dict[int, int], n: int, shorter: list[int], most: int) -> bool:
-    """Whether the edit distance of a text of ``n`` words, given by ``bits_of``, and one of at most
-    as many words is at most ``most``.
+    def __init__(self, words: np.ndarray):
+        self.n = len(words)
+        self.bits: dict[int, int] = {}
+        self.lists: dict[int, list[int]] = {}
+        for place, word in enumerate(words.tolist()):
+            if self.n <= _WIDE:
+                self.bits[word] = self.bits.get(word, 0) | 1 << place
+            else:
+                self.lists.setdefault(word, []).append(place)
+
+    def band(self, word: int, shift: int, mask: int, width: int) -> int:
+        """The places from ``shift`` on, ``width`` of them, as bits from 0 on."""
+        if self.n <= _WIDE:
+            places = self.bits.get(word, 0)
+            return (places >> shift if shift >= 0 else places << -shift) & mask
+        places, out = self.lists.get(word, ()), 0
+        for place in places[bisect_left(places, shift) : bisect_left(places, shift + width)]:
+            out |= 1 << place - shift
+        return out
+
+
+def distance_within(longer: Places, shorter: list[int], most: int) -> bool:
+    """Whether the edit distance of a text, given by its ``Places``, and one of at most as many
+    words is at most ``most``.
 
     A banded alignment, one word of the shorter text at a time: bits of a number hold the vertical
     differences of the ``2 * most + 1`` diagonals around the main one (Hyyro's bit vectors). It ends
     as soon as the value at the band's edge can no longer come down to ``most``.
     """
-    m = len(shorter)
+    n, m = longer.n, len(shorter)
     if n <= most:
         return True
     if n - m > most:
@@ -132,8 +154,7 @@ def distance_within(longer: dict[int, int], n: int, shorter: list[int], most: in
     level = m - (n - most)  # columns that are left once the band's edge has met the last row
     row_bit = top >> 1
     for column, word in enumerate(shorter):
-        places = longer.get(word, 0)
-        match = (places >> shift if shift >= 0 else places << -shift) & mask
+        match = longer.band(word, shift, mask, width)
         shift += 1
         zero = ((((match & rising) + rising) ^ rising) | match | falling) & mask
         right_up = falling | (mask ^ (zero | rising))
@@ -158,7 +179,7 @@ class Member:
         self.digest, self.words = digest, words
         numbered = _mixed(words.astype(np.uint64) + occurrences(words) * _MIX) if len(words) else words
         self.numbered = np.sort(numbered)
-        self.bits: dict[int, int] | None = None
+        self.where: Places | None = None
         self.bins = np.bincount(words % _BINS, minlength=_BINS).astype(np.int32)
 
 
@@ -172,9 +193,9 @@ def near(x: Member, y: Member, most: int) -> bool:
     shared = int((x.numbered[at] == y.numbered).sum()) if len(x.numbered) else 0
     if len(x.words) - shared > most:
         return False
-    if x.bits is None:
-        x.bits = bits_of(x.words)
-    return distance_within(x.bits, len(x.words), y.words.tolist(), most)
+    if x.where is None:
+        x.where = Places(x.words)
+    return distance_within(x.where, y.words.tolist(), most)
 
 
 def most_edits(n: int, m: int, similarity: float) -> int:

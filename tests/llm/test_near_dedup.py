@@ -18,7 +18,9 @@ def edit_distance(a, b):
     return row[-1]
 
 
-def test_distance_within_against_the_full_table():
+@pytest.mark.parametrize("wide", [8192, 0])
+def test_distance_within_against_the_full_table(monkeypatch, wide):
+    monkeypatch.setattr(near_dedup, "_WIDE", wide)
     rng = random.Random(1)
     for _ in range(3000):
         a = [rng.randint(0, 3) for _ in range(rng.randint(0, 14))]
@@ -33,10 +35,18 @@ def test_distance_within_against_the_full_table():
         d = edit_distance(a, b)
         a, b = (a, b) if len(a) >= len(b) else (b, a)
         for most in range(0, 8):
-            found = near_dedup.distance_within(near_dedup.bits_of(np.array(a, np.uint32)), len(a), b, most)
+            found = near_dedup.distance_within(near_dedup.Places(np.array(a, np.uint32)), b, most)
             assert found == (d <= most), (a, b, most, d)
 
 
+def test_long_texts_take_bounded_memory():
+    words = np.random.default_rng(1).integers(0, 2**32, 30_000).astype(np.uint32)
+    other = words.copy()
+    other[::100] += 1
+    one, two = near_dedup.Member(b"1", words), near_dedup.Member(b"2", other)
+    assert near_dedup.near(one, two, 300) and not near_dedup.near(one, two, 299)
+
+
 def brute_classes(texts, similarity=near_dedup.SIMILARITY):
     words = [(t or "").split() for t in texts]
     label = list(range(len(texts)))
