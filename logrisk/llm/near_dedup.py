@@ -5,8 +5,8 @@ Each of ``SKETCHES`` hash functions picks the ``PICKED`` least occurrence-labell
 ``K`` words and keeps them in text order; their hash is a bucket key. Order MinHash collides for
 texts of a small edit distance: two texts are near duplicates when their words' edit similarity,
 ``1 - distance / longer length``, is ``SIMILARITY`` or more. At a similarity of 0.95, 0.9, 0.85
-and 0.8 with edits spread evenly, some bucket holds both with probability above 0.999, 0.99, 0.9
-and 0.7; the alignment then decides exactly.
+and 0.8 with edits spread evenly, some bucket holds both with probability above 0.999, 0.98, 0.9
+and 0.6; the alignment then decides exactly.
 
 Within a bucket every pair that is not yet connected is tested, by lengths, word counts and then
 an alignment within the band that the threshold allows, so no link between members is lost and
