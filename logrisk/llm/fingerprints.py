@@ -105,8 +105,13 @@ def fingerprinted(texts: DataFrame, words: DataFrame, keys: list[str], carried:
     # Subsets are nested, so each is cut from the one before.
     for step in range(len(STEPS)):
         before = {family: "packed" if step == 0 else f"in_{family}_{step - 1}" for family in range(FAMILIES)}
-        found = found.withColumns({f"in_{family}_{step}": members(before[family], family, step) for family in range(FAMILIES)})
-    sizes = [F.concat_ws(".", *[hashed(f"in_{family}_{step}") for family in range(FAMILIES)]) for step in range(len(STEPS))]
+        found = found.withColumns(
+            {f"in_{family}_{step}": members(before[family], family, step) for family in range(FAMILIES)}
+        )
+    sizes = [
+        F.concat_ws(".", *[hashed(f"in_{family}_{step}") for family in range(FAMILIES)])
+        for step in range(len(STEPS))
+    ]
     whole = F.when(F.size("packed") > 0, F.concat_ws("/", *sizes)).otherwise(F.concat(F.lit("="), "text_hash"))
     return found.select(*keys, *carried, whole.alias("fingerprint"))
 
@@ -160,13 +165,17 @@ def edit_pairs(documents: DataFrame) -> DataFrame:
     unnamed = -1 - F.conv(F.substring("hash", 1, 4), 16, 10).cast("long") * ZONES * parts / 65536
     rows = (
         documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), hashed.alias("hash"))
-        .withColumn("block", F.when(F.col("doc_id").isNull(), F.floor(unnamed)).otherwise(_block(F.col("doc_id"), bounds, parts)))
+        .withColumn(
+            "block",
+            F.when(F.col("doc_id").isNull(), F.floor(unnamed)).otherwise(_block(F.col("doc_id"), bounds, parts)),
+        )
         .withColumn("order", F.struct(F.col("doc_id").isNull(), F.bitwise_not("doc_id"), "hash"))
     )
     small = rows.groupBy("block").agg(F.min("order").alias("first"))
     small = materialize(small, "fingerprint-blocks")
     in_order = Window.orderBy("first")
-    before = F.coalesce(F.lag("block").over(in_order), F.last("block").over(in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
+    all_blocks = in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    before = F.coalesce(F.lag("block").over(in_order), F.last("block").over(all_blocks))
     # One row per block, and there are as many blocks as the setting of partitions makes.
     small = small.select(F.col("block").alias("own"), "first", before.alias("before"))
     placed = rows.join(F.broadcast(small), F.col("block") == F.col("own")).select(

@@ -75,14 +75,15 @@ def source_targets(
     level = (F.col("budget") - F.coalesce(F.sum("cap").over(before), F.lit(0.0))) / (
         F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(before), F.lit(0.0))
     )
+    # The first source whose cap lies above its level sets the level of all that follow.
+    first = F.when(F.col("fits"), F.struct(F.col("cap") / F.col("weight"), "level"))
     return (
         totals.withColumn("weight", weight)
         .withColumn("cap", most_epochs * F.col("source_size"))
         .withColumn("budget", F.lit(share) * F.sum("source_size").over(everything))
         .withColumn("level", level)
-        # The first source whose cap lies above its level sets the level of all that follow.
         .withColumn("fits", F.col("level") * F.col("weight") <= F.col("cap"))
-        .withColumn("common", F.min(F.when(F.col("fits"), F.struct(F.col("cap") / F.col("weight"), "level"))).over(everything)["level"])
+        .withColumn("common", F.min(first).over(everything)["level"])
         .withColumn(
             "target",
             F.when(F.col("common").isNull(), F.col("cap")).otherwise(

@@ -175,7 +175,8 @@ def disclosing(found: DataFrame, documents: DataFrame) -> DataFrame:
     information = F.log2(F.lit(float(n)) / F.col("with_entity"))
     shared = F.log2(F.lit(float(n)) * F.col("co") / (F.col("with_term") * F.col("with_entity")))
     scored = together.join(with_term, "term").join(entities, "entity")
-    return scored.select("entity", "term", F.try_divide(shared, information).alias("share")).filter(F.col("share") >= DISCLOSURE)
+    scored = scored.select("entity", "term", F.try_divide(shared, information).alias("share"))
+    return scored.filter(F.col("share") >= DISCLOSURE)
 
 
 def find(documents: DataFrame) -> DataFrame:
@@ -190,7 +191,8 @@ def find(documents: DataFrame) -> DataFrame:
     added = spans.groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_set("place")).alias("places"))
     added = added.withColumnsRenamed({"doc_id": "added_id", "text_hash": "added_hash"})
     same = F.col("doc_id").eqNullSafe(F.col("added_id")) & (F.col("text_hash") == F.col("added_hash"))
-    places = F.transform("places", lambda p: F.struct(F.lit(ADDED).alias("kind"), p["start"].alias("start"), p["end"].alias("end")))
+    span = lambda p: F.struct(F.lit(ADDED).alias("kind"), p["start"].alias("start"), p["end"].alias("end"))
+    places = F.transform("places", span)
     none = F.array().cast(T.ArrayType(_SPAN))
     return found.join(added, same, "left").select("doc_id", "text_hash", "base", F.coalesce(places, none).alias("added"))
 
@@ -227,12 +229,16 @@ def sanitize(documents: DataFrame) -> DataFrame:
     spans = spans.select(
         F.col("doc_id").alias("span_id"), F.col("text_hash").alias("span_hash"), F.concat("base", "added").alias("spans")
     ).dropDuplicates(["span_id", "span_hash"])
-    rows = documents.select(F.struct("*").alias("row"), F.col("doc_id").alias("row_id"), F.unhex(F.md5("text")).alias("row_hash"))
+    row_hash = F.unhex(F.md5("text")).alias("row_hash")
+    rows = documents.select(F.struct("*").alias("row"), F.col("doc_id").alias("row_id"), row_hash)
     same = F.col("row_id").eqNullSafe(F.col("span_id")) & (F.col("row_hash") == F.col("span_hash"))
     joined = rows.join(spans, same, "left").select("row", F.col("row.text").alias("text"), "spans")
 
     replace = F.udf(lambda text, spans: redact(text, spans) if spans and text else text, "string", useArrow=True)
-    text = replace("text", "spans")
-    out = joined.withColumn("text", text)
-    columns = [F.col("text") if c == "text" else F.length("text").cast(kind).alias(c) if c == "n_chars" else F.col(f"row.`{c}`").alias(c) for c, kind in documents.dtypes]
-    return out.select(*columns)
+    def column(name: str, kind: str) -> Column:
+        if name == "text":
+            return F.col("text")
+        return F.length("text").cast(kind).alias(name) if name == "n_chars" else F.col(f"row.`{name}`").alias(name)
+
+    replaced = joined.withColumn("text", replace("text", "spans"))
+    return replaced.select(*[column(name, kind) for name, kind in documents.dtypes])

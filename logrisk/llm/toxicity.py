@@ -46,6 +46,8 @@ LEAST_LOG_ODDS = 3.5
 PREFIXES = (6, 5, 4)
 MODEL_TOKENS = 20_000
 DRIFT = 0.25
+#: The range of evidence that the histogram covers.
+_EVIDENCE = (-40.0, 60.0)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -81,7 +83,8 @@ class ToxicityModel:
 def learn_tokens(labelled: DataFrame) -> ToxicityModel:
     """Token scores and the background's rate from rows of ``text, toxic``."""
     counts = texts_per_word(labelled.withColumnRenamed("toxic", "mark"))
-    counts = counts.select("word", F.col("marked").alias("toxic_texts"), (F.col("texts") - F.col("marked")).alias("clean_texts"))
+    clean_texts = (F.col("texts") - F.col("marked")).alias("clean_texts")
+    counts = counts.select("word", F.col("marked").alias("toxic_texts"), clean_texts)
     words = materialize(counts, "toxic-words")
     sums = [F.sum("toxic_texts").alias("toxic_texts"), F.sum("clean_texts").alias("clean_texts")]
     levels = words
@@ -98,8 +101,12 @@ def learn_tokens(labelled: DataFrame) -> ToxicityModel:
     prior = LEAST_PRIOR + PRIOR_TEXTS * both / (toxic + clean)
     in_toxic, in_clean = F.col("toxic_texts") + prior, F.col("clean_texts") + prior
     spread = F.sqrt(1 / in_toxic + 1 / in_clean)
-    log_odds = F.log(in_toxic / (toxic + PRIOR_TEXTS - in_toxic)) - F.log(in_clean / (clean + PRIOR_TEXTS - in_clean))
-    scored = levels.select("word", log_odds.alias("log_odds"), (log_odds / spread).alias("z"), (in_clean / clean).alias("share"))
+    # With one word only nothing is left for the others.
+    others_toxic = F.greatest(toxic + PRIOR_TEXTS - in_toxic, F.lit(LEAST_PRIOR))
+    others_clean = F.greatest(clean + PRIOR_TEXTS - in_clean, F.lit(LEAST_PRIOR))
+    log_odds = F.log(in_toxic / others_toxic) - F.log(in_clean / others_clean)
+    z, share = (log_odds / spread).alias("z"), (in_clean / clean).alias("share")
+    scored = levels.select("word", log_odds.alias("log_odds"), z, share)
     best = scored.filter((F.col("z") >= LEAST_Z) & (F.col("log_odds") >= LEAST_LOG_ODDS))
     rows = best.orderBy(F.desc("z"), "word").limit(MODEL_TOKENS).collect()
     model.tokens = {row.word: row.log_odds for row in rows}
@@ -264,7 +271,7 @@ def calibrate(scanned: DataFrame, labels: DataFrame, model: ToxicityModel) -> No
     many = F.size(F.filter("passages", lambda p: p["score"] >= least))
     clean = joined.filter("toxic = 0").agg(F.sum(many), F.sum("n_words")).first()
     model.density = ((clean[0] or 0) + 0.5) / ((clean[1] or 0) + 1.0) * math.exp(model.rate * least)
-    step = F.round(F.least(F.greatest(_evidence_column(model), F.lit(-40.0)), F.lit(60.0)), 1)
+    step = F.round(F.least(F.greatest(_evidence_column(model), F.lit(_EVIDENCE[0])), F.lit(_EVIDENCE[1])), 1)
     counts = joined.groupBy(step.alias("x")).agg(F.count_if(F.col("toxic") == 0), F.count_if(F.col("toxic") == 1))
     model.intercept, model.slope = _logistic([tuple(row) for row in counts.collect()])
 
@@ -284,7 +291,8 @@ def score_documents(documents: DataFrame, labels: DataFrame) -> DataFrame:
         return scanned.withColumns({"evidence": F.lit(0.0), "score": F.lit(float(share))})
     calibrate(scanned, learnable, model)
     found = scanned.withColumn("evidence", _evidence_column(model))
-    curve = 1 / (1 + F.exp(-(F.lit(model.intercept) + F.lit(model.slope) * F.least(F.greatest("evidence", F.lit(-40.0)), F.lit(60.0)))))
+    bounded = F.least(F.greatest("evidence", F.lit(_EVIDENCE[0])), F.lit(_EVIDENCE[1]))
+    curve = 1 / (1 + F.exp(-(F.lit(model.intercept) + F.lit(model.slope) * bounded)))
     return found.withColumn("score", curve)
 
 
