@@ -5,8 +5,15 @@ Each of ``SKETCHES`` hash functions picks the ``PICKED`` least occurrence-labell
 ``K`` words and keeps them in text order; their hash is a bucket key. Order MinHash collides for
 texts of a small edit distance: two texts are near duplicates when their words' edit similarity,
 ``1 - distance / longer length``, is ``SIMILARITY`` or more. At a similarity of 0.95, 0.9, 0.85
-and 0.8 with edits spread evenly, some bucket holds both with probability above 0.999, 0.98, 0.9
-and 0.6; the alignment then decides exactly.
+and 0.8 with edits spread evenly over more than ``SHORT`` words, some bucket holds both with
+probability above 0.999, 0.98, 0.9 and 0.6; the alignment then decides exactly.
+
+Texts of at most ``SHORT`` words meet all their near duplicates. An edit takes at most ``k`` of a
+text's k-mers away, so of two near duplicates each has at least one of the other's among its first
+``1 + k * edits`` in any order of all k-mers (prefix filter), if the longer has more k-mers than
+that takes away; ``prefixes`` chooses ``k`` so. These first k-mers are the bucket keys. The order
+puts rare k-mers first, by counts in ``_CELLS`` cells: the counts bear on the size of the buckets
+only. Texts just above ``SHORT`` have both kinds of keys.
 
 Within a bucket every pair that is not yet connected is tested, by lengths, word counts and then
 an alignment within the band that the threshold allows, so no link between members is lost and
@@ -41,6 +48,11 @@ SKETCHES = 32
 PICKED = 2
 SIMILARITY = 0.8
 BLOCK = 1024
+#: Words of a text up to which the search for its near duplicates is exact.
+SHORT = 60
+#: Words of the k-mers of short texts, where the length allows for as many.
+SHORT_K = 3
+_CELLS = 1 << 18
 _BINS = 512
 _WIDE = 8192
 _CACHE_WORDS = 500_000
@@ -99,6 +111,50 @@ def sketch(words: np.ndarray, k: int = K) -> list[int]:
     return keys.view(np.int64).tolist()
 
 
+def prefixes(similarity: float = SIMILARITY) -> list[dict[int, int]]:
+    """For each number of words the sizes ``k`` of the k-mers that are keys, and how many of each,
+    for near duplicates of which the shorter has at most ``SHORT`` words."""
+
+    def edits(n: int) -> int:
+        return most_edits(n, n, similarity)
+
+    widest = SHORT
+    while widest + 1 - edits(widest + 1) <= SHORT:
+        widest += 1
+    out: list[dict[int, int]] = [{} for _ in range(widest + 1)]
+    for longer in range(1, widest + 1):
+        most = edits(longer)
+        k = next((k for k in range(SHORT_K, 1, -1) if longer - k + 1 > k * most), 1)
+        for shorter in range(max(1, longer - most), min(longer, SHORT) + 1) if most else ():
+            # What the shorter text lacks lies between its words: it loses a k-mer less for each.
+            for n, lost in ((longer, k * most), (shorter, k * most - (longer - shorter))):
+                out[n][k] = max(out[n].get(k, 0), 1 + lost)
+    return out
+
+
+def short_mers(words: np.ndarray, k: int) -> np.ndarray:
+    """The occurrence-labelled k-mers of a sequence of word hashes."""
+    words = words.astype(np.uint64)
+    mers = np.full(max(0, len(words) - k + 1), k, np.uint64)
+    for j in range(k):
+        mers = _mixed(mers * _MIX + words[j : j + len(mers)])
+    return _mixed(mers + occurrences(mers) * _MIX) if len(mers) else mers
+
+
+def _cell(mers: np.ndarray) -> np.ndarray:
+    return (mers % np.uint64(_CELLS)).astype(np.int64)
+
+
+def short_keys(words: np.ndarray, levels: np.ndarray, wanted: dict[int, int]) -> list[int]:
+    """The first k-mers of a short text, as many as are ``wanted`` of each size, in the order of
+    the ``levels`` of their cells and of their hashes."""
+    keys: list[int] = []
+    for k, most in wanted.items():
+        mers = short_mers(words, k)
+        keys += mers[np.lexsort((mers, levels[_cell(mers)]))[:most]].view(np.int64).tolist()
+    return keys
+
+
 def word_ids(text: str | None, hashes: WordHashes) -> tuple[bytes, np.ndarray]:
     """A text's digest and its words' hashes."""
     words = (text or "").split()
@@ -238,26 +294,73 @@ _SKETCHED = T.StructType(
         T.StructField("text_hash", T.StringType()),
         T.StructField("digest", T.BinaryType()),
         T.StructField("keys", T.ArrayType(T.LongType())),
+        T.StructField("short", T.BinaryType()),
     ]
 )
+_KEYED = T.StructType(
+    [T.StructField("digest", T.BinaryType()), T.StructField("keys", T.ArrayType(T.LongType()))]
+)
 _WORDED = T.StructType([T.StructField("digest", T.BinaryType()), T.StructField("words", T.BinaryType())])
 
 
-def sketched(documents: DataFrame) -> DataFrame:
-    """``doc_id, text_hash, digest, keys`` of every document."""
+def sketched(documents: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """``doc_id, text_hash, digest, keys, short`` of every document: the sketches of a text of more
+    than ``SHORT`` words, and the words of one that may be near to a short one, as 32-bit hashes."""
+    wanted = prefixes(similarity)
 
     def make():
         hashes = WordHashes()
 
+        def short(words: np.ndarray) -> bytes | None:
+            n = len(words)
+            return words.astype(np.uint32).tobytes() if n < len(wanted) and wanted[n] else None
+
         def work(doc_ids, text_hashes, texts):
             rows = [word_ids(text, hashes) for text in texts]
-            return doc_ids, text_hashes, [digest for digest, _ in rows], [sketch(words) for _, words in rows]
+            keys = [sketch(words) if len(words) > SHORT else [] for _, words in rows]
+            return doc_ids, text_hashes, [digest for digest, _ in rows], keys, [short(words) for _, words in rows]
 
         return work
 
     return map_rows(documents.select("doc_id", F.md5("text").alias("text_hash"), "text"), make, _SKETCHED)
 
 
+def short_levels(short: DataFrame, similarity: float) -> np.ndarray:
+    """How often the k-mers of each cell occur, on a scale of logarithms, from rows of ``short``."""
+    wanted = prefixes(similarity)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(_CELLS, np.int64)
+        for batch in batches:
+            for data in batch.column(0):
+                words = np.frombuffer(data.as_py(), np.uint32)
+                for k in wanted[len(words)]:
+                    np.add.at(counts, _cell(short_mers(words, k)), 1)
+        cells = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(counts[cells])], ["cell", "mers"])
+
+    sums = short.select("short").mapInArrow(run, "cell long, mers long").groupBy("cell").agg(F.sum("mers").alias("mers"))
+    found = sums.toArrow()
+    counts = np.zeros(_CELLS)
+    counts[found.column("cell").to_numpy()] = found.column("mers").to_numpy()
+    return np.floor(4 * np.log2(counts + 1)).astype(np.uint8)
+
+
+def short_sketched(rows: DataFrame, similarity: float) -> DataFrame:
+    """``digest, keys`` of the distinct texts of ``rows`` that have ``short`` words."""
+    short = rows.filter("short IS NOT NULL")
+    levels, wanted = short_levels(short, similarity), prefixes(similarity)
+
+    def make():
+        def work(digests, shorts):
+            words = [np.frombuffer(data, np.uint32) for data in shorts]
+            return digests, [short_keys(x, levels, wanted[len(x)]) for x in words]
+
+        return work
+
+    return map_rows(short.groupBy("digest").agg(F.any_value("short").alias("short")), make, _KEYED)
+
+
 def worded(texts: DataFrame) -> DataFrame:
     """``digest, words`` of rows of ``digest, text``: the words as 32-bit hashes. Texts that do
     not have the digest are left out."""
@@ -335,9 +438,10 @@ def digest_classes(documents: DataFrame, similarity: float = SIMILARITY) -> Data
 
     The texts are read twice and shuffled once, to be joined to the buckets that hold them.
     """
-    rows = materialize(sketched(documents), "near-sketches")
+    rows = materialize(sketched(documents, similarity), "near-sketches")
     texts = rows.groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.any_value("keys").alias("keys"))
-    placed = materialize(buckets(texts), "near-buckets")
+    short = materialize(short_sketched(rows, similarity), "near-short")
+    placed = materialize(buckets(texts.select("digest", "keys").unionByName(short)), "near-buckets")
     needed = placed.select("digest").distinct().join(texts.select("digest", "first_id"), "digest")
     first = documents.select("doc_id", "text").join(needed.hint("merge"), F.col("doc_id").eqNullSafe(F.col("first_id")))
     words = worded(first)

@@ -128,6 +128,47 @@ def test_recall_of_the_keys():
         assert met / 200 >= least, share
 
 
+def short_pair(rng, n, edits):
+    words = [rng.randint(0, 10**9) for _ in range(n)]
+    other = list(words)
+    for place in sorted(rng.sample(range(n), edits), reverse=True):
+        kind = rng.random()
+        if kind < 0.4:
+            other[place] = rng.randint(0, 10**9)
+        elif kind < 0.7:
+            del other[place]
+        else:
+            other.insert(place, rng.randint(0, 10**9))
+    return words, other
+
+
+def test_short_texts_always_meet():
+    """Every pair of at least ``SIMILARITY`` whose shorter text has 1 to ``SHORT`` words, whatever
+    the order of the k-mers."""
+    rng, wanted = random.Random(4), near_dedup.prefixes()
+    levels = np.random.default_rng(4).integers(0, 9, near_dedup._CELLS).astype(np.uint8)
+    for n in range(1, near_dedup.SHORT + 1):
+        for _ in range(60):
+            pair = short_pair(rng, n, min(n, rng.randint(0, near_dedup.most_edits(n, n, 0.8) + 2)))
+            if rng.random() < 0.3:
+                pair = [[w % 3 for w in words] for words in pair]
+            most = near_dedup.most_edits(len(pair[0]), len(pair[1]), 0.8)
+            if pair[0] == pair[1] or edit_distance(*pair) > most or min(map(len, pair)) > near_dedup.SHORT:
+                continue
+            keys = [set(near_dedup.short_keys(np.array(w, np.uint32), levels, wanted[len(w)])) for w in pair]
+            assert keys[0] & keys[1], pair
+
+
+def test_classes_of_short_texts_against_brute_force(spark):
+    rng, texts = random.Random(8), ["a b c d", "a b c d e", "x a b c d"]
+    for n in [4, 5, 6, 8, 10, 12, 15, 15, 20, 30, 48, 60] * 6:
+        most = near_dedup.most_edits(n, n, 0.8)
+        texts += [" ".join(f"w{w}" for w in words) for words in short_pair(rng, n, rng.randint(0, most))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r.class_id for r in near_dedup.classes(docs).collect()}
+    assert [found[i] for i in range(len(texts))] == brute_classes(texts)
+
+
 def test_components(spark):
     rng = random.Random(5)
     edges = [(i, i + 1) for i in range(0, 60)] + [(100, 100 + i) for i in range(1, 40)] + [(200, 201), (201, 200), (300, 300)]
