@@ -2,8 +2,8 @@
 
 Patterns find the protected entities: addresses, numbers and phones, leftmost and without
 overlap per kind. The corpus then tells how strongly a term reveals an entity. With ``N`` texts,
-a term and an entity that stand within ``WINDOW`` words of one another in ``co`` texts have the
-pointwise mutual information ``log2(N * co / (df(term) * df(entity)))``; the entity itself carries
+a term and an entity that stand together in ``co`` texts, however far apart, have the pointwise
+mutual information ``log2(N * co / (df(term) * df(entity)))``; the entity itself carries
 ``log2(N / df(entity))``. A term whose share of that information reaches ``DISCLOSURE`` is
 sanitised wherever it occurs in texts of the entity: numbers and capitalised words are
 generalised to their class, other words removed. Counts cover all texts; a pair must be seen in
@@ -18,7 +18,6 @@ from __future__ import annotations
 
 import hashlib
 import re
-from bisect import bisect_left
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,8 +29,6 @@ from logrisk.sources.scratch import materialize
 
 KINDS = ("email", "ip", "card", "phone")
 ADDED = "term"
-#: Words on either side of an entity that count as its context.
-WINDOW = 10
 #: Least share of an entity's information that makes a term disclosing.
 DISCLOSURE = 0.8
 LEAST_LETTERS = 3
@@ -89,31 +86,29 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return found
 
 
-def contexts(text: str, found: list[tuple[str, int, int]]) -> list[tuple[str, str, list[tuple[int, int]]]]:
-    """``(entity, term, places)`` for every term near an entity; places cover the whole text."""
-    if not found:
-        return []
+def terms(text: str, found: list[tuple[str, int, int]]) -> dict[str, list[tuple[int, int]]]:
+    """Every term of a text and its places, outside of the entities."""
     taken = sorted((start, end) for _, start, end in found)
-    words, i = [], 0
+    places: dict[str, list[tuple[int, int]]] = {}
+    i = 0
     for match in WORD.finditer(text):
         while i < len(taken) and taken[i][1] <= match.start():
             i += 1
         if i == len(taken) or match.end() <= taken[i][0]:
-            words.append((match.start(), match.end(), match[0].lower()))
-    starts = [start for start, _, _ in words]
-    near: dict[tuple[str, str], None] = {}
-    places: dict[str, list[tuple[int, int]]] = {}
-    for kind, start, end in found:
-        entity = f"{kind}:{text[start:end].lower()}"
-        split = bisect_left(starts, start)
-        for _, _, term in words[max(0, split - WINDOW) : split + WINDOW]:
+            term = match[0].lower()
             if len(term) >= LEAST_LETTERS:
-                near[entity, term] = None
-                places[term] = []
-    for start, end, term in words:
-        if term in places:
-            places[term].append((start, end))
-    return [(entity, term, places[term]) for entity, term in near]
+                places.setdefault(term, []).append(match.span())
+    return places
+
+
+def entities(text: str, found: list[tuple[str, int, int]]) -> list[str]:
+    """The distinct entities of a text."""
+    return list(dict.fromkeys(f"{kind}:{text[start:end].lower()}" for kind, start, end in found))
+
+
+def contexts(text: str, found: list[tuple[str, int, int]]) -> list[tuple[str, str, list[tuple[int, int]]]]:
+    """``(entity, term, places)`` for every entity and term of a text."""
+    return [(entity, term, at) for entity in entities(text, found) for term, at in terms(text, found).items()]
 
 
 def _struct(*fields: tuple[str, T.DataType]) -> T.StructType:
@@ -122,13 +117,17 @@ def _struct(*fields: tuple[str, T.DataType]) -> T.StructType:
 
 _SPAN = _struct(("kind", T.StringType()), ("start", T.IntegerType()), ("end", T.IntegerType()))
 _PLACE = _struct(("start", T.IntegerType()), ("end", T.IntegerType()))
-_NEAR = _struct(("entity", T.StringType()), ("term", T.StringType()), ("places", T.ArrayType(_PLACE)))
 _FOUND = _struct(
     ("doc_id", T.LongType()),
     ("text_hash", T.BinaryType()),
     ("base", T.ArrayType(_SPAN)),
-    ("near", T.ArrayType(_NEAR)),
+    ("entities", T.ArrayType(T.StringType())),
+    ("text", T.StringType()),
 )
+_TERMS = _struct(
+    ("entities", T.ArrayType(T.StringType())), ("copies", T.LongType()), ("terms", T.ArrayType(T.StringType()))
+)
+_ADDED = _struct(("text_hash", T.BinaryType()), ("places", T.ArrayType(_PLACE)))
 
 
 def _text_hash(text: str | None) -> bytes:
@@ -136,60 +135,100 @@ def _text_hash(text: str | None) -> bytes:
 
 
 def _patterns(documents: DataFrame) -> DataFrame:
-    """Base spans and contexts of every document."""
+    """Base spans and entities of every document, and the text of those that hold an entity."""
 
     def make():
         def one(text: str | None):
             found = base_spans(text or "")
-            near = contexts(text or "", found)
-            return (
-                _text_hash(text),
-                [{"kind": k, "start": a, "end": b} for k, a, b in found],
-                [{"entity": e, "term": t, "places": [{"start": a, "end": b} for a, b in p]} for e, t, p in near],
-            )
+            spans = [{"kind": k, "start": a, "end": b} for k, a, b in found]
+            return _text_hash(text), spans, entities(text or "", found), text if found else None
 
         def work(doc_ids, texts):
             rows = [one(text) for text in texts]
-            return doc_ids, [r[0] for r in rows], [r[1] for r in rows], [r[2] for r in rows]
+            return doc_ids, *([row[i] for row in rows] for i in range(4))
 
         return work
 
     return map_rows(documents.select("doc_id", "text"), make, _FOUND)
 
 
+def _holders(found: DataFrame) -> DataFrame:
+    """``text_hash, copies, entity`` of the distinct texts that hold an entity."""
+    texts = found.filter("text IS NOT NULL").groupBy("text_hash")
+    texts = texts.agg(F.count("*").alias("copies"), F.any_value("entities").alias("entities"))
+    return texts.select("text_hash", "copies", F.explode("entities").alias("entity"))
+
+
+def _with_text(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """Rows of distinct ``text_hash``, with the text."""
+    texts = found.filter("text IS NOT NULL").groupBy("text_hash").agg(F.any_value("text").alias("text"))
+    return rows.join(texts.hint("merge"), "text_hash")
+
+
+def _pairs(found: DataFrame, known: DataFrame) -> DataFrame:
+    """``entity, term, copies`` of every distinct text that holds both, for the entities ``known``."""
+    holders = _holders(found).join(known.select("entity"), "entity").groupBy("text_hash")
+    holders = holders.agg(F.any_value("copies").alias("copies"), F.collect_set("entity").alias("entities"))
+
+    def make():
+        def work(held, copies, texts):
+            return held, copies, [list(terms(text, base_spans(text))) for text in texts]
+
+        return work
+
+    rows = map_rows(_with_text(holders, found).select("entities", "copies", "text"), make, _TERMS)
+    rows = rows.select("entities", "copies", F.explode("terms").alias("term"))
+    return rows.select(F.explode("entities").alias("entity"), "term", "copies")
+
+
 def disclosing(found: DataFrame, documents: DataFrame) -> DataFrame:
     """``entity, term, share`` of the terms that give an entity away."""
     n = found.count()
-    pairs = found.select("text_hash", F.explode("near").alias("near")).select("text_hash", "near.entity", "near.term")
-    # Two texts differ if their least and largest hashes do.
-    together = pairs.groupBy("entity", "term").agg(
-        F.count("*").alias("co"), (F.min("text_hash") != F.max("text_hash")).alias("seen_twice")
-    )
-    together = materialize(together.filter("seen_twice").drop("seen_twice"), "pii-pairs")
-    kind_and_text = F.transform("near", lambda x: x["entity"])
-    entities = found.select(F.explode(F.array_distinct(kind_and_text)).alias("entity")).groupBy("entity")
-    entities = entities.agg(F.count("*").alias("with_entity"))
+    held = _holders(found).groupBy("entity").agg(F.sum("copies").alias("with_entity"), F.count("*").alias("texts"))
+    # Only an entity of two different texts can be seen twice with a term.
+    held = materialize(held.filter("texts > 1").drop("texts"), "pii-entities")
+    together = _pairs(found, held).groupBy("entity", "term")
+    together = together.agg(F.sum("copies").alias("co"), F.count("*").alias("texts"))
+    together = materialize(together.filter("texts > 1").drop("texts"), "pii-pairs")
     words = texts_per_word(documents.select("text", F.lit(0).alias("mark")))
-    terms = together.select("term").distinct()
-    with_term = words.select(F.col("word").alias("term"), F.col("texts").alias("with_term")).join(terms, "term")
+    seen = together.select("term").distinct()
+    with_term = words.select(F.col("word").alias("term"), F.col("texts").alias("with_term")).join(seen, "term")
     information = F.log2(F.lit(float(n)) / F.col("with_entity"))
     shared = F.log2(F.lit(float(n)) * F.col("co") / (F.col("with_term") * F.col("with_entity")))
-    scored = together.join(with_term, "term").join(entities, "entity")
+    scored = together.join(with_term, "term").join(held, "entity")
     scored = scored.select("entity", "term", F.try_divide(shared, information).alias("share"))
     return scored.filter(F.col("share") >= DISCLOSURE)
 
 
+def _added(found: DataFrame, flagged: DataFrame) -> DataFrame:
+    """``text_hash, places`` of the flagged terms in every distinct text that holds their entity."""
+    wanted = _holders(found).join(flagged, "entity").groupBy("text_hash").agg(F.collect_set("term").alias("wanted"))
+
+    def make():
+        def one(text: str, wanted: list[str]) -> list[dict]:
+            at = terms(text, base_spans(text))
+            return [{"start": a, "end": b} for a, b in sorted(span for term in wanted for span in at.get(term, ()))]
+
+        def work(hashes, wanted, texts):
+            return hashes, [one(text, words) for text, words in zip(texts, wanted)]
+
+        return work
+
+    return map_rows(_with_text(wanted, found).select("text_hash", "wanted", "text"), make, _ADDED)
+
+
 def find(documents: DataFrame) -> DataFrame:
     """``doc_id, text_hash, base, added`` of every document: spans by kind and start.
 
-    Texts are scanned twice and never shuffled; what the patterns found is stored in between.
+    Texts are scanned twice. What the patterns found is stored in between, with the texts that hold
+    an entity; only these are shuffled, to meet the entities seen twice and the flagged terms.
     """
     found = materialize(_patterns(documents), "pii-found")
     flagged = disclosing(found, documents)
-    near = found.select("doc_id", "text_hash", F.explode("near").alias("near")).select("doc_id", "text_hash", "near.*")
-    spans = near.join(flagged, ["entity", "term"]).select("doc_id", "text_hash", F.explode("places").alias("place"))
-    added = spans.groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_set("place")).alias("places"))
-    added = added.withColumnsRenamed({"doc_id": "added_id", "text_hash": "added_hash"})
+    rows = found.filter("text IS NOT NULL").select("doc_id", "text_hash").distinct()
+    added = rows.join(_added(found, flagged), "text_hash").select(
+        F.col("doc_id").alias("added_id"), F.col("text_hash").alias("added_hash"), "places"
+    )
     same = F.col("doc_id").eqNullSafe(F.col("added_id")) & (F.col("text_hash") == F.col("added_hash"))
     span = lambda p: F.struct(F.lit(ADDED).alias("kind"), p["start"].alias("start"), p["end"].alias("end"))
     places = F.transform("places", span)

@@ -95,6 +95,48 @@ def test_disclosure_against_brute_force(spark):
     assert clean[0].text == texts[0] and clean[0].spans == "x" and len(clean) == len(texts)
 
 
+def whole_text_spans(texts):
+    """Places to sanitise in every text, from plain sets of entities and words."""
+    n, words, held, at = len(texts), [], [], []
+    for text in texts:
+        spans = plain_spans(text)
+        held.append({(k, text[a:b].lower()) for k, a, b in spans})
+        outside = [m for m in re.finditer(r"\w+", text) if all(m.end() <= a or m.start() >= b for _, a, b in spans)]
+        at.append([(m[0].lower(), m.span()) for m in outside if len(m[0]) >= 3])
+        words.append(set(re.findall(r"\w+", text.lower())))
+    flagged = set()
+    for entity in set().union(*held):
+        mine = [i for i in range(n) if entity in held[i]]
+        for term in {t for i in mine for t, _ in at[i]}:
+            both = [i for i in mine if term in {t for t, _ in at[i]}]
+            df = sum(term in w for w in words)
+            if len({texts[i] for i in both}) > 1 and len(mine) < n:
+                if math.log2(n * len(both) / (df * len(mine))) / math.log2(n / len(mine)) >= pii.DISCLOSURE:
+                    flagged.add((entity, term))
+    return [{p for t, p in at[i] if any((e, t) in flagged for e in held[i])} for i in range(n)]
+
+
+def test_terms_far_from_their_entity(spark):
+    """Names are flagged and sanitised wherever they stand in a text of their entity."""
+    rng = random.Random(11)
+    fill = lambda k: " ".join(rng.choice([f"word{i}" for i in range(30)]) for _ in range(k))
+    texts = [fill(40) for _ in range(40)]
+    for i in range(24):
+        far = fill(rng.choice([0, 3, 11, 60]))
+        texts.append(f"Alias{i % 4} {far} m{i % 4}@x.org {fill(30)} 10.0.0.{i} Far{i % 4}")
+    texts += [texts[-1]] * 3 + ["m9@x.org", "m9@x.org", "m8@x.org only here"]
+    docs = spark.createDataFrame([(i % 60, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    expected = whole_text_spans(texts)
+    for i in range(40, 64):
+        assert {texts[i][a:b] for a, b in expected[i]} >= {f"Alias{i % 4}", f"Far{i % 4}"}
+    found = pii.find(docs).collect()
+    by_text = {pii._text_hash(text): places for text, places in zip(texts, expected)}
+    assert len(found) == len(texts)
+    assert all({(s.start, s.end) for s in row.added} == by_text[bytes(row.text_hash)] for row in found)
+    clean = [row.text for row in pii.sanitize(docs).collect()]
+    assert len(clean) == len(texts) and not any("Alias" in text or "Far" in text for text in clean)
+
+
 def test_odd_rows(spark):
     docs = spark.createDataFrame([(None, None), (1, "a@b.c"), (1, "a@b.c"), (None, "1.1.1.1")], "doc_id long, text string")
     found = sorted(str(row.base) for row in pii.find(docs).collect())
