@@ -39,7 +39,7 @@ FEW = 24
 CACHE_WORDS = 400_000
 _NONE = (1 << 62, 0)  # no merge; ranks are below
 
-_ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
+_ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^ \t-\ra-z0-9]+")
 _WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^ \p{L}\p{N}]+")
 _SPACES = re.compile("[\t-\r \x85\xa0  -     　]+")
 #: Scripts whose characters every Unicode version classifies alike; other texts are cut by the

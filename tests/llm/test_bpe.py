@@ -45,6 +45,16 @@ def test_edge_texts(encoder, library, text):
     assert encoder.decode(ids) == decoded
 
 
+def test_every_ascii_character(encoder, library):
+    """Alone, between letters, between signs and doubled; U+001C to U+001F are no white space."""
+    for code in range(128):
+        c = chr(code)
+        for text in (c, f"a{c}b", f"!{c}?", f"1{c}{c}2", f"a {c} b"):
+            expected = library.encode(text, add_special_tokens=False).ids
+            assert ids_of(encoder.encode(text)[0]) == expected, repr(text)
+            assert encoder.encode(text)[1] == library.decode(expected, skip_special_tokens=False), repr(text)
+
+
 def test_long_words_of_many_shapes(encoder, library):
     rng = random.Random(5)
     parts = [token.removesuffix("</w>") for token in library.get_vocab() if token.isascii() and token.isalpha()]
