@@ -5,9 +5,12 @@ scaled down where much of the text stands in links compared with the page as a w
 density sum is that of its children. The node with the largest density sum is the core of the
 article; the least density on the path from ``body`` to it is the threshold. Around the core,
 siblings along the path belong to the article where they reach the threshold and are flow text
-or look like the path's own node (same tag and class); inside an ``article`` or ``main`` element
-everything does. Menus, adverts, forms, comments and the like are recognised by element, role
-and by words of ``class`` and ``id``; they count neither for densities nor for the text.
+or look like the path's own node (same tag and class). An ``article`` or ``main`` element around the
+core bounds the search: inside it everything belongs to the article but lists and boxes below the
+threshold whose text is mostly links; outside of it other ``article`` elements do that reach the
+threshold, anywhere in the same ``main`` or beside the first. Menus, adverts, forms, comments and
+the like are recognised by element, role and by words of ``class`` and ``id``; they count neither
+for densities nor for the text.
 
 Blocks are runs of text between block-level tags, with white space as one blank; ``br`` is white
 space. They are joined by two line ends. A null or empty page, or one without text, gives an
@@ -51,6 +54,8 @@ _NOISE_WORDS = frozenset(
     " recommendations widget widgets comment comments commentlist respond reply replies disqus discussion search"
     " copyright skip".split()
 )
+#: Parts of an article that are left out where they are lists of links.
+_LINK_LISTS = frozenset("ul ol dl div section table".split())
 _KEPT = frozenset("html body article main".split())
 #: Comments, ended or not, outside of scripts and styles.
 _COMMENTS = re.compile(r"<(script|style)\b.*?</\1|<!--.*?-->|<!--", re.S | re.I)
@@ -168,8 +173,8 @@ def _settle_noise(page: Page) -> list[bool]:
     return noise
 
 
-def densities(page: Page, noise: list[bool]) -> list[float]:
-    """Composite text density of every node; 0 for noise."""
+def densities(page: Page, noise: list[bool]) -> tuple[list[float], list[bool]]:
+    """Composite text density of every node, 0 for noise, and whether most of its text is links."""
     n = len(page.tag)
     chars, tags, link_chars, link_tags = [0] * n, [0] * n, [0] * n, [0] * n
     in_link = [False] * n
@@ -195,7 +200,7 @@ def densities(page: Page, noise: list[bool]) -> list[float]:
         c, t, lc, lt = chars[i], max(1, tags[i]), max(1, link_chars[i]), max(1, link_tags[i])
         base = math.log(c / max(1, c - link_chars[i]) * link_chars[i] + share * c + math.e)
         out[i] = c / t * math.log(max(1.0, c / lc * t / lt)) / max(_LEAST_BASE, math.log(base))
-    return out
+    return out, [2 * lc > c and lt > 1 for c, lc, lt in zip(chars, link_chars, link_tags)]
 
 
 def main_text(html: str | None) -> str:
@@ -209,7 +214,7 @@ def main_text(html: str | None) -> str:
     noise = _settle_noise(page)
     if not any(not noise[node] and text.strip() for node, _, text in page.pieces):
         return ""
-    inside = _article(page, noise, densities(page, noise))
+    inside = _article(page, noise, *densities(page, noise))
     blocks: list[str] = []
     current, parts = None, []
     for node, block, text in [*page.pieces, (0, None, "")]:
@@ -221,7 +226,7 @@ def main_text(html: str | None) -> str:
     return "\n\n".join(block for block in blocks if block)
 
 
-def _article(page: Page, noise: list[bool], density: list[float]) -> list[bool]:
+def _article(page: Page, noise: list[bool], density: list[float], links: list[bool]) -> list[bool]:
     """Which nodes belong to the article."""
     n = len(page.tag)
     sums = [0.0] * n
@@ -233,13 +238,22 @@ def _article(page: Page, noise: list[bool], density: list[float]) -> list[bool]:
         path.append(page.parent[path[-1]])
     threshold = min(density[i] for i in path)
     frame = [i for i in path if page.tag[i] in ("article", "main")]
-    root = [False] * n
+    root, dropped, on_path = [False] * n, [False] * n, set(path)
     if frame:
-        root[frame[0] if page.tag[frame[0]] == "article" else frame[-1]] = True
+        first = frame[0] if page.tag[frame[0]] == "article" else frame[-1]
+        bound = next((i for i in reversed(frame) if page.tag[i] == "main"), None)
+        root[first] = True
+        within = [False] * n
+        for i in range(1, n):
+            up = page.parent[i]
+            within[i] = up == bound or within[up]
+            if page.tag[i] == "article" and not noise[i] and i not in on_path and density[i] >= threshold:
+                root[i] = within[i] if bound is not None else up == page.parent[first]
+            listed = page.tag[i] in _LINK_LISTS and i not in on_path and links[i]
+            dropped[i] = dropped[up] or listed and density[i] < threshold
     else:
         root[core] = True
         step = {up: child for child, up in zip(path, path[1:])}
-        on_path = set(path)
         for i in range(1, n):
             beside = step.get(page.parent[i])
             if beside is None or i in on_path or noise[i] or not density[i] or density[i] < threshold:
@@ -247,7 +261,7 @@ def _article(page: Page, noise: list[bool], density: list[float]) -> list[bool]:
             root[i] = page.tag[i] in _FLOW or page.look[i] == page.look[beside]
     inside = root[:]
     for i in range(1, n):
-        inside[i] = inside[i] or inside[page.parent[i]]
+        inside[i] = (inside[i] or inside[page.parent[i]]) and not dropped[i]
     return inside
 
 

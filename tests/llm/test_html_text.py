@@ -27,6 +27,30 @@ def test_layouts(name):
     assert html_text.main_text(LAYOUTS[name]) == f"Title\n\n{LONG}\n\n{LONG}"
 
 
+LINKS = "<ul>" + "".join(f"<li><a href=/{i}>Another page {i}</a></li>" for i in range(12)) + "</ul>"
+PART = f"<h2>Part</h2><p>{LONG}</p><p>{LONG}</p>"
+ONE, TWO = f"Title\n\n{LONG}\n\n{LONG}", f"Part\n\n{LONG}\n\n{LONG}"
+START = f"<h1>Title</h1><p>{LONG}</p><p>{LONG}</p>"
+
+PARTS = {
+    "articles in main": (f"<main><article>{START}</article><article>{PART}</article></main>", f"{ONE}\n\n{TWO}"),
+    "articles in sections": (
+        f"<main><section><article>{START}</article></section><section><article>{PART}</article></section></main>",
+        f"{ONE}\n\n{TWO}",
+    ),
+    "articles in body": (f"<body><article>{START}</article><article>{PART}</article><div>Foot</div></body>", f"{ONE}\n\n{TWO}"),
+    "teaser": (f"<main><article>{START}</article><article><a href=/>More</a> <a href=/>Most</a></article></main>", ONE),
+    "link list": (f"<article>{START}{LINKS}</article>", ONE),
+    "list of text": (f"<article>{START}<ul><li>One <a href=/>x</a> of the points<li>Two</ul></article>", f"{ONE}\n\nOne x of the points\n\nTwo"),
+}
+
+
+@pytest.mark.parametrize("name", PARTS)
+def test_parts_of_articles(name):
+    page, expected = PARTS[name]
+    assert html_text.main_text(page) == expected
+
+
 def test_blocks_and_references():
     page = "<article><p>a&amp;b  <b>c</b>d<br>e&nbsp;&#233;\n f<p>g<!-- no --><script>x='</p>'</script><ul><li>h<li>i</ul>tail</article>"
     assert html_text.main_text(page) == "a&b cd e é f\n\ng\n\nh\n\ni\n\ntail"
