@@ -10,7 +10,9 @@ core bounds the search: inside it everything belongs to the article but lists an
 threshold whose text is mostly links; outside of it other ``article`` elements do that reach the
 threshold, anywhere in the same ``main`` or beside the first. Menus, adverts, forms, comments and
 the like are recognised by element, role and by words of ``class`` and ``id``; they count neither
-for densities nor for the text.
+for densities nor for the text. A form that holds an ``article`` or ``main`` or most of the page's
+text, and a part with a suspicious name that holds most of the text and its main heading, are only
+wrappers. Names of headings, and ids of sections in an article that may be their titles, say nothing.
 
 Blocks are runs of text between block-level tags, with white space as one blank; ``br`` is white
 space. They are joined by two line ends. A null or empty page, or one without text, gives an
@@ -54,6 +56,14 @@ _NOISE_WORDS = frozenset(
     " recommendations widget widgets comment comments commentlist respond reply replies disqus discussion search"
     " copyright skip".split()
 )
+#: The words that count in the id of a section of an article; others may be its title.
+_APART_WORDS = frozenset(
+    "ad ads adv advert adverts advertisement adsense newsletter comment comments commentlist respond reply replies"
+    " disqus".split()
+)
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Noise that may be the wrapper of a whole page.
+_WRAPPERS = frozenset("form fieldset".split())
 #: Parts of an article that are left out where they are lists of links.
 _LINK_LISTS = frozenset("ul ol dl div section table".split())
 _KEPT = frozenset("html body article main".split())
@@ -81,7 +91,7 @@ class Page(HTMLParser):
 
     def __init__(self, html: str):
         super().__init__(convert_charrefs=True)
-        self.tag, self.parent, self.look, self.noise = ["#page"], [-1], [""], [False]
+        self.tag, self.parent, self.look, self.noise = ["#page"], [-1], [""], [""]
         self.pieces: list[tuple[int, int, str]] = []  # node, block, text
         self.open, self.opened, self.block = [0], Counter(), 0
         self.feed(html)
@@ -111,19 +121,36 @@ class Page(HTMLParser):
         self.opened.subtract(self.tag[node] for node in self.open[depth:])
         del self.open[depth:]
 
-    def _is_noise(self, tag: str, values: dict) -> bool:
-        if tag in _NOISE or "hidden" in values or values.get("aria-hidden") == "true":
-            return True
+    def _is_noise(self, tag: str, values: dict) -> str:
+        """Why an element is noise: by what it ``is``, as ``hidden``, as a ``form``, by its ``role`` or
+        its ``name``; empty for others."""
+        if tag in _WRAPPERS or values.get("role", "").lower() == "form":
+            kind = "form"
+        else:
+            kind = "is" if tag in _NOISE else ""
+        if kind == "is":
+            return kind
+        if "hidden" in values or values.get("aria-hidden") == "true":
+            return "hidden"
         if "display:none" in values.get("style", "").replace(" ", "").lower():
-            return True
+            return "hidden"
+        if kind:
+            return kind
         if tag == "header":
-            return not (self.opened["article"] or self.opened["main"])
+            return "" if self.opened["article"] or self.opened["main"] else "hidden"
         if values.get("role", "").lower() in _NOISE_ROLES:
-            return True
-        if tag in _KEPT:
-            return False
-        names = f"{values.get('class', '')} {values.get('id', '')}"
-        return any(word.lower() in _NOISE_WORDS for word in _WORDS.findall(names))
+            return "role"
+        if tag in _KEPT or tag in _HEADINGS:
+            return ""
+        words = self._words(values.get("class", ""))
+        ids = self._words(values.get("id", ""))
+        if tag == "section" and self.opened["article"]:
+            ids &= _APART_WORDS
+        return "name" if (words | ids) & _NOISE_WORDS else ""
+
+    @staticmethod
+    def _words(name: str) -> set[str]:
+        return {word.lower() for word in _WORDS.findall(name)}
 
     def _close_implied(self, tags: set, stops: set) -> None:
         if not any(self.opened[tag] for tag in tags):
@@ -159,17 +186,27 @@ class Page(HTMLParser):
 
 
 def _settle_noise(page: Page) -> list[bool]:
-    """Noise passed on to all descendants. An element that merely has a suspicious name does not
-    hide an ``article`` or ``main``."""
+    """Noise passed on to all descendants, unless it is a mere wrapper. An element with a suspicious
+    name or role, or a form, does not hide an ``article`` or ``main``; nor does a form hide most of
+    the page's text, nor a name most of the text with its main heading."""
     n = len(page.tag)
-    holds = [False] * n
+    holds, titled, size = [False] * n, [False] * n, [0] * n
+    for node, _, text in page.pieces:
+        size[node] += len("".join(text.split()))
+    hidden = [False] * n
+    for i in range(1, n):
+        hidden[i] = page.noise[i] in ("is", "hidden") or hidden[page.parent[i]]
     for i in range(n - 1, 0, -1):
-        if holds[i] or page.tag[i] in ("article", "main"):
-            holds[page.parent[i]] = True
+        up = page.parent[i]
+        holds[up] |= holds[i] or page.tag[i] in ("article", "main")
+        if not hidden[i]:
+            titled[up] |= titled[i] or page.tag[i] == "h1"
+            size[up] += size[i]
     noise = [False] * n
     for i in range(1, n):
-        own = page.noise[i] and not (holds[i] and page.tag[i] not in _NOISE)
-        noise[i] = own or noise[page.parent[i]]
+        kind, most = page.noise[i], 2 * size[i] > size[0]
+        wrapper = holds[i] or most and (kind == "form" or kind == "name" and titled[i])
+        noise[i] = bool(kind) and not (wrapper and kind != "is") or noise[page.parent[i]]
     return noise
 
 

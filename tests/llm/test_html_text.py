@@ -42,6 +42,17 @@ PARTS = {
     "teaser": (f"<main><article>{START}</article><article><a href=/>More</a> <a href=/>Most</a></article></main>", ONE),
     "link list": (f"<article>{START}{LINKS}</article>", ONE),
     "list of text": (f"<article>{START}<ul><li>One <a href=/>x</a> of the points<li>Two</ul></article>", f"{ONE}\n\nOne x of the points\n\nTwo"),
+    "page in a form": (
+        f"<body><form id=aspnetForm><input name=q><nav>Menu</nav><div>{START}</div><button>Send</button></form></body>",
+        ONE,
+    ),
+    "article in a form": (f"<body><form><select><option>A</select><article>{START}</article></form></body>", ONE),
+    "page in a named element": (f"<body><div class=overlay-page><div>{START}</div></div></body>", ONE),
+    "long comments": (f"<body><div id=post>{START}</div><div id=comments>{f'<p>{LONG} so</p>' * 9}</div></body>", ONE),
+    "names of sections": (
+        f"<article>{START}<section id=discussion>{PART}</section><h2 id=related-work>Other</h2><h2 id=search>Third</h2></article>",
+        f"{ONE}\n\n{TWO}\n\nOther\n\nThird",
+    ),
 }
 
 
