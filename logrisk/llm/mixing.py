@@ -4,8 +4,8 @@ Every source gets a share of words. Whole epochs of a source come first; the fra
 left is a weighted sample without replacement: each document draws ``-ln(u) / weight``, the
 documents of a source are taken in the order of these keys, and a prefix sum stops at the
 budget. The prefix sum never brings a source together in one task: keys are cut into
-``KEY_SLICES`` slices by value, slices are totalled, and only rows of one slice of one source
-are ordered together.
+slices by value, ``KEY_SLICES`` up to the key 1 and as many for each power of e beyond, slices are
+totalled, and only rows of one slice of one source are ordered together.
 
 Nulls and odd rows: a null or empty text has size 0 and is taken 0 words; a null source is a
 source of its own, ordered last; a null ``doc_id`` draws like any other value. Repeated rows
@@ -104,19 +104,27 @@ def sized(documents: DataFrame, seed: str = SEED) -> DataFrame:
     )
 
 
+def _slice(draw: Column) -> Column:
+    """The slice of a draw, in the order of the draws. Up to 1 slices are even, beyond they widen
+    in proportion: of the draws of any quality weight up to 1 a slice holds ``1 / KEY_SLICES`` at most."""
+    place = F.when(draw < 1, draw).otherwise(1 + F.log(draw))
+    return F.floor(place * KEY_SLICES).cast("int")
+
+
 def _keyed(rows: DataFrame) -> DataFrame:
     return rows.withColumns(
         {
             "no_source": F.col("source").isNull(),
             "source_key": F.coalesce("source", F.lit("")),
-            "slice": F.floor((1 - F.exp(-F.col("draw"))) * KEY_SLICES).cast("int"),
+            "slice": _slice(F.col("draw")),
         }
     )
 
 
 def slice_starts(rows: DataFrame, **targets) -> DataFrame:
     """Where every slice of every source begins in the source's prefix sum, with the source's
-    size and target. At most ``KEY_SLICES`` rows a source."""
+    size and target. The slices of a source grow with the logarithm of its
+    largest draw, not with its rows."""
     keys = ["no_source", "source_key"]
     slices = _keyed(rows).groupBy(*keys, "slice").agg(F.sum("size").alias("slice_size"))
     slices = materialize(slices, "mix-slices")

@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from logrisk.llm import mixing
 
@@ -65,3 +66,15 @@ def test_odd_rows(spark):
     only = mixing.mix(docs.filter("text is null")).collect()
     assert [(r.size, r.target, r.taken) for r in only] == [(0, 0.0, 0)]
     assert mixing.mix(docs.limit(0)).collect() == [] and mixing.mix_documents(docs.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("weight", [1.0, 0.2, 0.05, 0.01, 1e-6])
+def test_slices_of_a_hot_source_stay_even(spark, weight):
+    """Texts of digits have a low quality weight; no slice holds much of their source."""
+    docs = spark.range(40_000).withColumnRenamed("id", "doc_id")
+    rows = docs.select(F.lit("digits").alias("source"), mixing.draw_key(F.col("doc_id"), F.lit(weight)).alias("draw"))
+    keyed = mixing._keyed(rows)
+    slices = keyed.groupBy("slice").agg(F.count("*").alias("n"), F.min("draw").alias("a"), F.max("draw").alias("b"))
+    slices = slices.orderBy("slice").collect()
+    assert max(row.n for row in slices) < 0.002 * 40_000
+    assert all(one.b < two.a for one, two in zip(slices, slices[1:]))
