@@ -131,9 +131,122 @@ SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGI
 FROM cut
 """
 
+FILL_MIDDLE = r"""
+WITH drawn AS (
+    SELECT doc_id, coalesce(text, '') AS text, CAST(length(coalesce(text, '')) AS BIGINT) AS n,
+        sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS h
+    FROM documents
+), cuts AS (
+    SELECT doc_id, text, n,
+        CASE WHEN n = 0 OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                OR CAST('0x' || substr(h, 17, 8) AS BIGINT) % 100 >= 90 THEN 'plain'
+            WHEN CAST('0x' || substr(h, 25, 8) AS BIGINT) % 100 < 20 THEN 'spm' ELSE 'psm' END AS form,
+        least(CAST('0x' || substr(h, 1, 8) AS BIGINT) % (n + 1), CAST('0x' || substr(h, 9, 8) AS BIGINT) % (n + 1)) AS a,
+        greatest(CAST('0x' || substr(h, 1, 8) AS BIGINT) % (n + 1), CAST('0x' || substr(h, 9, 8) AS BIGINT) % (n + 1)) AS b
+    FROM drawn
+), written AS (
+    SELECT doc_id, n, form,
+        CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+        CASE form WHEN 'plain' THEN text
+            WHEN 'psm' THEN '<P>' || substr(text, 1, a) || '<S>' || substr(text, b + 1) || '<M>' || substr(text, a + 1, b - a)
+            ELSE '<S>' || substr(text, b + 1) || '<P>' || substr(text, 1, a) || '<M>' || substr(text, a + 1, b - a) END AS output
+    FROM cuts
+), parted AS (
+    SELECT *, CASE WHEN form <> 'plain' THEN string_split_regex(output, '<P>|<S>|<M>') END AS p FROM written
+)
+SELECT doc_id, n, form, prefix_chars, middle_chars, sha256(output) AS output_sha256,
+    sha256(CASE form WHEN 'plain' THEN output WHEN 'psm' THEN p[2] || p[4] || p[3] ELSE p[3] || p[4] || p[2] END) AS restored_sha256
+FROM parted
+"""
+
+DECONTAMINATION = r"""
+WITH texts AS (
+    SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents
+), held AS (
+    SELECT r, doc_id, regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM texts
+), items AS (
+    SELECT coalesce(CAST(item_id AS VARCHAR), 'null') AS item, regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM benchmark WHERE text IS NOT NULL
+), windows AS (
+    SELECT DISTINCT item, least(len(w), 10) AS size, array_to_string(w[s : s + least(len(w), 10) - 1], ' ') AS k
+    FROM items, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS u(s) WHERE len(w) > 0
+), sizes AS (SELECT DISTINCT size FROM windows),
+places AS (
+    SELECT r, s, size, array_to_string(w[s : s + size - 1], ' ') AS k
+    FROM held, sizes, unnest(range(1, len(w) - size + 2)) AS u(s) WHERE len(w) >= size
+), found AS (
+    SELECT DISTINCT p.r, p.s, p.size, item FROM places p JOIN windows v ON p.size = v.size AND p.k = v.k
+), hit AS (
+    SELECT r, count(DISTINCT s + i) AS n_hit FROM found, unnest(range(0, size)) AS u(i) GROUP BY r
+), told AS (
+    SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed FROM (SELECT DISTINCT r, item FROM found) GROUP BY r
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+    CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM held LEFT JOIN hit USING (r) LEFT JOIN told USING (r)
+"""
+
+_SIZED = "coalesce(strlen(CAST({0} AS VARCHAR)) || ':' || CAST({0} AS VARCHAR), '-')"
+_LEAF = "sha256(" + " || ".join(_SIZED.format(name) for name in ("doc_id", "source", "lang", "n_chars", "{text}")) + ")"
+_CRC_STEP = "CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END"
+
+MANIFEST = f"""
+WITH RECURSIVE steps AS (
+    SELECT list_transform(range(256), lambda x: list_reduce(range(8), lambda c, i: {_CRC_STEP}, x)) AS t
+), rows AS (
+    SELECT doc_id, lang, {_LEAF.format(text="text")} AS leaf,
+        {_LEAF.format(text="translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS altered,
+        xor(list_reduce(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda d: CAST(ascii(d) AS BIGINT)),
+            lambda c, b: xor(c >> 8, t[1 + (xor(c, b) & 255)]), 4294967295), 4294967295) AS crc
+    FROM documents, steps
+), leaves AS (
+    SELECT *, row_number() OVER () AS r, dense_rank() OVER (ORDER BY encode(lang) NULLS FIRST) - 1 AS tree,
+        row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx,
+        count(*) OVER (PARTITION BY lang) AS n
+    FROM rows
+), nodes AS (
+    SELECT 0 AS level, tree, idx, n, leaf AS digest FROM leaves
+    UNION ALL
+    SELECT DISTINCT level + 1, tree, idx // 8, (n + 7) // 8,
+        sha256(string_agg(digest, '') OVER (PARTITION BY tree, idx // 8 ORDER BY idx ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING))
+    FROM nodes WHERE n > 1
+), subroots AS (
+    SELECT tree, level, digest, tree AS idx, count(*) OVER () AS n FROM nodes WHERE n = 1
+), top AS (
+    SELECT 0 AS level, idx, n, digest FROM subroots
+    UNION ALL
+    SELECT DISTINCT level + 1, idx // 8, (n + 7) // 8,
+        sha256(string_agg(digest, '') OVER (PARTITION BY idx // 8 ORDER BY idx ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING))
+    FROM top WHERE n > 1
+), levels AS (
+    SELECT l.r, o.level AS step, coalesce(string_agg(o.digest, '' ORDER BY o.idx) FILTER (o.idx < l.idx // pow(8, o.level)::BIGINT), '') AS before,
+        coalesce(string_agg(o.digest, '' ORDER BY o.idx) FILTER (o.idx > l.idx // pow(8, o.level)::BIGINT), '') AS after
+    FROM leaves l JOIN nodes o ON l.tree = o.tree AND o.n > 1 AND l.idx // pow(8, o.level + 1)::BIGINT = o.idx // 8 GROUP BY ALL
+    UNION ALL
+    SELECT l.r, 1000 + o.level, coalesce(string_agg(o.digest, '' ORDER BY o.idx) FILTER (o.idx < l.tree // pow(8, o.level)::BIGINT), ''),
+        coalesce(string_agg(o.digest, '' ORDER BY o.idx) FILTER (o.idx > l.tree // pow(8, o.level)::BIGINT), '')
+    FROM leaves l JOIN top o ON o.n > 1 AND l.tree // pow(8, o.level + 1)::BIGINT = o.idx // 8 GROUP BY ALL
+), proofs AS (
+    SELECT r, list(before || '|' || after ORDER BY step) AS proof, string_agg(before || after, '' ORDER BY step) AS siblings FROM levels GROUP BY r
+), folded AS (
+    SELECT l.doc_id, l.leaf, s.digest AS subroot, (SELECT digest FROM top WHERE n = 1) AS root,
+        sha256(coalesce(p.siblings, '')) AS proof_sha256,
+        list_reduce(coalesce(p.proof, CAST([] AS VARCHAR[])), lambda d, x: sha256(split_part(x, '|', 1) || d || split_part(x, '|', 2)),
+            CASE WHEN l.crc % 3 = 0 THEN l.altered ELSE l.leaf END) AS folded_root
+    FROM leaves l JOIN subroots s ON l.tree = s.tree LEFT JOIN proofs p ON l.r = p.r
+)
+SELECT *, folded_root = root AS verified FROM folded
+"""
+
 LLM_ORACLES = {
     "op1_suffix_dedup": SUFFIX_DEDUP,
     "op2_fingerprints": FINGERPRINTS,
     "op4_top_k": TOP_K,
     "op10_source_mix": SOURCE_MIX,
+    "op11_fill_middle": FILL_MIDDLE,
+    "op12_decontamination": DECONTAMINATION,
+    "op13_manifest": MANIFEST,
 }

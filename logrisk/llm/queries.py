@@ -7,8 +7,11 @@ from pyspark.sql import functions as F
 
 from logrisk.llm import (
     bpe,
+    decontamination,
+    fill_middle,
     fingerprints,
     html_text,
+    merkle,
     mixing,
     near_dedup,
     pii,
@@ -97,6 +100,46 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents"))
 
 
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = fill_middle.transform(_table(spark, sf_dir, "documents"))
+    restored = fill_middle.restored(F.col("output"), F.col("form"))
+    return cut.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2(F.encode("output", "UTF-8"), 256).alias("output_sha256"),
+        F.sha2(F.encode(restored, "UTF-8"), 256).alias("restored_sha256"),
+    )
+
+
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
+    return found.select(
+        "doc_id",
+        "n_words",
+        n_hit.alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.encode(F.array_join("items", ","), "UTF-8"), 256).alias("items_sha256"),
+        (F.size("spans") > 0).alias("contaminated"),
+    )
+
+
+def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    proved = merkle.verify_documents(_table(spark, sf_dir, "documents"))
+    return proved.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        merkle.proof_digest(F.col("proof")).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
 LLM_QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_fingerprints": op2_fingerprints,
@@ -108,4 +151,7 @@ LLM_QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_bpe_round_trip": op9_bpe_round_trip,
     "op10_source_mix": op10_source_mix,
+    "op11_fill_middle": op11_fill_middle,
+    "op12_decontamination": op12_decontamination,
+    "op13_manifest": op13_manifest,
 }

@@ -23,6 +23,25 @@ COLUMNS = {
     "op7": {"doc_id": "bigint", "n_email": "bigint", "n_ip": "bigint", "n_card": "bigint", "n_phone": "bigint", "base_sha256": "string", "spans": "string"},
     "op8": {"doc_id": "bigint", "held_out": "boolean", "score": "double", "predicted": "int"},
     "op9": {"doc_id": "bigint", "n_tokens": "bigint", "ids_sha256": "string", "decoded_sha256": "string"},
+    "op11": {
+        "doc_id": "bigint",
+        "n": "bigint",
+        "form": "string",
+        "prefix_chars": "bigint",
+        "middle_chars": "bigint",
+        "output_sha256": "string",
+        "restored_sha256": "string",
+    },
+    "op12": {"doc_id": "bigint", "n_words": "bigint", "n_hit": "bigint", "n_items": "bigint", "items_sha256": "string", "contaminated": "boolean"},
+    "op13": {
+        "doc_id": "bigint",
+        "leaf": "string",
+        "subroot": "string",
+        "root": "string",
+        "proof_sha256": "string",
+        "folded_root": "string",
+        "verified": "boolean",
+    },
     "op10": {"doc_id": "bigint", "size": "bigint", "source_size": "bigint", "target": "double", "taken": "bigint"},
 }
 
