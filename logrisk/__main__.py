@@ -14,6 +14,7 @@ from logrisk.operators.features import FeatureParams
 from logrisk.operators.risk_model import ModelParams
 from logrisk.plans import stages
 from logrisk.sources import readers
+from logrisk.sources.headers import read_first_lines
 
 
 def _bucket_options(stage: argparse.ArgumentParser) -> None:
@@ -57,6 +58,8 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     feature.add_argument("--label-by", default=usual.label_by, choices=("rule", "horizon"))
     feature.add_argument("--label-share", type=float, default=usual.label_share)
     feature.add_argument("--horizon-hours", type=int, default=usual.horizon_hours)
+    feature.add_argument("--level-of", default=usual.level_of, choices=("history", "as_of"))
+    feature.add_argument("--slices", default=usual.slices, choices=("prefix", "range"))
     feature.add_argument("--slice-chars", type=_lengths, default=usual.slice_chars, help="like 7,4")
     feature.add_argument("--bucket-parts", type=int, default=usual.bucket_parts)
     feature.add_argument("--rejects")
@@ -67,7 +70,9 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     model.add_argument("model")
     model.add_argument("predictions")
     model.add_argument("--train-tenths", type=int, default=forest.train_tenths)
-    model.add_argument("--split", default=forest.split, choices=("key", "random"))
+    model.add_argument("--split", default=forest.split, choices=("key", "random", "time"))
+    model.add_argument("--gap-hours", type=int, default=forest.gap_hours, help="between training and test by time")
+    model.add_argument("--sql", help="store the forest as a query over the feature table")
     model.add_argument("--trees", type=int, default=forest.trees)
     model.add_argument("--depth", type=int, default=forest.depth)
     model.add_argument("--seed", type=int, default=forest.seed)
@@ -85,13 +90,14 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     alert.add_argument("--model-name", default=told.model)
     alert.add_argument("--temperature", type=float, default=told.temperature)
     alert.add_argument("--max-tokens", type=int, default=told.max_tokens)
+    alert.add_argument("--answers", help="folder of answers that are not asked for again")
     alert.add_argument("--tasks", type=int, default=8, help="completions at once")
     return parser.parse_args(argv)
 
 
 def _layout(spark: SparkSession, args: argparse.Namespace):
     if args.own_headers:
-        return counts.file_layouts(readers.read_rows(spark, args.structured))
+        return counts.file_layouts(read_first_lines(spark, args.structured))
     header = lambda paths: readers.first_header(spark, paths) if paths else None
     return counts.header_layout(header(args.hdfs_header_of), header(args.bgl_header_of))
 
@@ -116,15 +122,23 @@ def main(argv: list[str] | None = None) -> None:
             share_of=args.share_of,
             label_by=args.label_by,
             horizon_hours=args.horizon_hours,
+            level_of=args.level_of,
+            slices=args.slices,
             slice_chars=args.slice_chars,
             bucket_parts=args.bucket_parts,
         )
         stages.feature_stage(spark, args.counts, args.output, params, args.rejects)
     elif args.stage == "model":
         params = ModelParams(
-            args.train_tenths, args.split, args.trees, args.depth, args.seed, args.partitions
+            train_tenths=args.train_tenths,
+            split=args.split,
+            gap_hours=args.gap_hours,
+            trees=args.trees,
+            depth=args.depth,
+            seed=args.seed,
+            partitions=args.partitions,
         )
-        metrics = stages.model_stage(spark, args.features, args.model, args.predictions, params)
+        metrics = stages.model_stage(spark, args.features, args.model, args.predictions, params, args.sql)
         metrics.show(truncate=False)
     else:
         connect = None
@@ -142,6 +156,7 @@ def main(argv: list[str] | None = None) -> None:
             connect=connect,
             settings=CompletionSettings(args.model_name, args.temperature, args.max_tokens),
             tasks=args.tasks,
+            store=args.answers,
         )
 
 

@@ -7,11 +7,13 @@ from dataclasses import asdict, dataclass
 from string import Formatter
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from logrisk.functions.text import as_wire_number
+from logrisk.sources.scratch import materialize
 
 # Sampling settings handed to the completion function.
 TEMPERATURE = 0.2
@@ -143,3 +145,62 @@ def answer_prompts(
 
     spread = prompts.repartition(tasks) if tasks else prompts
     return spread.mapInPandas(answer, schema)
+
+
+#: What is stored of each call: whose it was, what came of it, and in which run.
+_STORED = "digest string, answer string, error string, run long"
+PROMPTS_AT_A_TIME = 1000
+
+
+def prompt_digest(settings: CompletionSettings) -> Column:
+    """What a prompt's answer is stored under: the prompt and all settings."""
+    told = [F.lit(f"{name}={value}") for name, value in asdict(settings).items()]
+    return F.sha2(F.to_json(F.array(*told, F.col("prompt"))).cast("binary"), 256)
+
+
+def _stored_answers(prompts: DataFrame, store: str) -> DataFrame:
+    spark = prompts.sparkSession
+    try:
+        return spark.read.schema(_STORED).parquet(store)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], _STORED)
+
+
+def answer_once(
+    prompts: DataFrame,
+    connect: Callable[[], Callable[..., str]],
+    store: str,
+    settings: CompletionSettings = CompletionSettings(),
+    tasks: int | None = None,
+    at_a_time: int = PROMPTS_AT_A_TIME,
+) -> DataFrame:
+    """``answer_prompts`` that asks for each distinct prompt once, also over several runs.
+
+    ``store`` is a folder of answers by the digest of prompt and settings. What it holds is not
+    asked again; what is missing is asked ``at_a_time`` distinct prompts a job, and each job's
+    answers are committed to the folder before the next one begins. A run that is killed loses
+    no more than the job that it was in, and the next run goes on from there. Calls that
+    failed are stored with their ``error`` and asked again by the next run. One run at a time may use
+    a folder.
+    """
+    digest = prompt_digest(settings)
+    keyed = prompts.withColumn("_digest", digest)
+    before = _stored_answers(prompts, store)
+    run = (before.agg(F.max("run")).first()[0] or 0) + 1
+    distinct = keyed.groupBy(F.col("_digest").alias("digest")).agg(F.any_value("prompt").alias("prompt"))
+    missing = distinct.join(before.filter("error IS NULL").select("digest"), "digest", "left_anti")
+    missing = materialize(missing.filter("prompt IS NOT NULL"), "prompts")
+    jobs = -(-missing.count() // at_a_time)
+    job_of = F.pmod(F.xxhash64("digest"), F.lit(max(1, jobs)))
+    for job in range(jobs):
+        answered = answer_prompts(missing.filter(job_of == job), connect, settings, tasks)
+        found = answered.select("digest", "answer", "error", F.lit(run).cast("long").alias("run"))
+        found.write.mode("append").parquet(store)
+    # Of a prompt that was asked more than once the last call counts, which is the one that succeeded, if any.
+    known = _stored_answers(prompts, store).groupBy(F.col("digest").alias("_digest"))
+    last = known.agg(F.max_by(F.struct("answer", "error"), "run").alias("_last"))
+    return keyed.join(last, "_digest", "left").select(
+        *prompts.columns, F.col("_last.answer").alias("answer"), F.col("_last.error").alias("error")
+    )

@@ -30,6 +30,12 @@ from logrisk.functions.text import (
 COUNT_KEY = ("date_hour", "error_type", "source")
 
 COUNTED, HEADER, BLANK, SHORT = "counted", "header", "blank", "short"
+BAD_COUNT, EMPTY_KEY = "bad_count", "empty_key"
+
+#: Files whose layouts are broadcast at most, a quarter of a kilobyte each.
+MOST_LAYOUTS = 200_000
+#: Parts into which the lines of a file are dealt where there are more files.
+_PARTS_OF_A_FILE = 64
 
 
 @dataclass(frozen=True)
@@ -75,13 +81,15 @@ def header_layout(hdfs_header: str | None = None, bgl_header: str | None = None)
 
 
 def file_layouts(lines: DataFrame) -> DataFrame:
-    """``file_path`` and the positions that each file's own header (``LineId...``) gives.
+    """``file_path`` and the positions that each file's own first header (``LineId...``) gives.
 
     Files without a header, and columns that it does not name, keep their ``POSITIONAL`` place.
-    One row per file; only header lines are shuffled.
+    One row per file; only header lines are shuffled. Of stored files, ``read_first_lines`` gives
+    the lines that are needed.
     """
     headers = lines.filter(F.col("value").startswith("LineId"))
-    first = headers.groupBy("file_path").agg(F.min("value").alias("header"))
+    headers = headers.select("file_path", "value", F.monotonically_increasing_id().alias("_place"))
+    first = headers.groupBy("file_path").agg(F.min_by("value", "_place").alias("header"))
     names = F.transform(F.split("header", ","), lambda name: F.trim(name))
     place = lambda field, name: F.coalesce(
         F.nullif(F.array_position(names, name), F.lit(0)) - 1, F.lit(getattr(POSITIONAL, field))
@@ -101,13 +109,22 @@ def source_of(path: Column) -> Column:
 
 
 def _with_layout(lines: DataFrame, layout: CsvLayout | DataFrame) -> DataFrame:
-    """Lines with one ``layout`` for all, or with that of their file."""
+    """Lines with one ``layout`` for all, or with that of their file.
+
+    The layouts are looked up where the lines are read. Where there are too many files for that, the
+    lines of a file are dealt over a fixed number of parts.
+    """
     if isinstance(layout, CsvLayout):
         fields = [F.lit(value).alias(name) for name, value in asdict(layout).items()]
         return lines.withColumn("layout", F.struct(*fields))
     known = layout.select(F.col("file_path"), F.struct(*asdict(POSITIONAL)).alias("own"))
     usual = F.struct(*[F.lit(value).alias(name) for name, value in asdict(POSITIONAL).items()])
-    joined = lines.join(known, "file_path", "left")
+    if known.count() <= MOST_LAYOUTS:
+        joined = lines.join(F.broadcast(known), "file_path", "left")
+    else:
+        part = F.pmod(F.xxhash64("value"), F.lit(_PARTS_OF_A_FILE)).cast("int")
+        copies = known.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(_PARTS_OF_A_FILE - 1))))
+        joined = lines.withColumn("_part", part).join(copies, ["file_path", "_part"], "left").drop("_part")
     return joined.withColumn("layout", F.coalesce("own", usual)).drop("own")
 
 
@@ -184,17 +201,16 @@ def count_errors(
     return count_keys(rows.filter(F.col("status") == COUNTED))
 
 
-def count_and_reject(
-    lines: DataFrame, layout: CsvLayout | DataFrame = POSITIONAL, style: BucketStyle = BucketStyle()
-) -> DataFrame:
-    """Counts and rejects in one pass: ``status``, the key, ``value`` and ``total_count``.
+def count_rejects(classified: DataFrame) -> DataFrame:
+    """``value, source, reason, total_lines``: the rows that are not counted, equal ones once.
 
-    Counted rows are grouped by their key, without a ``value``; others by their status, source
-    and text.
+    They meet by a digest, so that the shuffle's key is short however long the lines are.
     """
-    rows = classify_rows(lines, layout, style)
-    text = F.when(F.col("status") != COUNTED, F.col("value")).alias("value")
-    return rows.groupBy("status", *COUNT_KEY, text).agg(F.count("*").alias("total_count"))
+    rejected = classified.filter(F.col("status") != COUNTED)
+    digest = F.md5(F.coalesce("value", F.lit("")))
+    groups = rejected.groupBy("source", F.col("status").alias("reason"), digest.alias("digest"))
+    found = groups.agg(F.any_value("value").alias("value"), F.count("*").alias("total_lines"))
+    return found.select("value", "source", "reason", "total_lines")
 
 
 def rejected_rows(
@@ -243,23 +259,26 @@ def classify_wire(lines: DataFrame) -> DataFrame:
 
     The bucket ends at the first comma and the count begins after the last; before that stands
     the source, and what is left, commas included, is the error type. Lines with fewer than four
-    fields are ``short``; those whose count is no whole number from 0 on are ``bad_count``.
+    fields are ``short``; those whose count is not made of digits only, or does not fit into 64 bits, are
+    ``bad_count``; those of which bucket, type and source are all empty are ``empty_key``.
     """
     fields = lines.select("value", evaluate_once(F.split("value", ",")).alias("_fields"))
     size = F.size("_fields")
-    count = F.get("_fields", size - 1).try_cast("double")
+    count = F.get("_fields", size - 1)
     typed = fields.select(
         "value",
         F.get("_fields", F.lit(0)).alias("date_hour"),
         F.array_join(F.slice("_fields", 3, F.greatest(size - 4, F.lit(0))), ",").alias("_tail"),
         F.get("_fields", F.lit(1)).alias("_head"),
         F.get("_fields", size - 2).alias("source"),
-        F.when((count >= 0) & (count < float("inf")) & (count == F.floor(count)), count).alias("total_count"),
+        F.when(count.rlike(r"\A[0-9]+\z"), count.try_cast("bigint")).alias("total_count"),
         size.alias("_size"),
     )
+    nothing = (F.col("_size") == 4) & (F.concat("date_hour", "_head", "source") == "")
     status = (
         F.when(F.col("_size") < 4, SHORT)
-        .when(F.col("total_count").isNull(), "bad_count")
+        .when(F.col("total_count").isNull(), BAD_COUNT)
+        .when(nothing, EMPTY_KEY)
         .otherwise(COUNTED)
     )
     error_type = F.when(F.col("_size") > 4, F.concat_ws(",", "_head", "_tail")).otherwise(F.col("_head"))
@@ -274,6 +293,6 @@ def classify_wire(lines: DataFrame) -> DataFrame:
 
 
 def parse_wire(lines: DataFrame) -> DataFrame:
-    """Count lines to counts, leaving out lines that do not hold one."""
+    """Count lines to counts, 64-bit whole numbers, leaving out lines that do not hold one."""
     rows = classify_wire(lines).filter(F.col("status") == COUNTED)
     return rows.select(*COUNT_KEY, "total_count")

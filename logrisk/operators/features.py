@@ -7,6 +7,9 @@ these sums meet per key and per bucket, in small shuffles, and are joined back t
 shuffle of rows carries its columns as one value, so that all that follows from it reads the same
 shuffle, whichever columns the caller needs: the input is read once.
 
+Counts, their sums and the sums of their squares are whole numbers, so they do not depend on the order
+in which they are added, and a flag is decided without a division or a root.
+
 A null in a key counts as ``UNKNOWN``, the text the count stage uses as well; counts of equal
 keys are added.
 """
@@ -17,9 +20,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from logrisk.functions.buckets import bucket_hour_number, bucket_hours
 from logrisk.operators.counts import COUNT_KEY, UNKNOWN
+from logrisk.sources.scratch import materialize
 
 FEATURE_COLUMNS = (
     "date_hour",
@@ -42,9 +47,13 @@ class FeatureParams:
     ``cluster`` to the total of all sources.
     ``label_by``: ``rule`` labels the row itself, ``horizon`` labels rows whose key is
     flagged in a bucket that begins within ``horizon_hours`` of their end.
-    ``slice_chars``: falling lengths of the prefixes of ``date_hour`` that make time slices;
-    seven characters are a month. Results do not depend on them; (7, 4) adds years, for keys
-    with many thousands of different prefixes.
+    ``level_of``: a key's usual level is that of its whole ``history``, later buckets included, or that
+    ``as_of`` the row: of its buckets up to and including it.
+    ``slices``: time slices are made of prefixes of ``date_hour``, or of ranges (``range``) of key and
+    ``date_hour`` that hold about as many rows each, whatever the buckets look like; this takes one more
+    shuffle and a stored table. Results do not depend on the slices.
+    ``slice_chars``: falling lengths of the prefixes; seven characters are a month. (7, 4) adds years, for
+    keys with many thousands of different prefixes.
     ``bucket_parts``: parts in which a bucket is totalled, by error type. Results do not depend
     on it.
     """
@@ -53,6 +62,8 @@ class FeatureParams:
     share_of: str = "source"
     label_by: str = "rule"
     horizon_hours: int = 2
+    level_of: str = "history"
+    slices: str = "prefix"
     slice_chars: tuple[int, ...] = (7,)
     bucket_parts: int = 64
 
@@ -61,6 +72,10 @@ class FeatureParams:
             raise ValueError(f"share_of: {self.share_of!r}")
         if self.label_by not in ("rule", "horizon"):
             raise ValueError(f"label_by: {self.label_by!r}")
+        if self.level_of not in ("history", "as_of"):
+            raise ValueError(f"level_of: {self.level_of!r}")
+        if self.slices not in ("prefix", "range"):
+            raise ValueError(f"slices: {self.slices!r}")
         lengths = (*self.slice_chars, 0)
         if any(longer <= shorter for longer, shorter in zip(lengths, lengths[1:])):
             raise ValueError("slice_chars must be positive and falling")
@@ -68,9 +83,18 @@ class FeatureParams:
             raise ValueError("horizon_hours and bucket_parts must be positive")
 
 
+def _whole_number(counts: DataFrame) -> Column:
+    """``total_count`` as a 64-bit whole number; any other number raises when it is read."""
+    count, kind = F.col("total_count"), counts.schema["total_count"].dataType
+    if isinstance(kind, T.IntegralType):
+        return count.cast("bigint")
+    broken = F.raise_error(F.concat(F.lit("no whole number: "), count.cast("string"))).cast("bigint")
+    return F.when(count.isNull() | (count == F.floor(count)), count.cast("bigint")).otherwise(broken)
+
+
 def _frequencies(counts: DataFrame) -> DataFrame:
     key = [F.coalesce(F.col(name), F.lit(UNKNOWN)).alias(name) for name in COUNT_KEY]
-    return counts.select(*key, F.col("total_count").cast("double").alias("error_frequency"))
+    return counts.select(*key, _whole_number(counts).alias("frequency"))
 
 
 def _dealt(rows: DataFrame, *keys: str) -> DataFrame:
@@ -84,23 +108,28 @@ def _prefix(column: str, lengths: tuple[int, ...]) -> Column:
     return F.substring(column, 1, lengths[0]) if lengths else F.lit("")
 
 
-def _merged(by: list[str]) -> list[Column]:
-    """``all_n`` and ``all_mean`` of a group of stretches, and each one's part of the deviation.
+#: What is added up of a stretch of time: its rows with a frequency, the frequencies and their squares.
+_MOMENTS = ("n", "total", "squares")
 
-    A stretch of time has ``n`` rows with a frequency, their ``mean`` and squared ``deviation``,
-    and the ``point`` of its last row.
-    """
-    group = Window.partitionBy(*by)
-    n = F.sum("n").over(group)
-    mean = F.try_divide(F.sum(F.col("n") * F.coalesce("mean", F.lit(0.0))).over(group), n)
-    shift = F.coalesce(F.col("mean") - mean, F.lit(0.0))
-    part = F.coalesce("deviation", F.lit(0.0)) + F.col("n") * shift * shift
-    return [n.alias("all_n"), mean.alias("all_mean"), part.alias("part")]
+
+def _exact(frequency: Column) -> Column:
+    return frequency.cast("decimal(20,0)")
 
 
-def _key_history(stretches: DataFrame, lengths: tuple[int, ...]) -> DataFrame:
-    """Stretches (``source, error_type, slice`` and their history) with ``handed_on``, the point
-    of the last row before each, and the key's ``usual_level``.
+def _moment_terms() -> list[Column]:
+    """What each row adds to ``_MOMENTS``. A sum of squares beyond 38 digits raises."""
+    frequency = _exact(F.col("frequency"))
+    return [F.col("frequency").isNotNull().cast("bigint"), frequency, frequency * frequency]
+
+
+def _zero(total: Column) -> Column:
+    return F.coalesce(total, F.lit(0))
+
+
+def _key_history(stretches: DataFrame, lengths: tuple[int, ...], as_of: bool) -> DataFrame:
+    """Stretches (``source, error_type, slice``, their ``_MOMENTS`` and ``point``, that of their last row)
+    with ``handed_on``, the point of the last row before each, and the moments ``all_...`` of the key,
+    or of the stretches before this one.
 
     With more ``lengths`` the stretches of a key are themselves taken in slices.
     """
@@ -108,95 +137,141 @@ def _key_history(stretches: DataFrame, lengths: tuple[int, ...]) -> DataFrame:
     if lengths:
         stretches = stretches.withColumn("outer", _prefix("slice", lengths))
         by = [*by, "outer"]
-    parts = stretches.select("*", *_merged(by))
-    inside = F.lag("point").over(Window.partitionBy(*by).orderBy("slice"))
+    group = Window.partitionBy(*by)
+    in_order = group.orderBy("slice")
+    reach = in_order.rowsBetween(Window.unboundedPreceding, -1) if as_of else group
+    found = stretches.select(
+        *by,
+        "slice",
+        F.lag("point").over(in_order).alias("handed_on"),
+        *[_zero(F.sum(name).over(reach)).alias(f"all_{name}") for name in _MOMENTS],
+    )
     if not lengths:
-        spread = F.sum("part").over(Window.partitionBy(*by))
-        deviation = F.when(F.col("all_n") > 1, F.sqrt(spread / (F.col("all_n") - 1))).otherwise(0.0)
-        level = F.col("all_mean") + deviation
-        return parts.select("source", "error_type", "slice", inside.alias("handed_on"), level.alias("usual_level"))
-    outer = parts.groupBy("source", "error_type", F.col("outer").alias("slice")).agg(
-        F.max("all_n").alias("n"),
-        F.max("all_mean").alias("mean"),
-        F.sum("part").alias("deviation"),
-        F.max_by("point", "slice").alias("point"),
+        return found
+    outer = stretches.groupBy("source", "error_type", F.col("outer").alias("slice")).agg(
+        *[F.sum(name).alias(name) for name in _MOMENTS], F.max_by("point", "slice").alias("point")
     )
-    before = _key_history(outer, lengths[1:]).withColumnsRenamed({"slice": "outer", "handed_on": "before_outer"})
-    looked_back = parts.withColumn("inside", inside).join(before, by, "left")
-    handed_on = F.coalesce("inside", "before_outer").alias("handed_on")
-    return looked_back.select("source", "error_type", "slice", handed_on, "usual_level")
+    outer = _key_history(outer, lengths[1:], as_of)
+    renamed = {name: f"outer_{name}" for name in outer.columns if name not in ("source", "error_type", "slice")}
+    looked_back = found.join(outer.withColumnsRenamed({"slice": "outer", **renamed}), by, "left")
+    # What the outer slices before this one hold comes first; of a whole history they know all.
+    whole = lambda name: F.col(f"outer_all_{name}") + (F.col(f"all_{name}") if as_of else 0)
+    return looked_back.select(
+        "source",
+        "error_type",
+        "slice",
+        F.coalesce("handed_on", "outer_handed_on").alias("handed_on"),
+        *[whole(name).alias(f"all_{name}") for name in _MOMENTS],
+    )
+
 
+def _sliced(rows: DataFrame, params: FeatureParams) -> DataFrame:
+    """Add ``slice``, which ascends with ``date_hour`` within a key."""
+    if params.slices == "prefix":
+        return rows.withColumn("slice", _prefix("date_hour", params.slice_chars))
+    ranged = rows.repartitionByRange("source", "error_type", "date_hour")
+    # Stored, as every reader has to see the same ranges.
+    return materialize(ranged.withColumn("slice", F.spark_partition_id()), "feature-ranges")
 
-def _with_history(rows: DataFrame, lengths: tuple[int, ...]) -> DataFrame:
-    """Add ``usual_level``, mean plus sample deviation of the key, and ``previous``, the frequency
-    in the key's preceding bucket, or 0.0.
 
-    ``lengths`` are those of prefixes of ``date_hour``, which keep its order. Each row looks back
-    within its slice; the first row of a slice takes what earlier slices hand on.
+def _with_history(rows: DataFrame, params: FeatureParams) -> DataFrame:
+    """Add the moments ``all_...`` of the key, or as of the row, and ``previous``, the frequency in the
+    key's preceding bucket, or 0.
+
+    Each row looks back within its slice; the first row of a slice takes what earlier slices hand on.
     """
     keys = ["source", "error_type", "slice"]
-    dealt = _dealt(rows.withColumn("slice", _prefix("date_hour", lengths)), *keys)
-    dealt = dealt.groupBy(*keys, "date_hour").agg(F.sum("error_frequency").alias("error_frequency"))
+    dealt = _dealt(_sliced(rows, params), *keys)
+    dealt = dealt.groupBy(*keys, "date_hour").agg(F.sum("frequency").alias("frequency"))
     # A struct tells a preceding row without a frequency from no preceding row.
-    dealt = dealt.withColumn("point", F.struct("error_frequency"))
+    dealt = dealt.withColumn("point", F.struct("frequency"))
+    terms = dict(zip(_MOMENTS, _moment_terms()))
     stretches = dealt.groupBy(*keys).agg(
-        F.count("error_frequency").alias("n"),
-        F.avg("error_frequency").alias("mean"),
-        (F.var_pop("error_frequency") * F.count("error_frequency")).alias("deviation"),
-        F.max_by("point", "date_hour").alias("point"),
+        *[F.sum(term).alias(name) for name, term in terms.items()], F.max_by("point", "date_hour").alias("point")
     )
-    inside = F.lag("point").over(Window.partitionBy(*keys).orderBy("date_hour"))
+    as_of = params.level_of == "as_of"
+    lengths = params.slice_chars[1:] if params.slices == "prefix" else ()
+    in_order = Window.partitionBy(*keys).orderBy("date_hour")
+    so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = {"inside": F.lag("point").over(in_order)}
+    if as_of:
+        inside |= {f"own_{name}": _zero(F.sum(term).over(so_far)) for name, term in terms.items()}
     before = F.coalesce("inside", "handed_on")
+    level = [
+        (F.col(f"all_{name}") + (F.col(f"own_{name}") if as_of else 0)).alias(f"all_{name}") for name in _MOMENTS
+    ]
     return (
-        dealt.withColumn("inside", inside)
-        .join(_key_history(stretches, lengths[1:]), keys, "left")
+        dealt.withColumns(inside)
+        .join(_key_history(stretches, lengths, as_of), keys, "left")
         .select(
             *COUNT_KEY,
-            "error_frequency",
-            "usual_level",
-            F.when(before.isNull(), 0.0).otherwise(before.getField("error_frequency")).alias("previous"),
+            "frequency",
+            *level,
+            F.when(before.isNull(), 0).otherwise(before.getField("frequency")).alias("previous"),
         )
     )
 
 
+def _is_high(frequency: Column, n: Column, total: Column, squares: Column) -> Column:
+    """True where a frequency is above mean plus sample deviation of ``n`` frequencies, given by their
+    sum and that of their squares.
+
+    Multiplied out, that is ``(n f - S) ** 2 (n - 1) > n (n Q - S ** 2)`` and ``n f > S``, in whole numbers of up
+    to 38 digits. Where a product is longer, the same sums are compared as doubles.
+    """
+    f, n = _exact(frequency), _exact(n)
+    above = F.try_subtract(F.try_multiply(n, f), total)
+    spread = F.try_subtract(F.try_multiply(n, squares), F.try_multiply(total, total))
+    exact = F.try_multiply(F.try_multiply(above, above), n - 1) > F.try_multiply(n, spread)
+    number = lambda value: value.cast("double")
+    mean = F.try_divide(number(total), number(n))
+    variance = F.try_divide(number(squares) - mean * number(total), number(n) - 1)
+    rough = number(f) > mean + F.sqrt(F.greatest(variance, F.lit(0.0)))
+    return (n > 1) & F.coalesce(above > 0, F.lit(True)) & F.coalesce(exact, rough)
+
+
 def _with_totals(rows: DataFrame, bucket: list[str], parts: int) -> DataFrame:
     """Add ``bucket_total``. A bucket may hold most of the rows, so it is summed and joined in
     parts, by error type; only the sums of its parts, a bounded number, meet in one group."""
     keys = [*bucket, "part"]
     part = F.pmod(F.xxhash64("error_type"), F.lit(parts))
     dealt = _dealt(rows.withColumn("part", part), *keys)
-    sums = dealt.groupBy(*keys).agg(F.sum("error_frequency").alias("part_total"))
+    sums = dealt.groupBy(*keys).agg(F.sum(_exact(F.col("frequency"))).alias("part_total"))
     whole = F.sum("part_total").over(Window.partitionBy(*bucket))
     return dealt.join(sums.select(*keys, whole.alias("bucket_total")), keys, "left")
 
 
 def _share(part: Column, whole: Column) -> Column:
-    return F.round(F.try_divide(part, whole), 4)
+    return F.round(F.try_divide(part.cast("double"), whole.cast("double")), 4)
 
 
 def _growth(now: Column, previous: Column) -> Column:
     """Relative change to the previous bucket; 0.0 where there is nothing to relate to."""
-    return F.when(previous == 0, 0.0).otherwise(F.round(F.try_divide(now - previous, previous), 4))
+    now, before = now.cast("double"), previous.cast("double")
+    return F.when(previous == 0, 0.0).otherwise(F.round(F.try_divide(now - before, before), 4))
 
 
 def engineer_features(counts: DataFrame, params: FeatureParams = FeatureParams()) -> DataFrame:
     """Counts (``date_hour, error_type, source, total_count``) to ``FEATURE_COLUMNS``.
 
-    The usual level of a key covers its whole history, later buckets included, and the
+    Counts are whole numbers; others raise. Unless ``level_of="as_of"``, the usual level of a key
+    covers its whole history, later buckets included, and the
     rule label is a function of two features: near-perfect scores on it do not show an
     ability to forecast. ``label_by="horizon"`` gives a target in the future.
     """
     bucket = ["date_hour"] if params.share_of == "cluster" else ["source", "date_hour"]
-    rows = _with_history(_frequencies(counts), params.slice_chars)
-    frequency = F.col("error_frequency")
+    rows = _with_history(_frequencies(counts), params)
+    frequency = F.col("frequency")
+    high = _is_high(frequency, *[F.col(f"all_{name}") for name in _MOMENTS])
+    rows = rows.select(*COUNT_KEY, "frequency", "previous", high.alias("high"))
     measured = _with_totals(rows, bucket, params.bucket_parts).select(
         "date_hour",
         "error_type",
         "source",
-        "error_frequency",
+        frequency.cast("double").alias("error_frequency"),
         _share(frequency, F.col("bucket_total")).alias("error_distribution"),
         _growth(frequency, F.col("previous")).alias("rate_of_change"),
-        F.when(frequency > F.col("usual_level"), 1).otherwise(0).alias("high_error_flag"),
+        F.when(F.col("high"), 1).otherwise(0).alias("high_error_flag"),
     )
     if params.label_by == "horizon":
         return label_ahead(measured, params.horizon_hours)

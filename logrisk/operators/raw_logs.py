@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from logrisk.functions.text import FIELD_BREAK, evaluate_once, is_blank
@@ -92,6 +92,21 @@ def rejected_lines(lines: DataFrame, grammar: Grammar) -> DataFrame:
     )
 
 
+def located_rejects(classified: DataFrame) -> DataFrame:
+    """Lines that do not match, with ``reason``, ``file_path`` and ``line_no``, from 1 on.
+
+    ``classified`` is a stored table of all lines of ``read_placed_lines``: how many lines the blocks
+    before hold is counted in it. Only a row per block is shuffled; the lines are not.
+    """
+    block = ["file_path", "block_start"]
+    blocks = classified.groupBy(*block).agg(F.min("seq").alias("first"), F.count("*").alias("n"))
+    earlier = Window.partitionBy("file_path").orderBy("block_start").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.select(*block, "first", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    rejected = classified.filter(F.col("status") != PARSED).join(blocks, block)
+    line_no = F.col("before") + F.col("seq") - F.col("first") + 1
+    return rejected.select("value", F.col("status").alias("reason"), "file_path", line_no.alias("line_no"))
+
+
 def parse_logs(lines: DataFrame, grammar: Grammar) -> ParsedLogs:
     """Records and rejects of raw lines.
 

@@ -1,7 +1,7 @@
 """Features to a risk model, scores and metrics.
 
 Split and training do not depend on how the input happens to be partitioned: the split is a
-hash of the row key, and the training rows are laid out by that key over a fixed number of
+hash of the row key, or a cut in time, and the training rows are laid out by that key over a fixed number of
 partitions. Another number gives another, equally good forest.
 """
 
@@ -19,6 +19,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from logrisk.functions.buckets import bucket_hour_number, bucket_hours
 from logrisk.operators.counts import COUNT_KEY
 
 # The model input, in vector order.
@@ -36,23 +37,26 @@ class ModelParams:
     """Settings of the forest and of the reproducible split.
 
     ``train_tenths`` of the keys go to training; with ``split="random"`` rows are sampled
-    with the seed instead, which changes with the partitioning. Training rows are spread
+    with the seed instead, which changes with the partitioning. With ``split="time"`` training takes the
+    first ``train_tenths`` of the hours that the buckets span, and only rows that end ``gap_hours`` before
+    the others begin, so that no label of a training row looks into the others' time. Training rows are spread
     over ``partitions``, whatever their number: set it once, to a few times the cores that
     training may use, as the forest depends on it.
     """
 
     train_tenths: int = 8
     split: str = "key"
+    gap_hours: int = 2
     trees: int = 20
     depth: int = 5
     seed: int = 42
     partitions: int = 8
 
     def __post_init__(self) -> None:
-        if self.split not in ("key", "random"):
+        if self.split not in ("key", "random", "time"):
             raise ValueError(f"split: {self.split!r}")
-        if not 0 < self.train_tenths < 10 or self.partitions < 1:
-            raise ValueError("train_tenths must lie between 0 and 10, partitions above 0")
+        if not 0 < self.train_tenths < 10 or self.partitions < 1 or self.gap_hours < 0:
+            raise ValueError("train_tenths must lie between 0 and 10, partitions above 0, gap_hours from 0 on")
 
 
 def row_key() -> Column:
@@ -65,15 +69,37 @@ def in_training(train_tenths: int = 8) -> Column:
     return hashed % 10 < train_tenths
 
 
+def time_cut(features: DataFrame, params: ModelParams = ModelParams()) -> int:
+    """The hour, counted from 1970, at which a split by time begins to test."""
+    hour = bucket_hour_number(F.col("date_hour"))
+    first, last = features.agg(F.min(hour), F.max(hour)).first()
+    if first is None:
+        raise ValueError("no bucket is a time")
+    return first + (last - first + 1) * params.train_tenths // 10
+
+
+def side_of(cut: int, gap_hours: int) -> Column:
+    """``train``, ``gap`` or ``test`` by the time of a bucket; null for free-form buckets."""
+    start = bucket_hour_number(F.col("date_hour"))
+    end = start + bucket_hours(F.col("date_hour"))
+    return F.when(start >= cut, "test").when(end + gap_hours <= cut, "train").when(start.isNotNull(), "gap")
+
+
 def split_features(
     features: DataFrame, params: ModelParams = ModelParams()
 ) -> tuple[DataFrame, DataFrame]:
-    """Training and test rows; split by key, the same key is always on the same side."""
+    """Training and test rows; split by key, the same key is always on the same side.
+
+    Split by time, rows in the gap and rows whose bucket is no time are on neither side.
+    """
     if params.split == "random":
         train, test = features.randomSplit(
             [params.train_tenths / 10, 1 - params.train_tenths / 10], seed=params.seed
         )
         return train, test
+    if params.split == "time":
+        side = side_of(time_cut(features, params), params.gap_hours)
+        return features.filter(side == "train"), features.filter(side == "test")
     chosen = in_training(params.train_tenths)
     return features.filter(chosen), features.filter(~chosen)
 

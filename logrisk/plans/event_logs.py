@@ -257,7 +257,7 @@ def awkward_keys(events: DataFrame) -> DataFrame:
 
 
 def wire_lines(events: DataFrame) -> DataFrame:
-    """A count line per event; by its type the count is whole, or none that is accepted."""
+    """Two count lines per event; by its type the count is whole, or none that is accepted."""
     count = _by_type(
         click=F.col("event_id").cast("string"),
         error=F.lit("NaN"),
@@ -265,6 +265,39 @@ def wire_lines(events: DataFrame) -> DataFrame:
         signup=F.lit("-1"),
         view=F.lit("2.5"),
     )
-    value = F.concat_ws(",", _at("yyyy-MM-dd HH"), severity(), F.concat(F.lit("S"), "event_id"), count)
+    other = _by_type(
+        click=F.concat("event_id", F.lit("d")),
+        error=F.lit("0x1p3"),
+        purchase=F.lit("1e3"),
+        signup=F.lit("-0"),
+        view=F.lit("9223372036854775808"),
+    )
+    key = F.concat_ws(",", _at("yyyy-MM-dd HH"), severity(), F.concat(F.lit("S"), "event_id"))
     short = F.when(F.col("event_type") == "view", F.lit("a,b,3"))
-    return events.select(F.explode(F.array_compact(F.array(value, short))).alias("value"))
+    empty = F.when(F.col("event_type") == "click", F.concat(F.lit(",,,"), "event_id"))
+    written = F.array(F.concat_ws(",", key, count), F.concat_ws(",", key, other), short, empty)
+    return events.select(F.explode(F.array_compact(written)).alias("value"))
+
+
+def large_wire_lines(events: DataFrame) -> DataFrame:
+    """A count line per event, whose count is its id above 2 to the power of 53."""
+    count = F.lit(1 << 53) + F.col("event_id")
+    value = F.concat_ws(",", _at("yyyy-MM-dd HH"), severity(), F.concat(F.lit("S"), "event_id"), count)
+    return events.select(value.alias("value"))
+
+
+def own_header_files(events: DataFrame) -> DataFrame:
+    """Rows of ``moved_columns`` as files with a header each: ``folder, part, value``, sorted so that a file
+    begins with its header. Odd parts of HDFS have their columns in the order of ``MOVED_HDFS_HEADER``."""
+    rows = moved_columns(header_rows(events))
+    is_hdfs = F.col("file_path").contains("hdfs")
+    body = rows.select(
+        F.when(is_hdfs, "hdfs_logs").otherwise("bgl_logs").alias("folder"),
+        (F.split("value", ",")[0].cast("bigint") % 4).alias("part"),
+        F.lit(1).alias("after"),
+        "value",
+    )
+    moved = F.when(F.col("part") % 2 == 1, MOVED_HDFS_HEADER).otherwise(HDFS_HEADER)
+    header = F.when(F.col("folder") == "hdfs_logs", moved).otherwise(BGL_HEADER)
+    heads = body.select("folder", "part").distinct().select("folder", "part", F.lit(0).alias("after"), header.alias("value"))
+    return body.unionByName(heads).repartition("folder", "part").sortWithinPartitions("folder", "part", "after").drop("after")

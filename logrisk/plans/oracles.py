@@ -48,6 +48,31 @@ features AS (
 
 _FEATURES = _COUNTS + "," + _features()
 
+
+def _whole_number_flags(counts: str, frame: str) -> str:
+    """Flags decided in whole numbers of 128 bits."""
+    over = f"OVER (PARTITION BY source, error_type {frame})"
+    return f"""
+exact AS (
+  SELECT date_hour, error_type, source, total_count::HUGEINT AS f, count(*) {over} AS n,
+    sum(total_count::HUGEINT) {over} AS s, sum(total_count::HUGEINT * total_count::HUGEINT) {over} AS q
+  FROM {counts}
+),
+high AS (
+  SELECT date_hour, error_type, source, f::DOUBLE AS error_frequency,
+    CASE WHEN n > 1 AND n * f > s AND (n * f - s) * (n * f - s) * (n - 1) > n * (n * q - s * s) THEN 1 ELSE 0 END AS high_error_flag
+  FROM exact
+)"""
+
+
+_SO_FAR = "ORDER BY date_hour ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+_AS_OF = _FEATURES.replace("features AS (", "known AS (") + "," + _whole_number_flags("counts", _SO_FAR) + """,
+features AS (
+  SELECT known.* REPLACE (high.high_error_flag AS high_error_flag,
+    CASE WHEN high.high_error_flag = 1 AND error_distribution > 0.4 THEN 1 ELSE 0 END AS label)
+  FROM known JOIN high USING (date_hour, error_type, source)
+)"""
+
 _BLANKS = r" \t\n\x0B\f\r"
 _TOKEN, _GAP = f"([^{_BLANKS}]+)", f"[{_BLANKS}]+"
 _REST = rf"[{_BLANKS}]*([^\n\r\x{{85}}\x{{2028}}\x{{2029}}]*)$"
@@ -259,7 +284,7 @@ FROM both_counts GROUP BY date_hour""",
     "counts_wire": f"""WITH {_COUNTS}
 SELECT date_hour || ',' || error_type || ',' || source || ',' || total_count AS value FROM counts""",
     "counts_from_wire": f"""WITH {_COUNTS}
-SELECT date_hour, error_type, source, total_count::DOUBLE AS total_count FROM counts""",
+SELECT date_hour, error_type, source, total_count FROM counts""",
     "wire_rejects": f"""WITH {_COUNTS}
 SELECT 'bad_count' AS status, count(*) AS total_lines FROM events
 UNION ALL SELECT 'short', count(*) FROM events WHERE event_type = 'signup'
@@ -356,11 +381,20 @@ FROM event GROUP BY ALL"""
 ORACLES["wire_round_trip"] = f"""WITH {_EVENT}
 SELECT date_hour, CASE event_type WHEN 'click' THEN '"a,b"' WHEN 'error' THEN 'x,,y,' WHEN 'purchase' THEN ',z'
     WHEN 'signup' THEN '7,HDFS,9' ELSE 'plain' END AS error_type,
-  source, count(*)::DOUBLE AS total_count FROM event GROUP BY ALL"""
+  source, count(*) AS total_count FROM event GROUP BY ALL"""
 ORACLES["wire_counts_checked"] = """
-SELECT 'bad_count' AS reason, count(*) AS total_lines FROM events WHERE event_type <> 'click'
+SELECT 'bad_count' AS reason, 2 * count(*) - count(*) FILTER (event_type = 'click') AS total_lines FROM events
 UNION ALL SELECT 'short', count(*) FROM events WHERE event_type = 'view'
+UNION ALL SELECT 'empty_key', count(*) FROM events WHERE event_type = 'click'
 UNION ALL SELECT 'sum of counts', sum(event_id)::BIGINT FROM events WHERE event_type = 'click'"""
+ORACLES["wire_counts_exact"] = f"""WITH {_EVENT}
+SELECT date_hour, error_type, sum(9007199254740992 + event_id)::VARCHAR AS total,
+  max(9007199254740992 + event_id) AS largest
+FROM event GROUP BY ALL"""
+ORACLES["counts_by_own_headers_from_files"] = ORACLES["counts_by_header"]
+ORACLES["rejects_located"] = f"""WITH {_HDFS_LINES}
+SELECT {_status(_HDFS_PATTERN)} AS reason, count(*) AS total_lines, true AS in_place FROM lines
+WHERE NOT regexp_matches(value, '{_HDFS_PATTERN}') GROUP BY ALL"""
 
 
 def _horizon(counts: str) -> str:
@@ -394,3 +428,32 @@ ORDER BY date_hour, error_type, source LIMIT 10"""
 ORACLES["alerts_by_stated_model"] = f"""WITH {_FEATURES}
 SELECT date_hour, error_type, source, error_frequency, label::DOUBLE AS prediction, error_distribution AS risk
 FROM features WHERE label = 1 ORDER BY error_distribution DESC, {_ORDER} LIMIT 10"""
+ORACLES["features_ranged"] = ORACLES["features_full"]
+ORACLES["features_of_large_counts"] = f"""WITH {_COUNTS},
+large AS (SELECT * REPLACE (1099511627776 + total_count AS total_count) FROM counts),{_whole_number_flags("large", "")}
+SELECT * FROM high"""
+ORACLES["features_as_of"] = f"WITH {_AS_OF} SELECT * FROM features"
+ORACLES["label_horizon_as_of"] = f"""WITH {_AS_OF},
+hours AS (
+  SELECT * EXCLUDE (label), epoch(strptime(date_hour, '%Y-%m-%d %H'))::BIGINT // 3600 AS hour_no FROM features
+)
+SELECT * EXCLUDE (hour_no), coalesce(max(high_error_flag) OVER (
+    PARTITION BY source, error_type ORDER BY hour_no RANGE BETWEEN 1 FOLLOWING AND 2 FOLLOWING), 0) AS label
+FROM hours"""
+_SIDES = """
+timed AS (SELECT *, epoch(strptime(date_hour, '%Y-%m-%d %H'))::BIGINT // 3600 AS hour_no FROM {table}),
+cuts AS (SELECT min(hour_no) + (max(hour_no) - min(hour_no) + 1) * 8 // 10 AS cut FROM timed),
+sides AS (
+  SELECT timed.*, CASE WHEN hour_no >= cut THEN 'test' WHEN hour_no + 3 <= cut THEN 'train' ELSE 'gap' END AS side
+  FROM timed, cuts
+)"""
+ORACLES["time_split_assignment"] = f"""WITH {_COUNTS},{_SIDES.format(table="counts")}
+SELECT date_hour, error_type, source, side FROM sides"""
+ORACLES["risk_metrics_by_split_checked"] = f"""WITH labelled AS ({ORACLES["label_horizon_as_of"]}),{_SIDES.format(table="labelled")}
+SELECT 'key' AS split, count(*) AS scored_rows, sum(label)::BIGINT AS positives,
+  true AS near_the_majority_or_better, true AS recall_is_accuracy FROM sides WHERE NOT {_IN_TRAINING}
+UNION ALL
+SELECT 'time', count(*), sum(label)::BIGINT, true, true FROM sides WHERE side = 'test'"""
+ORACLES["risk_by_columns"] = f"""WITH {_COUNTS}
+SELECT date_hour, error_type, source, true AS scored, true AS same FROM counts"""
+ORACLES["alerts_answered_once"] = ORACLES["alerts_enriched"]

@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 
 from logrisk.functions.buckets import BucketStyle, bucket_timestamp
 from logrisk.functions.text import csv_tokens, evaluate_once
-from logrisk.operators import alerts, counts, features, raw_logs, risk_model
+from logrisk.operators import alerts, counts, features, forest_columns, raw_logs, risk_model
 from logrisk.operators.features import FeatureParams
+from logrisk.operators.risk_model import ModelParams
 from logrisk.plans import event_logs as logs
 from logrisk.plans import stages
 from logrisk.sources import readers, writers
+from logrisk.sources.headers import read_first_lines
 from logrisk.sources.scratch import materialize, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -123,6 +125,21 @@ def records_text(spark, sf_dir):
     return readers.read_lines(spark, path)
 
 
+@_query
+def rejects_located(spark, sf_dir):
+    """Rejected raw lines by reason, and whether each stands in its file where it is said to."""
+    raw, stored = scratch_path(spark, "raw-hdfs"), scratch_path(spark, "classified-hdfs")
+    logs.hdfs_lines(logs.read_events(spark, sf_dir)).write.text(raw)
+    stages.parse_stage(spark, raw, "HDFS", stored)
+    located = stages.stored_rejects(spark, stored)
+    whole = spark.read.text(raw, wholetext=True).select("_metadata.file_path", F.split("value", "\n").alias("lines"))
+    there = whole.select("file_path", F.posexplode("lines").alias("line_no", "written"))
+    there = there.withColumn("line_no", F.col("line_no") + 1)
+    found = located.join(there, ["file_path", "line_no"], "left")
+    same = F.col("value").eqNullSafe(F.col("written"))
+    return found.groupBy("reason").agg(F.count("*").alias("total_lines"), F.min(same).alias("in_place"))
+
+
 # Structured rows to counts
 
 
@@ -218,6 +235,17 @@ def counts_by_file_header(spark, sf_dir):
     return counts.count_errors(lines, counts.file_layouts(lines), BucketStyle(hourly_hdfs=True))
 
 
+@_query
+def counts_by_own_headers_from_files(spark, sf_dir):
+    """Files whose first line is their own header, through the count stage."""
+    path, output = scratch_path(spark, "structured"), scratch_path(spark, "counts")
+    rows = logs.own_header_files(logs.read_events(spark, sf_dir))
+    rows.write.partitionBy("folder", "part").text(path)
+    layouts = counts.file_layouts(read_first_lines(spark, path))
+    stages.count_stage(spark, path, output, layouts, BucketStyle(hourly_hdfs=True))
+    return counts.parse_wire(readers.read_lines(spark, output))
+
+
 @_query
 def counts_of_odd_times(spark, sf_dir):
     """HDFS rows whose days and clocks are empty, no numbers or short, in hourly buckets."""
@@ -293,6 +321,16 @@ def wire_counts_checked(spark, sf_dir):
     return rejected.unionByName(kept.withColumn("reason", F.lit("sum of counts")))
 
 
+@_query
+def wire_counts_exact(spark, sf_dir):
+    """Counts above 2 to the power of 53, through files: their sums to the last digit."""
+    path = scratch_path(spark, "wire")
+    logs.large_wire_lines(logs.read_events(spark, sf_dir)).write.text(path)
+    found = counts.parse_wire(readers.read_lines(spark, path)).groupBy("date_hour", "error_type")
+    total = F.sum(F.col("total_count").cast("decimal(38,0)")).cast("string")
+    return found.agg(total.alias("total"), F.max("total_count").alias("largest"))
+
+
 @_query
 def wire_rejects(spark, sf_dir):
     """Count lines that hold no count: every structured row read as if it were one."""
@@ -327,6 +365,37 @@ QUERIES["feat_high_flag"] = _feature("high_error_flag")
 QUERIES["risk_label"] = _feature("label")
 
 
+def large_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hourly counts, each above 2 to the power of 40: doubles cannot tell their deviations."""
+    counted = event_counts(spark, sf_dir)
+    return counted.withColumn("total_count", F.lit(1 << 40) + F.col("total_count"))
+
+
+@_query
+def features_of_large_counts(spark, sf_dir):
+    """Flags of counts that differ in their last digits only."""
+    made = features.engineer_features(large_counts(spark, sf_dir))
+    return made.select(*counts.COUNT_KEY, "error_frequency", "high_error_flag")
+
+
+@_query
+def features_ranged(spark, sf_dir):
+    """Features whose time slices are ranges of rows instead of prefixes."""
+    return event_features(spark, sf_dir, FeatureParams(slices="range"))
+
+
+@_query
+def features_as_of(spark, sf_dir):
+    """Features whose usual level knows nothing of later buckets."""
+    return event_features(spark, sf_dir, FeatureParams(level_of="as_of"))
+
+
+@_query
+def label_horizon_as_of(spark, sf_dir):
+    """Horizon labels of flags that know nothing of later buckets."""
+    return event_features(spark, sf_dir, FeatureParams(level_of="as_of", label_by="horizon"))
+
+
 @_query
 def features_daily(spark, sf_dir):
     """Features of structured HDFS rows, whose buckets are days."""
@@ -386,6 +455,14 @@ def split_assignment(spark, sf_dir):
     )
 
 
+@_query
+def time_split_assignment(spark, sf_dir):
+    """The side of every row where training ends before the test begins."""
+    rows = materialize(event_features(spark, sf_dir, FeatureParams(label_by="horizon")), "features")
+    side = risk_model.side_of(risk_model.time_cut(rows), ModelParams().gap_hours)
+    return rows.select(*counts.COUNT_KEY, side.alias("side"))
+
+
 @_query
 def feature_rows(spark, sf_dir):
     """Model input in vector order, as plain columns."""
@@ -419,6 +496,51 @@ def scored_rows(spark, sf_dir):
     )
 
 
+@_query
+def risk_by_columns(spark, sf_dir):
+    """Every feature row scored by the model and by its trees as column expressions: whether
+    prediction and risk are the same to the last bit."""
+    rows = _stored_features(spark, sf_dir)
+    model = risk_model.train_risk_model(risk_model.split_features(rows)[0])
+    by_model = risk_model.score_risk(model, rows).withColumnsRenamed({"risk": "model_risk", "prediction": "model_prediction"})
+    both = forest_columns.score_by_columns(forest_columns.forest_of(model), by_model)
+    same = F.col("risk").eqNullSafe(F.col("model_risk")) & F.col("prediction").eqNullSafe(F.col("model_prediction"))
+    return both.select(*counts.COUNT_KEY, F.col("risk").isNotNull().alias("scored"), same.alias("same"))
+
+
+def _metrics_by_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scored rows, positives and metrics of the horizon label, learned from rows spread over all
+    times and learned from earlier rows only; no flag knows later buckets."""
+    rows = materialize(label_horizon_as_of(spark, sf_dir), "features")
+    measured = []
+    for split in ("key", "time"):
+        train, test = risk_model.split_features(rows, ModelParams(split=split))
+        scored = materialize(risk_model.score_risk(risk_model.train_risk_model(train), test), "predictions")
+        size = scored.agg(F.count("prediction").alias("scored_rows"), F.sum("label").cast("bigint").alias("positives"))
+        size = size.withColumn("split", F.lit(split))
+        # Both tables have one row.
+        measured.append(size.join(risk_model.evaluate_risk(scored).withColumn("split", F.lit(split)), "split"))
+    return measured[0].unionByName(measured[1])
+
+
+@_query
+def risk_metrics_by_split(spark, sf_dir):
+    return _metrics_by_split(spark, sf_dir)
+
+
+@_query
+def risk_metrics_by_split_checked(spark, sf_dir):
+    """What must hold for the metrics of both splits, whatever the forests."""
+    share = F.greatest(F.col("positives"), F.col("scored_rows") - F.col("positives")) / F.col("scored_rows")
+    return _metrics_by_split(spark, sf_dir).select(
+        "split",
+        "scored_rows",
+        "positives",
+        (F.col("accuracy") > share - 0.05).alias("near_the_majority_or_better"),
+        (F.abs(F.col("accuracy") - F.col("weighted_recall")) < 1e-12).alias("recall_is_accuracy"),
+    )
+
+
 @_query
 def risk_metrics(spark, sf_dir):
     return risk_model.evaluate_risk(_test_predictions(spark, sf_dir))
@@ -534,6 +656,33 @@ def alerts_enriched(spark, sf_dir):
     return answered.select(*counts.COUNT_KEY, "answer", "error")
 
 
+@_query
+def alerts_answered_once(spark, sf_dir):
+    """The answers of ``alerts_enriched`` from a folder of answers that a first run has filled; the second
+    run's completion refuses everything."""
+
+    def first():
+        def complete(prompt, model, temperature, max_tokens):
+            lines = prompt.splitlines()
+            if "WARN" in lines[2]:
+                raise ValueError("no answer yet")
+            return f"{lines[1]} / {max_tokens}"
+
+        return complete
+
+    def second():
+        def complete(prompt, **told):
+            raise ValueError("refused")
+
+        return complete
+
+    store = f"{scratch_path(spark, 'answers')}/answers"
+    raised = alerts.raised_alerts(_stored_features(spark, sf_dir))
+    prompts = alerts.build_prompts(raised).select(*counts.COUNT_KEY, "prompt")
+    alerts.answer_once(prompts, first, store).count()
+    return alerts.answer_once(prompts, second, store).select(*counts.COUNT_KEY, "answer", "error")
+
+
 @_query
 def alerts_stored(spark, sf_dir):
     """Strongest alerts of each source with prompts, stored as a table and read back."""

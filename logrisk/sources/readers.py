@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
-def _path_list(paths: str | Sequence[str]) -> list[str]:
+def path_list(paths: str | Sequence[str]) -> list[str]:
     """Accept one path, a comma-separated list of paths, or a sequence of paths."""
     if isinstance(paths, str):
         return [part.strip() for part in paths.split(",") if part.strip()]
@@ -16,12 +17,23 @@ def _path_list(paths: str | Sequence[str]) -> list[str]:
 
 def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """Text lines as ``value``. Paths may be files, folders or globs."""
-    return spark.read.text(_path_list(paths)).select("value")
+    return spark.read.text(path_list(paths)).select("value")
 
 
 def read_rows(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """Text lines as ``value`` with the ``file_path`` they came from."""
-    return spark.read.text(_path_list(paths)).select("value", "_metadata.file_path")
+    return spark.read.text(path_list(paths)).select("value", "_metadata.file_path")
+
+
+def read_placed_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """Text lines as ``value`` with the ``file_path`` and ``block_start`` they came from, and ``seq``, which
+    ascends with the lines of a block, one by one."""
+    return spark.read.text(path_list(paths)).select(
+        "value",
+        "_metadata.file_path",
+        F.col("_metadata.file_block_start").alias("block_start"),
+        F.monotonically_increasing_id().alias("seq"),
+    )
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:

@@ -101,3 +101,93 @@ def test_no_alerts_give_no_answers(table):
     answered = alerts.answer_prompts(prompts, lambda: lambda prompt, **told: prompt)
     assert answered.count() == 0
     assert answered.columns[-2:] == ["answer", "error"]
+
+
+@pytest.fixture
+def counted(tmp_path):
+    """A completion that notes each call in a folder, which tasks can write to, and fails on demand."""
+    calls = tmp_path / "calls"
+    calls.mkdir()
+
+    def connect():
+        import uuid
+
+        if (calls / "down").exists():
+            raise SystemExit("killed")
+
+        def complete(prompt, model, temperature, max_tokens):
+            (calls / uuid.uuid4().hex).write_text(prompt)
+            if "BGL" in prompt and not (calls / "up").exists():
+                raise RuntimeError("no service")
+            return f"{model}: {prompt}"
+
+        return complete
+
+    def seen():
+        return sorted(p.read_text() for p in calls.iterdir() if len(p.name) == 32)
+
+    return connect, seen, calls
+
+
+def prompts_of(spark, texts):
+    return spark.createDataFrame([(i, text) for i, text in enumerate(texts)], "id int, prompt string")
+
+
+def test_each_prompt_is_asked_once(spark, counted, tmp_path):
+    connect, seen, calls = counted
+    texts = [f"prompt {i % 10}" for i in range(50)] + [None]
+    store = str(tmp_path / "store")
+    settings = alerts.CompletionSettings(model="m")
+    first = alerts.answer_once(prompts_of(spark, texts), connect, store, settings, tasks=3, at_a_time=4)
+    assert {(r.id, r.answer, r.error) for r in first.collect()} == {
+        (i, text and f"m: {text}", None) for i, text in enumerate(texts)
+    }
+    assert first.columns == ["id", "prompt", "answer", "error"]
+    assert seen() == sorted({f"prompt {i}" for i in range(10)})
+    # Another run asks for what is new, other settings ask again.
+    more = alerts.answer_once(prompts_of(spark, [*texts, "new"]), connect, store, settings)
+    assert more.filter("answer = 'm: new'").count() == 1 and len(seen()) == 11
+    alerts.answer_once(prompts_of(spark, texts), connect, store, alerts.CompletionSettings(model="n")).collect()
+    assert len(seen()) == 21
+
+
+def test_a_killed_run_goes_on_where_it_was(spark, counted, tmp_path):
+    connect, seen, calls = counted
+    texts, store = [f"prompt {i}" for i in range(30)], str(tmp_path / "store")
+
+    def dying():
+        complete = connect()
+
+        def answer(prompt, **told):
+            if len(list(calls.iterdir())) >= 12:
+                (calls / "down").write_text("")
+            return complete(prompt, **told)
+
+        return answer
+
+    with pytest.raises(Exception):
+        alerts.answer_once(prompts_of(spark, texts), dying, store, at_a_time=5).collect()
+    killed = seen()
+    assert 0 < len(killed) < 30 and len(set(killed)) == len(killed)
+    assert spark.read.parquet(store).count() == len(killed)
+    (calls / "down").unlink()
+    rows = alerts.answer_once(prompts_of(spark, texts), connect, store, at_a_time=5).collect()
+    assert len(rows) == 30 and all(r.answer == f": {r.prompt}" for r in rows)
+    assert seen() == sorted(texts)
+
+
+def test_failed_calls_are_asked_again_and_others_are_not(spark, counted, tmp_path):
+    connect, seen, calls = counted
+    texts, store = ["a", "a BGL", "b"], str(tmp_path / "store")
+    first = {r.prompt: (r.answer, r.error) for r in alerts.answer_once(prompts_of(spark, texts), connect, store).collect()}
+    assert first["a BGL"] == (None, "RuntimeError: no service") and first["a"] == (": a", None)
+    (calls / "up").write_text("")
+    second = {r.prompt: (r.answer, r.error) for r in alerts.answer_once(prompts_of(spark, texts), connect, store).collect()}
+    assert second == {text: (f": {text}", None) for text in texts}
+    assert seen() == ["a", "a BGL", "a BGL", "b"]
+
+
+def test_no_prompts_leave_no_store(spark, counted, tmp_path):
+    connect, seen, _ = counted
+    empty = prompts_of(spark, ["a"]).filter("id < 0")
+    assert alerts.answer_once(empty, connect, str(tmp_path / "store")).collect() == [] and seen() == []

@@ -1,8 +1,12 @@
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 from logrisk.functions.buckets import BucketStyle, bucket_hour_number, bucket_timestamp
 from logrisk.operators import counts
+from logrisk.sources.headers import read_first_lines
+from logrisk.sources.readers import read_rows
 
 HDFS_PATH, BGL_PATH = "hdfs://x/HDFS_logs/a.csv", "/data/bgl_logs/b.csv"
 
@@ -129,6 +133,61 @@ def test_columns_follow_the_header_of_each_file(rows):
     }
 
 
+def test_the_first_header_of_a_file_counts(rows):
+    """Not the least one, and none that stands in another file."""
+    df = rows(
+        ("LineId,Level,Date", "/hdfs_logs/a"),
+        ("1,WARN,81109", "/hdfs_logs/a"),
+        ("LineId,Date,Level", "/hdfs_logs/a"),
+        ("2,INFO,81110", "/hdfs_logs/a"),
+    ).coalesce(1)
+    found = counts.count_errors(df, counts.file_layouts(df)).collect()
+    assert {(r.date_hour, r.error_type) for r in found} == {("2008-11-09", "WARN"), ("2008-11-10", "INFO")}
+
+
+def test_layouts_are_looked_up_where_lines_are_read(spark, rows, tmp_path):
+    """No shuffle of lines, one read of them, although one file holds nine tenths."""
+    for name, header, body in (("a", "LineId,Level,Date", "1,WARN,81109"), ("b", "LineId,Date,Level", "1,81110,INFO")):
+        (tmp_path / "hdfs_logs").mkdir(exist_ok=True)
+        (tmp_path / "hdfs_logs" / f"{name}.csv").write_text("\n".join([header] + [body] * (9000 if name == "a" else 1000)) + "\n")
+    layouts = counts.file_layouts(read_first_lines(spark, str(tmp_path / "hdfs_logs")))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        found = counts.count_errors(read_rows(spark, str(tmp_path / "hdfs_logs")), layouts)
+        assert {(r.date_hour, r.error_type, r.total_count) for r in found.collect()} == {
+            ("2008-11-09", "WARN", 9000), ("2008-11-10", "INFO", 1000),
+        }
+        plan = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        assert plan.count("FileScan text") == 1
+        # From the top down: the counts' shuffle, the lookup, the lines.
+        shuffles = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
+        assert all("date_hour" in keys or "file_path" in keys and "value" not in keys for keys in shuffles)
+        lookup = plan.index("BroadcastHashJoin")
+        assert plan.index("partial_count") < lookup < plan.index("FileScan text")
+        between = plan[lookup : plan.index("FileScan text")]
+        assert "Exchange hashpartitioning" not in between
+        lines = found._jdf.queryExecution().optimizedPlan().toString()
+        assert lines.count("Repartition") == 0
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_too_many_files_for_a_lookup(rows, monkeypatch):
+    df = rows(
+        *[("LineId,Level,Date", "/hdfs_logs/a")],
+        *[(f"{i},WARN,81109", "/hdfs_logs/a") for i in range(200)],
+        ("LineId,Date,Level", "/hdfs_logs/b"),
+        ("1,081110,INFO", "/hdfs_logs/b"),
+        ("1,081111,1,p,x,ERROR", "/hdfs_logs/c"),
+        ("1,x", None),
+    )
+    expected = sorted(map(tuple, counts.classify_rows(df, counts.file_layouts(df)).collect()), key=repr)
+    monkeypatch.setattr(counts, "MOST_LAYOUTS", 0)
+    dealt = counts.classify_rows(df, counts.file_layouts(df))
+    assert sorted(map(tuple, dealt.collect()), key=repr) == expected and len(expected) == df.count()
+
+
 def test_wire_lines(lines):
     df = counts.classify_wire(lines("d,ERROR,HDFS,12", "d,ERROR,HDFS", "d,E,H,x", "d,E,H,3,4", "", "d,,S,1"))
     found = [(r.status, r.error_type, r.source, r.total_count) for r in df.collect()]
@@ -142,11 +201,25 @@ def test_wire_lines(lines):
     ]
 
 
-@pytest.mark.parametrize("count", ["NaN", "Infinity", "-Infinity", "-1", "2.5", "", " ", "1e400", "x1"])
+@pytest.mark.parametrize("count", ["NaN", "Infinity", "-Infinity", "-1", "2.5", "", " ", "1e400", "x1", "12d", "12f", "0x1p3", "1e3", "-0", "+1", "1 ", "1\u0660", "9223372036854775808"])
 def test_counts_must_be_whole_numbers(lines, count):
     assert [r.status for r in counts.classify_wire(lines(f"d,E,H,{count}")).collect()] == ["bad_count"]
 
 
+def test_counts_are_exact(lines):
+    large = [(1 << 53) + 1, (1 << 63) - 1, 7]
+    found = counts.parse_wire(lines(*[f"d{i},E,H,{n}" for i, n in enumerate(large)], "d9,E,H,007"))
+    assert dict(found.dtypes)["total_count"] == "bigint"
+    assert [r.total_count for r in found.orderBy("date_hour").collect()] == [*large, 7]
+
+
+def test_a_key_must_not_be_empty_altogether(lines):
+    found = counts.classify_wire(lines(",,,3", ",,,,3", "d,,,3", ",E,,3", ",,S,3", ",,,x", ",,3")).collect()
+    assert [r.status for r in found] == [
+        "empty_key", "counted", "counted", "counted", "counted", "bad_count", "short",
+    ]
+
+
 def test_types_with_commas_survive_the_wire(spark):
     keys = [("d", '"a,b"', "H"), ("d", ",", "H"), ("d", "a,,b,", "H"), ("d", "", "H"), ("", "x", "")]
     df = spark.createDataFrame([(*key, 3) for key in keys], "date_hour string, error_type string, source string, total_count long")

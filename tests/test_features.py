@@ -5,6 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from logrisk.operators import features
 from logrisk.operators.features import FEATURE_COLUMNS, FeatureParams, engineer_features
 
 SCHEMA = "date_hour string, error_type string, source string, total_count long"
@@ -129,6 +130,105 @@ def test_slices_do_not_change_results(spark, chars):
     assert rows_of(sliced) == rows_of(engineer_features(counts))
 
 
+def test_ranges_do_not_change_results(spark):
+    for params in ({}, {"level_of": "as_of"}):
+        counts = frame(spark, random_counts(9))
+        ranged = engineer_features(counts, FeatureParams(slices="range", **params))
+        assert rows_of(ranged) == rows_of(engineer_features(counts, FeatureParams(**params)))
+
+
+def test_a_hot_key_with_one_prefix_is_spread_by_ranges(spark, joins_without_broadcast):
+    """Free-form buckets that agree in their first characters, and half of all rows in their key."""
+    hot = F.col("id") % 2 == 0
+    counts = spark.range(40_000).select(
+        F.when(hot, F.concat(F.lit("bucket-of-no-time-"), F.col("id") + 100_000)).otherwise("x").alias("date_hour"),
+        F.when(hot, "hot").otherwise(F.concat(F.lit("type "), "id")).alias("error_type"),
+        F.when(F.col("id") < 0, "none").otherwise("HDFS").alias("source"),
+        (F.col("id") % 9).alias("total_count"),
+    )
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "32"}
+    before = {name: spark.conf.get(name) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        sliced = features._sliced(features._frequencies(counts), FeatureParams(slices="range"))
+        sizes = sliced.filter("error_type = 'hot'").groupBy("slice").count().collect()
+        ranged = rows_of(engineer_features(counts, FeatureParams(slices="range")))
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert sum(r["count"] for r in sizes) == 20_000
+    assert len(sizes) > 8 and max(r["count"] for r in sizes) < 20_000 / 8
+    assert ranged == rows_of(engineer_features(counts))
+
+
+def as_of_brute_force(rows):
+    """Flags by each row's own past, in whole numbers."""
+    found, past = {}, {}
+    for date_hour, error_type, source, f in sorted(rows):
+        seen = past.setdefault((source, error_type), [])
+        seen.append(f)
+        n, s, q = len(seen), sum(seen), sum(x * x for x in seen)
+        found[date_hour, error_type, source] = int(n > 1 and n * f > s and (n * f - s) ** 2 * (n - 1) > n * (n * q - s * s))
+    return found
+
+
+@pytest.mark.parametrize("chars", [(7,), (7, 4), (9, 6, 3, 1), ()])
+def test_level_as_of_the_row(spark, chars):
+    rows = random_counts(10)
+    made = engineer_features(frame(spark, rows), FeatureParams(level_of="as_of", slice_chars=chars))
+    found = {(r.date_hour, r.error_type, r.source): r.high_error_flag for r in made.collect()}
+    assert found == as_of_brute_force(rows)
+    # Nothing but the flag and the label differs from the usual features.
+    assert [r[:6] for r in rows_of(made)] == [r[:6] for r in rows_of(engineer_features(frame(spark, rows)))]
+
+
+def test_later_rows_do_not_change_a_flag_as_of_its_row(spark):
+    rows = random_counts(11)
+    cut = sorted(rows)[len(rows) // 2][0]
+    params = FeatureParams(level_of="as_of")
+    flags = lambda some: {tuple(r[:3]): r.high_error_flag for r in engineer_features(frame(spark, some), params).collect()}
+    known = flags([row for row in rows if row[0] < cut])
+    assert {key: flag for key, flag in flags(rows).items() if key[0] < cut} == known
+
+
+@pytest.mark.parametrize("low", [0, 1 << 53, 10**15, (1 << 63) - 5])
+@pytest.mark.parametrize("step, flags", [((0, 1, 2), (0, 0, 0)), ((0, 0, 3), (0, 0, 1)), ((0, 1, 1, 3), (0, 0, 0, 1)), ((1, 0, 1, 2), (0, 0, 0, 1))])
+def test_flags_are_exact_at_equality(spark, low, step, flags):
+    """0, 1, 2 have mean and deviation 1: the last is equal to the level and not above it."""
+    if low > 1 << 60:
+        # Sums of squares of these have more than 38 digits.
+        with pytest.raises(Exception, match="OVERFLOW|out_of_range|OUT_OF_RANGE"):
+            by_bucket(spark, [(f"b{i}", "E", "S", low + d) for i, d in enumerate(step)], "high_error_flag")
+        return
+    rows = [(f"b{i}", "E", "S", low + d) for i, d in enumerate(step)]
+    for params in ({}, {"slice_chars": (2,)}, {"slice_chars": (2, 1)}, {"slices": "range"}, {"bucket_parts": 1}):
+        assert by_bucket(spark, rows, "high_error_flag", FeatureParams(**params)) == list(flags)
+
+
+def test_long_products_are_compared_as_doubles(spark):
+    """(n f - S) ** 2 has more than 38 digits, sums of squares do not."""
+    rows = [(f"b{i:03}", "E", "S", 10**14 if i else 9 * 10**17) for i in range(60)]
+    assert by_bucket(spark, rows, "high_error_flag") == [1] + [0] * 59
+
+
+def test_flags_of_large_counts_do_not_depend_on_the_layout(spark):
+    draw = random.Random(12)
+    rows = [(f"2024-0{draw.randint(1, 9)}-{i:05}", draw.choice("AB"), "S", 10**12 + draw.randint(0, 3)) for i in range(500)]
+    expected = rows_of(engineer_features(frame(spark, rows)))
+    assert 0 < sum(r[6] for r in expected) < 500
+    for params in ({"slice_chars": ()}, {"slice_chars": (12, 7, 2)}, {"bucket_parts": 1}, {"slices": "range"}):
+        assert rows_of(engineer_features(frame(spark, rows).repartition(7), FeatureParams(**params))) == expected
+
+
+def test_counts_must_be_whole(spark):
+    whole = spark.createDataFrame([("a", "E", "S", 4.0), ("b", "E", "S", None)], SCHEMA.replace("long", "double"))
+    assert [r.error_frequency for r in engineer_features(whole).orderBy("date_hour").collect()] == [4.0, None]
+    broken = spark.createDataFrame([("a", "E", "S", 2.5)], SCHEMA.replace("long", "double"))
+    with pytest.raises(Exception, match="no whole number: 2.5"):
+        engineer_features(broken).collect()
+
+
 def test_layout_does_not_change_results(spark):
     counts = frame(spark, random_counts(6))
     expected = rows_of(engineer_features(counts))
@@ -253,7 +353,7 @@ def test_rows_are_shuffled_twice_and_sums_four_times(spark, sf_dir, joins_withou
     assert shown == 2
 
 
-@pytest.mark.parametrize("wrong", [{"share_of": "x"}, {"label_by": "x"}, {"slice_chars": (0,)}, {"slice_chars": (4, 7)}, {"horizon_hours": 0}, {"bucket_parts": 0}])
+@pytest.mark.parametrize("wrong", [{"share_of": "x"}, {"label_by": "x"}, {"slice_chars": (0,)}, {"slice_chars": (4, 7)}, {"horizon_hours": 0}, {"bucket_parts": 0}, {"level_of": "x"}, {"slices": "x"}])
 def test_wrong_settings_raise(wrong):
     with pytest.raises(ValueError):
         FeatureParams(**wrong)

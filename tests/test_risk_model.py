@@ -59,7 +59,22 @@ def test_the_number_of_rows_does_not_change_the_layout(spark, features, monkeypa
     assert seen == [PARAMS.partitions] * 3
 
 
-@pytest.mark.parametrize("wrong", [{"split": "x"}, {"train_tenths": 10}, {"partitions": 0}])
+def test_split_by_time_does_not_look_ahead(spark):
+    rows = [(f"2024-01-{d:02} {h:02}", "E", "S", 0) for d in range(1, 11) for h in range(24)]
+    rows += [("free", "E", "S", 0), ("2024-01-08", "D", "S", 0), ("2024-01-03", "D", "S", 0)]
+    table = spark.createDataFrame(rows, "date_hour string, error_type string, source string, label int")
+    train, test = risk_model.split_features(table, risk_model.ModelParams(split="time", gap_hours=5))
+    last, first = train.agg(F.max("date_hour")).first()[0], test.agg(F.min("date_hour")).first()[0]
+    assert (last, first) == ("2024-01-08 18", "2024-01-09 00")
+    # A day ends after 24 hours, and a bucket that is no time is on neither side.
+    assert {r.date_hour for r in train.filter("error_type = 'D'").collect()} == {"2024-01-03"}
+    assert train.unionByName(test).filter("date_hour = 'free'").count() == 0
+    assert (train.count(), test.count()) == (8 * 24 - 5 + 1, 48)
+    with pytest.raises(ValueError):
+        risk_model.split_features(table.filter("date_hour = 'free'"), risk_model.ModelParams(split="time"))
+
+
+@pytest.mark.parametrize("wrong", [{"split": "x"}, {"train_tenths": 10}, {"partitions": 0}, {"gap_hours": -1}])
 def test_wrong_settings_raise(wrong):
     with pytest.raises(ValueError):
         risk_model.ModelParams(**wrong)

@@ -1,6 +1,7 @@
 """Files, scratch tables and the stored stages from end to end."""
 
 import answers_for_tests
+import duck
 import pytest
 from pyspark import cloudpickle
 from pyspark.errors import AnalysisException
@@ -11,7 +12,7 @@ from logrisk.operators import counts, raw_logs
 from logrisk.operators.risk_model import ModelParams
 from logrisk.plans import event_logs as logs
 from logrisk.plans import registry, stages
-from logrisk.sources import readers, scratch, writers
+from logrisk.sources import headers, readers, scratch, writers
 
 
 @pytest.fixture(scope="module")
@@ -111,6 +112,51 @@ def test_first_header(spark, tmp_path):
         readers.first_header(spark, str(tmp_path / "none"))
 
 
+def test_first_lines_of_files(spark, tmp_path):
+    """Leading blank lines do not count, and large files are not read to their end."""
+    (tmp_path / "a.csv").write_text("\n \t\nLineId,x\n" + "1,2\n" * 1000)
+    (tmp_path / "b.csv").write_text("7,8\nLineId,y\n")
+    (tmp_path / "c.csv").write_text("\n\n")
+    (tmp_path / "d.csv").write_text("LineId,z\r1\r")
+    (tmp_path / "e.csv").write_text("LineId,e\n" + "9,9,9,9\n" * 3_000_000)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    found = {r.file_path.rpartition("/")[2]: r.value for r in headers.read_first_lines(spark, str(tmp_path)).collect()}
+    assert found == {"a.csv": "LineId,x", "b.csv": "7,8", "d.csv": "LineId,z", "e.csv": "LineId,e"}
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
+
+
+def test_rejects_tell_file_and_line(spark, tmp_path):
+    """Also where a file is read in several blocks, and several files in one task."""
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    expected = set()
+    for name, size in (("a", 700), ("b", 3), ("c", 1200), ("d", 1)):
+        written = []
+        for i in range(1, size + 1):
+            bad = i % 7 == 0 or size == 1
+            written.append(f"bad {name} {i}" if bad else "" if i % 11 == 0 else f"1 2 3 INFO c: {'m' * (i % 50)}")
+            if bad or i % 11 == 0:
+                expected.add((f"{name}.log", i, written[-1], "malformed" if bad else "blank"))
+        (raw / f"{name}.log").write_text("\n".join(written) + "\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+    try:
+        stages.parse_stage(spark, str(raw), "HDFS", str(tmp_path / "out"))
+        stored = readers.read_table(spark, str(tmp_path / "out"))
+        assert stored.select("file_path", "block_start").distinct().count() > 15
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    found = stages.stored_rejects(spark, str(tmp_path / "out")).collect()
+    assert {(r.file_path.rpartition("/")[2], r.line_no, r.value, r.reason) for r in found} == expected
+    assert len(found) == len(expected)
+
+
+def test_parsing_with_places_is_one_stage(spark, files):
+    lines = readers.read_placed_lines(spark, f"{files}/raw_hdfs")
+    plan = raw_logs.classify_lines(lines, raw_logs.HDFS)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and plan.count("FileScan") == 1
+
+
 def test_scratch_follows_the_session(spark):
     folder = spark.conf.get("spark.checkpoint.dir")
     path = scratch.scratch_path(spark, "x")
@@ -171,6 +217,20 @@ def test_records_to_counts(spark, files, sf_dir, tmp_path):
     assert same_rows(found, expected.withColumn("total_count", F.col("total_count").cast("double")))
 
 
+def test_model_stage_by_time_with_sql(spark, sf_dir, tmp_path):
+    out = lambda name: str(tmp_path / name)
+    writers.write_table(registry.QUERIES["label_horizon_as_of"](spark, sf_dir), out("features"))
+    small = ModelParams(trees=3, depth=3, partitions=2, split="time")
+    stages.model_stage(spark, out("features"), out("model"), out("predictions"), small, out("sql"))
+    query = "\n".join(r.value for r in readers.read_lines(spark, out("sql")).collect())
+    predictions = readers.read_table(spark, out("predictions"))
+    con = duck.duckdb.connect()
+    con.execute(f"CREATE VIEW features AS SELECT * FROM '{out('features')}/*.parquet'")
+    theirs = {tuple(r[:3]): r[3:] for r in con.execute(f"SELECT date_hour, error_type, source, risk, prediction FROM ({query})").fetchall()}
+    for r in predictions.collect():
+        assert theirs[r.date_hour, r.error_type, r.source] == (r.risk, r.prediction)
+
+
 def test_answers_are_spread_over_tasks(spark, sf_dir, tmp_path):
     writers.write_table(registry.event_features(spark, sf_dir), str(tmp_path / "features"))
 
@@ -234,6 +294,12 @@ def test_command_line(spark, files, sf_dir, tmp_path, capsys):
     told = ["--connect", "answers_for_tests:connect", "--temperature", "0.5", "--max-tokens", "7", "--model-name", "m", "--tasks", "2"]
     command.main(["alerts", out("features"), out("answers"), *told])
     assert {r.answer for r in readers.read_table(spark, out("answers")).collect()} == {"m 0.5 7"}
+    command.main(["alerts", out("features"), out("once"), *told, "--answers", out("store")])
+    assert {r.answer for r in readers.read_table(spark, out("once")).collect()} == {"m 0.5 7"}
+    assert readers.read_table(spark, out("store")).columns == ["digest", "answer", "error", "run"]
+    other = ["--level-of", "as_of", "--slices", "range", "--label-by", "horizon"]
+    command.main(["features", f"{out('counts')}/part-*", out("as_of"), *other])
+    assert readers.read_table(spark, out("as_of")).count() == readers.read_table(spark, out("features")).count()
 
 
 @pytest.mark.parametrize("which", ["hdfs", "bgl"])
