@@ -18,9 +18,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from logrisk.functions.buckets import bucket_hour_number, bucket_hours
 from logrisk.operators.counts import COUNT_KEY, UNKNOWN
@@ -83,47 +82,32 @@ class FeatureParams:
             raise ValueError("horizon_hours and bucket_parts must be positive")
 
 
-def _whole_number(counts: DataFrame) -> Column:
-    """``total_count`` as a 64-bit whole number; any other number raises when it is read."""
-    count, kind = F.col("total_count"), counts.schema["total_count"].dataType
-    if isinstance(kind, T.IntegralType):
-        return count.cast("bigint")
-    broken = F.raise_error(F.concat(F.lit("no whole number: "), count.cast("string"))).cast("bigint")
-    return F.when(count.isNull() | (count == F.floor(count)), count.cast("bigint")).otherwise(broken)
-
-
 def _frequencies(counts: DataFrame) -> DataFrame:
-    key = [F.coalesce(F.col(name), F.lit(UNKNOWN)).alias(name) for name in COUNT_KEY]
-    return counts.select(*key, _whole_number(counts).alias("frequency"))
+    """Keys without nulls and ``frequency``, a 64-bit whole number; any other number raises when it is read."""
+    key = [f"coalesce({name}, '{UNKNOWN}') AS {name}" for name in COUNT_KEY]
+    whole = """CASE WHEN total_count IS NULL OR total_count = floor(total_count) THEN CAST(total_count AS bigint)
+        ELSE CAST(raise_error('no whole number: ' || total_count) AS bigint) END AS frequency"""
+    return counts.selectExpr(*key, whole)
 
 
-def _dealt(rows: DataFrame, *keys: str) -> DataFrame:
+def _dealt(rows: DataFrame, keys: list[str], others: list[str]) -> DataFrame:
     """Rows shuffled by their keys, the other columns as one value that no caller prunes."""
-    others = [name for name in rows.columns if name not in keys]
-    packed = rows.select(*keys, F.array(F.struct(*others)).alias("row")).repartition(*keys)
-    return packed.select(*keys, F.inline("row"))
-
-
-def _prefix(column: str, lengths: tuple[int, ...]) -> Column:
-    return F.substring(column, 1, lengths[0]) if lengths else F.lit("")
+    packed = rows.selectExpr(*keys, f"array(struct({', '.join(others)})) AS row").repartition(*keys)
+    return packed.selectExpr(*keys, "inline(row)")
 
 
-#: What is added up of a stretch of time: its rows with a frequency, the frequencies and their squares.
-_MOMENTS = ("n", "total", "squares")
+#: What is added up of a stretch of time, and what a row adds to it: rows with a frequency, the frequencies
+#: and their squares. A sum of squares beyond 38 digits raises.
+_MOMENTS = {
+    "n": "CAST(frequency IS NOT NULL AS bigint)",
+    "total": "CAST(frequency AS decimal(20,0))",
+    "squares": "CAST(frequency AS decimal(20,0)) * CAST(frequency AS decimal(20,0))",
+}
+_ALL = [f"all_{name}" for name in _MOMENTS]
 
 
-def _exact(frequency: Column) -> Column:
-    return frequency.cast("decimal(20,0)")
-
-
-def _moment_terms() -> list[Column]:
-    """What each row adds to ``_MOMENTS``. A sum of squares beyond 38 digits raises."""
-    frequency = _exact(F.col("frequency"))
-    return [F.col("frequency").isNotNull().cast("bigint"), frequency, frequency * frequency]
-
-
-def _zero(total: Column) -> Column:
-    return F.coalesce(total, F.lit(0))
+def _over(by: list[str], order: str, rows: str = "") -> str:
+    return f"OVER (PARTITION BY {', '.join(by)} ORDER BY {order} {rows})"
 
 
 def _key_history(stretches: DataFrame, lengths: tuple[int, ...], as_of: bool) -> DataFrame:
@@ -133,42 +117,40 @@ def _key_history(stretches: DataFrame, lengths: tuple[int, ...], as_of: bool) ->
 
     With more ``lengths`` the stretches of a key are themselves taken in slices.
     """
-    by = ["source", "error_type"]
+    key = ["source", "error_type"]
+    by = [*key, "outer_slice"] if lengths else key
     if lengths:
-        stretches = stretches.withColumn("outer", _prefix("slice", lengths))
-        by = [*by, "outer"]
-    group = Window.partitionBy(*by)
-    in_order = group.orderBy("slice")
-    reach = in_order.rowsBetween(Window.unboundedPreceding, -1) if as_of else group
-    found = stretches.select(
+        stretches = stretches.selectExpr("*", f"substring(slice, 1, {lengths[0]}) AS outer_slice")
+    earlier = _over(by, "slice", "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING")
+    reach = earlier if as_of else f"OVER (PARTITION BY {', '.join(by)})"
+    found = stretches.selectExpr(
         *by,
         "slice",
-        F.lag("point").over(in_order).alias("handed_on"),
-        *[_zero(F.sum(name).over(reach)).alias(f"all_{name}") for name in _MOMENTS],
+        f"lag(point) {_over(by, 'slice')} AS handed_on",
+        *[f"coalesce(sum({name}) {reach}, 0) AS all_{name}" for name in _MOMENTS],
     )
     if not lengths:
         return found
-    outer = stretches.groupBy("source", "error_type", F.col("outer").alias("slice")).agg(
-        *[F.sum(name).alias(name) for name in _MOMENTS], F.max_by("point", "slice").alias("point")
+    outer = stretches.groupBy(*key, F.col("outer_slice").alias("slice")).agg(
+        *[F.expr(f"sum({name}) AS {name}") for name in _MOMENTS], F.expr("max_by(point, slice) AS point")
+    )
+    outer = _key_history(outer, lengths[1:], as_of).selectExpr(
+        *key, "slice AS outer_slice", "handed_on AS outer_handed_on", *[f"{name} AS outer_{name}" for name in _ALL]
     )
-    outer = _key_history(outer, lengths[1:], as_of)
-    renamed = {name: f"outer_{name}" for name in outer.columns if name not in ("source", "error_type", "slice")}
-    looked_back = found.join(outer.withColumnsRenamed({"slice": "outer", **renamed}), by, "left")
     # What the outer slices before this one hold comes first; of a whole history they know all.
-    whole = lambda name: F.col(f"outer_all_{name}") + (F.col(f"all_{name}") if as_of else 0)
-    return looked_back.select(
-        "source",
-        "error_type",
+    return found.join(outer, by, "left").selectExpr(
+        *key,
         "slice",
-        F.coalesce("handed_on", "outer_handed_on").alias("handed_on"),
-        *[whole(name).alias(f"all_{name}") for name in _MOMENTS],
+        "coalesce(handed_on, outer_handed_on) AS handed_on",
+        *[f"outer_{name} + {name if as_of else 0} AS {name}" for name in _ALL],
     )
 
 
 def _sliced(rows: DataFrame, params: FeatureParams) -> DataFrame:
     """Add ``slice``, which ascends with ``date_hour`` within a key."""
     if params.slices == "prefix":
-        return rows.withColumn("slice", _prefix("date_hour", params.slice_chars))
+        length = params.slice_chars[0] if params.slice_chars else 0
+        return rows.selectExpr("*", f"substring(date_hour, 1, {length}) AS slice")
     ranged = rows.repartitionByRange("source", "error_type", "date_hour")
     # Stored, as every reader has to see the same ranges.
     return materialize(ranged.withColumn("slice", F.spark_partition_id()), "feature-ranges")
@@ -181,74 +163,66 @@ def _with_history(rows: DataFrame, params: FeatureParams) -> DataFrame:
     Each row looks back within its slice; the first row of a slice takes what earlier slices hand on.
     """
     keys = ["source", "error_type", "slice"]
-    dealt = _dealt(_sliced(rows, params), *keys)
-    dealt = dealt.groupBy(*keys, "date_hour").agg(F.sum("frequency").alias("frequency"))
+    dealt = _dealt(_sliced(rows, params), keys, ["date_hour", "frequency"])
+    dealt = dealt.groupBy(*keys, "date_hour").agg(F.expr("sum(frequency) AS frequency"))
     # A struct tells a preceding row without a frequency from no preceding row.
-    dealt = dealt.withColumn("point", F.struct("frequency"))
-    terms = dict(zip(_MOMENTS, _moment_terms()))
     stretches = dealt.groupBy(*keys).agg(
-        *[F.sum(term).alias(name) for name, term in terms.items()], F.max_by("point", "date_hour").alias("point")
+        *[F.expr(f"sum({term}) AS {name}") for name, term in _MOMENTS.items()],
+        F.expr("max_by(struct(frequency), date_hour) AS point"),
     )
     as_of = params.level_of == "as_of"
+    so_far = _over(keys, "date_hour", "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW")
+    own = [f"coalesce(sum({term}) {so_far}, 0) AS own_{name}" for name, term in _MOMENTS.items()] if as_of else []
+    inside = f"lag(struct(frequency)) {_over(keys, 'date_hour')} AS inside"
     lengths = params.slice_chars[1:] if params.slices == "prefix" else ()
-    in_order = Window.partitionBy(*keys).orderBy("date_hour")
-    so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    inside = {"inside": F.lag("point").over(in_order)}
-    if as_of:
-        inside |= {f"own_{name}": _zero(F.sum(term).over(so_far)) for name, term in terms.items()}
-    before = F.coalesce("inside", "handed_on")
-    level = [
-        (F.col(f"all_{name}") + (F.col(f"own_{name}") if as_of else 0)).alias(f"all_{name}") for name in _MOMENTS
-    ]
     return (
-        dealt.withColumns(inside)
+        dealt.selectExpr("*", inside, *own)
         .join(_key_history(stretches, lengths, as_of), keys, "left")
-        .select(
+        .selectExpr(
             *COUNT_KEY,
             "frequency",
-            *level,
-            F.when(before.isNull(), 0).otherwise(before.getField("frequency")).alias("previous"),
+            *([f"all_{name} + own_{name} AS all_{name}" for name in _MOMENTS] if as_of else _ALL),
+            """CASE WHEN coalesce(inside, handed_on) IS NULL THEN 0
+                ELSE coalesce(inside, handed_on).frequency END AS previous""",
         )
     )
 
 
-def _is_high(frequency: Column, n: Column, total: Column, squares: Column) -> Column:
-    """True where a frequency is above mean plus sample deviation of ``n`` frequencies, given by their
-    sum and that of their squares.
-
-    Multiplied out, that is ``(n f - S) ** 2 (n - 1) > n (n Q - S ** 2)`` and ``n f > S``, in whole numbers of up
-    to 38 digits. Where a product is longer, the same sums are compared as doubles.
-    """
-    f, n = _exact(frequency), _exact(n)
-    above = F.try_subtract(F.try_multiply(n, f), total)
-    spread = F.try_subtract(F.try_multiply(n, squares), F.try_multiply(total, total))
-    exact = F.try_multiply(F.try_multiply(above, above), n - 1) > F.try_multiply(n, spread)
-    number = lambda value: value.cast("double")
-    mean = F.try_divide(number(total), number(n))
-    variance = F.try_divide(number(squares) - mean * number(total), number(n) - 1)
-    rough = number(f) > mean + F.sqrt(F.greatest(variance, F.lit(0.0)))
-    return (n > 1) & F.coalesce(above > 0, F.lit(True)) & F.coalesce(exact, rough)
+#: True where ``frequency`` is above mean plus sample deviation of ``all_n`` frequencies, given by their sum S and
+#: that of their squares Q. Multiplied out, that is ``(n f - S) ** 2 (n - 1) > n (n Q - S ** 2)`` and ``n f > S``, in
+#: whole numbers of up to 38 digits. Where a product is longer, the same sums are compared as doubles.
+_ABOVE = "try_subtract(try_multiply(CAST(all_n AS decimal(20,0)), CAST(frequency AS decimal(20,0))), all_total)"
+_SPREAD = "try_subtract(try_multiply(CAST(all_n AS decimal(20,0)), all_squares), try_multiply(all_total, all_total))"
+_EXACT = f"""try_multiply(try_multiply({_ABOVE}, {_ABOVE}), CAST(all_n - 1 AS decimal(20,0)))
+    > try_multiply(CAST(all_n AS decimal(20,0)), {_SPREAD})"""
+_ROUGH = """CAST(frequency AS double) > try_divide(CAST(all_total AS double), all_n) + sqrt(greatest(0.0D, try_divide(
+    CAST(all_squares AS double) - try_divide(CAST(all_total AS double), all_n) * CAST(all_total AS double), all_n - 1)))"""
+_IS_HIGH = f"all_n > 1 AND coalesce({_ABOVE} > 0, true) AND coalesce({_EXACT}, {_ROUGH})"
 
 
 def _with_totals(rows: DataFrame, bucket: list[str], parts: int) -> DataFrame:
     """Add ``bucket_total``. A bucket may hold most of the rows, so it is summed and joined in
     parts, by error type; only the sums of its parts, a bounded number, meet in one group."""
     keys = [*bucket, "part"]
-    part = F.pmod(F.xxhash64("error_type"), F.lit(parts))
-    dealt = _dealt(rows.withColumn("part", part), *keys)
-    sums = dealt.groupBy(*keys).agg(F.sum(_exact(F.col("frequency"))).alias("part_total"))
-    whole = F.sum("part_total").over(Window.partitionBy(*bucket))
-    return dealt.join(sums.select(*keys, whole.alias("bucket_total")), keys, "left")
-
-
-def _share(part: Column, whole: Column) -> Column:
-    return F.round(F.try_divide(part.cast("double"), whole.cast("double")), 4)
+    others = [name for name in rows.columns if name not in keys]
+    dealt = _dealt(rows.selectExpr("*", f"pmod(xxhash64(error_type), {parts}) AS part"), keys, others)
+    sums = dealt.groupBy(*keys).agg(F.expr("sum(CAST(frequency AS decimal(20,0))) AS part_total"))
+    whole = f"sum(part_total) OVER (PARTITION BY {', '.join(bucket)}) AS bucket_total"
+    return dealt.join(sums.selectExpr(*keys, whole), keys, "left")
 
 
-def _growth(now: Column, previous: Column) -> Column:
-    """Relative change to the previous bucket; 0.0 where there is nothing to relate to."""
-    now, before = now.cast("double"), previous.cast("double")
-    return F.when(previous == 0, 0.0).otherwise(F.round(F.try_divide(now - before, before), 4))
+#: The features of a row, with what its history and its bucket say. Nothing to relate to gives no share, and
+#: no change.
+_MEASURED = (
+    "date_hour",
+    "error_type",
+    "source",
+    "CAST(frequency AS double) AS error_frequency",
+    "round(try_divide(CAST(frequency AS double), CAST(bucket_total AS double)), 4) AS error_distribution",
+    """CASE WHEN previous = 0 THEN 0.0D ELSE round(try_divide(
+        CAST(frequency AS double) - CAST(previous AS double), CAST(previous AS double)), 4) END AS rate_of_change""",
+    "CASE WHEN high THEN 1 ELSE 0 END AS high_error_flag",
+)
 
 
 def engineer_features(counts: DataFrame, params: FeatureParams = FeatureParams()) -> DataFrame:
@@ -261,22 +235,12 @@ def engineer_features(counts: DataFrame, params: FeatureParams = FeatureParams()
     """
     bucket = ["date_hour"] if params.share_of == "cluster" else ["source", "date_hour"]
     rows = _with_history(_frequencies(counts), params)
-    frequency = F.col("frequency")
-    high = _is_high(frequency, *[F.col(f"all_{name}") for name in _MOMENTS])
-    rows = rows.select(*COUNT_KEY, "frequency", "previous", high.alias("high"))
-    measured = _with_totals(rows, bucket, params.bucket_parts).select(
-        "date_hour",
-        "error_type",
-        "source",
-        frequency.cast("double").alias("error_frequency"),
-        _share(frequency, F.col("bucket_total")).alias("error_distribution"),
-        _growth(frequency, F.col("previous")).alias("rate_of_change"),
-        F.when(F.col("high"), 1).otherwise(0).alias("high_error_flag"),
-    )
+    rows = rows.selectExpr(*COUNT_KEY, "frequency", "previous", f"{_IS_HIGH} AS high")
+    measured = _with_totals(rows, bucket, params.bucket_parts).selectExpr(*_MEASURED)
     if params.label_by == "horizon":
         return label_ahead(measured, params.horizon_hours)
-    severe = (F.col("high_error_flag") == 1) & (F.col("error_distribution") > params.label_share)
-    return measured.withColumn("label", F.when(severe, 1).otherwise(0))
+    severe = f"high_error_flag = 1 AND error_distribution > {params.label_share!r}D"
+    return measured.selectExpr("*", f"CASE WHEN {severe} THEN 1 ELSE 0 END AS label")
 
 
 def label_ahead(features: DataFrame, horizon_hours: int) -> DataFrame:
