@@ -1,20 +1,28 @@
 """Toxicity by maximum-scoring segments over token log-odds.
 
-Training counts, for every word, the labelled texts of either class that hold it, and gives it
-the log-odds ratio of the two classes under a Dirichlet prior in proportion to the word's overall
-frequency. Prefixes of words are tokens of their own, so that an inflected form that training
-never met is scored by its stem; a word takes the longest of its tokens that is significant.
-Words that no significant token covers score ``-DRIFT``.
+Training counts, for every word and every prefix of ``PREFIXES`` letters, the labelled texts of either class
+that hold it, in a table of ``2 ** TABLE_BITS`` cells by hash. The table's size does not depend on the corpus, and no
+token is left out of it; tokens that meet in a cell are counted as one.
+
+A word's score is its shrunken log-odds: how much likelier a toxic text holds it than any text does. Two
+hypotheses stand against each other, that the word is held by either class alike, and that its toxic share
+is its own, with a Dirichlet prior of ``PRIOR_TEXTS`` texts. The score is the log-odds under the second
+times the probability of the second, which starts from ``TELLING``. What a prefix is found to be, without the
+texts of the word itself, is the prior of the longer prefix and last of the word: forms that training never
+met are scored by their stem. Words that tell of clean texts score below 0, words that tell nothing are close
+to it. A word that is repeated in a text scores once, as it is counted once; every place pays ``DRIFT``, so
+that a passage has to be denser than that.
 
 Scoring scans a text once and finds all maximal scoring segments (a linear-time scan that keeps
-candidates with their left cumulative sums). Segments are judged as extreme values: with the
-background's Karlin-Altschul parameters ``rate`` (the exponent at which the expected score ratio
-is 1) and ``density`` (segments per word), the best ``r`` segments together have the evidence
-``sum(rate * S) - r * ln(density * n) + ln r!``, the largest over ``r`` counting. The evidence
-becomes a probability by a logistic curve fitted on the training rows' histogram.
+candidates with their left cumulative sums). Segments are judged as extreme values, with the
+background's Karlin-Altschul parameters ``rate`` (the exponent at which the expected score ratio is 1) and
+``density`` (segments per word): a passage is significant if ``rate * S`` is above the chance level
+``ln(density * n)`` of a text of ``n`` words. A text's evidence is the sum of what its significant passages have above
+it, or, if none is, what its best one lacks. It becomes a probability by a logistic curve.
 
-Labels are read only where ``crc32(doc_id)`` mod 5 is not 0. Counts cover all those rows. The
-model is bounded: at most ``MODEL_TOKENS`` tokens, those with the highest significance.
+Labels are read only where ``crc32(doc_id)`` mod 5 is not 0. Counts cover all those rows. Background and curve are
+fitted on a sample of them by hash, about ``CALIBRATION_ROWS`` rows or all if there are fewer; each of these rows is
+scored without what it has itself added to the counts.
 
 A null or empty text holds no segment and gets the probability of such texts. Null ids match no
 label; a row's label is the largest where several exist; null labels are ignored. Repeated rows
@@ -25,29 +33,36 @@ are scored each. Without training rows of both classes all scores are the share
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass, field
+from collections.abc import Iterator
+from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from logrisk.llm.rows import map_rows
-from logrisk.llm.terms import WORD, texts_per_word
+from logrisk.llm.rows import map_rows, pieces
+from logrisk.llm.terms import WORD, words_of
 from logrisk.sources.scratch import materialize
 
 FOLDS = 5
-#: Weight of the prior, in texts, spread over the words by their overall frequency.
-PRIOR_TEXTS = 50.0
-#: The least prior of a word, in texts.
-LEAST_PRIOR = 0.5
-#: Least significance (log-odds over its deviation) of a token of the model.
-LEAST_Z = 3.0
-LEAST_LOG_ODDS = 3.5
-PREFIXES = (6, 5, 4)
-MODEL_TOKENS = 20_000
-DRIFT = 0.25
+TABLE_BITS = 22
+PREFIXES = (4, 5, 6)
+#: Weight of a prior share, in texts.
+PRIOR_TEXTS = 20.0
+#: Probability, before any count, that a token tells the classes apart.
+TELLING = 0.01
+DRIFT = 0.15
+#: Rows that background and curve are fitted on.
+CALIBRATION_ROWS = 20_000
 #: The range of evidence that the histogram covers.
 _EVIDENCE = (-40.0, 60.0)
+#: Steps to 1 of the scores' histogram, and the score from which segments are counted.
+_STEPS, _COUNTED = 50, 2.0
+#: Words whose cells or scores a task keeps at a time.
+_KEPT = 500_000
 
 
 def held_out(doc_id: Column) -> Column:
@@ -60,86 +75,115 @@ def training_labels(labels: DataFrame) -> DataFrame:
     return usable.groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
 
 
+def cells_of(word: str) -> tuple[int, ...]:
+    """The cells of a word's shorter prefixes, ascending in length, and of the word itself."""
+    tokens = [word[:size] + "*" for size in PREFIXES if len(word) > size]
+    mask = (1 << TABLE_BITS) - 1
+    return tuple(xxhash.xxh64_intdigest(token) & mask for token in [*tokens, word])
+
+
+def _log_beta(a: float, b: float) -> float:
+    return math.lgamma(a) + math.lgamma(b) - math.lgamma(a + b)
+
+
 @dataclass
 class ToxicityModel:
-    """Token scores (a prefix ends in ``*``) and the calibration."""
+    """Texts per cell, all and toxic, the toxic share of all distinct words, and the calibration."""
 
-    tokens: dict[str, float] = field(default_factory=dict)
+    texts: np.ndarray
+    toxic: np.ndarray
+    share: float
     rate: float = 1.0
     density: float = 1.0
     intercept: float = 0.0
     slope: float = 0.0
 
-    def word_score(self, word: str) -> float:
-        found = self.tokens.get(word)
-        for size in PREFIXES:
-            if found is not None:
-                break
-            if len(word) >= size:
-                found = self.tokens.get(word[:size] + "*")
-        return -DRIFT if found is None else found
-
-
-def learn_tokens(labelled: DataFrame) -> ToxicityModel:
-    """Token scores and the background's rate from rows of ``text, toxic``."""
-    counts = texts_per_word(labelled.withColumnRenamed("toxic", "mark"))
-    clean_texts = (F.col("texts") - F.col("marked")).alias("clean_texts")
-    counts = counts.select("word", F.col("marked").alias("toxic_texts"), clean_texts)
-    words = materialize(counts, "toxic-words")
-    sums = [F.sum("toxic_texts").alias("toxic_texts"), F.sum("clean_texts").alias("clean_texts")]
-    levels = words
-    for size in PREFIXES:
-        stems = words.filter(F.length("word") >= size)
-        stems = stems.groupBy(F.concat(F.substring("word", 1, size), F.lit("*")).alias("word")).agg(*sums)
-        levels = levels.unionByName(stems)
-    total = words.agg(F.sum("toxic_texts"), F.sum("clean_texts")).first()
-    toxic, clean = (float(x or 0) for x in total)
-    model = ToxicityModel()
-    if not toxic or not clean:
-        return model
-    both = F.col("toxic_texts") + F.col("clean_texts")
-    prior = LEAST_PRIOR + PRIOR_TEXTS * both / (toxic + clean)
-    in_toxic, in_clean = F.col("toxic_texts") + prior, F.col("clean_texts") + prior
-    spread = F.sqrt(1 / in_toxic + 1 / in_clean)
-    # With one word only nothing is left for the others.
-    others_toxic = F.greatest(toxic + PRIOR_TEXTS - in_toxic, F.lit(LEAST_PRIOR))
-    others_clean = F.greatest(clean + PRIOR_TEXTS - in_clean, F.lit(LEAST_PRIOR))
-    log_odds = F.log(in_toxic / others_toxic) - F.log(in_clean / others_clean)
-    z, share = (log_odds / spread).alias("z"), (in_clean / clean).alias("share")
-    scored = levels.select("word", log_odds.alias("log_odds"), z, share)
-    best = scored.filter((F.col("z") >= LEAST_Z) & (F.col("log_odds") >= LEAST_LOG_ODDS))
-    rows = best.orderBy(F.desc("z"), "word").limit(MODEL_TOKENS).collect()
-    model.tokens = {row.word: row.log_odds for row in rows}
-    shares = [(row.log_odds, row.share) for row in rows if not row.word.endswith("*")]
-    model.rate = _rate(shares)
-    return model
-
-
-def _rate(shares: list[tuple[float, float]]) -> float:
-    """The positive exponent at which the background's expected score ratio is 1."""
-    rest = max(0.0, 1.0 - sum(share for _, share in shares))
-
-    def excess(rate: float) -> float:
-        return sum(share * math.exp(min(700.0, rate * s)) for s, share in shares) + rest * math.exp(-rate * DRIFT) - 1
-
-    low, high = 1e-3, 20.0
-    if not shares or excess(low) > 0:
-        return 1.0
-    for _ in range(60):
-        middle = (low + high) / 2
-        low, high = (middle, high) if excess(middle) < 0 else (low, middle)
-    return low
-
-
-def segments(scores: list[tuple[int, float]], drift: float = DRIFT) -> list[tuple[int, int, float]]:
-    """All maximal scoring segments of a sequence of which only positive places are given, as
-    ``(first place, last place, score)``; every other place scores ``-drift``."""
+    def word_score(self, word: str, own: int | None = None) -> float:
+        """The shrunken log-odds of a word; in a text that was counted with label ``own``, without
+        that text."""
+        cells = cells_of(word)
+        counts = [(int(self.toxic[cell]), int(self.texts[cell])) for cell in cells]
+        counts = [(toxic, texts - toxic) for toxic, texts in counts]
+        if own is not None:
+            counts = [(max(0, toxic - own), max(0, clean - 1 + own)) for toxic, clean in counts]
+        share, telling = self.share, TELLING
+        for place, (toxic, clean) in enumerate(counts):
+            if place + 1 < len(counts):  # a prefix speaks for the others that have it
+                toxic, clean = max(0, toxic - counts[place + 1][0]), max(0, clean - counts[place + 1][1])
+            if not toxic and not clean:
+                continue
+            a, b = PRIOR_TEXTS * share, PRIOR_TEXTS * (1 - share)
+            ratio = _log_beta(toxic + a, clean + b) - _log_beta(a, b)
+            ratio -= toxic * math.log(self.share) + clean * math.log(1 - self.share)
+            odds = telling / (1 - telling) * math.exp(max(-600.0, min(600.0, ratio)))
+            telling = min(max(odds / (1 + odds), 1e-12), 1 - 1e-12)
+            share = (toxic + a) / (toxic + clean + PRIOR_TEXTS)
+        return telling * (math.log(share / (1 - share)) - math.log(self.share / (1 - self.share)))
+
+
+class _PerWord(dict):
+    """What a function gives for a word, for the words met last."""
+
+    def __init__(self, function):
+        super().__init__()
+        self.function = function
+
+    def __missing__(self, word: str):
+        if len(self) >= _KEPT:
+            self.clear()
+        found = self[word] = self.function(word)
+        return found
+
+
+def texts_per_cell(labelled: DataFrame) -> DataFrame:
+    """``cell, texts, marked`` of rows of ``text, toxic``: the rows that hold a token of the cell, and those of
+    them that are toxic. Cell -1 adds up the distinct words of all rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts, marked = (np.zeros(1 << TABLE_BITS, np.int32) for _ in range(2))
+        total = [0, 0]
+        of_word = _PerWord(cells_of)
+        for batch in batches:
+            for piece in pieces(batch):
+                for text, toxic in zip(*[column.to_pylist() for column in piece.columns]):
+                    words = set(words_of(text))
+                    held = set()
+                    for word in words:
+                        held.update(of_word[word])
+                    cells = np.fromiter(held, np.int32, len(held))
+                    texts[cells] += 1
+                    total[0] += len(words)
+                    if toxic == 1:
+                        marked[cells] += 1
+                        total[1] += len(words)
+        used = np.flatnonzero(texts)
+        found = [np.append(used, -1), np.append(texts[used], total[0]), np.append(marked[used], total[1])]
+        yield pa.RecordBatch.from_arrays([pa.array(column, pa.int64()) for column in found], ["cell", "texts", "marked"])
+
+    partial = labelled.select("text", "toxic").mapInArrow(run, "cell long, texts long, marked long")
+    return partial.groupBy("cell").agg(F.sum("texts").alias("texts"), F.sum("marked").alias("marked"))
+
+
+def learn_tokens(labelled: DataFrame) -> ToxicityModel | None:
+    """The counts of rows of ``text, toxic``; None unless both classes have words."""
+    # At most a row per cell of the table.
+    counts = texts_per_cell(labelled).toArrow()
+    cells, all_texts, all_marked = (counts[name].to_numpy() for name in ("cell", "texts", "marked"))
+    whole = cells == -1
+    words, toxic_words = int(all_texts[whole].sum()), int(all_marked[whole].sum())
+    if not 0 < toxic_words < words:
+        return None
+    texts, toxic = (np.zeros(1 << TABLE_BITS, np.int32) for _ in range(2))
+    texts[cells[~whole]], toxic[cells[~whole]] = all_texts[~whole], all_marked[~whole]
+    return ToxicityModel(texts, toxic, toxic_words / words)
+
+
+def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
+    """All maximal scoring segments of a sequence, as ``(first place, last place, score)``."""
     found: list[tuple[int, int, float, float, int]] = []  # first, last, sum before, sum after, link
-    total, reached = 0.0, 0
-    for place, score in scores:
-        total -= drift * (place - reached)
-        first, before, after = place, total, total + score
-        total, reached = after, place + 1
+    sums = np.concatenate([[0.0], np.cumsum(scores)])
+    for place in np.flatnonzero(scores > 0).tolist():
+        first, before, after = place, float(sums[place]), float(sums[place + 1])
         while True:
             # The last candidate that begins lower; links skip those that begin higher.
             j = len(found) - 1
@@ -154,13 +198,12 @@ def segments(scores: list[tuple[int, float]], drift: float = DRIFT) -> list[tupl
 
 
 def evidence(scores: list[float], words: int, rate: float, density: float) -> float:
-    """The largest sum statistic of the best segments."""
+    """What the significant segments have above the level of chance, or the best one lacks."""
     chance = math.log(density * max(1, words))
-    best, so_far = -max(0.0, chance), 0.0
-    for r, score in enumerate(sorted(scores, reverse=True), 1):
-        so_far += rate * score - chance + math.log(r)
-        best = max(best, so_far)
-    return best
+    above = [rate * score - chance for score in scores]
+    if not above:
+        return -max(0.0, chance)
+    return sum(x for x in above if x > 0) if max(above) > 0 else max(above)
 
 
 def _text_hash() -> Column:
@@ -170,52 +213,88 @@ def _text_hash() -> Column:
 _PASSAGE = T.StructType(
     [T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()), T.StructField("score", T.DoubleType())]
 )
+_BIN = T.StructType([T.StructField("step", T.IntegerType()), T.StructField("n", T.LongType())])
+_FOUND = [T.StructField("n_words", T.LongType()), T.StructField("passages", T.ArrayType(_PASSAGE))]
 _SCANNED = T.StructType(
-    [
-        T.StructField("doc_id", T.LongType()),
-        T.StructField("text_hash", T.LongType()),
-        T.StructField("n_words", T.LongType()),
-        T.StructField("passages", T.ArrayType(_PASSAGE)),
-    ]
+    [T.StructField("doc_id", T.LongType()), T.StructField("text_hash", T.LongType()), *_FOUND]
+)
+_SAMPLED = T.StructType(
+    [T.StructField("toxic", T.IntegerType()), *_FOUND, T.StructField("steps", T.ArrayType(_BIN))]
 )
 
 
+def _scanner(model: ToxicityModel, own: int | None = None):
+    """A function from texts to ``(passages, scores of all places)``."""
+    score_of = _PerWord(lambda word: model.word_score(word, own))
+
+    def one(text: str | None) -> tuple[list[dict], np.ndarray]:
+        plain = (text or "").lower()
+        words = WORD.findall(plain)
+        first: dict[str, int] = {}
+        for place, word in enumerate(words):
+            first.setdefault(word, place)
+        scores = np.full(len(words), -DRIFT)
+        scores[list(first.values())] += [score_of[word] for word in first]
+        found = segments(scores)
+        if not found:
+            return [], scores
+        # Places in the lower-cased text; they are the text's own where lower case keeps lengths.
+        places = [m.span() for m in WORD.finditer(plain)]
+        return [{"start": places[a][0], "end": places[b][1], "score": s} for a, b, s in found], scores
+
+    return one
+
+
 def scan(documents: DataFrame, model: ToxicityModel) -> DataFrame:
     """``doc_id, text_hash, n_words, passages`` of every document; passages by code point, end
     exclusive."""
 
-    class Scores(dict):
-        def __missing__(self, word: str) -> float:
-            found = model.word_score(word)
-            if len(self) >= 500_000:
-                self.clear()
-            self[word] = found
-            return found
-
     def make():
-        score_of = Scores().__getitem__
-
-        def one(text: str | None) -> tuple[int, list[dict]]:
-            plain = (text or "").lower()
-            words = WORD.findall(plain)
-            hits = [(i, s) for i, s in enumerate(map(score_of, words)) if s > 0]
-            if not hits:
-                return len(words), []
-            # Places in the lower-cased text; they are the text's own where lower case keeps lengths.
-            places = [m.span() for m in WORD.finditer(plain)]
-            return len(words), [
-                {"start": places[a][0], "end": places[b][1], "score": s} for a, b, s in segments(hits)
-            ]
+        one = _scanner(model)
 
         def work(doc_ids, text_hashes, texts):
             scanned = [one(text) for text in texts]
-            return doc_ids, text_hashes, [n for n, _ in scanned], [found for _, found in scanned]
+            return doc_ids, text_hashes, [len(scores) for _, scores in scanned], [found for found, _ in scanned]
 
         return work
 
     return map_rows(documents.select("doc_id", _text_hash().alias("text_hash"), "text"), make, _SCANNED)
 
 
+def _sampled(labelled: DataFrame, model: ToxicityModel) -> DataFrame:
+    """``toxic, n_words, passages, steps`` of rows that were counted (``toxic, text``), each scored without
+    itself; ``steps`` are a histogram of the places' scores."""
+
+    def make():
+        by_label = [_scanner(model, label) for label in (0, 1)]
+
+        def work(toxic, texts):
+            scanned = [by_label[label](text) for label, text in zip(toxic, texts)]
+            steps = [np.unique(np.rint(scores * _STEPS), return_counts=True) for _, scores in scanned]
+            listed = [[{"step": int(x), "n": int(n)} for x, n in zip(*pair)] for pair in steps]
+            return toxic, [len(scores) for _, scores in scanned], [found for found, _ in scanned], listed
+
+        return work
+
+    return map_rows(labelled.select("toxic", "text"), make, _SAMPLED)
+
+
+def _rate(steps: list[tuple[int, int]]) -> float:
+    """The positive exponent at which the expected score ratio of places (score in steps, number) is 1."""
+    total = sum(n for _, n in steps)
+
+    def excess(rate: float) -> float:
+        return sum(n * math.exp(min(700.0, rate * step / _STEPS)) for step, n in steps) / max(1, total) - 1
+
+    low, high = 1e-3, 50.0
+    if not any(step > 0 for step, _ in steps) or excess(low) > 0:
+        return 1.0
+    for _ in range(60):
+        middle = (low + high) / 2
+        low, high = (middle, high) if excess(middle) < 0 else (low, middle)
+    return low
+
+
 def _logistic(histogram: list[tuple[float, int, int]]) -> tuple[float, float]:
     """Intercept and slope from ``(evidence, clean rows, toxic rows)``: Newton's method with
     halved steps, and a light pull of the slope to 0 so that separable classes stay finite."""
@@ -248,52 +327,59 @@ def _logistic(histogram: list[tuple[float, int, int]]) -> tuple[float, float]:
     return a, b
 
 
+def _chance(model: ToxicityModel) -> Column:
+    return F.log(F.lit(model.density) * F.greatest(F.col("n_words"), F.lit(1)))
+
+
 def _evidence_column(model: ToxicityModel) -> Column:
     """``evidence`` of a row of ``scan``, in SQL functions."""
-    chance = F.log(F.lit(model.density) * F.greatest(F.col("n_words"), F.lit(1)))
-    ordered = F.reverse(F.array_sort(F.transform("passages", lambda p: p["score"])))
-    start = F.struct(F.lit(0.0).alias("sum"), F.lit(1.0).alias("r"), (-F.greatest(chance, F.lit(0.0))).alias("best"))
-
-    def add(state: Column, score: Column) -> Column:
-        total = state["sum"] + model.rate * score - chance + F.log(state["r"])
-        return F.struct(
-            total.alias("sum"), (state["r"] + 1).alias("r"), F.greatest(state["best"], total).alias("best")
-        )
-
-    return F.aggregate(ordered, start, add, lambda state: state["best"])
-
-
-def calibrate(scanned: DataFrame, labels: DataFrame, model: ToxicityModel) -> None:
-    """Set the density and the curve from rows of ``scan`` with ``toxic``. The histogram has a
-    fixed number of steps, whatever the number of rows."""
-    joined = scanned.join(labels, "doc_id")
-    least = 1.0
-    many = F.size(F.filter("passages", lambda p: p["score"] >= least))
-    clean = joined.filter("toxic = 0").agg(F.sum(many), F.sum("n_words")).first()
-    model.density = ((clean[0] or 0) + 0.5) / ((clean[1] or 0) + 1.0) * math.exp(model.rate * least)
+    chance = _chance(model)
+    above = F.transform("passages", lambda p: model.rate * p["score"] - chance)
+    total = F.aggregate(F.filter(above, lambda x: x > 0), F.lit(0.0), lambda so_far, x: so_far + x)
+    best = F.array_max(above)
+    return F.when(F.size("passages") == 0, -F.greatest(chance, F.lit(0.0))).when(best > 0, total).otherwise(best)
+
+
+def calibrate(documents: DataFrame, labels: DataFrame, model: ToxicityModel) -> None:
+    """Set rate, density and curve from a sample of the labelled rows. The histograms have a fixed
+    number of steps, whatever the number of rows."""
+    draw = F.pmod(F.xxhash64(F.lit("calibration"), "doc_id"), F.lit(1 << 31))
+    sample = labels.filter(draw < F.lit(CALIBRATION_ROWS / max(1, labels.count()) * (1 << 31)))
+    # The sample is bounded, so that it may be broadcast.
+    rows = documents.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+    scanned = materialize(_sampled(rows, model), "toxic-sample")
+    clean = scanned.filter("toxic = 0")
+    steps = clean.select(F.inline("steps")).groupBy("step").agg(F.sum("n").alias("n")).collect()
+    model.rate = _rate([(row.step, row.n) for row in steps])
+    many = F.size(F.filter("passages", lambda p: p["score"] >= _COUNTED))
+    found = clean.agg(F.sum(many), F.sum("n_words")).first()
+    model.density = ((found[0] or 0) + 0.5) / ((found[1] or 0) + 1.0) * math.exp(model.rate * _COUNTED)
     step = F.round(F.least(F.greatest(_evidence_column(model), F.lit(_EVIDENCE[0])), F.lit(_EVIDENCE[1])), 1)
-    counts = joined.groupBy(step.alias("x")).agg(F.count_if(F.col("toxic") == 0), F.count_if(F.col("toxic") == 1))
+    counts = scanned.groupBy(step.alias("x")).agg(F.count_if(F.col("toxic") == 0), F.count_if(F.col("toxic") == 1))
     model.intercept, model.slope = _logistic([tuple(row) for row in counts.collect()])
 
 
 def score_documents(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """``doc_id, text_hash, n_words, passages, evidence, score`` of every document, learned from
-    ``labels``.
+    ``labels``; ``passages`` are the significant ones.
 
-    The texts are shuffled once, to meet their labels, and scanned twice. What was scanned is stored.
+    The texts are shuffled once, to meet their labels, and scanned once. What was scanned is stored.
     """
-    learnable = training_labels(labels)
+    learnable = materialize(training_labels(labels), "toxic-labels")
     # The labels grow with the texts, so they are never broadcast, however few they are.
     model = learn_tokens(documents.select("doc_id", "text").join(learnable.hint("merge"), "doc_id"))
-    scanned = materialize(scan(documents, model), "toxic-scan")
-    if not model.tokens:
+    if model is None:
         share = learnable.join(documents.select("doc_id"), "doc_id").agg(F.avg("toxic")).first()[0] or 0.0
-        return scanned.withColumns({"evidence": F.lit(0.0), "score": F.lit(float(share))})
-    calibrate(scanned, learnable, model)
+        nothing = F.array().cast(T.ArrayType(_PASSAGE))
+        rows = documents.select("doc_id", _text_hash().alias("text_hash"), F.lit(0).cast("long").alias("n_words"))
+        return rows.withColumns({"passages": nothing, "evidence": F.lit(0.0), "score": F.lit(float(share))})
+    calibrate(documents, learnable, model)
+    scanned = materialize(scan(documents, model), "toxic-scan")
     found = scanned.withColumn("evidence", _evidence_column(model))
     bounded = F.least(F.greatest("evidence", F.lit(_EVIDENCE[0])), F.lit(_EVIDENCE[1]))
     curve = 1 / (1 + F.exp(-(F.lit(model.intercept) + F.lit(model.slope) * bounded)))
-    return found.withColumn("score", curve)
+    significant = F.filter("passages", lambda p: model.rate * p["score"] > _chance(model))
+    return found.withColumns({"score": curve, "passages": significant})
 
 
 def accepted(documents: DataFrame, labels: DataFrame, least: float = 0.5) -> DataFrame:
