@@ -82,8 +82,17 @@ def cells_of(word: str) -> tuple[int, ...]:
     return tuple(xxhash.xxh64_intdigest(token) & mask for token in [*tokens, word])
 
 
-def _log_beta(a: float, b: float) -> float:
-    return math.lgamma(a) + math.lgamma(b) - math.lgamma(a + b)
+def _log_gamma(x: np.ndarray) -> np.ndarray:
+    """Of positive numbers, by Stirling's series eight steps further on."""
+    z, steps = x + 8, np.ones_like(x)
+    for step in range(8):
+        steps = steps * (x + step)
+    series = (1 / 12 - (1 / 360 - (1 / 1260 - 1 / 1680 / z**2) / z**2) / z**2) / z
+    return (z - 0.5) * np.log(z) - z + 0.5 * math.log(2 * math.pi) + series - np.log(steps)
+
+
+def _log_beta(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return _log_gamma(a) + _log_gamma(b) - _log_gamma(a + b)
 
 
 @dataclass
@@ -98,40 +107,42 @@ class ToxicityModel:
     intercept: float = 0.0
     slope: float = 0.0
 
-    def word_score(self, word: str, own: int | None = None) -> float:
-        """The shrunken log-odds of a word; in a text that was counted with label ``own``, without
+    def word_scores(self, words: list[str], own: int | None = None) -> np.ndarray:
+        """The shrunken log-odds of words; in a text that was counted with label ``own``, without
         that text."""
-        cells = cells_of(word)
-        counts = [(int(self.toxic[cell]), int(self.texts[cell])) for cell in cells]
-        counts = [(toxic, texts - toxic) for toxic, texts in counts]
+        most = len(PREFIXES) + 1
+        padded = [(-1,) * (most - len(cells)) + cells for cells in map(cells_of, words)]
+        cells = np.array(padded, np.int64).reshape(-1, most)
+        toxic = np.where(cells < 0, 0, self.toxic[cells])
+        clean = np.where(cells < 0, 0, self.texts[cells]) - toxic
         if own is not None:
-            counts = [(max(0, toxic - own), max(0, clean - 1 + own)) for toxic, clean in counts]
-        share, telling = self.share, TELLING
-        for place, (toxic, clean) in enumerate(counts):
-            if place + 1 < len(counts):  # a prefix speaks for the others that have it
-                toxic, clean = max(0, toxic - counts[place + 1][0]), max(0, clean - counts[place + 1][1])
-            if not toxic and not clean:
-                continue
-            a, b = PRIOR_TEXTS * share, PRIOR_TEXTS * (1 - share)
-            ratio = _log_beta(toxic + a, clean + b) - _log_beta(a, b)
-            ratio -= toxic * math.log(self.share) + clean * math.log(1 - self.share)
-            odds = telling / (1 - telling) * math.exp(max(-600.0, min(600.0, ratio)))
-            telling = min(max(odds / (1 + odds), 1e-12), 1 - 1e-12)
-            share = (toxic + a) / (toxic + clean + PRIOR_TEXTS)
-        return telling * (math.log(share / (1 - share)) - math.log(self.share / (1 - self.share)))
-
-
-class _PerWord(dict):
-    """What a function gives for a word, for the words met last."""
-
-    def __init__(self, function):
-        super().__init__()
-        self.function = function
-
-    def __missing__(self, word: str):
+            toxic, clean = np.maximum(toxic - own, 0), np.maximum(clean - 1 + own, 0)
+        share, telling = np.full(len(words), self.share), np.full(len(words), TELLING)
+        for place in range(most):
+            in_toxic, in_clean = toxic[:, place], clean[:, place]
+            if place + 1 < most:  # a prefix speaks for the others that have it
+                in_toxic = np.maximum(in_toxic - toxic[:, place + 1], 0)
+                in_clean = np.maximum(in_clean - clean[:, place + 1], 0)
+            held = np.flatnonzero((cells[:, place] >= 0) & (in_toxic + in_clean > 0))
+            t, c = in_toxic[held].astype(float), in_clean[held].astype(float)
+            a, b = PRIOR_TEXTS * share[held], PRIOR_TEXTS * (1 - share[held])
+            ratio = _log_beta(t + a, c + b) - _log_beta(a, b) - t * math.log(self.share) - c * math.log(1 - self.share)
+            odds = telling[held] / (1 - telling[held]) * np.exp(np.clip(ratio, -600, 600))
+            telling[held] = np.clip(odds / (1 + odds), 1e-12, 1 - 1e-12)
+            share[held] = (t + a) / (t + c + PRIOR_TEXTS)
+        return telling * (np.log(share / (1 - share)) - math.log(self.share / (1 - self.share)))
+
+    def word_score(self, word: str, own: int | None = None) -> float:
+        return float(self.word_scores([word], own)[0])
+
+
+class _Cells(dict):
+    """The cells of the words met last."""
+
+    def __missing__(self, word: str) -> tuple[int, ...]:
         if len(self) >= _KEPT:
             self.clear()
-        found = self[word] = self.function(word)
+        found = self[word] = cells_of(word)
         return found
 
 
@@ -142,7 +153,7 @@ def texts_per_cell(labelled: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts, marked = (np.zeros(1 << TABLE_BITS, np.int32) for _ in range(2))
         total = [0, 0]
-        of_word = _PerWord(cells_of)
+        of_word = _Cells()
         for batch in batches:
             for piece in pieces(batch):
                 for text, toxic in zip(*[column.to_pylist() for column in piece.columns]):
@@ -223,38 +234,52 @@ _SAMPLED = T.StructType(
 )
 
 
-def _scanner(model: ToxicityModel, own: int | None = None):
-    """A function from texts to ``(passages, scores of all places)``."""
-    score_of = _PerWord(lambda word: model.word_score(word, own))
+class _Scanner:
+    """Scores the words of many texts together and finds the segments of each."""
 
-    def one(text: str | None) -> tuple[list[dict], np.ndarray]:
-        plain = (text or "").lower()
-        words = WORD.findall(plain)
-        first: dict[str, int] = {}
-        for place, word in enumerate(words):
-            first.setdefault(word, place)
-        scores = np.full(len(words), -DRIFT)
-        scores[list(first.values())] += [score_of[word] for word in first]
-        found = segments(scores)
-        if not found:
-            return [], scores
-        # Places in the lower-cased text; they are the text's own where lower case keeps lengths.
-        places = [m.span() for m in WORD.finditer(plain)]
-        return [{"start": places[a][0], "end": places[b][1], "score": s} for a, b, s in found], scores
+    def __init__(self, model: ToxicityModel, own: int | None = None):
+        self.model, self.own, self.known = model, own, {}
 
-    return one
+    def scan(self, texts: list[str | None]) -> Iterator[tuple[str, np.ndarray, list[tuple[int, int, float]]]]:
+        """The lower-cased text, the scores of its places and its segments, of every text."""
+        plain = [(text or "").lower() for text in texts]
+        words = [WORD.findall(text) for text in plain]
+        firsts = [{word: place for place, word in reversed(list(enumerate(found)))} for found in words]
+        new = {word for first in firsts for word in first if word not in self.known}
+        if len(self.known) + len(new) > _KEPT:
+            self.known.clear()
+            new = {word for first in firsts for word in first}
+        if new:
+            listed = list(new)
+            self.known.update(zip(listed, self.model.word_scores(listed, self.own).tolist()))
+        for text, found, first in zip(plain, words, firsts):
+            scores = np.full(len(found), -DRIFT)
+            scores[list(first.values())] += [self.known[word] for word in first]
+            yield text, scores, segments(scores)
 
 
 def scan(documents: DataFrame, model: ToxicityModel) -> DataFrame:
-    """``doc_id, text_hash, n_words, passages`` of every document; passages by code point, end
-    exclusive."""
+    """``doc_id, text_hash, n_words, passages`` of every document: its significant passages by code point, end
+    exclusive; or, where none is, the score of its best segment, at -1."""
 
     def make():
-        one = _scanner(model)
+        scanner = _Scanner(model)
+
+        def passages(text: str, scores: np.ndarray, found: list[tuple[int, int, float]]) -> list[dict]:
+            chance = math.log(model.density * max(1, len(scores)))
+            significant = [segment for segment in found if model.rate * segment[2] > chance]
+            if not significant:
+                return [{"start": -1, "end": -1, "score": s} for s in sorted(s for _, _, s in found)[-1:]]
+            # Places in the lower-cased text; they are the text's own where lower case keeps lengths.
+            places = [m.span() for m in WORD.finditer(text)]
+            return [{"start": places[a][0], "end": places[b][1], "score": s} for a, b, s in significant]
 
         def work(doc_ids, text_hashes, texts):
-            scanned = [one(text) for text in texts]
-            return doc_ids, text_hashes, [len(scores) for _, scores in scanned], [found for found, _ in scanned]
+            sizes, found = [], []
+            for text, scores, segments_ in scanner.scan(texts):
+                sizes.append(len(scores))
+                found.append(passages(text, scores, segments_))
+            return doc_ids, text_hashes, sizes, found
 
         return work
 
@@ -263,16 +288,22 @@ def scan(documents: DataFrame, model: ToxicityModel) -> DataFrame:
 
 def _sampled(labelled: DataFrame, model: ToxicityModel) -> DataFrame:
     """``toxic, n_words, passages, steps`` of rows that were counted (``toxic, text``), each scored without
-    itself; ``steps`` are a histogram of the places' scores."""
+    itself; all segments are ``passages`` without a place, and ``steps`` are a histogram of the places' scores."""
 
     def make():
-        by_label = [_scanner(model, label) for label in (0, 1)]
+        by_label = [_Scanner(model, label) for label in (0, 1)]
 
         def work(toxic, texts):
-            scanned = [by_label[label](text) for label, text in zip(toxic, texts)]
-            steps = [np.unique(np.rint(scores * _STEPS), return_counts=True) for _, scores in scanned]
-            listed = [[{"step": int(x), "n": int(n)} for x, n in zip(*pair)] for pair in steps]
-            return toxic, [len(scores) for _, scores in scanned], [found for found, _ in scanned], listed
+            labels, sizes, found, listed = [], [], [], []
+            for label, scanner in enumerate(by_label):
+                own = [text for text, told in zip(texts, toxic) if told == label]
+                for _, scores, segments_ in scanner.scan(own):
+                    labels.append(label)
+                    sizes.append(len(scores))
+                    found.append([{"start": -1, "end": -1, "score": s} for _, _, s in segments_])
+                    steps = np.unique(np.rint(scores * _STEPS), return_counts=True)
+                    listed.append([{"step": int(x), "n": int(n)} for x, n in zip(*steps)])
+            return labels, sizes, found, listed
 
         return work
 
@@ -378,7 +409,7 @@ def score_documents(documents: DataFrame, labels: DataFrame) -> DataFrame:
     found = scanned.withColumn("evidence", _evidence_column(model))
     bounded = F.least(F.greatest("evidence", F.lit(_EVIDENCE[0])), F.lit(_EVIDENCE[1]))
     curve = 1 / (1 + F.exp(-(F.lit(model.intercept) + F.lit(model.slope) * bounded)))
-    significant = F.filter("passages", lambda p: model.rate * p["score"] > _chance(model))
+    significant = F.filter("passages", lambda p: p["start"] >= 0)
     return found.withColumns({"score": curve, "passages": significant})
 
 
