@@ -6,9 +6,10 @@ density sum is that of its children. The node with the largest density sum is th
 article; the least density on the path from ``body`` to it is the threshold. Around the core,
 siblings along the path belong to the article where they reach the threshold and are flow text
 or look like the path's own node (same tag and class). An ``article`` or ``main`` element around the
-core bounds the search: inside it everything belongs to the article but lists and boxes below the
+core bounds the search: inside an ``article`` everything belongs to it but lists and boxes below the
 threshold whose text is mostly links; outside of it other ``article`` elements do that reach the
-threshold, anywhere in the same ``main`` or beside the first. Menus, adverts, forms, comments and
+threshold, anywhere in the same ``main`` or beside the first. In a ``main`` without an ``article`` the core
+and what stands around it are taken as on other pages, and headings and paragraphs beside the path. Menus, adverts, forms, comments and
 the like are recognised by element, role and by words of ``class`` and ``id``; they count neither
 for densities nor for the text. A form that holds an ``article`` or ``main`` or most of the page's
 text, and a part with a suspicious name that holds most of the text and its main heading, are only
@@ -39,6 +40,8 @@ _INLINE = frozenset(
     " span strike strong sub sup time tt u var wbr".split()
 )
 _FLOW = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre ul ol dl table figure section".split())
+#: Flow text that may be short without being a box of its own.
+_PLAIN = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre figure".split())
 #: Elements that never hold article text.
 _NOISE = frozenset(
     "head title script style noscript template iframe object embed svg canvas audio video map math form button input"
@@ -275,6 +278,10 @@ def _article(page: Page, noise: list[bool], density: list[float], links: list[bo
         path.append(page.parent[path[-1]])
     threshold = min(density[i] for i in path)
     frame = [i for i in path if page.tag[i] in ("article", "main")]
+    bare = None if not frame or any(page.tag[i] == "article" for i in frame) else frame[-1]
+    if bare is not None:
+        path, frame = path[: path.index(bare) + 1], []
+        threshold = min(density[i] for i in path)
     root, dropped, on_path = [False] * n, [False] * n, set(path)
     if frame:
         first = frame[0] if page.tag[frame[0]] == "article" else frame[-1]
@@ -293,9 +300,14 @@ def _article(page: Page, noise: list[bool], density: list[float], links: list[bo
         step = {up: child for child, up in zip(path, path[1:])}
         for i in range(1, n):
             beside = step.get(page.parent[i])
-            if beside is None or i in on_path or noise[i] or not density[i] or density[i] < threshold:
+            listed = bare is not None and page.tag[i] in _LINK_LISTS and i not in on_path and links[i]
+            dropped[i] = dropped[page.parent[i]] or listed and density[i] < threshold
+            if beside is None or i in on_path or noise[i] or not density[i]:
                 continue
-            root[i] = page.tag[i] in _FLOW or page.look[i] == page.look[beside]
+            if density[i] < threshold:
+                root[i] = bare is not None and page.tag[i] in _PLAIN and not links[i]
+            else:
+                root[i] = page.tag[i] in _FLOW or page.look[i] == page.look[beside]
     inside = root[:]
     for i in range(1, n):
         inside[i] = (inside[i] or inside[page.parent[i]]) and not dropped[i]

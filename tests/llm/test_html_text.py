@@ -49,6 +49,16 @@ PARTS = {
     "article in a form": (f"<body><form><select><option>A</select><article>{START}</article></form></body>", ONE),
     "page in a named element": (f"<body><div class=overlay-page><div>{START}</div></div></body>", ONE),
     "long comments": (f"<body><div id=post>{START}</div><div id=comments>{f'<p>{LONG} so</p>' * 9}</div></body>", ONE),
+    "side box in main": (
+        f"<main><div>{START}</div><div><p>Weather today: sunny.</p><p>Wind: <a href=/>more</a></p></div></main><p>Outside</p>",
+        ONE,
+    ),
+    "title beside the text in main": (
+        f"<body><main><h1>Title</h1><div><p>{LONG}</p><p>{LONG}</p></div><div><a href=/>A</a> <a href=/>B</a></div></main></body>",
+        ONE,
+    ),
+    "sections of main": (f"<main><section>{START}</section><section>{PART}</section><div>Share this</div></main>", f"{ONE}\n\n{TWO}"),
+    "paragraphs of main": (f"<main>{START}<p>Short.</p></main><div>Foot</div>", f"{ONE}\n\nShort."),
     "names of sections": (
         f"<article>{START}<section id=discussion>{PART}</section><h2 id=related-work>Other</h2><h2 id=search>Third</h2></article>",
         f"{ONE}\n\n{TWO}\n\nOther\n\nThird",
