@@ -15,8 +15,8 @@ anchors at equal places and one anchor stands for a run of windows, its context.
    aggregation by the windows' digests, which no key can overload.
 4. Runs of repeats are gathered per text, merged and cut out.
 
-Equality of whole contexts is decided by two independent 64-bit hashes and their length; parts
-of contexts by their bytes. The texts are shuffled twice and read three times.
+Whole contexts are equal if two independent 64-bit hashes of their bytes, the hash of their anchor, its place
+in them and their length are; parts of contexts are if their bytes are. The texts are shuffled twice and read three times.
 
 Nulls: a null text is empty; a null id is the greatest. Equal ids are ordered by the text's hash.
 Of repeated rows one is kept and the others are repeats of it. Bytes are those of UTF-8; what is
@@ -45,7 +45,9 @@ CHUNK = 1 << 17
 SORTED = 1 << 14
 _PLACE_BITS = 18  # of a place within a chunk, its tail included
 _LAST_ID = np.iinfo(np.int64).max
-_ANCHOR_BASE, _CONTEXT_BASE = 0xD1342543DE82EF95, 0xA0761D6478BD642F
+_ANCHOR_BASE, _CONTEXT_BASE, _CHECK_BASE = 0xD1342543DE82EF95, 0xA0761D6478BD642F, 0x9FB21C651E98DF25
+#: The part of a context's place that tells its shape: the anchor's place in it and its windows.
+_SHAPE = (1 << 14) - 1
 
 
 def _powers(base: int) -> tuple[np.ndarray, np.ndarray]:
@@ -70,7 +72,7 @@ class Contexts:
 
     def __init__(self, size: int = SIZE, seed: int = SEED):
         self.size, self.seed = size, seed
-        self.powers = {base: _powers(base) for base in (_ANCHOR_BASE, _CONTEXT_BASE)}
+        self.powers = {base: _powers(base) for base in (_ANCHOR_BASE, _CONTEXT_BASE, _CHECK_BASE)}
 
     def parts(self, offsets: np.ndarray) -> Iterator[list[tuple[int, int, int]]]:
         """Groups of ``(text, first window, end of windows)`` of about a chunk of bytes."""
@@ -88,7 +90,7 @@ class Contexts:
             yield group
 
     def find(self, data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
-        """``text, start, anchor, count, anchor hash, context hash`` of every context: ``count``
+        """``text, start, anchor, count, anchor hash`` and two hashes of every context: ``count``
         windows from byte ``start`` on, the anchor ``anchor`` bytes later."""
         for group in self.parts(offsets):
             pieces = [data[offsets[t] + a : offsets[t] + b + self.size - 1] for t, a, b in group]
@@ -103,9 +105,10 @@ class Contexts:
             begin, anchor, count = self._runs(keys, places)
             piece = np.searchsorted(places, begin, side="right") - 1
             hashes = keys[anchor]
-            whole = self._hashes(_CONTEXT_BASE, flat)(begin, begin + count + self.size - 1)
-            whole = _mixed(whole + (anchor - begin).astype(np.uint64) * np.uint64(251) + count.astype(np.uint64))
-            yield texts[piece], starts[piece] + begin - places[piece], anchor - begin, count, hashes, whole
+            whole, check = (
+                self._hashes(base, flat)(begin, begin + count + self.size - 1) for base in (_CONTEXT_BASE, _CHECK_BASE)
+            )
+            yield texts[piece], starts[piece] + begin - places[piece], anchor - begin, count, hashes, whole, check
 
     def _hashes(self, base: int, flat: np.ndarray):
         """A function from starts and ends to the hashes of the bytes between."""
@@ -154,8 +157,8 @@ def _unpacked(place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return place >> 14, place >> 7 & 127, place & 127
 
 
-_CONTEXT = "anchor long, context long, id long, text_hash long, place long, settled boolean"
-_NAMES = ["anchor", "context", "id", "text_hash", "place", "settled"]
+_CONTEXT = "anchor long, context long, check long, id long, text_hash long, place long, settled boolean"
+_NAMES = ["anchor", "context", "check", "id", "text_hash", "place", "settled"]
 
 
 def _identified(documents: DataFrame) -> DataFrame:
@@ -174,11 +177,11 @@ def contexts(documents: DataFrame, size: int = SIZE, seed: int = SEED) -> DataFr
     """All contexts of all texts. Of equal ones within a batch only the first is not ``settled``."""
 
     def settle(rows: list[np.ndarray]) -> list[np.ndarray]:
-        order = np.lexsort((rows[4], rows[3], rows[2], rows[1], rows[0]))
+        order = np.lexsort((rows[5], rows[4], rows[3], rows[5] & _SHAPE, rows[2], rows[1], rows[0]))
         rows = [values[order] for values in rows]
-        same = [values[1:] == values[:-1] for values in rows]
-        equal = np.r_[False, same[0] & same[1]]
-        repeated = np.r_[False, same[0] & same[1] & same[2] & same[3] & same[4]]
+        same = [values[1:] == values[:-1] for values in [*rows, rows[5] & _SHAPE]]
+        equal = np.r_[False, same[0] & same[1] & same[2] & same[6]]
+        repeated = np.r_[False, np.logical_and.reduce(same)]
         return [values[~repeated] for values in [*rows, equal]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -187,8 +190,8 @@ def contexts(documents: DataFrame, size: int = SIZE, seed: int = SEED) -> DataFr
             data, offsets = _text_bytes(batch.column(2))
             ids, hashes = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             found = [
-                (anchors.view(np.int64), whole.view(np.int64), ids[text], hashes[text], _packed(start, anchor, count))
-                for text, start, anchor, count, anchors, whole in finder.find(data, offsets)
+                (*[x.view(np.int64) for x in told], ids[text], hashes[text], _packed(start, anchor, count))
+                for text, start, anchor, count, *told in finder.find(data, offsets)
             ]
             if found:
                 rows = settle([np.concatenate(values) for values in zip(*found)])
@@ -206,7 +209,7 @@ def compared(rows: DataFrame, unit_size: int = UNIT) -> DataFrame:
         number, waiting = 0, None  # the only context of the last anchor so far
 
         def out(rows: list[np.ndarray], unit: np.ndarray, settled: np.ndarray) -> pa.RecordBatch:
-            columns = [rows[0], rows[2], rows[3], rows[4], unit, settled]
+            columns = [rows[0], rows[3], rows[4], rows[5], unit, settled]
             return pa.RecordBatch.from_arrays(
                 [pa.array(x) for x in columns], ["anchor", "id", "text_hash", "place", "unit", "settled"]
             )
@@ -214,21 +217,21 @@ def compared(rows: DataFrame, unit_size: int = UNIT) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            rows = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(6)]
-            passed = rows[5]
+            rows = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(7)]
+            passed = rows[6]
             if passed.any():
                 yield out([x[passed] for x in rows], np.zeros(passed.sum(), np.int32), np.ones(passed.sum(), bool))
                 rows = [x[~passed] for x in rows]
             if not len(rows[0]):
                 continue
-            before = [np.r_[x[:1] if last is None else [y], x[:-1]] for x, y in zip(rows[:5], last or [0] * 5)]
-            same = [x == y for x, y in zip(rows, before)]
+            before = [np.r_[x[:1] if last is None else [y], x[:-1]] for x, y in zip(rows[:6], last or [0] * 6)]
+            same = [x == y for x, y in zip([*rows[:6], rows[5] & _SHAPE], [*before, before[5] & _SHAPE])]
             if last is None:
                 for x in same:
                     x[0] = False
-            last = [x[-1] for x in rows[:5]]
-            equal = same[0] & same[1]
-            repeat = equal & ~(same[2] & same[3] & same[4])
+            last = [x[-1] for x in rows[:6]]
+            equal = same[0] & same[1] & same[2] & same[6]
+            repeat = equal & ~(same[3] & same[4] & same[5])
             yield out([x[repeat] for x in rows], np.zeros(repeat.sum(), np.int32), np.ones(repeat.sum(), bool))
             first = np.flatnonzero(~equal)
             if not len(first):
@@ -258,7 +261,8 @@ def compared(rows: DataFrame, unit_size: int = UNIT) -> DataFrame:
     # Settled rows only pass through, so they are dealt out by their text.
     salt = F.when(F.col("settled"), F.col("text_hash")).otherwise(0)
     dealt = rows.withColumn("salt", salt).repartition("anchor", "salt")
-    ordered = dealt.sortWithinPartitions("anchor", "context", "id", "text_hash", "place")
+    shape = F.col("place").bitwiseAND(_SHAPE)
+    ordered = dealt.sortWithinPartitions("anchor", "context", "check", shape, "id", "text_hash", "place")
     return ordered.select(*_NAMES).mapInArrow(run, schema)
 
 

@@ -118,3 +118,12 @@ def test_odd_rows(spark):
     check(spark, [(1, same), (1, same), (None, same), (2, "short"), (2, "short"), (None, None)])
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert suffix_dedup.remove_repeats(docs).collect() == []
+
+
+def test_contexts_of_one_hash_are_compared_further(spark):
+    """A collision of the context hash settles nothing: the other hash, the anchor's place and the length differ."""
+    row = lambda check, id_, shape: (11, 22, check, id_, 5, 700 << 14 | shape, False)
+    rows = [row(1, 1, 300), row(2, 2, 300), row(1, 3, 301), row(1, 4, 300)]
+    df = spark.createDataFrame(rows, suffix_dedup._CONTEXT)
+    found = {r.id: r.settled for r in suffix_dedup.compared(df).collect()}
+    assert found == {1: False, 2: False, 3: False, 4: True}
