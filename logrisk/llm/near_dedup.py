@@ -4,9 +4,12 @@ Texts are sequences of words (white space only separates them). Equal sequences
 Each of ``SKETCHES`` hash functions picks the ``PICKED`` least occurrence-labelled k-mers of
 ``K`` words and keeps them in text order; their hash is a bucket key. Order MinHash collides for
 texts of a small edit distance: two texts are near duplicates when their words' edit similarity,
-``1 - distance / longer length``, is ``SIMILARITY`` or more. At a similarity of 0.95, 0.9, 0.85
-and 0.8 with edits spread evenly over more than ``SHORT`` words, some bucket holds both with
-probability above 0.999, 0.98, 0.9 and 0.6; the alignment then decides exactly.
+``1 - distance / longer length``, is ``SIMILARITY`` or more. At a similarity of 0.8 with edits spread
+evenly over more than ``SHORT`` words, be they substitutions, deletions or insertions, some bucket holds
+both with a probability above 0.9, and above 0.97 at 0.85; the alignment then decides exactly.
+
+The first ``FIRST_SKETCHES`` find most of the classes. The buckets of the others are tested only where they hold
+texts of different classes, and no pair within a class is tested again.
 
 Texts of at most ``SHORT`` words meet all their near duplicates. An edit takes at most ``k`` of a
 text's k-mers away, so of two near duplicates each has at least one of the other's among its first
@@ -18,8 +21,8 @@ only. Texts just above ``SHORT`` have both kinds of keys.
 Within a bucket every pair that is not yet connected is tested, by lengths, word counts and then
 an alignment within the band that the threshold allows, so no link between members is lost and
 no pairs are emitted: only the edges of a spanning forest are. Buckets with the same members are
-tested once. Buckets above ``BLOCK`` members are cut into blocks, and pairs of blocks tested as
-units of their own. Classes are the connected components.
+tested once. Buckets above ``BLOCK`` members or ``BLOCK_WORDS`` words are cut into blocks, and pairs of
+blocks tested as units of their own, so that what a task holds at a time is bounded but for single texts. Classes are the connected components.
 
 A null or empty text is an empty sequence, and all those are one class, as are texts of white
 space. Null ids and repeated rows are members like any other; a class is named by its least id.
@@ -35,7 +38,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,10 +47,12 @@ from logrisk.llm.rows import map_rows
 from logrisk.sources.scratch import materialize
 
 K = 5
-SKETCHES = 32
+SKETCHES = 104
+FIRST_SKETCHES = 24
 PICKED = 2
 SIMILARITY = 0.8
 BLOCK = 1024
+BLOCK_WORDS = 4_000_000
 #: Words of a text up to which the search for its near duplicates is exact.
 SHORT = 60
 #: Words of the k-mers of short texts, where the length allows for as many.
@@ -258,10 +263,16 @@ def most_edits(n: int, m: int, similarity: float) -> int:
     return int((1 - similarity) * max(n, m) + 1e-9)
 
 
-def links(members: list[Member], left: list[int], right: list[int], similarity: float) -> Iterator[tuple[int, int]]:
+def links(
+    members: list[Member], left: list[int], right: list[int], similarity: float, known: list | None = None
+) -> Iterator[tuple[int, int]]:
     """A spanning forest of the near duplicates between ``left`` and ``right`` (which may be one
-    list): every pair is tested unless both are already connected."""
+    list): every pair is tested unless both are already connected. Members of an equal ``known``
+    class are."""
     parent = list(range(len(members)))
+    if known is not None:
+        first = {name: i for i, name in reversed(list(enumerate(known)))}
+        parent = [first[name] for name in known]
 
     def root(i: int) -> int:
         while parent[i] != i:
@@ -293,18 +304,23 @@ _SKETCHED = T.StructType(
         T.StructField("doc_id", T.LongType()),
         T.StructField("text_hash", T.StringType()),
         T.StructField("digest", T.BinaryType()),
+        T.StructField("n_words", T.IntegerType()),
         T.StructField("keys", T.ArrayType(T.LongType())),
         T.StructField("short", T.BinaryType()),
     ]
 )
 _KEYED = T.StructType(
-    [T.StructField("digest", T.BinaryType()), T.StructField("keys", T.ArrayType(T.LongType()))]
+    [
+        T.StructField("digest", T.BinaryType()),
+        T.StructField("size", T.IntegerType()),
+        T.StructField("keys", T.ArrayType(T.LongType())),
+    ]
 )
 _WORDED = T.StructType([T.StructField("digest", T.BinaryType()), T.StructField("words", T.BinaryType())])
 
 
 def sketched(documents: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """``doc_id, text_hash, digest, keys, short`` of every document: the sketches of a text of more
+    """``doc_id, text_hash, digest, n_words, keys, short`` of every document: the sketches of a text of more
     than ``SHORT`` words, and the words of one that may be near to a short one, as 32-bit hashes."""
     wanted = prefixes(similarity)
 
@@ -318,7 +334,8 @@ def sketched(documents: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
         def work(doc_ids, text_hashes, texts):
             rows = [word_ids(text, hashes) for text in texts]
             keys = [sketch(words) if len(words) > SHORT else [] for _, words in rows]
-            return doc_ids, text_hashes, [digest for digest, _ in rows], keys, [short(words) for _, words in rows]
+            sizes = [len(words) for _, words in rows]
+            return doc_ids, text_hashes, [digest for digest, _ in rows], sizes, keys, [short(words) for _, words in rows]
 
         return work
 
@@ -347,14 +364,14 @@ def short_levels(short: DataFrame, similarity: float) -> np.ndarray:
 
 
 def short_sketched(rows: DataFrame, similarity: float) -> DataFrame:
-    """``digest, keys`` of the distinct texts of ``rows`` that have ``short`` words."""
+    """``digest, size, keys`` of the distinct texts of ``rows`` that have ``short`` words."""
     short = rows.filter("short IS NOT NULL")
     levels, wanted = short_levels(short, similarity), prefixes(similarity)
 
     def make():
         def work(digests, shorts):
             words = [np.frombuffer(data, np.uint32) for data in shorts]
-            return digests, [short_keys(x, levels, wanted[len(x)]) for x in words]
+            return digests, [len(x) for x in words], [short_keys(x, levels, wanted[len(x)]) for x in words]
 
         return work
 
@@ -378,50 +395,70 @@ def worded(texts: DataFrame) -> DataFrame:
     return map_rows(texts.select("digest", "text"), make, _WORDED)
 
 
-def buckets(texts: DataFrame) -> DataFrame:
-    """``key, digest, members`` of the buckets to test: two texts at least, each set of members once."""
-    placed = texts.select("digest", F.explode("keys").alias("key"))
-    sets = placed.groupBy("key").agg(
+def buckets(placed: DataFrame) -> DataFrame:
+    """``key, id, late, members, words`` of the buckets to test, from rows of ``key, id, late, n_words``: two
+    members at least, each set of members once, and ``late`` only if no other key holds it."""
+    # One shuffle for both readers, which is why both of them take all columns.
+    dealt = placed.repartition("key")
+    sets = dealt.groupBy("key").agg(
         F.count("*").alias("members"),
-        F.bit_xor(F.xxhash64("digest")).alias("one"),
-        F.bit_xor(F.xxhash64("digest", F.lit(1))).alias("two"),
+        F.sum("n_words").alias("words"),
+        F.bit_xor("id").alias("one"),
+        F.bit_xor(F.xxhash64("id")).alias("two"),
+        F.bool_and("late").alias("all_late"),
     )
-    kept = sets.filter("members > 1").groupBy("members", "one", "two").agg(F.min("key").alias("key"))
-    return placed.join(kept.select("key", "members"), "key")
+    groups = sets.filter("members > 1").groupBy("members", "words", "one", "two")
+    kept = groups.agg(F.min(F.struct("all_late", "key")).alias("kept")).select("kept.*", "members", "words")
+    found = dealt.join(kept, "key").filter("n_words >= 0 AND late IS NOT NULL")
+    return found.select("key", "id", F.col("all_late").alias("late"), "members", "words")
+
+
+def between_classes(placed: DataFrame, roots: DataFrame) -> DataFrame:
+    """The buckets of ``placed`` (``key, id, members, words``) that hold several classes, with each member's
+    ``class`` by ``roots`` (``node, root``)."""
+    known = roots.select(F.xxhash64("node").alias("id"), F.xxhash64("root").alias("class"))
+    # An id that two texts have takes either one's class; at worst a pair is not tested here.
+    known = known.groupBy("id").agg(F.min("class").alias("class"))
+    named = placed.join(known, "id", "left").withColumn("class", F.coalesce("class", "id"))
+    several = named.groupBy("key").agg(F.min("class").alias("least"), F.max("class").alias("most"))
+    return named.join(several.filter("least <> most").select("key"), "key")
 
 
 def verified(placed: DataFrame, words: DataFrame, similarity: float) -> DataFrame:
-    """Edges ``a, b`` between the digests of near duplicates that share a bucket."""
-    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("digest", "key"), F.col("blocks")).cast("int")
+    """Edges ``a, b`` between the digests of near duplicates that share a bucket and no class. An ``id`` that
+    two texts have stands for both."""
+    blocks = F.ceil(F.greatest(F.col("members") / BLOCK, F.col("words") / BLOCK_WORDS)).cast("int")
+    own = F.pmod(F.xxhash64("id", "key"), F.col("blocks")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     units = (
-        placed.withColumn("blocks", blocks)
+        placed.withColumn("blocks", F.least(blocks, F.col("members").cast("int")))
         .withColumn("own", own)
         .withColumn("other", other)
-        .select("key", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "digest")
+        .select("key", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "id", "class")
     )
     keys = ["key", "low", "high"]
-    gathered = units.join(words.select("digest", "words"), "digest").repartition(*keys).sortWithinPartitions(*keys)
+    held = words.select(F.xxhash64("digest").alias("id"), "digest", F.col("words").alias("held"))
+    gathered = units.join(held, "id").repartition(*keys).sortWithinPartitions(*keys)
 
     def test(unit: tuple, rows: list[tuple]) -> tuple[list[bytes], list[bytes]]:
         _, low, high = unit
-        seen: dict[bytes, int] = {}
-        members, blocks = [], []
-        for own, digest, data in rows:
+        seen: set[bytes] = set()
+        members, blocks, known = [], [], []
+        for own, name, digest, data in rows:
             if digest not in seen:
-                seen[digest] = len(members)
+                seen.add(digest)
                 members.append(Member(digest, np.frombuffer(data, np.uint32)))
                 blocks.append(own)
+                known.append(name)
         left = [i for i, own in enumerate(blocks) if own == low]
         right = left if low == high else [i for i, own in enumerate(blocks) if own == high]
-        pairs = list(links(members, left, right, similarity)) if left and right else []
+        pairs = list(links(members, left, right, similarity, known)) if left and right else []
         return [members[i].digest for i, _ in pairs], [members[j].digest for _, j in pairs]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unit, rows = None, []
         for batch in batches:
-            for row in zip(*[batch.column(i).to_pylist() for i in range(6)]):
+            for row in zip(*[batch.column(i).to_pylist() for i in range(7)]):
                 if row[:3] != unit:
                     if len(rows) > 1:
                         yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in test(unit, rows)], ["a", "b"])
@@ -430,7 +467,15 @@ def verified(placed: DataFrame, words: DataFrame, similarity: float) -> DataFram
         if len(rows) > 1:
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in test(unit, rows)], ["a", "b"])
 
-    return gathered.select(*keys, "own", "digest", "words").mapInArrow(run, "a binary, b binary")
+    return gathered.select(*keys, "own", "class", "digest", "held").mapInArrow(run, "a binary, b binary")
+
+
+def first_texts(documents: DataFrame, needed: DataFrame) -> DataFrame:
+    """``digest, text`` of the rows of ``documents`` that ``needed`` names by ``first``, a null mark, id and hash.
+    A row meets those only that have its id and its text."""
+    named = needed.select("digest", *_row_keys("first."))
+    rows = documents.select("text", *_row_keys(text_hash=F.md5("text")))
+    return rows.join(named.hint("merge"), ["no_id", "id_key", "hash_key"]).select("digest", "text")
 
 
 def digest_classes(documents: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -439,14 +484,24 @@ def digest_classes(documents: DataFrame, similarity: float = SIMILARITY) -> Data
     The texts are read twice and shuffled once, to be joined to the buckets that hold them.
     """
     rows = materialize(sketched(documents, similarity), "near-sketches")
-    texts = rows.groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.any_value("keys").alias("keys"))
-    short = materialize(short_sketched(rows, similarity), "near-short")
-    placed = materialize(buckets(texts.select("digest", "keys").unionByName(short)), "near-buckets")
-    needed = placed.select("digest").distinct().join(texts.select("digest", "first_id"), "digest")
-    first = documents.select("doc_id", "text").join(needed.hint("merge"), F.col("doc_id").eqNullSafe(F.col("first_id")))
-    words = worded(first)
-    edges = verified(placed, words, similarity)
-    roots = components(edges.select("a", "b"))
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("first")
+    number = F.xxhash64("digest").alias("id")
+    texts = rows.groupBy("digest").agg(F.any_value("n_words").alias("n_words"), F.any_value("keys").alias("keys"))
+    sketches = texts.select(number, "n_words", F.posexplode("keys").alias("place", "key"))
+    late = (F.col("place") >= FIRST_SKETCHES).alias("late")
+    short = short_sketched(rows, similarity).select(
+        F.explode("keys").alias("key"), number, F.lit(False).alias("late"), F.col("size").alias("n_words")
+    )
+    placed = materialize(buckets(sketches.select("key", "id", late, "n_words").unionByName(short)), "near-buckets")
+    named = rows.groupBy("digest").agg(first).select("digest", "first", number)
+    needed = named.join(placed.select("id").distinct(), "id")
+    words = materialize(worded(first_texts(documents, needed)), "near-words")
+
+    early = placed.filter("not late").withColumn("class", F.col("id"))
+    roots = materialize(components(verified(early, words, similarity)), "near-roots")
+    stars = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+    more = verified(between_classes(placed.filter("late"), roots), words, similarity)
+    roots = components(stars.unionByName(more))
     joined = rows.select("doc_id", "text_hash", "digest").join(roots, F.col("digest") == F.col("node"), "left")
     return joined.select("doc_id", "text_hash", F.coalesce("root", "digest").alias("root"))
 
@@ -471,9 +526,9 @@ def representatives(documents: DataFrame, similarity: float = SIMILARITY) -> Dat
     return joined.withColumn("nth", one).filter("nth = 1").select("row.*")
 
 
-def _row_keys(prefix: str = "") -> list:
+def _row_keys(prefix: str = "", text_hash: Column | None = None) -> list:
     """Equality keys of a document, nulls included."""
-    doc_id, text_hash = F.col(f"{prefix}doc_id"), F.col(f"{prefix}text_hash")
+    doc_id, text_hash = F.col(f"{prefix}doc_id"), F.col(f"{prefix}text_hash") if text_hash is None else text_hash
     return [
         doc_id.isNull().alias("no_id"),
         F.coalesce(doc_id, F.lit(0)).alias("id_key"),

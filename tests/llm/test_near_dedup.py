@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from logrisk.llm import near_dedup
 from logrisk.llm.components import components
@@ -115,17 +116,32 @@ def test_one_large_group_of_near_copies(spark):
     assert {r.class_size for r in near_dedup.classes(docs).collect()} == {200}
 
 
-def test_recall_of_the_keys():
+def edited_pair(rng, n, share, kind):
+    """A text of ``n`` words and one at a similarity of ``1 - share``, edits spread evenly."""
+    words = [rng.getrandbits(62) for _ in range(n)]
+    edits = near_dedup.most_edits(n, n, 1 - share)
+    if kind == "substitutions":
+        places = set(rng.sample(range(n), edits))
+        other = [rng.getrandbits(62) if i in places else w for i, w in enumerate(words)]
+    elif kind == "deletions":
+        places = set(rng.sample(range(n), edits))
+        other = [w for i, w in enumerate(words) if i not in places]
+    else:
+        other = list(words)
+        for _ in range(int(n / (1 - share)) - n):
+            other.insert(rng.randint(0, len(other)), rng.getrandbits(62))
+    return np.array(words, np.uint64), np.array(other, np.uint64)
+
+
+@pytest.mark.parametrize("kind", ["substitutions", "deletions", "insertions"])
+@pytest.mark.parametrize("n", [76, 80, 120, 300, 1000])
+def test_recall_of_the_keys(n, kind):
     """Shares of edited copies that meet in some bucket, at the similarities that the docstring names."""
-    rng = random.Random(9)
-    for share, least in ((0.05, 0.995), (0.1, 0.98), (0.15, 0.85)):
-        met = 0
-        for _ in range(200):
-            words = [rng.randint(0, 10**9) for _ in range(200)]
-            other = [rng.randint(0, 10**9) if rng.random() < share else w for w in words]
-            a, b = (set(near_dedup.sketch(np.array(x, np.uint64))) for x in (words, other))
-            met += bool(a & b)
-        assert met / 200 >= least, share
+    rng = random.Random(n)
+    for share, least in ((0.05, 1.0), (0.1, 0.995), (0.15, 0.97), (0.2, 0.9)):
+        pairs = [edited_pair(rng, n, share, kind) for _ in range(250)]
+        met = sum(bool(set(near_dedup.sketch(a)) & set(near_dedup.sketch(b))) for a, b in pairs)
+        assert met / len(pairs) >= least, share
 
 
 def short_pair(rng, n, edits):
@@ -185,6 +201,33 @@ def test_components(spark):
     assert {r.node: r.root for r in found} == label and len(found) == len(label)
 
 
+def test_rows_without_an_id_meet_their_own_text_only(spark):
+    texts = [f"text {i} of many that have no id {i * 7}" for i in range(10_000)] + ["the same"] * 3
+    docs = spark.createDataFrame([(None, t) for t in texts] + [(5, "a b"), (5, "c d")], "doc_id long, text string")
+    rows = near_dedup.sketched(docs)
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("first")
+    needed = rows.groupBy("digest").agg(first)
+    assert near_dedup.first_texts(docs, needed).count() == docs.count()
+
+
+def test_blocks_by_words(spark, monkeypatch):
+    """A few long texts are blocks of their own."""
+    monkeypatch.setattr(near_dedup, "BLOCK_WORDS", 500)
+    rng = random.Random(6)
+    base = [f"w{rng.randint(0, 5000)}" for _ in range(300)]
+    texts = [" ".join(base[:i] + [f"x{i}"] + base[i + 1 :]) for i in range(9)] + ["other words"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert sorted(r.class_size for r in near_dedup.classes(docs).collect()) == [1] + [9] * 9
+
+
+def test_representatives_keep_columns_of_any_name(spark):
+    docs = spark.createDataFrame([(1, "a b c"), (2, "a b c"), (3, "d")], "doc_id long, text string")
+    names = ["row", "root", "best", "nth", "no_id", "id_key", "hash_key", "key", "class", "digest", "text_hash"]
+    kept = near_dedup.representatives(docs.withColumns({name: F.lit("x") for name in names}))
+    assert kept.columns == ["doc_id", "text", *names]
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 3]
+
+
 def test_odd_rows(spark):
     docs = spark.createDataFrame([(None, None), (None, "a b"), (None, "a b"), (4, ""), (9, "a b"), (9, "a b"), (9, "c")], "doc_id long, text string")
     found = sorted(((r.doc_id, r.class_id, r.class_size) for r in near_dedup.classes(docs).collect()), key=str)
