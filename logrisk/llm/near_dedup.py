@@ -51,8 +51,8 @@ SKETCHES = 104
 FIRST_SKETCHES = 24
 PICKED = 2
 SIMILARITY = 0.8
-BLOCK = 1024
-BLOCK_WORDS = 4_000_000
+BLOCK = 4096
+BLOCK_WORDS = 2_000_000
 #: Words of a text up to which the search for its near duplicates is exact.
 SHORT = 60
 #: Words of the k-mers of short texts, where the length allows for as many.
@@ -241,7 +241,7 @@ class Member:
         numbered = _mixed(words.astype(np.uint64) + occurrences(words) * _MIX) if len(words) else words
         self.numbered = np.sort(numbered)
         self.where: Places | None = None
-        self.bins = np.bincount(words % _BINS, minlength=_BINS).astype(np.int32)
+        self.bins = np.bincount(words % _BINS, minlength=_BINS).astype(np.uint16 if len(words) < 1 << 16 else np.int32)
 
 
 def near(x: Member, y: Member, most: int) -> bool:
@@ -280,19 +280,23 @@ def links(
             i = parent[i]
         return i
 
-    bins = np.stack([members[j].bins for j in right])
-    sizes = np.array([len(members[j].words) for j in right])
+    # In the order of their lengths, the texts that are not too short or too long stand side by side.
+    ordered = sorted(right, key=lambda j: len(members[j].words))
+    bins = np.stack([members[j].bins for j in ordered])
+    sizes = np.array([len(members[j].words) for j in ordered])
+    allowed = ((1 - similarity) * sizes + 1e-9).astype(np.int64)
     same = left is right
-    for at, i in enumerate(left):
+    for at, i in enumerate(ordered if same else left):
         n = len(members[i].words)
-        longer = np.maximum(sizes, n)
-        most = ((1 - similarity) * longer + 1e-9).astype(np.int64)
+        own = most_edits(n, n, similarity)
+        low = at + 1 if same else int(np.searchsorted(sizes, n - own))
+        high = int(np.searchsorted(sizes - allowed, n, side="right"))
+        longer, most = np.maximum(sizes[low:high], n), np.maximum(allowed[low:high], own)
         # A word of the longer text that the other lacks costs an edit; bins bound what they share.
-        possible = longer - np.minimum(bins, members[i].bins).sum(axis=1) <= most
-        possible &= np.abs(sizes - n) <= most
+        possible = longer - np.minimum(bins[low:high], members[i].bins).sum(axis=1, dtype=np.int64) <= most
         for place in np.flatnonzero(possible):
-            j = right[place]
-            if (same and place <= at) or i == j or root(i) == root(j):
+            j = ordered[low + place]
+            if i == j or root(i) == root(j):
                 continue
             if near(members[i], members[j], int(most[place])):
                 parent[root(j)] = root(i)
