@@ -7,7 +7,11 @@ mutual information ``log2(N * co / (df(term) * df(entity)))``; the entity itself
 ``log2(N / df(entity))``. A term whose share of that information reaches ``DISCLOSURE`` is
 sanitised wherever it occurs in texts of the entity: numbers and capitalised words are
 generalised to their class, other words removed. Counts cover all texts; a pair must be seen in
-two different texts, since a single one says nothing about co-occurrence.
+``LEAST_TEXTS`` different texts, since a single one says nothing about co-occurrence: an entity of one text
+alone is not protected against the words beside it.
+
+Entities that stand in the same texts are given away by the same terms. Terms are counted with these classes of
+entities, not with each of them, so that a long list of addresses does not multiply the words of its text.
 
 A null or empty text holds nothing; ids may be null; repeated rows are handled each; an entity in
 every text carries no information and is given away by nothing; an empty table gives an empty
@@ -31,6 +35,8 @@ KINDS = ("email", "ip", "card", "phone")
 ADDED = "term"
 #: Least share of an entity's information that makes a term disclosing.
 DISCLOSURE = 0.8
+#: Different texts in which a term and an entity must stand together.
+LEAST_TEXTS = 2
 LEAST_LETTERS = 3
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -124,9 +130,8 @@ _FOUND = _struct(
     ("entities", T.ArrayType(T.StringType())),
     ("text", T.StringType()),
 )
-_TERMS = _struct(
-    ("entities", T.ArrayType(T.StringType())), ("copies", T.LongType()), ("terms", T.ArrayType(T.StringType()))
-)
+_CLASS = _struct(("texts", T.LongType()), ("one", T.LongType()), ("two", T.LongType()))
+_TERMS = _struct(("classes", T.ArrayType(_CLASS)), ("copies", T.LongType()), ("terms", T.ArrayType(T.StringType())))
 _ADDED = _struct(("text_hash", T.BinaryType()), ("places", T.ArrayType(_PLACE)))
 
 
@@ -165,44 +170,50 @@ def _with_text(rows: DataFrame, found: DataFrame) -> DataFrame:
     return rows.join(texts.hint("merge"), "text_hash")
 
 
-def _pairs(found: DataFrame, known: DataFrame) -> DataFrame:
-    """``entity, term, copies`` of every distinct text that holds both, for the entities ``known``."""
-    holders = _holders(found).join(known.select("entity"), "entity").groupBy("text_hash")
-    holders = holders.agg(F.any_value("copies").alias("copies"), F.collect_set("entity").alias("entities"))
+def _pairs(found: DataFrame, held: DataFrame) -> DataFrame:
+    """``class, term, copies`` of every distinct text (``text_hash, copies, class``) that holds both."""
+    classes = held.groupBy("text_hash").agg(F.any_value("copies").alias("copies"), F.collect_list("class").alias("classes"))
 
     def make():
-        def work(held, copies, texts):
-            return held, copies, [list(terms(text, base_spans(text))) for text in texts]
+        def work(classes, copies, texts):
+            return classes, copies, [list(terms(text, base_spans(text))) for text in texts]
 
         return work
 
-    rows = map_rows(_with_text(holders, found).select("entities", "copies", "text"), make, _TERMS)
-    rows = rows.select("entities", "copies", F.explode("terms").alias("term"))
-    return rows.select(F.explode("entities").alias("entity"), "term", "copies")
+    rows = map_rows(_with_text(classes, found).select("classes", "copies", "text"), make, _TERMS)
+    rows = rows.select("classes", "copies", F.explode("terms").alias("term"))
+    return rows.select(F.explode("classes").alias("class"), "term", "copies")
 
 
-def disclosing(found: DataFrame, documents: DataFrame) -> DataFrame:
-    """``entity, term, share`` of the terms that give an entity away."""
+def disclosing(found: DataFrame, documents: DataFrame, least_texts: int = LEAST_TEXTS) -> tuple[DataFrame, DataFrame]:
+    """``text_hash, class`` of the texts that hold entities of ``least_texts`` texts, and ``class, term`` of the
+    terms that give the entities of a class away. A class is told by its number of texts and two hashes of them."""
     n = found.count()
-    held = _holders(found).groupBy("entity").agg(F.sum("copies").alias("with_entity"), F.count("*").alias("texts"))
-    # Only an entity of two different texts can be seen twice with a term.
-    held = materialize(held.filter("texts > 1").drop("texts"), "pii-entities")
-    together = _pairs(found, held).groupBy("entity", "term")
+    holders = _holders(found)
+    one, two = F.bit_xor(F.xxhash64("text_hash")), F.bit_xor(F.xxhash64(F.lit(1), "text_hash"))
+    texts = F.struct(F.count("*").alias("texts"), one.alias("one"), two.alias("two")).alias("class")
+    known = holders.groupBy("entity").agg(texts, F.sum("copies").alias("with_entity"))
+    # Only an entity of that many different texts can be seen as often with a term.
+    known = materialize(known.filter(F.col("class.texts") >= least_texts), "pii-entities")
+    held = holders.join(known, "entity").select("text_hash", "copies", "class").distinct()
+    held = materialize(held, "pii-texts")
+    together = _pairs(found, held).groupBy("class", "term")
     together = together.agg(F.sum("copies").alias("co"), F.count("*").alias("texts"))
-    together = materialize(together.filter("texts > 1").drop("texts"), "pii-pairs")
+    together = materialize(together.filter(F.col("texts") >= least_texts).drop("texts"), "pii-pairs")
     words = texts_per_word(documents.select("text", F.lit(0).alias("mark")))
     seen = together.select("term").distinct()
     with_term = words.select(F.col("word").alias("term"), F.col("texts").alias("with_term")).join(seen, "term")
+    with_entity = known.groupBy("class").agg(F.any_value("with_entity").alias("with_entity"))
     information = F.log2(F.lit(float(n)) / F.col("with_entity"))
     shared = F.log2(F.lit(float(n)) * F.col("co") / (F.col("with_term") * F.col("with_entity")))
-    scored = together.join(with_term, "term").join(held, "entity")
-    scored = scored.select("entity", "term", F.try_divide(shared, information).alias("share"))
-    return scored.filter(F.col("share") >= DISCLOSURE)
+    scored = together.join(with_term, "term").join(with_entity, "class")
+    scored = scored.filter(F.try_divide(shared, information) >= DISCLOSURE)
+    return held.select("text_hash", "class"), scored.select("class", "term")
 
 
-def _added(found: DataFrame, flagged: DataFrame) -> DataFrame:
-    """``text_hash, places`` of the flagged terms in every distinct text that holds their entity."""
-    wanted = _holders(found).join(flagged, "entity").groupBy("text_hash").agg(F.collect_set("term").alias("wanted"))
+def _added(found: DataFrame, held: DataFrame, flagged: DataFrame) -> DataFrame:
+    """``text_hash, places`` of the flagged terms in every distinct text that holds entities of their class."""
+    wanted = held.join(flagged, "class").groupBy("text_hash").agg(F.collect_set("term").alias("wanted"))
 
     def make():
         def one(text: str, wanted: list[str]) -> list[dict]:
@@ -224,9 +235,9 @@ def find(documents: DataFrame) -> DataFrame:
     an entity; only these are shuffled, to meet the entities seen twice and the flagged terms.
     """
     found = materialize(_patterns(documents), "pii-found")
-    flagged = disclosing(found, documents)
+    held, flagged = disclosing(found, documents)
     rows = found.filter("text IS NOT NULL").select("doc_id", "text_hash").distinct()
-    added = rows.join(_added(found, flagged), "text_hash").select(
+    added = rows.join(_added(found, held, flagged), "text_hash").select(
         F.col("doc_id").alias("added_id"), F.col("text_hash").alias("added_hash"), "places"
     )
     same = F.col("doc_id").eqNullSafe(F.col("added_id")) & (F.col("text_hash") == F.col("added_hash"))
@@ -277,7 +288,7 @@ def sanitize(documents: DataFrame) -> DataFrame:
     def column(name: str, kind: str) -> Column:
         if name == "text":
             return F.col("text")
-        return F.length("text").cast(kind).alias(name) if name == "n_chars" else F.col(f"row.`{name}`").alias(name)
+        return F.length("text").cast(kind).alias(name) if name == "n_chars" else F.col("row").getField(name).alias(name)
 
     replaced = joined.withColumn("text", replace("text", "spans"))
     return replaced.select(*[column(name, kind) for name, kind in documents.dtypes])

@@ -7,6 +7,7 @@ import time
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from logrisk.llm import pii
 
@@ -137,6 +138,48 @@ def test_terms_far_from_their_entity(spark):
     assert len(clean) == len(texts) and not any("Alias" in text or "Far" in text for text in clean)
 
 
+def test_long_lists_of_entities_do_not_multiply_the_words(spark):
+    """Two texts with a thousand addresses and a thousand words each: a class and its words, not a million pairs."""
+    listed = " ".join(f"a{i}@list.org" for i in range(1000))
+    words = " ".join(f"word{i}x" for i in range(1000))
+    texts = [f"{listed} {words} one", f"{words} two {listed}", "a1@list.org alone", "word1x", "plain words"] + [f"filler {i}" for i in range(30)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = pii._patterns(docs).cache()
+    held, flagged = pii.disclosing(found, docs)
+    assert held.count() == 5 and held.select("class").distinct().count() == 2
+    assert pii._pairs(found, held.join(pii._holders(found).select("text_hash", "copies").distinct(), "text_hash")).count() < 4100
+    expected = whole_text_spans(texts)
+    for row in pii.find(docs).collect():
+        assert {(s.start, s.end) for s in row.added} == expected[row.doc_id]
+    found.unpersist()
+
+
+def test_pairs_of_one_text_may_count(spark):
+    texts = ["Alias wrote a@b.org", "nothing else", "words"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = pii._patterns(docs)
+    assert pii.disclosing(found, docs)[1].count() == 0
+    assert {r.term for r in pii.disclosing(found, docs, least_texts=1)[1].collect()} == {"alias", "wrote"}
+
+
+def test_sanitize_keeps_columns_of_any_name(spark):
+    docs = spark.createDataFrame([(1, "mail a@b.org now", 16), (2, "none", 4)], "doc_id long, text string, n_chars int")
+    names = ["row", "row_id", "row_hash", "spans", "span_id", "span_hash", "base", "added", "class", "a`b", "c.d"]
+    wide = docs.withColumns({name: F.lit("x") for name in names})
+    clean = pii.sanitize(wide)
+    assert clean.columns == wide.columns
+    rows = {r.doc_id: r for r in clean.collect()}
+    assert rows[1].text == "mail [EMAIL] now" and rows[1].n_chars == 16 and rows[1]["a`b"] == "x" and rows[2].text == "none"
+
+
+def test_very_long_text(spark):
+    long = ("word " * 200_000) + "x@y.org " + ("more " * 200_000) + "Alias " + "x@y.org"
+    texts = [long, "Alias and x@y.org", "other"] + [f"filler {i}" for i in range(20)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    clean = {r.doc_id: r.text for r in pii.sanitize(docs).collect()}
+    assert "Alias" not in clean[0] and clean[0].count("[EMAIL]") == 2 and clean[0].startswith("word word")
+
+
 def test_odd_rows(spark):
     docs = spark.createDataFrame([(None, None), (1, "a@b.c"), (1, "a@b.c"), (None, "1.1.1.1")], "doc_id long, text string")
     found = sorted(str(row.base) for row in pii.find(docs).collect())
