@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from logrisk.llm import fingerprints
 
@@ -82,3 +83,17 @@ def test_large_lexicons_are_not_broadcast(spark, monkeypatch, sf_dir):
         assert sorted(fingerprints.fingerprint_edits(docs).collect()) == one
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_very_long_text(spark):
+    rng = random.Random(6)
+    rows = [(i, words(rng, 30)) for i in range(40)] + [(90, words(rng, 200_000)), (91, "é" * 1_000_000)]
+    check_edits(spark, rows)
+
+
+def test_columns_of_any_name(spark):
+    rng = random.Random(7)
+    docs = spark.createDataFrame([(i, words(rng, 20)) for i in range(30)], "doc_id long, text string")
+    names = ["block", "place", "order", "hash", "extra", "which", "stand", "both", "variant", "fingerprint", "term"]
+    wide = docs.withColumns({name: F.lit("x") for name in names})
+    assert sorted(fingerprints.fingerprint_edits(wide).collect()) == sorted(fingerprints.fingerprint_edits(docs).collect())

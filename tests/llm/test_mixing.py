@@ -78,3 +78,16 @@ def test_slices_of_a_hot_source_stay_even(spark, weight):
     slices = slices.orderBy("slice").collect()
     assert max(row.n for row in slices) < 0.002 * 40_000
     assert all(one.b < two.a for one, two in zip(slices, slices[1:]))
+
+
+def test_mixed_documents_keep_columns_of_any_name(spark):
+    docs = spark.createDataFrame([(i, "a b c " * 5, "s") for i in range(20)], "doc_id long, text string, source string")
+    names = ["row", "size", "draw", "slice", "no_source", "source_key", "target", "taken", "copies", "start", "a`b"]
+    mixed = mixing.mix_documents(docs.withColumns({name: F.lit("x") for name in names}))
+    assert mixed.columns == ["doc_id", "text", "source", *names] and mixed.count() > 0
+    assert {r["size"] for r in mixed.collect()} == {"x"}
+
+
+def test_very_long_text(spark):
+    docs = spark.createDataFrame([(1, "word " * 1_000_000, "a"), (2, "one two", "b")], "doc_id long, text string, source string")
+    assert {r.doc_id: r.size for r in mixing.mix(docs).collect()} == {1: 1_000_000, 2: 2}

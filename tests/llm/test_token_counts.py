@@ -54,3 +54,9 @@ def test_odd_rows(spark):
     docs = spark.createDataFrame([(None, None, 5), (1, "a", 5), (1, "a", 5)], "doc_id long, text string, n_tokens int")
     assert sorted(r.n_tokens for r in tc.count_tokens(docs).collect()) == [0, 1, 1]
     assert tc.count_tokens(docs.limit(0)).collect() == []
+
+
+def test_very_long_text(spark, pieces):
+    text = "some words, einige Wörter \n" * 20_000
+    found = tc.count_tokens(spark.createDataFrame([(1, text), (2, "a")], "doc_id long, text string")).collect()
+    assert {r.doc_id: r.n_tokens for r in found} == {1: library(pieces)(text), 2: library(pieces)("a")}
