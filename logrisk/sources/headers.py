@@ -14,6 +14,8 @@ from logrisk.sources.writers import write_table
 #: Larger than any file that is read, so that a file is one task.
 _WHOLE_FILE = 1 << 40
 _LINES_AT_A_TIME = 64
+_FILES_TO_TASKS = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def read_first_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
@@ -24,20 +26,23 @@ def read_first_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFra
     """
     # A session of its own, as the settings that make a file one task hold for a session.
     apart = spark.newSession()
-    apart.conf.set("spark.sql.files.maxPartitionBytes", str(_WHOLE_FILE))
-    apart.conf.set("spark.sql.files.openCostInBytes", str(_WHOLE_FILE))
-    apart.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(_LINES_AT_A_TIME))
+    settings = {name: str(_WHOLE_FILE) for name in _FILES_TO_TASKS}
+    for name, value in {**settings, _BATCH: str(_LINES_AT_A_TIME)}.items():
+        apart.conf.set(name, value)
+    # Where the settings are not taken, tasks read on, as they may hold several files.
+    alone = all(apart.conf.get(name) == value for name, value in settings.items())
     lines = apart.read.text(path_list(paths)).select(
         "value", "_metadata.file_path", "_metadata.file_block_start"
     )
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done: set[str] = set()
         for batch in batches:
-            if batch.num_rows and batch.column(2)[0].as_py() > 0:
-                return
-            for place, value in enumerate(batch.column(0).to_pylist()):
-                if any(char > " " for char in value):
+            for place, (value, path, start) in enumerate(zip(*[column.to_pylist() for column in batch.columns])):
+                if start == 0 and path not in done and any(char > " " for char in value):
+                    done.add(path)
                     yield batch.slice(place, 1).select([0, 1])
+                if alone and (start > 0 or path in done):
                     return
 
     path = scratch_path(spark, "first-lines")

@@ -125,6 +125,20 @@ def test_first_lines_of_files(spark, tmp_path):
     assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
 
 
+def test_first_lines_where_a_task_holds_several_files(spark, tmp_path, monkeypatch):
+    """The settings are not taken, so that small files share a task and large ones are split."""
+    for i in range(30):
+        (tmp_path / f"{i}.csv").write_text("\n" * (i % 3) + f"LineId,{i}\n" + "1,2\n" * (10 * i))
+    (tmp_path / "large.csv").write_text("LineId,large\n" + "1,2,3,4,5,6,7,8\n" * 5000)
+    monkeypatch.setattr(headers, "_FILES_TO_TASKS", ("spark.sql.files.maxPartitionBytes",))
+    monkeypatch.setattr(headers, "_WHOLE_FILE", 20_000)
+    conf = type(spark.conf)
+    get = conf.get
+    monkeypatch.setattr(conf, "get", lambda self, name, *default: "0" if name in headers._FILES_TO_TASKS else get(self, name, *default))
+    found = {r.file_path.rpartition("/")[2]: r.value for r in headers.read_first_lines(spark, str(tmp_path)).collect()}
+    assert found == {**{f"{i}.csv": f"LineId,{i}" for i in range(30)}, "large.csv": "LineId,large"}
+
+
 def test_rejects_tell_file_and_line(spark, tmp_path):
     """Also where a file is read in several blocks, and several files in one task."""
     raw = tmp_path / "raw"
