@@ -22,7 +22,8 @@ Within a bucket every pair that is not yet connected is tested, by lengths, word
 an alignment within the band that the threshold allows, so no link between members is lost and
 no pairs are emitted: only the edges of a spanning forest are. Buckets with the same members are
 tested once. Buckets above ``BLOCK`` members or ``BLOCK_WORDS`` words are cut into blocks, and pairs of
-blocks tested as units of their own, so that what a task holds at a time is bounded but for single texts. Classes are the connected components.
+blocks tested as units of their own, so that what a task holds at a time is bounded but for single texts.
+Within a unit only texts whose lengths allow for it are compared. Classes are the connected components.
 
 A null or empty text is an empty sequence, and all those are one class, as are texts of white
 space. Null ids and repeated rows are members like any other; a class is named by its least id.
